@@ -241,7 +241,7 @@ slots AS (SELECT *, CAST(local_day AS TIMESTAMP) + to_hours(hour_local) - {IST}
 LOG_CAUSE = "CASE event_type WHEN 'error' THEN 'Gradio timed out' WHEN 'purchase' THEN 'upload refused' WHEN 'view' THEN 'ffmpeg exited' ELSE 'all well' END"
 HEALTH = """hc AS (SELECT user_id AS service, max(ts) AS checked_at, arg_max(event_type <> 'error', ts) AS ok FROM events GROUP BY 1),
 health AS (
-  SELECT service, checked_at, (epoch_ms(TIMESTAMP '2024-01-30 23:00:00') - epoch_ms(checked_at)) / 60000.0 AS age_minutes, ok FROM hc),
+  SELECT service, checked_at, (epoch_us(TIMESTAMP '2024-01-30 23:00:00') // 1000 - epoch_us(checked_at) // 1000) / 60000.0 AS age_minutes, ok FROM hc),
 states AS (
   SELECT service, checked_at, round(age_minutes, 3) AS age_minutes,
     CASE WHEN age_minutes < 600 AND ok THEN 'live' WHEN age_minutes < 600 THEN 'dead' ELSE 'stale' END AS state FROM health)"""
@@ -277,9 +277,9 @@ ORACLES: dict[str, str] = {
     "parse_error_log": """SELECT event_id, CASE WHEN event_type <> 'click' THEN date_trunc('milliseconds', ts) END AS logged_at,
         CASE WHEN event_type <> 'click' THEN upper(event_type) END AS category, CASE WHEN event_type <> 'click' THEN 'user ' || user_id END AS topic,
         CASE WHEN event_type <> 'click' THEN props END AS message FROM events""",
-    "retry_summary": """WITH r AS (SELECT user_id, event_id % 3 + 1 AS attempt, date_trunc('milliseconds', ts) AS at, 'event ' || event_id || chr(10) || props AS message
+    "retry_summary": """WITH r AS (SELECT user_id, event_id % 3 + 1 AS attempt, date_trunc('milliseconds', ts) AS t, 'event ' || event_id || chr(10) || props AS message
           FROM events WHERE event_type = 'error'),
-        f AS (SELECT user_id, count(*) AS failures, CAST(max(attempt) AS INTEGER) AS max_attempt, max(at) AS last_failure, arg_max(message, at) AS last_message FROM r GROUP BY 1),
+        f AS (SELECT user_id, count(*) AS failures, CAST(max(attempt) AS INTEGER) AS max_attempt, max(t) AS last_failure, arg_max(message, t) AS last_message FROM r GROUP BY 1),
         s AS (SELECT user_id, max(ts) AS last_success FROM events WHERE event_type = 'purchase' GROUP BY 1)
         SELECT f.user_id AS job, failures, max_attempt, last_failure, last_message, last_success, coalesce(last_success > last_failure, false) AS recovered
         FROM f LEFT JOIN s USING (user_id)""",
@@ -301,12 +301,12 @@ ORACLES: dict[str, str] = {
     "reset_topics": f"""WITH {TOPICS}, t AS (SELECT topic_id, stream, CASE WHEN topic_id % 13 <> 0 THEN status END AS old_status FROM topics)
         SELECT topic_id, stream, old_status, 'Pending' AS status FROM t WHERE old_status IS DISTINCT FROM 'Pending'""",
     "archive_videos": f"WITH {TOPICS} SELECT stream, count(*) AS archived, count(*) AS videos FROM topics WHERE status = 'Completed' GROUP BY 1",
-    "apply_status": f"""WITH {TOPICS}, e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS n FROM lineitem)
+    "apply_status": f"""WITH {TOPICS}, e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS n FROM lineitem)
         SELECT topic_id, stream, CASE l_returnflag WHEN 'A' THEN 'Completed' WHEN 'N' THEN 'In Progress' WHEN 'R' THEN 'Failed' ELSE status END AS status,
           CASE WHEN l_returnflag = 'A' THEN 'https://v.example/' || l_partkey END AS video_url, CASE WHEN l_returnflag = 'A' THEN l_shipdate END AS completed_at
         FROM topics LEFT JOIN e ON l_orderkey = topic_id AND n = 1""",
     "rejected_events": """SELECT l_orderkey AS topic_id, CASE l_returnflag WHEN 'A' THEN 'Completed' WHEN 'N' THEN 'In Progress' ELSE 'Failed' END AS status,
-        l_shipdate AS ts, 'https://v.example/' || l_partkey AS video_url, l_linenumber, l_partkey, l_suppkey
+        l_shipdate AS ts, 'https://v.example/' || l_partkey AS video_url, l_linenumber, l_partkey, l_suppkey, l_extendedprice
         FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""",
     "not_yet_done": "SELECT c_custkey AS topic, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')",
     "collections": f"""WITH {CATALOG}, w AS (SELECT '[' || stream || '] ' || subject || ' Full Course' AS title FROM cat UNION ALL SELECT chapter || ' | ' || subject FROM cat),
@@ -386,10 +386,11 @@ ORACLES: dict[str, str] = {
         m AS (SELECT *, least(ie + CAST(floor(b * r + 0.5) AS BIGINT), n - 2) AS me FROM i)
         SELECT doc_id, n AS n_words, ie AS intro_end_idx, me AS main_end_idx, CASE WHEN ie < 0 THEN 0.0::DOUBLE ELSE round((ie + 1) / 2.5, 3) END AS intro_end,
           CASE WHEN me < 0 THEN n / 2.5 ELSE round((me + 1) / 2.5, 3) END AS main_end, n / 2.5 AS total_duration FROM m""",
-    "track_timeline": """WITH t AS (SELECT l_orderkey AS video_id, (l_linenumber * 1000000 + l_partkey) * 100000 + l_suppkey AS pos, l_quantity AS v,
+    "track_timeline": """WITH t AS (SELECT l_orderkey AS video_id, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity AS v,
           CASE WHEN l_returnflag <> 'N' THEN l_quantity * (1 - l_discount) END AS a FROM lineitem),
         e AS (SELECT *, CASE WHEN a > 0 THEN a ELSE v END AS d FROM t)
-        SELECT video_id, pos, round(d, 4) AS duration_s, round(sum(d) OVER (PARTITION BY video_id ORDER BY pos) - d, 4) AS offset_s,
+        SELECT video_id, l_linenumber, l_partkey, l_suppkey, l_extendedprice, round(d, 4) AS duration_s,
+          round(sum(d) OVER (PARTITION BY video_id ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - d, 4) AS offset_s,
           round(greatest(0.0, d - 1.0), 4) AS fade_out_s, coalesce(a < v - 0.5, false) AS audio_short FROM e""",
     # --- analytics ---
     "enrich_stats": """WITH r AS (SELECT o_orderpriority AS channel, o_orderkey AS video_id, o_orderdate AS published_at,
@@ -477,7 +478,7 @@ ORACLES: dict[str, str] = {
         g AS (SELECT user_id, run_no, min(ts) AS started_at, min(ts) FILTER (event_type IN ('purchase', 'error')) AS ended_at,
           arg_min(event_type, ts) FILTER (event_type IN ('purchase', 'error')) AS t, count(*) AS n_lines FROM e WHERE run_no > 0 GROUP BY 1, 2)
         SELECT user_id, run_no, started_at, ended_at, CASE t WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' ELSE 'running' END AS state,
-          (epoch_ms(ended_at) - epoch_ms(started_at)) / 1000 AS duration_s, n_lines FROM g""",
+          (epoch_us(ended_at) // 1000 - epoch_us(started_at) // 1000) / 1000 AS duration_s, n_lines FROM g""",
     "payload_quality": f"""WITH p AS (SELECT {HOST} AS host, CASE page_id % 10 WHEN 0 THEN 'tiny' WHEN 1 THEN repeat('x', 300) || html WHEN 2 THEN html || '{rules.DEAD_PAGE_MARK}' ELSE html END AS c FROM pages),
         f AS (SELECT host, strlen(c) AS b, c, substr(c, 1, 256) AS h FROM p)
         SELECT host, count(*) AS files, CAST(sum(b) AS BIGINT) AS bytes, count(*) FILTER (contains(h, '<!DOCTYPE') OR contains(h, '<html') OR contains(h, '<HTML')) AS is_html,

@@ -386,18 +386,19 @@ def segment_split(spark, d):
     return align.segment_split(V.word_rows(spark, d), s, "doc_id")
 
 
+TRACK_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
 @query
 def track_timeline(spark, d):
     t = V.table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("video_id"),
-        (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("pos"),
         F.col("l_quantity").alias("video_s"),
         F.when(F.col("l_returnflag") != "N", F.col("l_quantity") * (1 - F.col("l_discount"))).alias("audio_s"),
-        "l_suppkey",
+        *TRACK_ORDER,
     )
-    t = t.withColumn("pos", F.col("pos") * 100_000 + F.col("l_suppkey"))
-    out = align.track_timeline(t, "video_id")
-    return out.select("video_id", "pos", *[F.round(c, 4).alias(c) for c in ("duration_s", "offset_s", "fade_out_s")], "audio_short")
+    out = align.track_timeline(t, "video_id", TRACK_ORDER)
+    return out.select("video_id", *TRACK_ORDER, *[F.round(c, 4).alias(c) for c in ("duration_s", "offset_s", "fade_out_s")], "audio_short")
 
 
 # --- analytics --------------------------------------------------------------
@@ -458,7 +459,7 @@ def recent_history(spark, d):
 def top_videos(spark, d):
     li = V.table(spark, d, "lineitem").select(
         F.col("l_suppkey").alias("query"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("pos"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("pos"),
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -471,7 +472,7 @@ def top_videos(spark, d):
 def best_thumbnail(spark, d):
     li = V.table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("video_id"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("pos"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("pos"),
         F.concat_ws("/", F.lit("https://t.example"), text("l_partkey"), text("l_suppkey")).alias("url"),
         F.col("l_quantity").cast("bigint").alias("width"),
         F.when(F.col("l_returnflag") != "A", F.col("l_linenumber") % 3).alias("height"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern import rules
 from lectern.functions import text as X
+from lectern.functions.arrays import open_rows
 from lectern.functions.num import ms
 from lectern.functions.time import instant
 
@@ -71,8 +72,7 @@ def video_stats(spark: SparkSession, d: str, channel: str) -> DataFrame:
 def word_rows(spark: SparkSession, d: str) -> DataFrame:
     """Documents as transcripts spoken at the assumed rate."""
     return (
-        table(spark, d, "documents")
-        .select("doc_id", F.posexplode(X.words(F.col("text"))).alias("word_idx", "word"))
+        open_rows(table(spark, d, "documents"), ["doc_id"], X.words(F.col("text")), "word_idx", "word")
         .select(
             "doc_id",
             "word_idx",
@@ -190,10 +190,11 @@ def status_events(spark: SparkSession, d: str) -> DataFrame:
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
+        "l_extendedprice",
     )
 
 
-EVENT_ORDER = ["ts", "l_linenumber", "l_partkey", "l_suppkey"]
+EVENT_ORDER = ["ts", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 def labelled_instructions(spark: SparkSession, d: str) -> DataFrame:

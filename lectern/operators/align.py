@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern import rules
+from lectern.functions.arrays import open_rows
 from lectern.functions.num import clamp, ms, round_half_up
 from lectern.plans.ordered import ROWS_PER_TASK, Scan, scan
 
@@ -84,7 +87,7 @@ def _thin_cold(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_
         lambda acc: acc["kept"],
     )
     sets = candidates.groupBy(key).agg(F.collect_set(F.col(at).cast("double")).alias("__ts"))
-    return totals.join(sets, key, "left").select(key, F.posexplode(fold).alias("scene_idx", "start_s"))
+    return open_rows(totals.join(sets, key, "left"), [key], fold, "scene_idx", "start_s")
 
 
 def _thin_hot(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_gap: float, tail: float, block_s: float) -> DataFrame:
@@ -353,15 +356,15 @@ def transcript_rollup(words: DataFrame, segments: DataFrame, key: str) -> DataFr
     )
 
 
-def track_timeline(tracks: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame:
+def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",), limit: int = ROWS_PER_TASK) -> DataFrame:
     """Start offset and fade-out point of each track in playing order.
 
-    Tracks: key, pos, video_s, audio_s. The audio length counts where it is
+    Tracks: key, the order columns, video_s, audio_s. The audio length counts where it is
     known and above zero.
     """
     eff = F.when(F.col("audio_s") > 0, F.col("audio_s")).otherwise(F.col("video_s"))
     t = tracks.withColumn("duration_s", eff)
-    run = scan(t, [key], ["pos"], Scan(sums={"__sum": F.col("duration_s")}), limit)
+    run = scan(t, [key], list(order), Scan(sums={"__sum": F.col("duration_s")}), limit)
     return run.select(
         *tracks.columns,
         "duration_s",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import rules
+from lectern.functions.arrays import open_rows
 from lectern.functions.text import WORD_END, WORD_START, trim_space
 from lectern.plans.ordered import first_rows
 
@@ -127,9 +128,8 @@ def harvest_urls(pages: DataFrame, text: str, order: str, pattern: str = rules.L
     Repeats inside a page go before the shuffle, repeats between pages in the
     combining aggregate.
     """
-    urls = pages.select(
-        F.col(order).alias("__at"), F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))).alias("url")
-    )
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))
+    urls = open_rows(pages, [F.col(order).alias("__at")], found, "__i", "url")
     out = urls.groupBy("url").agg(F.min("__at").alias("first_seen"), F.count(F.lit(1)).alias("n_pages"))
     if seen is not None:
         out = out.join(seen.select("url").distinct(), "url", "left_anti")

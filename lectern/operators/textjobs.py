@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import rules
+from lectern.functions.arrays import open_rows
 from lectern.functions.num import clamp
 from lectern.functions.text import ANSI, SPACE, WORD_END, WORD_START, clean, fill, split_count, trim_space
 from lectern.plans.ordered import ROWS_PER_TASK, number_rows
@@ -219,8 +220,12 @@ def pack_chunks(docs: DataFrame, key: str, text: str = "text", limit_words: int
         )
 
     cuts = F.aggregate("__n", zero, step, lambda acc: acc["cuts"])
-    d = d.select(
-        key, "__s", "__n", F.concat(F.array(F.lit(0)), cuts).alias("__from"), F.concat(cuts, F.array(F.size("__s"))).alias("__to")
+    d = d.select(key, "__s", "__n", cuts.alias("__cuts")).select(
+        key,
+        "__s",
+        "__n",
+        F.concat(F.array(F.lit(0)), "__cuts").alias("__from"),
+        F.concat("__cuts", F.array(F.size("__s"))).alias("__to"),
     )
     spans = F.arrays_zip(F.col("__from").alias("a"), F.col("__to").alias("z"))
     texts = F.transform(
@@ -231,9 +236,9 @@ def pack_chunks(docs: DataFrame, key: str, text: str = "text", limit_words: int
         ),
     )
     kept = F.filter(texts, lambda c: c["text"] != "")
-    return d.select(key, kept.alias("__c")).select(
-        key, F.size("__c").alias("n_chunks"), F.posexplode("__c").alias("chunk_idx", "c")
-    ).select(key, "chunk_idx", "n_chunks", F.col("c.text").alias("text"), F.col("c.n_words").alias("n_words"))
+    d = d.select(key, kept.alias("__c"))
+    return open_rows(d, [key, F.size("__c").alias("n_chunks")], "__c", "chunk_idx", "c").select(
+        key, "chunk_idx", "n_chunks", F.col("c.text").alias("text"), F.col("c.n_words").alias("n_words"))
 
 
 def default_instructions(chunks: DataFrame, key: str) -> DataFrame:
@@ -285,7 +290,7 @@ def log_lines(logs: DataFrame, text: str = "message") -> DataFrame:
     """
     plain = F.regexp_replace(text, ANSI, "")
     return (
-        logs.select("*", F.posexplode(F.split(plain, "\n")).alias("line_no", "__line"))
+        open_rows(logs, ["*"], F.split(plain, "\n"), "line_no", "__line")
         .withColumn("line", trim_space(F.col("__line")))
         .where(F.col("line") != "")
         .drop("__line", text)

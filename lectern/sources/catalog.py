@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import rules, schemas
+from lectern.functions.arrays import open_rows
 
 
 def flatten_topics(df: DataFrame, stream: str | Column = "stream") -> DataFrame:
@@ -39,22 +40,22 @@ def flatten_syllabus(df: DataFrame, doc: str = "doc") -> DataFrame:
     A chapter given as a bare string yields one topic, its overview.
     """
     tree = df.select(F.from_json(doc, schemas.SYLLABUS_WIRE).alias("tree"))
-    entries = (
-        tree.select(F.explode("tree").alias("stream", "subjects"))
-        .select("stream", F.explode("subjects").alias("subject", "chapters"))
-        .select("stream", "subject", F.explode("chapters").alias("entry"))
-        .select("stream", "subject", "entry", F.from_json("entry", schemas.CHAPTER).alias("c"))
+    streams = tree.select(F.explode_outer("tree").alias("stream", "subjects"))
+    subjects = streams.select("stream", F.explode_outer("subjects").alias("subject", "chapters"))
+    entries = open_rows(subjects, ["stream", "subject"], "chapters", "__i", "entry").withColumn(
+        "c", F.from_json("entry", schemas.CHAPTER)
     )
     is_object = F.ltrim("entry").startswith("{")
     chapter = F.when(is_object, F.col("c.chapter")).otherwise(F.col("entry"))
     topics = F.when(is_object, F.col("c.topics"))
     return (
-        entries.select("stream", "subject", chapter.alias("chapter"), topics.alias("topics"))
-        .select(
-            "stream",
-            "subject",
-            "chapter",
-            F.explode(F.coalesce("topics", F.array(F.concat("chapter", F.lit(" Overview"))))).alias("topic"),
+        open_rows(
+            entries.select("stream", "subject", chapter.alias("chapter"), topics.alias("topics")),
+            ["stream", "subject", "chapter"],
+            F.coalesce("topics", F.array(F.concat("chapter", F.lit(" Overview")))),
+            "__i",
+            "topic",
         )
+        .drop("__i")
         .withColumn("status", F.lit(rules.PENDING))
     )

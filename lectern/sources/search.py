@@ -6,16 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import schemas
+from lectern.functions.arrays import open_rows
 
 
 def parse_search_results(df: DataFrame, query: str, doc: str = "items", offset: Column | None = None) -> DataFrame:
     """One row per result. ``offset`` is the rank of a page's first item."""
     start = F.lit(0) if offset is None else offset
-    return df.select(
-        F.col(query).alias("query_id"),
-        start.cast("long").alias("__start"),
-        F.posexplode(F.from_json(doc, schemas.SEARCH_ITEMS)).alias("__pos", "item"),
-    ).select(
+    keep = [F.col(query).alias("query_id"), start.cast("long").alias("__start")]
+    return open_rows(df, keep, F.from_json(doc, schemas.SEARCH_ITEMS), "__pos", "item").select(
         "query_id",
         (F.col("__start") + F.col("__pos")).alias("rank"),
         F.col("item.id.kind").alias("kind"),

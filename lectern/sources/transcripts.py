@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import schemas
+from lectern.functions.arrays import open_rows
 from lectern.functions.num import ms
 from lectern.functions.text import trim_space
 
@@ -13,7 +14,7 @@ from lectern.functions.text import trim_space
 def transcript_words(df: DataFrame, key: str = "video_id") -> DataFrame:
     """All words in spoken order, from the words nested in the segments."""
     flat = F.flatten(F.transform("segments", lambda s: s["words"]))
-    return df.select(key, F.posexplode(flat).alias("word_idx", "w")).select(
+    return open_rows(df, [key], flat, "word_idx", "w").select(
         key,
         "word_idx",
         trim_space(F.col("w.word")).alias("word"),
@@ -23,7 +24,7 @@ def transcript_words(df: DataFrame, key: str = "video_id") -> DataFrame:
 
 
 def transcript_segments(df: DataFrame, key: str = "video_id") -> DataFrame:
-    return df.select(key, F.explode("segments").alias("s")).select(
+    return open_rows(df, [key], "segments", "__i", "s").select(
         key,
         F.col("s.id").alias("seg_id"),
         ms(F.col("s.start")).alias("start_s"),

@@ -61,7 +61,7 @@ def main(argv: list[str]) -> int:
 
     d = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = argv[2:]
-    spark = session.build("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = session.build("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(d), 0
     for name, fn in E.queries().items():
