@@ -308,7 +308,7 @@ def split_topics(spark, d):
 
 @query
 def fill_transcripts(spark, d):
-    docs = V.table(spark, d, "documents")
+    docs = V.documents(spark, d)
     r = docs.select("doc_id", F.concat_ws(" ", "lang", "source").alias("description"))
     have = V.table(spark, d, "labels").select("doc_id")
     seg = docs.join(have, "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
@@ -510,13 +510,13 @@ def channel_report(spark, d):
 
 
 def _docs_as_topics(spark, d):
-    return V.table(spark, d, "documents").select(
+    return V.documents(spark, d).select(
         "doc_id", F.col("lang").alias("stream"), F.col("source").alias("subject"), F.concat(F.lit("topic "), text("doc_id")).alias("topic")
     )
 
 
 def _script_rows(spark, d, by):
-    return textjobs.build_scripts(V.table(spark, d, "documents"), _docs_as_topics(spark, d), "doc_id", CHANNEL, by=by)
+    return textjobs.build_scripts(V.documents(spark, d), _docs_as_topics(spark, d), "doc_id", CHANNEL, by=by)
 
 
 @query
@@ -539,7 +539,7 @@ def _spoken_docs(spark, d):
         .when(n == 3, F.lit(", but wait for it. remember this important critical step, actually always."))
         .otherwise(F.lit(""))
     )
-    return V.table(spark, d, "documents").select("doc_id", "source", F.concat("text", tail).alias("text"))
+    return V.documents(spark, d).select("doc_id", "source", F.concat("text", tail).alias("text"))
 
 
 @query
@@ -562,7 +562,7 @@ def _dirty_docs(spark, d):
         .when(n % 3 == 1, F.concat(bell, F.lit(" "), "text", F.lit("\t")))
         .otherwise(F.col("text"))
     )
-    return V.table(spark, d, "documents").select("doc_id", "source", dirty.alias("text"))
+    return V.documents(spark, d).select("doc_id", "source", dirty.alias("text"))
 
 
 @query
@@ -577,18 +577,18 @@ def cleaning_report(spark, d):
 
 @query
 def pack_chunks(spark, d):
-    return textjobs.pack_chunks(V.table(spark, d, "documents"), "doc_id")
+    return textjobs.pack_chunks(V.documents(spark, d), "doc_id")
 
 
 @query
 def default_instructions(spark, d):
-    c = textjobs.pack_chunks(V.table(spark, d, "documents"), "doc_id")
+    c = textjobs.pack_chunks(V.documents(spark, d), "doc_id")
     return textjobs.default_instructions(c, "doc_id")
 
 
 @query
 def attach_instructions(spark, d):
-    c = textjobs.pack_chunks(V.table(spark, d, "documents"), "doc_id").select("doc_id", "chunk_idx", "n_words")
+    c = textjobs.pack_chunks(V.documents(spark, d), "doc_id").select("doc_id", "chunk_idx", "n_words")
     return textjobs.attach_instructions(c, V.labelled_instructions(spark, d), "doc_id")
 
 
@@ -646,13 +646,13 @@ def classify_errors(spark, d):
     n = F.col("doc_id") % 9
     marks = [" Gradio", " notebooklm", " ffmpeg", " WAV", " Whisper", " 429", " YouTube", "", " Colab 429"]
     message = F.concat("text", F.element_at(F.array(*map(F.lit, marks)), (n + 1).cast("int")))
-    docs = V.table(spark, d, "documents").select("doc_id", "source", message.alias("message"))
+    docs = V.documents(spark, d).select("doc_id", "source", message.alias("message"))
     return opslog.error_counts(opslog.classify_errors(docs), ["source"])
 
 
 @query
 def log_tail(spark, d):
-    lines = textjobs.log_lines(V.table(spark, d, "documents").select("doc_id", "source", F.col("text").alias("message")))
+    lines = textjobs.log_lines(V.documents(spark, d).select("doc_id", "source", F.col("text").alias("message")))
     return opslog.log_tail(lines, ["source"], ["doc_id", "line_no"])
 
 

@@ -10,12 +10,17 @@ from lectern.functions import text as X
 from lectern.functions.arrays import open_rows
 from lectern.functions.num import ms
 from lectern.functions.time import instant
+from lectern.plans.spread import spread
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents"))
+
+
 def status_of(flag: Column) -> Column:
     return (
         F.when(flag == "P", F.lit(rules.PENDING))
@@ -72,7 +77,7 @@ def video_stats(spark: SparkSession, d: str, channel: str) -> DataFrame:
 def word_rows(spark: SparkSession, d: str) -> DataFrame:
     """Documents as transcripts spoken at the assumed rate."""
     return (
-        open_rows(table(spark, d, "documents"), ["doc_id"], X.words(F.col("text")), "word_idx", "word")
+        open_rows(documents(spark, d), ["doc_id"], X.words(F.col("text")), "word_idx", "word")
         .select(
             "doc_id",
             "word_idx",
@@ -84,13 +89,13 @@ def word_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.size(X.words(F.col("text"))).alias("n_words"))
+    return documents(spark, d).select("doc_id", F.size(X.words(F.col("text"))).alias("n_words"))
 
 
 def transcripts(spark: SparkSession, d: str, per_segment: int = 10) -> DataFrame:
     """Documents as nested transcript documents of ten-word segments."""
     rate = rules.WORDS_PER_SECOND
-    t = table(spark, d, "documents").select("doc_id", X.words(F.col("text")).alias("w"))
+    t = documents(spark, d).select("doc_id", X.words(F.col("text")).alias("w"))
     t = t.withColumn("n", F.size("w"))
 
     def segment(s: Column) -> Column:

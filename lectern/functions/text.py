@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as browsers and Node define it; Java's own \s is ASCII only.
-SPACE = r"[\s\x0B\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+# White space as browsers and Node define it; Java's own \s is ASCII only. The
+# first half of the class rules out most letters before the long half is tried.
+SPACE = r"[[^!-~\x{A1}-\x{167F}]&&[\s\x0B\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]]"
+SPACES = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 # ASCII word boundaries, written out because Java's \b also looks at accents.
 WORD_START = r"(?<![A-Za-z0-9_])"
@@ -18,7 +20,7 @@ CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}]"
 
 
 def trim_space(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def words(c: Column) -> Column:
@@ -48,7 +50,10 @@ def default_if_missing(c: Column, value: str) -> Column:
 
 def counter(c: Column) -> Column:
     """Whole number from a string counter; missing or unreadable is 0."""
-    return F.coalesce(F.regexp_extract(c.cast("string"), r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    s = c.cast("string")
+    return F.coalesce(
+        s.try_cast("bigint"), F.regexp_extract(s, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint"), F.lit(0).cast("bigint")
+    )
 
 
 def slug_chars(c: Column) -> Column:

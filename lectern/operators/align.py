@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import rules
@@ -30,7 +30,6 @@ def nearest_word(
     meet in one ordered scan instead of a cross product.
     """
     cols = points.columns
-    marks = words.groupBy(key, F.col(start).alias("__t")).agg(F.min(idx).cast("long").alias("__idx"))
     both = points.select(
         key,
         F.col(at).alias("__t"),
@@ -38,22 +37,21 @@ def nearest_word(
         F.lit(None).cast("long").alias("__idx"),
         F.struct(*[c for c in cols if c != key]).alias("__row"),
     ).unionByName(
-        marks.select(key, F.col("__t"), F.lit(0).alias("__kind"), "__idx"), allowMissingColumns=True
+        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), F.col(idx).cast("long").alias("__idx")),
+        allowMissingColumns=True,
     )
-    mark = F.when(F.col("__kind") == 0, F.struct(F.col("__t").alias("t"), F.col("__idx").alias("i")))
-    s = scan(both, [key], ["__t", "__kind"], Scan(prev={"__p": mark}, next={"__n": mark}), limit)
+    # latest start with its lowest index before, earliest start with its lowest index after
+    is_word = F.col("__kind") == 0
+    before = F.when(is_word, F.struct(F.col("__t").alias("t"), (-F.col("__idx")).alias("i")))
+    after = F.when(is_word, F.struct(F.col("__t").alias("t"), F.col("__idx").alias("i")))
+    s = scan(both, [key], ["__t", "__kind"], Scan(max_before={"__p": before}, min_after={"__n": after}), limit)
     hit = s.where(F.col("__kind") == 1)
 
-    def far(m: str):
-        return F.struct(F.abs(F.col(f"{m}.t") - F.col("__t")).alias("d"), F.col(f"{m}.i").alias("i"))
+    def near(m: str, sign: int) -> Column:
+        d = F.abs(F.col(f"{m}.t") - F.col("__t"))
+        return F.when(F.col(m).isNotNull(), F.struct(d.alias("d"), (F.col(f"{m}.i") * sign).alias("i")))
 
-    best = (
-        F.when(F.col("__p").isNull() & F.col("__n").isNull(), F.lit(0).cast("long"))
-        .when(F.col("__n").isNull(), F.col("__p.i"))
-        .when(F.col("__p").isNull(), F.col("__n.i"))
-        .when(far("__p") <= far("__n"), F.col("__p.i"))
-        .otherwise(F.col("__n.i"))
-    )
+    best = F.coalesce(F.least(near("__p", -1), near("__n", 1))["i"], F.lit(0).cast("long"))
     return hit.select(
         *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in cols], best.alias("nearest_idx")
     )

@@ -97,19 +97,21 @@ def _any(phrases: list[str]) -> str:
     return "|".join(phrases)
 
 
-def _emphasis_rules() -> list[tuple[str, str, str]]:
-    """(name, pattern, replacement) in the order they apply."""
-    out = [("suspense", rf"(?i)([,.]) ({_any(p)})", "$1 ...$2") for p in rules.SUSPENSE_PHRASES]
+def _emphasis_rules() -> list[tuple[str, str, str, list[str], bool]]:
+    """(kind, pattern, replacement, phrases, case matters) in the order they apply."""
+    out = [("suspense", rf"(?i)([,.]) ({_any(p)})", "$1 ...$2", p, False) for p in rules.SUSPENSE_PHRASES]
     out += [
-        ("exclaim", rf"(?i){WORD_START}({_any(p)})([^.!?]*)\.(?!{SPACE}*\.)", "$1$2!") for p in rules.EXCLAIM_PHRASES
+        ("exclaim", rf"(?i){WORD_START}({_any(p)})([^.!?]*)\.(?!{SPACE}*\.)", "$1$2!", p, False)
+        for p in rules.EXCLAIM_PHRASES
     ]
+    ask, line, mid, show = rules.QUESTION_PHRASES, rules.LINE_CONNECTORS, rules.MID_CONNECTORS, rules.REVEAL_PHRASES
     out += [
-        ("question", rf"(?i){WORD_START}({_any(rules.QUESTION_PHRASES)}){WORD_END}([^.!?]{{5,60}})\.", "$1$2?"),
-        ("comma", rf"(?md)^({_any(rules.LINE_CONNECTORS)}) ([A-Z])", "$1, $2"),
-        ("comma", rf"(?i){WORD_START}({_any(rules.MID_CONNECTORS)}) ([a-z])", "$1, $2"),
-        ("dash", rf"(?i){WORD_START}({_any(rules.REVEAL_PHRASES)}) ", "$1 — "),
+        ("question", rf"(?i){WORD_START}({_any(ask)}){WORD_END}([^.!?]{{5,60}})\.", "$1$2?", ask, False),
+        ("comma", rf"(?md)^({_any(line)}) ([A-Z])", "$1, $2", [f"{w} " for w in line], True),
+        ("comma", rf"(?i){WORD_START}({_any(mid)}) ([a-z])", "$1, $2", mid, False),
+        ("dash", rf"(?i){WORD_START}({_any(show)}) ", "$1 — ", show, False),
     ]
-    out += [("upper", f"{WORD_START}{w}{WORD_END}", w.upper()) for w in rules.UPPER_WORDS]
+    out += [("upper", f"{WORD_START}{w}{WORD_END}", w.upper(), [w], True) for w in rules.UPPER_WORDS]
     return out
 
 
@@ -129,15 +131,27 @@ def emphasize(docs: DataFrame, text: str = "text", drift: float = rules.DRIFT_MA
     """Spoken-style punctuation and capitals; a text whose word count drifts reverts.
 
     Adds ``emphasized``, ``word_drift``, ``reverted``, ``n_changes`` and one hit
-    count per kind of rule. Each rule sees the text the earlier ones left.
+    count per kind of rule. Each rule sees the text the earlier ones left. A rule's
+    pattern runs only on texts that hold one of its phrases at all; rules add
+    punctuation or capitals and so never create a phrase, which makes one look at
+    the original text enough.
     """
     cols = docs.columns
-    d = docs.withColumn("__t0", F.col(text))
+    table = _emphasis_rules()
+    low = F.lower(text)
+    holds = [
+        reduce(lambda a, b: a | b, [(F.col(text) if exact else F.col("__low")).contains(p) for p in phrases]).alias(f"__g{i}")
+        for i, (*_, phrases, exact) in enumerate(table)
+    ]
+    d = docs.withColumn("__low", low).select(*cols, F.col(text).alias("__t0"), *holds)
     hits: dict[str, list[Column]] = {k: [] for k in EMPHASIS_KINDS}
-    for i, (kind, pattern, repl) in enumerate(_emphasis_rules()):
-        hits[kind].append(F.regexp_count(f"__t{i}", F.lit(pattern)))
-        d = d.withColumn(f"__t{i + 1}", F.regexp_replace(f"__t{i}", pattern, repl))
-    final = F.col(f"__t{len(_emphasis_rules())}")
+    for i, (kind, pattern, repl, *_) in enumerate(table):
+        hits[kind].append(F.when(F.col(f"__g{i}"), F.regexp_count(f"__t{i}", F.lit(pattern))).otherwise(F.lit(0)))
+        d = d.withColumn(
+            f"__t{i + 1}",
+            F.when(F.col(f"__g{i}"), F.regexp_replace(f"__t{i}", pattern, repl)).otherwise(F.col(f"__t{i}")),
+        )
+    final = F.col(f"__t{len(table)}")
     d = d.withColumns(
         {
             "__w0": split_count(trim_space(F.col(text))),
@@ -202,8 +216,8 @@ def pack_chunks(docs: DataFrame, key: str, text: str = "text", limit_words: int
     pattern = rf"[^.!?]+[.!?]+{SPACE}*"
     if keep_tail:
         pattern = rf"{pattern}|[^.!?]+$"
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    d = docs.select(key, F.when(F.size(found) == 0, F.array(text)).otherwise(found).alias("__s"))
+    d = docs.select(key, text, F.regexp_extract_all(text, F.lit(pattern), 0).alias("__f"))
+    d = d.select(key, F.when(F.size("__f") == 0, F.array(text)).otherwise(F.col("__f")).alias("__s"))
     counts = F.transform(
         "__s", lambda s: F.when(trim_space(s) == "", F.lit(0)).otherwise(split_count(trim_space(s)))
     )

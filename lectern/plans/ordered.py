@@ -1,6 +1,6 @@
 """Ordered scans that survive hot keys.
 
-Running sums, row numbers, last-value-before and next-value-after are window
+Running sums, row numbers, best-value-before and best-value-after are window
 functions over one key's whole history, and a plain window puts that history
 in one task. Before planning, one aggregation over the key and the order column
 looks for keys with more than ``limit`` rows. Without any, the plan is the plain
@@ -103,19 +103,22 @@ class Scan:
     """What an ordered scan should add; every entry is output name -> expression.
 
     ``sums``: running sum up to and including the row.
-    ``prev``: last non-null value at or before the row.
-    ``next``: first non-null value at or after the row.
+    ``max_before``: largest value at or before the row, nulls left out.
+    ``min_after``: smallest value at or after the row, nulls left out.
     ``lead``: value on the very next row.
     ``row_number``: name of a 1-based position, or None.
     """
 
     sums: Mapping[str, Column] = field(default_factory=dict)
-    prev: Mapping[str, Column] = field(default_factory=dict)
-    next: Mapping[str, Column] = field(default_factory=dict)
+    max_before: Mapping[str, Column] = field(default_factory=dict)
+    min_after: Mapping[str, Column] = field(default_factory=dict)
     lead: Mapping[str, Column] = field(default_factory=dict)
     row_number: str | None = None
 
 
+_FOLDS = {"sums": F.sum, "max_before": F.max, "min_after": F.min}
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -123,95 +126,83 @@ def scan(
     what: Scan,
     limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add ordered-scan columns per key; ``order`` is ascending, nulls first."""
+    """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
+
+    Looking ahead is done by sorting the other way round: a frame that ends at
+    the last row of the partition would be computed afresh for every row.
+    """
     keys, order = list(keys), list(order)
     d, cells = with_cells(df, keys, order, limit)
-    # name each input once, so window and carry read the same columns
-    inputs: dict[str, Column] = {}
-    for kind in ("sums", "prev", "next"):
-        for out, e in getattr(what, kind).items():
-            inputs[f"__{kind}_{out}"] = e
-    for out, e in what.lead.items():
-        inputs[f"__lead_{out}"] = F.struct(e.alias("v"))
-    d = d.select("*", *[e.alias(n) for n, e in inputs.items()])
-
-    part = Window.partitionBy(*keys, *cells).orderBy(*order)
-    upto = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = part.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    local: list[Column] = []
-    if what.row_number:
-        local.append(F.row_number().over(part).cast("long").alias("__l_rn"))
-    for out in what.sums:
-        local.append(F.sum(f"__sums_{out}").over(upto).alias(f"__l_sums_{out}"))
-    for out in what.prev:
-        local.append(F.last(f"__prev_{out}", ignorenulls=True).over(upto).alias(f"__l_prev_{out}"))
-    for out in what.next:
-        local.append(F.first(f"__next_{out}", ignorenulls=True).over(onward).alias(f"__l_next_{out}"))
-    for out in what.lead:
-        local.append(F.lead(f"__lead_{out}").over(part).alias(f"__l_lead_{out}"))
-    windowed = d.select("*", *local)
+    folds = [(kind, out) for kind in _FOLDS for out in getattr(what, kind)]
+    d = d.select(
+        "*",
+        *[getattr(what, kind)[out].alias(f"__{kind}_{out}") for kind, out in folds],
+        *[F.struct(e.alias("v")).alias(f"__lead_{out}") for out, e in what.lead.items()],
+    )
+    part = Window.partitionBy(*keys, *cells)
+    forward = part.orderBy(*order)
+    back = part.orderBy(*[F.col(c).desc() for c in order])
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+
+    def frame(kind: str):
+        return (back if kind == "min_after" else forward).rowsBetween(*so_far)
+
+    windowed = d.select(
+        "*",
+        *([F.row_number().over(forward).cast("long").alias("__l_rn")] if what.row_number else []),
+        *[_FOLDS[kind](f"__{kind}_{out}").over(frame(kind)).alias(f"__l_{kind}_{out}") for kind, out in folds],
+        *[F.lead(f"__lead_{out}").over(forward).alias(f"__l_lead_{out}") for out in what.lead],
+    )
     if not cells:
         return windowed.select(
             *df.columns,
             *([F.col("__l_rn").alias(what.row_number)] if what.row_number else []),
-            *[F.col(f"__l_{kind}_{out}").alias(out) for kind in ("sums", "prev", "next") for out in getattr(what, kind)],
+            *[F.col(f"__l_{kind}_{out}").alias(out) for kind, out in folds],
             *[F.col(f"__l_lead_{out}")["v"].alias(out) for out in what.lead],
         )
 
-    # one row per hot cell
+    # one row per hot cell, and what the cells before or after it bring
     tmp = [f"__k{i}" for i in range(len(keys))]
     ctmp = [f"__c{i}" for i in range(len(cells))]
-    at = F.struct(*order)
-    aggs: list[Column] = []
-    if what.row_number:
-        aggs.append(F.count(F.lit(1)).alias("__a_rn"))
-    for out in what.sums:
-        aggs.append(F.sum(f"__sums_{out}").alias(f"__a_sums_{out}"))
-    for out in what.prev:
-        v = F.col(f"__prev_{out}")
-        aggs.append(F.max_by(v, F.when(v.isNotNull(), at)).alias(f"__a_prev_{out}"))
-    for out in what.next:
-        v = F.col(f"__next_{out}")
-        aggs.append(F.min_by(v, F.when(v.isNotNull(), at)).alias(f"__a_next_{out}"))
-    for out in what.lead:
-        aggs.append(F.min_by(F.col(f"__lead_{out}"), at).alias(f"__a_lead_{out}"))
     per_cell = (
         d.where("__hot")
         .groupBy(
             *[F.col(k).alias(t) for k, t in zip(keys, tmp)],
             *[F.col(c).alias(t) for c, t in zip(cells, ctmp)],
         )
-        .agg(*aggs)
+        .agg(
+            F.count(F.lit(1)).alias("__a_rn"),
+            *[_FOLDS[kind](f"__{kind}_{out}").alias(f"__a_{kind}_{out}") for kind, out in folds],
+            *[F.min_by(F.col(f"__lead_{out}"), F.struct(*order)).alias(f"__a_lead_{out}") for out in what.lead],
+        )
+    )
+    cell_part = Window.partitionBy(*tmp)
+    before = cell_part.orderBy(*ctmp).rowsBetween(Window.unboundedPreceding, -1)
+    after = cell_part.orderBy(*[F.col(c).desc() for c in ctmp]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_cell.select(
+        *tmp,
+        *ctmp,
+        F.sum("__a_rn").over(before).alias("__b_rn"),
+        *[
+            _FOLDS[kind](f"__a_{kind}_{out}").over(after if kind == "min_after" else before).alias(f"__b_{kind}_{out}")
+            for kind, out in folds
+        ],
+        *[F.lead(f"__a_lead_{out}").over(cell_part.orderBy(*ctmp)).alias(f"__b_lead_{out}") for out in what.lead],
     )
-    wk = Window.partitionBy(*tmp).orderBy(*ctmp)
-    before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    after = wk.rowsBetween(1, Window.unboundedFollowing)
-    carried: list[Column] = []
-    if what.row_number:
-        carried.append(F.sum("__a_rn").over(before).alias("__b_rn"))
-    for out in what.sums:
-        carried.append(F.sum(f"__a_sums_{out}").over(before).alias(f"__b_sums_{out}"))
-    for out in what.prev:
-        carried.append(F.last(f"__a_prev_{out}", ignorenulls=True).over(before).alias(f"__b_prev_{out}"))
-    for kind in ("next", "lead"):
-        for out in getattr(what, kind):
-            carried.append(F.first(f"__a_{kind}_{out}", ignorenulls=True).over(after).alias(f"__b_{kind}_{out}"))
-    carry = per_cell.select(*tmp, *ctmp, *carried)
-
     joined = windowed.join(F.broadcast(carry), _same(keys + cells, tmp + ctmp), "left")
-    final: list[Column] = [F.col(c) for c in df.columns]
-    if what.row_number:
-        final.append((F.col("__l_rn") + F.coalesce("__b_rn", F.lit(0))).alias(what.row_number))
-    for out in what.sums:
-        a, b = F.col(f"__l_sums_{out}"), F.col(f"__b_sums_{out}")
-        final.append(F.when(b.isNull(), a).otherwise(F.coalesce(a, a * 0, b * 0) + b).alias(out))
-    for out in what.prev:
-        final.append(F.coalesce(f"__l_prev_{out}", f"__b_prev_{out}").alias(out))
-    for out in what.next:
-        final.append(F.coalesce(f"__l_next_{out}", f"__b_next_{out}").alias(out))
-    for out in what.lead:
-        final.append(F.coalesce(f"__l_lead_{out}", f"__b_lead_{out}")["v"].alias(out))
-    return joined.select(*final)
+
+    def combined(kind: str, out: str) -> Column:
+        a, b = F.col(f"__l_{kind}_{out}"), F.col(f"__b_{kind}_{out}")
+        if kind == "sums":
+            return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+        return F.greatest(a, b) if kind == "max_before" else F.least(a, b)
+
+    return joined.select(
+        *df.columns,
+        *([(F.col("__l_rn") + F.coalesce("__b_rn", F.lit(0))).alias(what.row_number)] if what.row_number else []),
+        *[combined(kind, out).alias(out) for kind, out in folds],
+        *[F.coalesce(f"__l_lead_{out}", f"__b_lead_{out}")["v"].alias(out) for out in what.lead],
+    )
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, limit: int = ROWS_PER_TASK) -> DataFrame:
