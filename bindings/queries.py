@@ -14,6 +14,7 @@ from lectern.functions import text as X
 from lectern.functions.time import instant, local_date, naive
 from lectern.operators import align, analytics, catalog, metadata, opslog, schedule, strategy, textjobs
 from lectern.plans import produce
+from lectern.plans.ordered import key_sizes
 from lectern.sources import catalog as catalog_src
 from lectern.sources import files as files_src
 from lectern.sources import logs as logs_src
@@ -370,7 +371,8 @@ def scene_thin(spark, d):
 @query
 def scene_intervals(spark, d):
     c, totals = _user_candidates(spark, d)
-    return align.scene_intervals(align.scene_thin(c, totals, "user_id"), totals, "user_id")
+    sizes = key_sizes(c, ["user_id"], "ts_s")
+    return align.scene_intervals(align.scene_thin(c, totals, "user_id"), totals, "user_id", sizes=sizes)
 
 
 @query

@@ -46,7 +46,7 @@ def topics(spark: SparkSession, d: str) -> DataFrame:
 
 def catalog_topics(spark: SparkSession, d: str) -> DataFrame:
     """Parts as topics of one stream."""
-    return table(spark, d, "part").select(
+    return spread(table(spark, d, "part")).select(
         F.col("p_partkey").alias("topic_id"),
         F.lit("catalog").alias("stream"),
         F.col("p_brand").alias("subject"),

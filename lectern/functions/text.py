@@ -35,13 +35,26 @@ def split_count(c: Column) -> Column:
 
 
 def strip_ansi(c: Column) -> Column:
-    return F.regexp_replace(c, ANSI, "")
+    has = c.contains(F.lit("\x1b")) | c.contains(F.lit("\x9b"))
+    return F.when(has, F.regexp_replace(c, ANSI, "")).otherwise(c)
 
 
 def clean(c: Column) -> Column:
-    """Drop terminal escapes and NUL, turn control characters into spaces, trim."""
+    """Drop terminal escapes and NUL, turn control characters into spaces, trim.
+
+    All three need a control character, so one look spares most texts the rest.
+    """
     t = F.regexp_replace(strip_ansi(c), r"\x00", "")
-    return trim_space(F.regexp_replace(t, CONTROL, " "))
+    t = F.regexp_replace(t, CONTROL, " ")
+    return trim_space(F.when(c.rlike(CONTROL), t).otherwise(c))
+
+
+def number(c: Column) -> Column:
+    """Double from text, null where it is not a plain number.
+
+    The pattern comes first because a failing cast costs an exception per row.
+    """
+    return F.when(c.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), c.try_cast("double"))
 
 
 def default_if_missing(c: Column, value: str) -> Column:
@@ -50,10 +63,8 @@ def default_if_missing(c: Column, value: str) -> Column:
 
 def counter(c: Column) -> Column:
     """Whole number from a string counter; missing or unreadable is 0."""
-    s = c.cast("string")
-    return F.coalesce(
-        s.try_cast("bigint"), F.regexp_extract(s, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint"), F.lit(0).cast("bigint")
-    )
+    digits = F.nullif(F.regexp_extract(c.cast("string"), r"^\s*([+-]?[0-9]+)", 1), F.lit(""))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def slug_chars(c: Column) -> Column:

@@ -189,9 +189,20 @@ def scene_thin(
     )
 
 
-def scene_intervals(scenes: DataFrame, totals: DataFrame, key: str, tail: float = rules.SCENE_TAIL_S, limit: int = ROWS_PER_TASK) -> DataFrame:
-    """End of each scene: the next start, for the last one the total less the tail."""
-    nxt = scan(scenes, [key], ["scene_idx"], Scan(lead={"__next": F.col("start_s")}), limit)
+def scene_intervals(
+    scenes: DataFrame,
+    totals: DataFrame,
+    key: str,
+    tail: float = rules.SCENE_TAIL_S,
+    limit: int = ROWS_PER_TASK,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """End of each scene: the next start, for the last one the total less the tail.
+
+    ``sizes`` of the candidates (key, n, lo, hi) bound those of the scenes and
+    save working the scenes out twice.
+    """
+    nxt = scan(scenes, [key], ["start_s"], Scan(lead={"__next": F.col("start_s")}), limit, sizes)
     end = F.coalesce("__next", F.greatest(F.lit(0.0), F.col("total_s") - tail))
     return nxt.join(totals, key).select(
         key,
@@ -204,18 +215,19 @@ def scene_intervals(scenes: DataFrame, totals: DataFrame, key: str, tail: float
 
 
 def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame:
-    """Word range of each scene, clamped to the words there are."""
-    edges = scenes.select(
-        key,
-        "scene_idx",
-        "start_s",
-        "end_s",
-        "is_last",
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("start_s").alias("at")), F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")))).alias("e"),
-    ).select(key, "scene_idx", "start_s", "end_s", "is_last", "e.side", "e.at")
+    """Word range of each scene, clamped to the words there are.
+
+    Scenes follow on one another, so the word nearest to a scene's end is where
+    the next one starts; ``overlap`` tells that clamping made both use it.
+    """
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("start_s").alias("at")),
+        F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")),
+    )
+    edges = scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
     near = nearest_word(edges, words, key, limit=limit)
     n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
-    sides = near.groupBy(key, "scene_idx").agg(
+    both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
         F.min("end_s").alias("end_s"),
         F.bool_or("is_last").alias("is_last"),
@@ -224,15 +236,16 @@ def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROW
     )
     last = F.col("n_words") - 1
     lo = F.greatest(F.lit(0).cast("long"), F.least(F.col("lo"), last))
-    hi = F.when(F.col("is_last"), last).otherwise(F.col("hi") - 1)
-    return sides.join(n, key, "left").fillna(0, ["n_words"]).select(
+    end = F.greatest(lo, F.least(F.when(F.col("is_last"), last).otherwise(F.col("hi") - 1), last))
+    return both.join(n, key, "left").fillna(0, ["n_words"]).select(
         key,
         "scene_idx",
         "start_s",
         "end_s",
         "n_words",
         lo.alias("word_start_index"),
-        F.greatest(lo, F.least(hi, last)).alias("word_end_index"),
+        end.alias("word_end_index"),
+        (~F.col("is_last") & (F.least(F.col("hi"), last) <= end)).alias("overlap"),
     )
 
 
@@ -241,26 +254,20 @@ def slide_text(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_
 
     Ranges are opened to one row per word and joined on (key, index), so a long
     video spreads over tasks; only a slide's own text is gathered in one row.
-    Neighbours can share a word through clamping: ``overlap`` says so.
     """
     ranges = slide_ranges(scenes, words, key, limit)
-    open_rows = ranges.where(F.col("n_words") > 0).select(
-        key, "scene_idx", F.explode(F.sequence("word_start_index", "word_end_index")).alias("word_idx")
+    per_word = ranges.withColumn(
+        "word_idx", F.explode_outer(F.when(F.col("n_words") > 0, F.sequence("word_start_index", "word_end_index")))
     )
-    texts = (
-        open_rows.join(words.withColumn("word_idx", F.col("word_idx").cast("long")), [key, "word_idx"])
+    w = words.select(key, F.col("word_idx").cast("long").alias("word_idx"), "word", F.col("start_s").alias("__a"), F.col("end_s").alias("__z"))
+    spoken = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word_idx", "word", "__a", "__z"))))
+    kept = [c for c in ranges.columns if c not in (key, "scene_idx", "n_words")]
+    s = (
+        per_word.join(w, [key, "word_idx"], "left")
         .groupBy(key, "scene_idx")
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("word_idx", "word"))), lambda w: w["word"]), " "
-            ).alias("text"),
-            F.count(F.lit(1)).alias("word_count"),
-            F.min_by("start_s", "word_idx").alias("__a"),
-            F.max_by("end_s", "word_idx").alias("__z"),
-        )
+        .agg(spoken.alias("__w"), *[F.first(c).alias(c) for c in kept])
     )
-    with_next = scan(ranges, [key], ["scene_idx"], Scan(lead={"__nlo": F.col("word_start_index")}), limit)
-    return with_next.join(texts, [key, "scene_idx"], "left").select(
+    return s.select(
         key,
         F.col("scene_idx").alias("slide_index"),
         ms(F.col("start_s")).alias("video_start"),
@@ -268,34 +275,44 @@ def slide_text(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_
         ms(F.col("end_s") - F.col("start_s")).alias("video_duration"),
         "word_start_index",
         "word_end_index",
-        F.coalesce("word_count", F.lit(0)).cast("long").alias("word_count"),
-        ms(F.coalesce("__a", "start_s")).alias("original_audio_start"),
-        ms(F.coalesce("__z", "end_s")).alias("original_audio_end"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.col("__nlo") <= F.col("word_end_index"), F.lit(False)).alias("overlap"),
+        F.size("__w").cast("long").alias("word_count"),
+        ms(F.coalesce(F.get("__w", F.lit(0))["__a"], "start_s")).alias("original_audio_start"),
+        ms(F.coalesce(F.get("__w", F.size("__w") - 1)["__z"], "end_s")).alias("original_audio_end"),
+        F.array_join("__w.word", " ").alias("text"),
+        "overlap",
+    )
+
+
+def _word_times(rows: DataFrame, words: DataFrame, key: str, ids: list[str], first: str, last: str) -> DataFrame:
+    """Start of word ``first`` and end of word ``last`` per row, in one join.
+
+    Both look-ups travel as rows on (key, word index), so the words are shuffled
+    once and a long video spreads over tasks.
+    """
+    sides = F.array(F.struct(F.lit(0).alias("__side"), F.col(first).alias("__i")), F.struct(F.lit(1).alias("__side"), F.col(last).alias("__i")))
+    want = rows.select(*ids, F.inline(sides))
+    w = words.select(key, F.col("word_idx").cast("long").alias("__i"), "start_s", "end_s")
+    return want.join(w, [key, "__i"]).groupBy(*ids).agg(
+        F.max(F.when(F.col("__side") == 0, F.col("start_s"))).alias("__start"),
+        F.max(F.when(F.col("__side") == 0, F.col("end_s"))).alias("__first_end"),
+        F.max(F.when(F.col("__side") == 1, F.col("end_s"))).alias("__end"),
     )
 
 
-def slide_pace(slide_map: DataFrame, words: DataFrame, key: str) -> DataFrame:
+def slide_pace(slide_map: DataFrame, words: DataFrame, key: str, slide: str = "slide_index") -> DataFrame:
     """Speed factor that fits each slide's picture to its spoken words.
 
-    Both look-ups are equi-joins on (key, word index). A key without words keeps
-    its video duration, factor 1.
+    A key without words keeps its video duration, factor 1.
     """
     n = words.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    w = words.select(key, F.col("word_idx").cast("long").alias("__i"), "start_s", "end_s")
     s = slide_map.join(n, key, "left").select(
         *slide_map.columns,
         F.least(F.col("word_start_index").cast("long"), F.col("__n") - 1).alias("__ws"),
         F.least(F.col("word_end_index").cast("long"), F.col("__n") - 1).alias("__we"),
     )
-    first = w.select(F.col(key).alias("__k1"), F.col("__i").alias("__i1"), F.col("start_s").alias("__t0"))
-    last = w.select(F.col(key).alias("__k2"), F.col("__i").alias("__i2"), F.col("end_s").alias("__t1"))
-    j = s.join(first, (s[key] == first["__k1"]) & (s["__ws"] == first["__i1"]), "left").join(
-        last, (s[key] == last["__k2"]) & (s["__we"] == last["__i2"]), "left"
-    )
+    j = s.join(_word_times(s, words, key, [key, slide], "__ws", "__we"), [key, slide], "left")
     video = F.col("video_end") - F.col("video_start")
-    spoken = F.col("__t1") - F.col("__t0")
+    spoken = F.col("__end") - F.col("__start")
     spoken = F.when(spoken.isNull() | (spoken < rules.PACE_FLOOR_S), video).otherwise(spoken)
     factor = clamp(F.coalesce(F.try_divide(video, spoken), F.lit(1.0)), rules.PACE_MIN, rules.PACE_MAX)
     return j.select(
@@ -319,19 +336,14 @@ def segment_split(words: DataFrame, scripts: DataFrame, key: str) -> DataFrame:
     s = s.withColumn("__r", ratio)
     s = s.withColumn("intro_end_idx", F.least(round_half_up(F.col("intro_words") * F.col("__r")) - 1, top))
     s = s.withColumn("main_end_idx", F.least(F.col("intro_end_idx") + round_half_up(F.col("main_words") * F.col("__r")), top))
-    w = words.select(F.col(key).alias("__k"), F.col("word_idx").cast("long").alias("__i"), "end_s")
-    a = w.select(F.col("__k").alias("__ka"), F.col("__i").alias("__ia"), F.col("end_s").alias("__ea"))
-    b = w.select(F.col("__k").alias("__kb"), F.col("__i").alias("__ib"), F.col("end_s").alias("__eb"))
-    j = s.join(a, (s[key] == a["__ka"]) & (s["intro_end_idx"] == a["__ia"]), "left").join(
-        b, (s[key] == b["__kb"]) & (s["main_end_idx"] == b["__ib"]), "left"
-    )
+    j = s.join(_word_times(s, words, key, [key], "intro_end_idx", "main_end_idx"), key, "left")
     return j.select(
         key,
         "n_words",
         "intro_end_idx",
         "main_end_idx",
-        F.coalesce("__ea", F.lit(0.0)).alias("intro_end"),
-        F.coalesce("__eb", "total_duration").alias("main_end"),
+        F.coalesce("__first_end", F.lit(0.0)).alias("intro_end"),
+        F.coalesce("__end", "total_duration").alias("main_end"),
         "total_duration",
     )
 

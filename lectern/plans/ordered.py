@@ -50,16 +50,24 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     )
 
 
-def _cut(df: DataFrame, groups: Sequence[str], name: str, cell: str, limit: int) -> DataFrame | None:
+def key_sizes(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Rows per key and the range of the order column, as a combining aggregate."""
+    return df.select(*keys, _measure(df, order).alias("__x")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"), F.max("__x").alias("hi")
+    )
+
+
+def _cut(df: DataFrame, groups: Sequence[str], name: str, cell: str, limit: int, given: DataFrame | None) -> DataFrame | None:
     """Add a cell number for the groups with more than ``limit`` rows, if any."""
     x = _measure(df, name)
     tmp = [f"__g{i}" for i in range(len(groups))]
     src = df.where("__hot") if "__hot" in df.columns else df
-    sizes = (
-        src.select(*[F.col(g).alias(a) for g, a in zip(groups, tmp)], x.alias("__x"))
-        .groupBy(*tmp)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
-        .where(F.col("__n") > limit)
+    sizes = given if given is not None else key_sizes(src, groups, name)
+    sizes = sizes.where(F.col("n") > limit).select(
+        *[F.col(g).alias(a) for g, a in zip(groups, tmp)],
+        F.col("n").alias("__n"),
+        F.col("lo").cast("double").alias("__lo"),
+        F.col("hi").cast("double").alias("__hi"),
     )
     hot = sizes.collect()  # at most rows / limit
     if not hot:
@@ -79,7 +87,7 @@ def _cut(df: DataFrame, groups: Sequence[str], name: str, cell: str, limit: int)
     )
 
 
-def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK) -> tuple[DataFrame, list[str]]:
+def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Cut hot keys; returns the rows and the names of the cell columns added.
 
     The first order column cuts hot keys. Where one cell still holds more than
@@ -90,7 +98,7 @@ def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit:
     for cell, name in zip(_CELLS, order):
         if _measure(df, name) is None:
             break
-        cut = _cut(out, groups, name, cell, limit)
+        cut = _cut(out, groups, name, cell, limit, None if cells else sizes)
         if cut is None:
             break
         out, cells = cut, cells + [cell]
@@ -125,14 +133,19 @@ def scan(
     order: Sequence[str],
     what: Scan,
     limit: int = ROWS_PER_TASK,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
 
+    ``sizes`` (keys, n, lo, hi of the first order column) saves the look at
+    ``df`` where the sizes, or upper bounds of them, are known from something
+    cheaper than ``df`` itself.
+
     Looking ahead is done by sorting the other way round: a frame that ends at
     the last row of the partition would be computed afresh for every row.
     """
     keys, order = list(keys), list(order)
-    d, cells = with_cells(df, keys, order, limit)
+    d, cells = with_cells(df, keys, order, limit, sizes)
     folds = [(kind, out) for kind in _FOLDS for out in getattr(what, kind)]
     d = d.select(
         "*",
@@ -205,9 +218,9 @@ def scan(
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, limit: int = ROWS_PER_TASK) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> DataFrame:
     """1-based position inside each key, hot keys included."""
-    return scan(df, keys, order, Scan(row_number=name), limit)
+    return scan(df, keys, order, Scan(row_number=name), limit, sizes)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "pos_in_key") -> DataFrame:

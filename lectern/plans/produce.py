@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators import align, analytics, catalog, metadata, strategy, textjobs
+from lectern.plans.ordered import key_sizes
 
 
 def channel_report(uploads: DataFrame, stats: DataFrame, mode: str = "tz") -> DataFrame:
@@ -24,7 +25,8 @@ def next_topics(topics: DataFrame, results: DataFrame, playlist_items: DataFrame
 
 def align_videos(words: DataFrame, candidates: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Scene candidates and spoken words -> slides with text and pace."""
-    scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key)
+    sizes = key_sizes(candidates, [key], "ts_s")
+    scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key, sizes=sizes)
     slides = align.slide_text(scenes, words, key)
     return align.slide_pace(slides, words, key)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern import schemas
 from lectern.functions.arrays import open_rows
 from lectern.functions.num import ms
-from lectern.functions.text import trim_space
+from lectern.functions.text import number, trim_space
 
 
 def transcript_words(df: DataFrame, key: str = "video_id") -> DataFrame:
@@ -42,7 +42,7 @@ def read_transcripts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 def parse_scene_log(df: DataFrame, line: str = "line", out: str = "ts_s") -> DataFrame:
     """Candidate scene times from tool output; lines without one are dropped."""
-    t = F.regexp_extract(line, r"pts_time:\s*([0-9.]+)", 1).try_cast("double")
+    t = number(F.regexp_extract(line, r"pts_time:\s*([0-9.]+)", 1))
     return df.withColumn(out, ms(t)).where(F.col(out).isNotNull()).drop(line)
 
 
