@@ -128,7 +128,7 @@ def _thin_hot(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_g
                 end[i], count[i] = end[nxt[i]], count[nxt[i]] + 1
         m = len(firsts)
         return pd.DataFrame(
-            {key: [k[0]] * m, "__b": [k[1]] * m, "first": firsts, "exit": t[end[:m]], "n": count[:m]}
+            {key: pd.Series([k[0]] * m, dtype="object"), "__b": [k[1]] * m, "first": firsts, "exit": t[end[:m]], "n": count[:m]}
         )
 
     table = c.groupBy(key, "__b").applyInPandas(exits, f"{key} {kt}, __b long, first double, exit double, n long")
@@ -150,7 +150,7 @@ def _thin_hot(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_g
         t = np.sort(left["__t"].to_numpy())
         kept = _greedy(t, float(right["entry"].iloc[0]), min_gap)
         first = int(right["before"].iloc[0])
-        return pd.DataFrame({key: [k[0]] * len(kept), "scene_idx": np.arange(first, first + len(kept)), "start_s": t[kept]})
+        return pd.DataFrame({key: pd.Series([k[0]] * len(kept), dtype="object"), "scene_idx": np.arange(first, first + len(kept)), "start_s": t[kept]})
 
     picked = (
         c.groupBy(key, "__b")
@@ -378,7 +378,7 @@ def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",),
     return run.select(
         *tracks.columns,
         "duration_s",
-        F.coalesce(F.col("audio_s") < F.col("video_s") - rules.AUDIO_SHORT_S, F.lit(False)).alias("audio_short"),
+        (F.col("duration_s") < F.col("video_s") - rules.AUDIO_SHORT_S).alias("audio_short"),
         (F.col("__sum") - F.col("duration_s")).alias("offset_s"),
         F.greatest(F.lit(0.0), F.col("duration_s") - rules.FADE_S).alias("fade_out_s"),
     )

@@ -40,7 +40,7 @@ def decide_strategy(
     first = F.min(best)
     q = (
         results.where(F.col("rank") < rules.TOP_RESULTS)
-        .groupBy("query_id")
+        .groupBy(F.col("query_id").alias("__q"))
         .agg(
             first.alias("top"),
             F.count(F.lit(1)).alias("n_results"),
@@ -52,7 +52,7 @@ def decide_strategy(
     is_first = _has_mark(F.lower("top.title"), marks, strict)
     is_series = (F.col("series_count") >= rules.SERIES_MIN) & F.lit(not older_rule)
     none = F.col("n_results").isNull()
-    j = topics.join(q, topics[on] == q["query_id"], "left").drop(*([] if on == "query_id" else ["query_id"]))
+    j = topics.join(q, topics[on] == q["__q"], "left")
     reason = (
         F.when(none, F.lit(rules.REASON_NONE))
         .when(is_list, F.lit(rules.REASON_PLAYLIST))

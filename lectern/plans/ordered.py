@@ -28,7 +28,6 @@ from pyspark.sql.window import Window
 
 ROWS_PER_TASK = 2_000_000
 CELLS_PER_LIMIT = 8
-_CELLS = ("__cell0", "__cell1")
 
 
 def _measure(df: DataFrame, name: str) -> Column | None:
@@ -57,14 +56,24 @@ def key_sizes(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def _cut(df: DataFrame, groups: Sequence[str], name: str, cell: str, limit: int, given: DataFrame | None) -> DataFrame | None:
-    """Add a cell number for the groups with more than ``limit`` rows, if any."""
-    x = _measure(df, name)
-    tmp = [f"__g{i}" for i in range(len(groups))]
-    src = df.where("__hot") if "__hot" in df.columns else df
-    sizes = given if given is not None else key_sizes(src, groups, name)
+def _known(df: DataFrame, rows: list, schema: T.StructType) -> DataFrame:
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+
+
+def _share(x: Column, n: Column, lo: Column, hi: Column, limit: int) -> Column:
+    """Number of the equal-width cell of ``x``; grows with it."""
+    cells = F.ceil(n * CELLS_PER_LIMIT / F.lit(float(limit)))
+    at = F.floor((x - lo) / (hi - lo) * cells)
+    zero = F.lit(0).cast("long")
+    return F.when(x.isNull(), F.lit(-1).cast("long")).when(hi > lo, F.greatest(zero, F.least(at, cells - 1))).otherwise(zero)
+
+
+def _cut_keys(df: DataFrame, keys: Sequence[str], order: str, limit: int, given: DataFrame | None) -> DataFrame | None:
+    """Add ``__cell`` to the rows of keys above ``limit``, 0 elsewhere, and ``__hot``."""
+    tmp = [f"__g{i}" for i in range(len(keys))]
+    sizes = given if given is not None else key_sizes(df, keys, order)
     sizes = sizes.where(F.col("n") > limit).select(
-        *[F.col(g).alias(a) for g, a in zip(groups, tmp)],
+        *[F.col(k).alias(t) for k, t in zip(keys, tmp)],
         F.col("n").alias("__n"),
         F.col("lo").cast("double").alias("__lo"),
         F.col("hi").cast("double").alias("__hi"),
@@ -72,38 +81,70 @@ def _cut(df: DataFrame, groups: Sequence[str], name: str, cell: str, limit: int,
     hot = sizes.collect()  # at most rows / limit
     if not hot:
         return None
-    known = df.sparkSession.createDataFrame(hot, sizes.schema)
-    cells = F.ceil(F.col("__n") * CELLS_PER_LIMIT / F.lit(float(limit)))
-    at = F.floor((x - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * cells)
-    was_hot = F.col("__hot") if "__hot" in df.columns else F.lit(False)
-    return df.join(F.broadcast(known), _same(groups, tmp), "left").select(
-        *[c for c in df.columns if c != "__hot"],
-        F.when(F.col("__n").isNull(), F.lit(0).cast("long"))
-        .when(x.isNull(), F.lit(-1).cast("long"))
-        .when(F.col("__hi") <= F.col("__lo"), F.lit(0).cast("long"))
-        .otherwise(F.greatest(F.lit(0).cast("long"), F.least(at, cells - 1)))
-        .alias(cell),
-        (was_hot | F.col("__n").isNotNull()).alias("__hot"),
+    cell = _share(_measure(df, order), F.col("__n"), F.col("__lo"), F.col("__hi"), limit)
+    is_hot = F.col("__n").isNotNull()
+    return df.join(_known(df, hot, sizes.schema), _same(keys, tmp), "left").select(
+        *df.columns,
+        F.when(is_hot, cell).otherwise(F.lit(0).cast("long")).alias("__cell"),
+        is_hot.alias("__hot"),
+    )
+
+
+def _cut_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame | None:
+    """Cut single values of the first order column that alone exceed ``limit``.
+
+    ``__tie`` is the largest such value up to the row's own, ``__past`` tells rows
+    beyond it, ``__part`` cuts the tied rows by the second order column.
+    """
+    groups = [*keys, "__cell"]
+    low = F.lit(float("-inf"))
+    x = F.coalesce(_measure(df, order[0]), low)
+    y = _measure(df, order[1])
+    tmp = [f"__g{i}" for i in range(len(groups))]
+    tied = (
+        df.where("__hot")
+        .select(*[F.col(g).alias(t) for g, t in zip(groups, tmp)], x.alias("x"), y.alias("y"))
+        .groupBy(*tmp, "x")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
+        .where(F.col("n") > limit)
+        .groupBy(*tmp)
+        .agg(F.collect_list(F.struct("x", "n", "lo", "hi")).alias("__ties"))
+    )
+    rows = tied.collect()  # at most rows / limit tied values
+    if not rows:
+        return None
+    h = F.array_max(F.filter("__ties", lambda e: e["x"] <= x))
+    return (
+        df.join(_known(df, rows, tied.schema), _same(groups, tmp), "left")
+        .withColumn("__h", h)
+        .select(
+            *df.columns,
+            F.coalesce("__h.x", low).alias("__tie"),
+            F.coalesce(x > F.col("__h.x"), F.lit(False)).alias("__past"),
+            F.when(x == F.col("__h.x"), _share(y, F.col("__h.n"), F.col("__h.lo"), F.col("__h.hi"), limit))
+            .otherwise(F.lit(0).cast("long"))
+            .alias("__part"),
+        )
     )
 
 
 def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Cut hot keys; returns the rows and the names of the cell columns added.
 
-    The first order column cuts hot keys. Where one cell still holds more than
-    ``limit`` rows, as with very many rows at one instant, the second order
-    column cuts that cell again. Text columns do not cut.
+    The first order column cuts hot keys into consecutive cells. A single value
+    of it that alone exceeds ``limit``, as with very many rows at one instant, is
+    cut by the second order column. Text columns do not cut.
     """
-    out, groups, cells = df, list(keys), []
-    for cell, name in zip(_CELLS, order):
-        if _measure(df, name) is None:
-            break
-        cut = _cut(out, groups, name, cell, limit, None if cells else sizes)
-        if cut is None:
-            break
-        out, cells = cut, cells + [cell]
-        groups = groups + [cell]
-    return out, cells
+    if _measure(df, order[0]) is None:
+        return df, []
+    cut = _cut_keys(df, keys, order[0], limit, sizes)
+    if cut is None:
+        return df, []
+    if len(order) > 1 and _measure(df, order[1]) is not None:
+        ties = _cut_ties(cut, keys, order, limit)
+        if ties is not None:
+            return ties, ["__cell", "__tie", "__past", "__part"]
+    return cut, ["__cell"]
 
 
 @dataclass
