@@ -351,7 +351,7 @@ def transcript_rollup(spark, d):
 
 @query
 def slide_text(spark, d):
-    return align.slide_text(V.scenes(spark, d), V.word_rows(spark, d), "doc_id")
+    return align.slide_text(V.scenes(spark, d), V.word_rows(spark, d), "doc_id", sizes=V.doc_bounds(spark, d))
 
 
 def _user_candidates(spark, d):

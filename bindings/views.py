@@ -92,6 +92,14 @@ def doc_sizes(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).select("doc_id", F.size(X.words(F.col("text"))).alias("n_words"))
 
 
+def doc_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Upper bounds on words and spoken time, from the stored lengths alone."""
+    n = F.col("n_chars")
+    return table(spark, d, "documents").select(
+        "doc_id", n.alias("n"), F.lit(0.0).alias("lo"), (n / rules.WORDS_PER_SECOND).alias("hi")
+    )
+
+
 def transcripts(spark: SparkSession, d: str, per_segment: int = 10) -> DataFrame:
     """Documents as nested transcript documents of ten-word segments."""
     rate = rules.WORDS_PER_SECOND

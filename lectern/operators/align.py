@@ -23,37 +23,40 @@ def nearest_word(
     start: str = "start_s",
     idx: str = "word_idx",
     limit: int = ROWS_PER_TASK,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``nearest_idx``: the word whose start is closest to each point.
 
     Ties go to the lowest index; a key without words gives 0. Points and words
-    meet in one ordered scan instead of a cross product.
+    meet in one ordered scan instead of a cross product. ``sizes`` (key, n, lo,
+    hi) is an upper bound on the rows per key and their time range, if the caller
+    has one; without it the rows are counted first.
     """
     cols = points.columns
     both = points.select(
         key,
         F.col(at).alias("__t"),
         F.lit(1).alias("__kind"),
-        F.lit(None).cast("long").alias("__idx"),
+        F.lit(None).cast("long").alias("__back"),
         F.struct(*[c for c in cols if c != key]).alias("__row"),
     ).unionByName(
-        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), F.col(idx).cast("long").alias("__idx")),
+        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), (-F.col(idx).cast("long")).alias("__back")),
         allowMissingColumns=True,
     )
-    # latest start with its lowest index before, earliest start with its lowest index after
-    is_word = F.col("__kind") == 0
-    before = F.when(is_word, F.struct(F.col("__t").alias("t"), (-F.col("__idx")).alias("i")))
-    after = F.when(is_word, F.struct(F.col("__t").alias("t"), F.col("__idx").alias("i")))
-    s = scan(both, [key], ["__t", "__kind"], Scan(max_before={"__p": before}, min_after={"__n": after}), limit)
-    hit = s.where(F.col("__kind") == 1)
-
-    def near(m: str, sign: int) -> Column:
-        d = F.abs(F.col(f"{m}.t") - F.col("__t"))
-        return F.when(F.col(m).isNotNull(), F.struct(d.alias("d"), (F.col(f"{m}.i") * sign).alias("i")))
-
-    best = F.coalesce(F.least(near("__p", -1), near("__n", 1))["i"], F.lit(0).cast("long"))
+    # latest start at or before, earliest at or after; of equal starts the lowest index
+    is_word = (F.col("__kind") == 0) & F.col("__t").isNotNull()
+    word_t, word_i = F.when(is_word, F.col("__t")), F.when(is_word, -F.col("__back"))
+    what = Scan(prev={"__pt": word_t, "__pi": word_i}, next={"__nt": word_t, "__ni": word_i}, tie="__back")
+    hit = scan(both, [key], ["__t", "__kind"], what, limit, sizes).where(F.col("__kind") == 1)
+    before, after = F.abs(F.col("__t") - F.col("__pt")), F.abs(F.col("__nt") - F.col("__t"))
+    best = (
+        F.when(F.col("__pi").isNull() | (after < before), F.col("__ni"))
+        .when(F.col("__ni").isNull() | (before < after), F.col("__pi"))
+        .otherwise(F.least("__pi", "__ni"))
+    )
     return hit.select(
-        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in cols], best.alias("nearest_idx")
+        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in cols],
+        F.coalesce(best, F.lit(0).cast("long")).alias("nearest_idx"),
     )
 
 
@@ -214,7 +217,9 @@ def scene_intervals(
     )
 
 
-def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame:
+def slide_ranges(
+    scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None
+) -> DataFrame:
     """Word range of each scene, clamped to the words there are.
 
     Scenes follow on one another, so the word nearest to a scene's end is where
@@ -225,7 +230,7 @@ def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROW
         F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")),
     )
     edges = scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
-    near = nearest_word(edges, words, key, limit=limit)
+    near = nearest_word(edges, words, key, limit=limit, sizes=sizes)
     n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
     both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
@@ -249,13 +254,15 @@ def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROW
     )
 
 
-def slide_text(scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame:
+def slide_text(
+    scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None
+) -> DataFrame:
     """Text, word count and spoken interval of each scene.
 
     Ranges are opened to one row per word and joined on (key, index), so a long
     video spreads over tasks; only a slide's own text is gathered in one row.
     """
-    ranges = slide_ranges(scenes, words, key, limit)
+    ranges = slide_ranges(scenes, words, key, limit, sizes)
     per_word = ranges.withColumn(
         "word_idx", F.explode_outer(F.when(F.col("n_words") > 0, F.sequence("word_start_index", "word_end_index")))
     )

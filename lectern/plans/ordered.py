@@ -1,6 +1,6 @@
 """Ordered scans that survive hot keys.
 
-Running sums, row numbers, best-value-before and best-value-after are window
+Running sums, row numbers, last-value-before and next-value-after are window
 functions over one key's whole history, and a plain window puts that history
 in one task. Before planning, one aggregation over the key and the order column
 looks for keys with more than ``limit`` rows. Without any, the plan is the plain
@@ -152,20 +152,20 @@ class Scan:
     """What an ordered scan should add; every entry is output name -> expression.
 
     ``sums``: running sum up to and including the row.
-    ``max_before``: largest value at or before the row, nulls left out.
-    ``min_after``: smallest value at or after the row, nulls left out.
+    ``prev``: last non-null value at or before the row.
+    ``next``: first non-null value at or after the row.
     ``lead``: value on the very next row.
     ``row_number``: name of a 1-based position, or None.
+    ``tie``: numeric column; among rows equal in the order columns its largest
+    value counts as the nearest one, looking back as well as ahead.
     """
 
     sums: Mapping[str, Column] = field(default_factory=dict)
-    max_before: Mapping[str, Column] = field(default_factory=dict)
-    min_after: Mapping[str, Column] = field(default_factory=dict)
+    prev: Mapping[str, Column] = field(default_factory=dict)
+    next: Mapping[str, Column] = field(default_factory=dict)
     lead: Mapping[str, Column] = field(default_factory=dict)
     row_number: str | None = None
-
-
-_FOLDS = {"sums": F.sum, "max_before": F.max, "min_after": F.min}
+    tie: str | None = None
 
 
 def scan(
@@ -187,24 +187,28 @@ def scan(
     """
     keys, order = list(keys), list(order)
     d, cells = with_cells(df, keys, order, limit, sizes)
-    folds = [(kind, out) for kind in _FOLDS for out in getattr(what, kind)]
+    folds = [(kind, out) for kind in ("sums", "prev", "next") for out in getattr(what, kind)]
     d = d.select(
         "*",
         *[getattr(what, kind)[out].alias(f"__{kind}_{out}") for kind, out in folds],
         *[F.struct(e.alias("v")).alias(f"__lead_{out}") for out, e in what.lead.items()],
     )
+    tie = [F.col(what.tie)] if what.tie else []
     part = Window.partitionBy(*keys, *cells)
-    forward = part.orderBy(*order)
-    back = part.orderBy(*[F.col(c).desc() for c in order])
+    forward = part.orderBy(*order, *tie)
+    back = part.orderBy(*[F.col(c).desc() for c in order], *tie)
     so_far = (Window.unboundedPreceding, Window.currentRow)
 
-    def frame(kind: str):
-        return (back if kind == "min_after" else forward).rowsBetween(*so_far)
+    def local(kind: str, out: str) -> Column:
+        c = f"__{kind}_{out}"
+        if kind == "sums":
+            return F.sum(c).over(forward.rowsBetween(*so_far))
+        return F.last(c, ignorenulls=True).over((back if kind == "next" else forward).rowsBetween(*so_far))
 
     windowed = d.select(
         "*",
         *([F.row_number().over(forward).cast("long").alias("__l_rn")] if what.row_number else []),
-        *[_FOLDS[kind](f"__{kind}_{out}").over(frame(kind)).alias(f"__l_{kind}_{out}") for kind, out in folds],
+        *[local(kind, out).alias(f"__l_{kind}_{out}") for kind, out in folds],
         *[F.lead(f"__lead_{out}").over(forward).alias(f"__l_lead_{out}") for out in what.lead],
     )
     if not cells:
@@ -218,6 +222,15 @@ def scan(
     # one row per hot cell, and what the cells before or after it bring
     tmp = [f"__k{i}" for i in range(len(keys))]
     ctmp = [f"__c{i}" for i in range(len(cells))]
+
+    def of_cell(kind: str, out: str) -> Column:
+        v = F.col(f"__{kind}_{out}")
+        if kind == "sums":
+            return F.sum(v)
+        ties = tie if kind == "prev" else [-t for t in tie]
+        at = F.when(v.isNotNull(), F.struct(*order, *[t.alias("__tie_at") for t in ties]))
+        return F.max_by(v, at) if kind == "prev" else F.min_by(v, at)
+
     per_cell = (
         d.where("__hot")
         .groupBy(
@@ -226,21 +239,25 @@ def scan(
         )
         .agg(
             F.count(F.lit(1)).alias("__a_rn"),
-            *[_FOLDS[kind](f"__{kind}_{out}").alias(f"__a_{kind}_{out}") for kind, out in folds],
+            *[of_cell(kind, out).alias(f"__a_{kind}_{out}") for kind, out in folds],
             *[F.min_by(F.col(f"__lead_{out}"), F.struct(*order)).alias(f"__a_lead_{out}") for out in what.lead],
         )
     )
     cell_part = Window.partitionBy(*tmp)
     before = cell_part.orderBy(*ctmp).rowsBetween(Window.unboundedPreceding, -1)
     after = cell_part.orderBy(*[F.col(c).desc() for c in ctmp]).rowsBetween(Window.unboundedPreceding, -1)
+
+    def carried(kind: str, out: str) -> Column:
+        c = f"__a_{kind}_{out}"
+        if kind == "sums":
+            return F.sum(c).over(before)
+        return F.last(c, ignorenulls=True).over(after if kind == "next" else before)
+
     carry = per_cell.select(
         *tmp,
         *ctmp,
         F.sum("__a_rn").over(before).alias("__b_rn"),
-        *[
-            _FOLDS[kind](f"__a_{kind}_{out}").over(after if kind == "min_after" else before).alias(f"__b_{kind}_{out}")
-            for kind, out in folds
-        ],
+        *[carried(kind, out).alias(f"__b_{kind}_{out}") for kind, out in folds],
         *[F.lead(f"__a_lead_{out}").over(cell_part.orderBy(*ctmp)).alias(f"__b_lead_{out}") for out in what.lead],
     )
     joined = windowed.join(F.broadcast(carry), _same(keys + cells, tmp + ctmp), "left")
@@ -249,7 +266,7 @@ def scan(
         a, b = F.col(f"__l_{kind}_{out}"), F.col(f"__b_{kind}_{out}")
         if kind == "sums":
             return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
-        return F.greatest(a, b) if kind == "max_before" else F.least(a, b)
+        return F.coalesce(a, b)
 
     return joined.select(
         *df.columns,

@@ -35,8 +35,8 @@ def frame(spark, seed):
 def what():
     return Scan(
         sums={"s": F.when(F.col("kind") == "start", F.col("v"))},
-        max_before={"p": F.when(F.col("kind") == "end", F.struct("t", "id"))},
-        min_after={"n": F.when(F.col("kind") == "end", F.struct("t", "id"))},
+        prev={"p": F.when(F.col("kind") == "end", F.struct("t", "id"))},
+        next={"n": F.when(F.col("kind") == "end", F.struct("t", "id"))},
         lead={"ld": F.when(F.col("v") > 3, F.col("v"))},
         row_number="rn",
     )
