@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from bindings.queries import QUERIES
 from tests.compare import compare, duck
 
 D = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return duck(D)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
     sql = entry_points.oracle_sql().get(name)
     assert sql, f"{name} has no SQL"
