@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +23,20 @@ def _unit(raw: pd.Series, dim: int) -> np.ndarray:
 
 
 def _rotation(vectors: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Principal axes of all vectors, largest variance first. Each task sends one dim x dim sum."""
+    """Principal axes of all vectors, largest variance first. Spark adds up the tasks' dim x dim sums."""
 
     def sums(batches):
         total = np.zeros((dim, dim))
         for frame in batches:
             x = _unit(frame["raw"], dim)
             total += x.T @ x
-        yield pd.DataFrame({"part": [total.tobytes()]})
+        yield pd.DataFrame({"part": [total.ravel()]})
 
-    total = np.zeros((dim, dim))
-    for row in vectors.select("raw").mapInPandas(sums, "part binary").toLocalIterator():
-        total += np.frombuffer(row[0]).reshape(dim, dim)
-    values, axes = np.linalg.eigh(total)
+    cells = vectors.select("raw").mapInPandas(sums, "part array<double>").select(F.posexplode("part"))
+    total = np.zeros(dim * dim)
+    for at, value in cells.groupBy("pos").agg(F.sum("col")).collect():
+        total[at] = value
+    values, axes = np.linalg.eigh(total.reshape(dim, dim))
     return axes[:, ::-1].copy(), np.maximum(values[::-1], 0)
 
 

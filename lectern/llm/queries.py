@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lectern.llm import embed, exact, jaccard, lines, mixing, packing, warc
+from lectern.llm import embed, exact, jaccard, language, lines, lm, mixing, packing, warc
 
-MODULES = (lines, exact, jaccard, warc, packing, mixing, embed)
+MODULES = (language, lines, lm, exact, jaccard, warc, packing, mixing, embed)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.SQL.items()}
