@@ -27,6 +27,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Hand texts to Python in batches of a bounded size, however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    return spark
+
+
 def whole(c: str | Column) -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

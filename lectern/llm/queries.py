@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from lectern.llm import embed, exact, jaccard, language, lines, lm, mixing, packing, warc
+from functools import wraps
 
-MODULES = (language, lines, lm, exact, jaccard, warc, packing, mixing, embed)
-QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+from lectern.llm import embed, exact, jaccard, language, lines, lm, mixing, packing, toxicity, warc
+from lectern.llm.common import bounded_batches
+
+
+def ready(fn):
+    @wraps(fn)
+    def run(spark, sf_dir):
+        return fn(bounded_batches(spark), sf_dir)
+
+    return run
+
+
+MODULES = (language, lines, lm, exact, jaccard, warc, packing, mixing, embed, toxicity)
+QUERIES = {k: ready(v) for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.SQL.items()}
