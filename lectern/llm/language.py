@@ -61,6 +61,7 @@ def text_model(rows: DataFrame, languages: Sequence[str], smooth: float = 0.5) -
     for i, g, c in counted.groupBy("i", "g").agg(F.sum("c")).collect():
         total[g, i] += c
     logp = np.log(total / total.sum(axis=0))
+    logp[:, (total == smooth).all(axis=0)] = -50.0  # a language without any text is none to choose
     return np.concatenate([logp, np.full((CELLS, 1), -np.log(float(CELLS)))], axis=1).astype(np.float32)
 
 

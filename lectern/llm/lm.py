@@ -209,19 +209,20 @@ class PitmanYor:
                 if len(frame):
                     yield pd.DataFrame({"t": [seat_words(frame["c"].to_numpy(), frame["word"], sweep).sum()]})
 
-        for sweep in range(self.sweeps - 1):
+        for sweep in range(self.sweeps):
             made = rare.mapInPandas(lambda it, sweep=sweep: opened(it, sweep), "t double").agg(F.sum("t")).first()[0]
             totals.append(float(made or 0.0))
-        first, kept = self.burn_in, totals[self.burn_in :]
-        unknown = float(np.mean([(theta + d * t) * base / (theta + n) for t in kept]))
+        # The tables that sweep number s leaves are totals[s + 1].
+        kept = range(self.burn_in, self.sweeps)
+        unknown = float(np.mean([(theta + d * totals[s + 1]) * base / (theta + n) for s in kept]))
 
         def probabilities(batches):
             for frame in batches:
                 c = frame["c"].to_numpy()
                 p = np.zeros(len(c))
-                for sweep, total in list(enumerate(totals))[first:] if len(c) else []:
+                for sweep in kept if len(c) else []:
                     t = seat_words(c, frame["word"], sweep)
-                    p += (c - d * t + (theta + d * total) * base) / (theta + n) / len(kept)
+                    p += (c - d * t + (theta + d * totals[sweep + 1]) * base) / (theta + n) / len(kept)
                 yield frame.assign(p=p)
 
         self.rare_words = stored(rare.mapInPandas(probabilities, "word long, c long, p double"), "rare-words")

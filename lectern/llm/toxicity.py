@@ -53,14 +53,15 @@ def sample_labels(labels: DataFrame, most: int, seed: int = 5) -> DataFrame:
 class Classifier:
     """Logistic regression on the presence of words and word stems, fitted by Adam on minibatches.
 
-    Beside the log loss, weights have L1 and L2 penalties, and each labelled sentence
+    Beside the log loss, weights have L1 (falling with the
+    root of the sample's size) and L2 penalties, and each labelled sentence
     with identity terms has counterfactuals: the term swapped for the others of
     its row, or left out. The squared change of the score under a swap is
     penalised with ``swap``, so that the terms of a row get like weights, near
     that of no mention.
     """
 
-    def __init__(self, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, swap: float = 5.0, l1: float = 1e-4, l2: float = 1e-6, least: int = 5, epochs: int = 12, batch: int = 256, rate: float = 0.05, seed: int = 3):
+    def __init__(self, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, swap: float = 5.0, l1: float = 0.012, l2: float = 1e-6, least: int = 5, epochs: int = 20, batch: int = 256, rate: float = 0.05, seed: int = 3):
         self.groups = [np.array([cell(w) for w in g]) for g in groups]
         self.swap, self.l1, self.l2, self.least, self.epochs, self.batch, self.rate, self.seed = swap, l1, l2, least, epochs, batch, rate, seed
         self.w, self.bias = np.zeros(CELLS), 0.0
@@ -103,7 +104,7 @@ class Classifier:
                 a, c = 1 - 0.9**step, 1 - 0.999**step
                 pace = rate / (np.sqrt(v / c) + 1e-8)
                 w -= pace * (m / a)
-                w = np.sign(w) * np.maximum(np.abs(w) - np.minimum(pace, 1e3 * rate) * self.l1, 0)
+                w = np.sign(w) * np.maximum(np.abs(w) - np.minimum(pace, 1e3 * rate) * self.l1 / n**0.5, 0)
                 bias -= rate * (mb / a) / (np.sqrt(vb / c) + 1e-8)
         self.w[seen], self.bias = w, float(bias)
         return self
