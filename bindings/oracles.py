@@ -70,7 +70,7 @@ RESULTS = f"""results AS (
     text || CASE conv_id % 4 WHEN 0 THEN '' WHEN 1 THEN ' Part 1' WHEN 2 THEN ' Episode ' || turn ELSE ' complete' END AS title
   FROM conversations),
 decided AS (
-  SELECT c_custkey AS topic_id, c_name AS topic, c_mktsegment AS chapter, coalesce(n, 0) AS n_results, coalesce(series, 0) AS series_count,
+  SELECT c_custkey AS topic_id, c_name AS topic, c_mktsegment AS chapter, 'K' || (c_nationkey % 5) AS stream, 'N' || c_nationkey AS subject, coalesce(n, 0) AS n_results, coalesce(series, 0) AS series_count,
     CASE WHEN n IS NULL THEN 'No results' WHEN kind = 'youtube#playlist' THEN 'Top result is a playlist'
       WHEN contains(t0, 'part 1') OR contains(t0, 'ep 1') OR contains(t0, 'episode 1') THEN 'Top result is Part 1 of a series'
       WHEN series >= 3 THEN series || '/5 results suggest a multi-part topic' ELSE 'Topic is self-contained' END AS reason,
@@ -317,7 +317,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT topic_id, lower(chapter || ' | ' || subject) FROM cat),
         k AS (SELECT lower(p_type || ' | ' || p_brand) AS title_key, min('PL' || p_partkey) AS id FROM part WHERE p_size > 25 GROUP BY 1)
         SELECT video_id, title_key, coalesce(id, sha256(title_key)) AS collection_id FROM w LEFT JOIN k USING (title_key)""",
-    "resume_plan": f"""WITH {TOPICS}, steps(no, floor) AS (VALUES (1, 0), (2, 1000), (3, 1000), (4, 1000)),
+    "resume_plan": f"""WITH {TOPICS}, steps(no, floor) AS (VALUES (1, 0), (2, 1000), (3, 10239), (4, 1000)),
         need AS (SELECT topic_id, no FROM topics, steps EXCEPT
           SELECT l_orderkey, no FROM lineitem JOIN steps ON l_linenumber = no WHERE floor(l_extendedprice / 10) > steps.floor AND (no > 2 OR l_returnflag <> 'R'))
         SELECT topic_id, min(no)::INTEGER AS resume_step, count(*)::INTEGER AS n_left, string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS steps_left FROM need GROUP BY 1""",
@@ -338,9 +338,9 @@ ORACLES: dict[str, str] = {
           CASE WHEN o_orderstatus = 'F' THEN '  ' ELSE 'Video ' || o_orderkey END AS title,
           row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) - 1 AS pos FROM orders),
         b AS (SELECT * FROM strategies WHERE strategy = 'branch'),
-        rows AS (SELECT topic_id, chapter, pos, title FROM b JOIN it USING (playlist_id) WHERE pos < 10
-          UNION ALL SELECT topic_id, chapter, i, topic || ' - Part ' || (i + 1) FROM b, range(3) r(i) WHERE playlist_id IS NULL OR playlist_id NOT IN (SELECT playlist_id FROM it))
-        SELECT topic_id AS parent_id, CASE WHEN pos = 0 THEN 'rename' ELSE 'insert' END AS action, CAST(pos AS INTEGER) AS pos,
+        rows AS (SELECT topic_id, stream, subject, chapter, pos, title FROM b JOIN it USING (playlist_id) WHERE pos < 10
+          UNION ALL SELECT topic_id, stream, subject, chapter, i, topic || ' - Part ' || (i + 1) FROM b, range(3) r(i) WHERE playlist_id IS NULL OR playlist_id NOT IN (SELECT playlist_id FROM it))
+        SELECT topic_id AS parent_id, stream, subject, chapter, CASE WHEN pos = 0 THEN 'rename' ELSE 'insert' END AS action, CAST(pos AS INTEGER) AS pos,
           CASE WHEN pos = 0 THEN CAST(topic_id AS VARCHAR) ELSE sha256(topic_id || '-' || pos) END AS row_id,
           CASE WHEN pos > 0 AND trim(title) = '' THEN chapter || ' - Lesson ' || (pos + 1) ELSE title END AS title,
           CASE WHEN pos > 0 THEN 'Pending' END AS status FROM rows""",
@@ -348,8 +348,11 @@ ORACLES: dict[str, str] = {
         CASE WHEN l.doc_id IS NULL OR replace(text, chr(10), ' ') = '' THEN 'Transcript unavailable. Description: ' || lang || ' ' || source ELSE replace(text, chr(10), ' ') END AS transcript
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "harvest_urls": r"""WITH t AS (SELECT page_id, url || ' ' || html || ' ' || replace(url, 'https:', 'http:') AS text FROM pages),
-        f AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(text, 'https?://[a-z0-9.\-]+\.example\.(?:com|net|org)')) AS url FROM t)
-        SELECT url, min(page_id) AS first_seen, count(*) AS n_pages FROM f WHERE url NOT IN
+        m AS (SELECT page_id, unnest(regexp_extract_all(text, 'https?://[a-z0-9.\-]+\.example\.(?:com|net|org)')) AS url,
+          generate_subscripts(regexp_extract_all(text, 'https?://[a-z0-9.\-]+\.example\.(?:com|net|org)'), 1) AS i FROM t),
+        u AS (SELECT page_id, url, min(i) AS i FROM m GROUP BY 1, 2),
+        f AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS i FROM u)
+        SELECT url, min(page_id) AS first_seen, CAST(arg_min(i, page_id) AS INTEGER) AS first_pos, count(*) AS n_pages FROM f WHERE url NOT IN
           (SELECT regexp_extract(url, 'https?://[a-z0-9.\-]+\.example\.(?:com|net|org)') FROM pages WHERE contains(url, 'utm_source')) GROUP BY 1""",
     # --- alignment ---
     "nearest_word": """WITH e AS (SELECT *, epoch_us(ts) // 3600000000 AS h FROM events),

@@ -177,7 +177,7 @@ def pick_latest_artifact(spark, d):
 def write_outputs(spark, d):
     path = session.new_path(spark, "topics")
     t = V.topics(spark, d).select("topic_id", "stream", "topic", "status")
-    files_src.write_outputs(t, path, ["stream"], spread=["topic_id"])
+    files_src.write_outputs(t, path, ["stream"])
     return spark.read.schema("topic_id bigint, topic string, status string, stream string").parquet(path)
 
 
@@ -298,7 +298,7 @@ def union_streams(spark, d):
 
 @query
 def decide_strategy(spark, d):
-    return strategy.decide_strategy(V.results(spark, d), V.customer_topics(spark, d), on="topic_id").drop("topic", "chapter")
+    return strategy.decide_strategy(V.results(spark, d), V.customer_topics(spark, d), on="topic_id").drop("topic", "chapter", "stream", "subject")
 
 
 @query
@@ -344,9 +344,7 @@ def slide_pace(spark, d):
 
 @query
 def transcript_rollup(spark, d):
-    return align.transcript_rollup(
-        V.word_rows(spark, d), transcripts_src.transcript_segments(V.transcripts(spark, d), "doc_id"), "doc_id"
-    )
+    return align.transcript_rollup(transcripts_src.transcript_segments(V.transcripts(spark, d), "doc_id"), "doc_id")
 
 
 @query
@@ -434,8 +432,7 @@ def best_hour(spark, d):
 
 @query
 def hour_chart(spark, d):
-    p = analytics.hourly_profile(V.video_stats(spark, d, "user_id"))
-    return analytics.hour_chart(p, analytics.best_hour(p))
+    return analytics.hour_chart(analytics.hourly_profile(V.video_stats(spark, d, "user_id")))
 
 
 @query
@@ -707,7 +704,7 @@ def health_checks(spark, d):
 @query
 def health_rollup(spark, d):
     e = V.events(spark, d).withColumn("line", F.concat_ws(" ", text("event_id"), "props"))
-    errors = opslog.last_error(e, [], ["ts", "event_id"], is_error=F.col("event_type") == "error")
+    errors = opslog.last_error(e, ["user_id"], ["ts", "event_id"], is_error=F.col("event_type") == "error", at="error_at")
     return opslog.health_rollup(_health(spark, d), catalog.queue_depth(V.topics(spark, d)), errors)
 
 

@@ -177,7 +177,8 @@ def results(spark: SparkSession, d: str) -> DataFrame:
 
 def customer_topics(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(
-        F.col("c_custkey").alias("topic_id"), F.col("c_name").alias("topic"), F.col("c_mktsegment").alias("chapter")
+        F.col("c_custkey").alias("topic_id"), F.col("c_name").alias("topic"), F.col("c_mktsegment").alias("chapter"),
+        F.concat(F.lit("K"), (F.col("c_nationkey") % 5).cast("string")).alias("stream"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("subject")
     )
 
 

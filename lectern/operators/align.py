@@ -355,20 +355,22 @@ def segment_split(words: DataFrame, scripts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def transcript_rollup(words: DataFrame, segments: DataFrame, key: str) -> DataFrame:
-    """Duration, word and segment counts and the full text per video."""
-    w = words.groupBy(key).agg(F.count(F.lit(1)).alias("total_words"))
+def transcript_rollup(segments: DataFrame, key: str) -> DataFrame:
+    """Duration, word and segment counts and the full text per video.
+
+    Segments: key, seg_id, end_s, n_words, text. One aggregate, no look at words.
+    """
     s = segments.groupBy(key).agg(
         F.max_by("end_s", "seg_id").alias("duration"),
+        F.coalesce(F.sum("n_words"), F.lit(0)).alias("total_words"),
         F.count(F.lit(1)).alias("total_segments"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_id", "text"))), lambda x: x["text"]), " ").alias("full_text"),
     )
-    j = w.join(s, key, "full_outer")
-    return j.select(
+    return s.select(
         key,
         F.coalesce("duration", F.lit(0.0)).alias("duration"),
-        F.coalesce("total_words", F.lit(0)).cast("long").alias("total_words"),
-        F.coalesce("total_segments", F.lit(0)).cast("long").alias("total_segments"),
+        F.col("total_words").cast("long").alias("total_words"),
+        "total_segments",
         F.coalesce("full_text", F.lit("")).alias("full_text"),
     )
 
@@ -381,11 +383,13 @@ def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",),
     """
     eff = F.when(F.col("audio_s") > 0, F.col("audio_s")).otherwise(F.col("video_s"))
     t = tracks.withColumn("duration_s", eff)
-    run = scan(t, [key], list(order), Scan(sums={"__sum": F.col("duration_s")}), limit)
+    # Decimals add up alike however a long list is cut.
+    exact = F.col("duration_s").cast("decimal(20,6)")
+    run = scan(t, [key], list(order), Scan(sums={"__sum": exact}), limit)
     return run.select(
         *tracks.columns,
         "duration_s",
         (F.col("duration_s") < F.col("video_s") - rules.AUDIO_SHORT_S).alias("audio_short"),
-        (F.col("__sum") - F.col("duration_s")).alias("offset_s"),
+        (F.col("__sum") - exact).cast("double").alias("offset_s"),
         F.greatest(F.lit(0.0), F.col("duration_s") - rules.FADE_S).alias("fade_out_s"),
     )

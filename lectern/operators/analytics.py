@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern import rules, schemas
@@ -47,25 +47,31 @@ def hourly_profile(stats: DataFrame, mode: str = "tz", channel: str = "channel")
     )
 
 
+def _rank() -> Column:
+    """Order of hours, null for those that cannot be best."""
+    avg = F.try_divide(F.col("views"), F.col("uploads"))
+    return F.when((F.col("uploads") > 0) & (avg > 0), F.struct(avg, -F.col("hour")))
+
+
 def best_hour(profile: DataFrame, default: int = rules.DEFAULT_HOUR, channel: str = "channel") -> DataFrame:
     """Hour with the highest average views above zero; ties take the earliest."""
-    avg = F.try_divide(F.col("views"), F.col("uploads"))
-    ok = (F.col("uploads") > 0) & (avg > 0)
     return profile.groupBy(channel).agg(
         F.coalesce(
-            F.max_by(F.col("hour"), F.when(ok, F.struct(avg, -F.col("hour")))), F.lit(default)
+            F.max_by(F.col("hour"), _rank()), F.lit(default)
         ).alias("best_hour"),
         F.sum("uploads").alias("videos"),
         (F.sum("uploads") >= rules.ENOUGH_VIDEOS).alias("has_enough"),
     ).withColumn("label", hour_label(F.col("best_hour")))
 
 
-def hour_chart(profile: DataFrame, best: DataFrame, channel: str = "channel") -> DataFrame:
-    """Hours worth showing: those with uploads, and the best one."""
-    b = best.select(channel, "best_hour")
-    return profile.join(b, channel).where((F.col("uploads") > 0) | (F.col("hour") == F.col("best_hour"))).withColumn(
-        "is_best", F.col("hour") == F.col("best_hour")
-    ).drop("best_hour")
+def hour_chart(profile: DataFrame, default: int = rules.DEFAULT_HOUR, channel: str = "channel") -> DataFrame:
+    """Hours worth showing: those with uploads, and the best one.
+
+    A channel has 24 rows, so its best hour is found in a window over them.
+    """
+    best = F.max_by(F.col("hour"), _rank()).over(Window.partitionBy(channel))
+    shown = profile.withColumn("is_best", F.col("hour") == F.coalesce(best, F.lit(default)))
+    return shown.where((F.col("uploads") > 0) | F.col("is_best"))
 
 
 def channel_totals(stats: DataFrame, channel: str = "channel") -> DataFrame:
@@ -78,9 +84,9 @@ def channel_totals(stats: DataFrame, channel: str = "channel") -> DataFrame:
 def recent_history(stats: DataFrame, n: int = rules.HISTORY_KEEP, channel: str = "channel") -> DataFrame:
     """The ``n`` newest videos per channel, labelled V1.. from the oldest of them."""
     latest = first_rows(stats, [channel], [F.col("published_at").desc(), F.col("video_id").desc()], n, "recency")
-    count = latest.groupBy(channel).agg(F.max("recency").alias("__n"))
-    seq = F.col("__n") - F.col("recency") + 1
-    return latest.join(count, channel).select(
+    kept = F.max("recency").over(Window.partitionBy(channel))  # over at most n rows
+    seq = kept - F.col("recency") + 1
+    return latest.select(
         *stats.columns, seq.alias("seq"), F.concat(F.lit("V"), seq.cast("string")).alias("name")
     )
 

@@ -36,11 +36,16 @@ def log_tail(lines: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
     return first_rows(lines, keys, [F.col(c).desc() for c in order], n, "recency")
 
 
-def last_error(logs: DataFrame, keys: Sequence[str], order: Sequence[str], line: str = "line", is_error: Column | None = None) -> DataFrame:
-    """Newest error line per key, ``none`` where there is none."""
+def last_error(logs: DataFrame, keys: Sequence[str], order: Sequence[str], line: str = "line", is_error: Column | None = None, at: str | None = None) -> DataFrame:
+    """Newest error line per key, ``none`` where there is none.
+
+    ``at`` names a column for the place of that line in the order.
+    """
     ok = F.lit(True) if is_error is None else is_error
+    place = F.when(ok, F.struct(*order))
     return logs.groupBy(*keys).agg(
-        F.coalesce(F.nullif(F.max_by(F.col(line), F.when(ok, F.struct(*order))), F.lit("")), F.lit("none")).alias("last_error")
+        F.coalesce(F.nullif(F.max_by(F.col(line), place), F.lit("")), F.lit("none")).alias("last_error"),
+        *([F.max(place).alias(at)] if at else []),
     )
 
 
@@ -159,7 +164,7 @@ def payload_flags(content: Column, length: Column | None = None) -> dict[str, Co
     """Why a downloaded payload is not what it should be."""
     size = F.octet_length(content) if length is None else length
     text = content.cast("string")
-    head = F.substring(text, 1, 256)
+    head = F.substring(content.cast("binary"), 1, 256).cast("string")
     return {
         "is_html": reduce(lambda a, b: a | b, [head.contains(m) for m in rules.HTML_MARKS]),
         "is_junk": size < rules.JUNK_FLOOR_BYTES,
@@ -195,28 +200,24 @@ def health_checks(checks: DataFrame, as_of: Column, fresh_minutes: int = rules.F
 
 
 def health_rollup(services: DataFrame, depth: DataFrame, errors: DataFrame, critical: Column | None = None) -> DataFrame:
-    """One row: overall status, service counts, pending topics, last error.
+    """One row: overall status, service counts, pending topics, newest error.
 
-    Each input has been folded to one row before they meet.
+    Errors: last_error and its place ``error_at``, per any key. Each input folds
+    to one row; the three rows are put together by one more aggregate.
     """
     crit = F.lit(True) if critical is None else critical
-    s = services.agg(
-        F.count(F.lit(1)).alias("services"),
-        F.count_if(F.col("state") == "live").alias("live"),
-        F.coalesce(F.bool_or(crit & (F.col("state") != "live")), F.lit(False)).alias("__bad"),
-    )
-    d = depth.agg(F.coalesce(F.sum("pending"), F.lit(0)).alias("pending"))
-    e = errors.agg(F.coalesce(F.max("last_error"), F.lit("none")).alias("last_error"))
-    one = F.lit(1).alias("__one")
-    return (
-        s.select("*", one)
-        .join(d.select("*", one), "__one")
-        .join(e.select("*", one), "__one")
-        .select(
-            F.when(F.col("__bad"), F.lit("degraded")).otherwise(F.lit("ok")).alias("status"),
-            "services",
-            "live",
-            "pending",
-            "last_error",
-        )
+    real = F.when(F.col("last_error") != "none", F.col("error_at"))
+    parts = [
+        services.agg(
+            F.count(F.lit(1)).alias("services"),
+            F.count_if(F.col("state") == "live").alias("live"),
+            F.coalesce(F.bool_or(crit & (F.col("state") != "live")), F.lit(False)).alias("__bad"),
+        ),
+        depth.agg(F.coalesce(F.sum("pending"), F.lit(0)).alias("pending")),
+        errors.agg(F.coalesce(F.max_by("last_error", real), F.lit("none")).alias("last_error")),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    one = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    return one.select(
+        F.when(F.col("__bad"), F.lit("degraded")).otherwise(F.lit("ok")).alias("status"), "services", "live", "pending", "last_error"
     )

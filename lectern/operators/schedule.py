@@ -66,7 +66,7 @@ def run_status(runs: DataFrame, key: str = "stream", order: tuple[str, ...] = ("
     return r.select(
         key,
         F.when(failed, F.lit("failed")).otherwise(status).alias("state"),
-        F.when(failed, F.substring(status, len(FAILED_PREFIX) + 1, 1_000_000)).alias("message"),
+        F.when(failed, status.substr(F.lit(len(FAILED_PREFIX) + 1), F.length(status))).alias("message"),
         F.col("last.ts").alias("last_run"),
         format_local(F.col("last.ts"), tz).alias("last_run_local"),
         "n_events",

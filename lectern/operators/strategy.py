@@ -74,7 +74,8 @@ def decide_strategy(
 def split_topics(decisions: DataFrame, playlist_items: DataFrame, older_rule: bool = False) -> DataFrame:
     """Rows a branched topic turns into: position 0 renames it, the rest are new.
 
-    Decisions: topic_id, topic, chapter, strategy, playlist_id. Items:
+    Decisions: topic_id, topic, stream, subject, chapter, strategy, playlist_id;
+    new rows belong to the same stream, subject and chapter. Items:
     playlist_id, pos, title. A playlist gives its first titles, anything else
     three generic parts.
     """
@@ -83,7 +84,9 @@ def split_topics(decisions: DataFrame, playlist_items: DataFrame, older_rule: bo
         playlist_items.select("playlist_id", "pos", "title"), ["playlist_id"], [F.col("pos")], cap, "n"
     ).select("playlist_id", (F.col("n") - 1).cast("int").alias("__pos"), F.col("title").alias("__title"))
     branched = decisions.where(F.col("strategy") == "branch")
-    j = branched.join(items, "playlist_id", "left")
+    # Topics without a playlist stay out of the join, where they would share one key.
+    listed = branched.where(F.col("playlist_id").isNotNull()).join(items, "playlist_id", "left")
+    j = listed.unionByName(branched.where(F.col("playlist_id").isNull()), allowMissingColumns=True)
     generic = F.array(
         *[
             F.struct(F.lit(i).alias("pos"), F.concat("topic", F.lit(f" - Part {i + 1}")).alias("title"))
@@ -98,6 +101,9 @@ def split_topics(decisions: DataFrame, playlist_items: DataFrame, older_rule: bo
     lesson = F.concat(stem, F.lit(" - Lesson "), (pos + 1).cast("string"))
     return parts.select(
         F.col("topic_id").alias("parent_id"),
+        "stream",
+        "subject",
+        "chapter",
         F.when(pos == 0, F.lit("rename")).otherwise(F.lit("insert")).alias("action"),
         pos.alias("pos"),
         F.when(pos == 0, F.col("topic_id").cast("string"))
@@ -125,12 +131,14 @@ def fill_transcripts(results: DataFrame, segments: DataFrame, key: str = "video_
 def harvest_urls(pages: DataFrame, text: str, order: str, pattern: str = rules.LIVE_URL_PATTERN, seen: DataFrame | None = None) -> DataFrame:
     """Distinct URLs found in page texts, first sighting and page count, without those seen.
 
-    Repeats inside a page go before the shuffle, repeats between pages in the
+    ``first_pos`` is the URL's place, from 0, among those of the page that showed
+    it first. Repeats inside a page go before the shuffle, repeats between pages in the
     combining aggregate.
     """
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))
     urls = open_rows(pages, [F.col(order).alias("__at")], found, "__i", "url")
-    out = urls.groupBy("url").agg(F.min("__at").alias("first_seen"), F.count(F.lit(1)).alias("n_pages"))
+    first = F.min(F.struct("__at", "__i"))
+    out = urls.groupBy("url").agg(first["__at"].alias("first_seen"), first["__i"].cast("int").alias("first_pos"), F.count(F.lit(1)).alias("n_pages"))
     if seen is not None:
         out = out.join(seen.select("url").distinct(), "url", "left_anti")
     return out

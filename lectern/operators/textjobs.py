@@ -120,7 +120,7 @@ def _emphasis_rules() -> list[tuple[str, str, str, list[str], bool]]:
     ask, line, mid, show = rules.QUESTION_PHRASES, rules.LINE_CONNECTORS, rules.MID_CONNECTORS, rules.REVEAL_PHRASES
     out += [
         ("question", rf"(?i){WORD_START}({_any(ask)}){WORD_END}([^.!?]{{5,60}})\.", "$1$2?", ask, False),
-        ("comma", rf"(?md)^({_any(line)}) ([A-Z])", "$1, $2", [f"{w} " for w in line], True),
+        ("comma", rf"(?<![^\n\r\u2028\u2029])({_any(line)}) ([A-Z])", "$1, $2", [f"{w} " for w in line], True),
         ("comma", rf"(?i){WORD_START}({_any(mid)}) ([a-z])", "$1, $2", mid, False),
         ("dash", rf"(?i){WORD_START}({_any(show)}) ", "$1 — ", show, False),
     ]
@@ -185,20 +185,21 @@ def emphasize(docs: DataFrame, text: str = "text", drift: float = rules.DRIFT_MA
     shift = F.abs(F.col("__w0") - F.col("__w1")) / F.col("__w0")
     d = d.withColumns({"word_drift": shift, "reverted": shift > drift})
     d = d.withColumn("emphasized", F.when(F.col("reverted"), F.col(text)).otherwise(F.col("__out")))
+    differs = F.col(text) != F.col("emphasized")  # other texts do not travel to Python
     return d.select(
         *cols,
         "emphasized",
         "word_drift",
         "reverted",
-        _changes(F.col(text), F.col("emphasized")).alias("n_changes"),
+        F.coalesce(_changes(F.when(differs, F.col(text)), F.when(differs, F.col("emphasized"))), F.lit(0).cast("long")).alias("n_changes"),
         *[f"hits_{k}" for k in EMPHASIS_KINDS],
     )
 
 
-def emphasis_audit(emphasized: DataFrame, by: str) -> DataFrame:
+def emphasis_audit(emphasized: DataFrame, by: str, text: str = "text") -> DataFrame:
     return emphasized.groupBy(by).agg(
         F.count(F.lit(1)).alias("docs"),
-        F.count_if(F.col("n_changes") > 0).alias("changed"),
+        F.count_if(F.col("emphasized") != F.col(text)).alias("changed"),
         F.count_if("reverted").alias("reverted"),
         F.round(F.avg("word_drift"), 6).alias("mean_drift"),
         *[F.sum(f"hits_{k}").alias(f"hits_{k}") for k in EMPHASIS_KINDS],

@@ -83,7 +83,7 @@ RUN_ERROR = "pipeline error"
 RESUME_STEPS = [
     (1, "script", 0, True),
     (2, "emphasis", TEXT_FLOOR_BYTES, True),
-    (3, "voice", TEXT_FLOOR_BYTES, False),
+    (3, "voice", MEDIA_FLOOR_BYTES - 1, False),
     (4, "segments", TEXT_FLOOR_BYTES, False),
 ]
 

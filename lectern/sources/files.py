@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,18 +38,16 @@ def write_outputs(
     path: str,
     by: Sequence[str],
     fmt: str = "parquet",
-    spread: Sequence[str | Column] = (),
     max_records: int = 5_000_000,
 ) -> None:
     """One directory per value of ``by``; only touched directories are replaced.
 
-    ``spread`` names columns that vary inside one directory (an id): rows are
-    shuffled by both, so a hot directory is written by many tasks.
+    Rows are rebalanced by directory: adaptive execution splits a large one into
+    as many tasks as its measured size asks for, and joins small ones.
     """
-    if spread:
-        df = df.repartition(*by, F.pmod(F.xxhash64(*spread), F.lit(64)))
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
         .partitionBy(*by)

@@ -190,9 +190,11 @@ def test_split_caps_blanks_and_generic_parts(spark):
         [("t1", "T1", "C1", "branch", "P"), ("t2", "T2", "C2", "branch", None), ("t3", "T3", "C3", "single", "P"), ("t4", "T4", "C4", "branch", "missing")],
         "topic_id string, topic string, chapter string, strategy string, playlist_id string",
     )
+    d = d.withColumns({"stream": F.lit("S"), "subject": F.concat(F.lit("of "), "chapter")})
     items = spark.createDataFrame([("P", i, " " if i == 2 else f"v{i}") for i in range(20)], "playlist_id string, pos int, title string")
     got = strategy.split_topics(d, items).orderBy("parent_id", "pos").collect()
     t1 = [r for r in got if r["parent_id"] == "t1"]
+    assert {(r["stream"], r["subject"], r["chapter"]) for r in t1} == {("S", "of C1", "C1")}
     assert len(t1) == 10 and t1[0]["action"] == "rename" and t1[0]["row_id"] == "t1" and t1[2]["title"] == "C1 - Lesson 3"
     assert [r["title"] for r in got if r["parent_id"] == "t2"] == ["T2 - Part 1", "T2 - Part 2", "T2 - Part 3"]
     assert len([r for r in got if r["parent_id"] == "t4"]) == 3 and not [r for r in got if r["parent_id"] == "t3"]
@@ -312,3 +314,37 @@ def test_history_takes_the_newest(spark):
     s = spark.createDataFrame([("c", i, i) for i in range(20)], "channel string, video_id int, published_at int")
     got = analytics.recent_history(s, 12).orderBy("seq").collect()
     assert [r["video_id"] for r in got] == list(range(8, 20)) and got[0]["name"] == "V1"
+
+
+def test_newest_error_wins_over_none_and_older_ones(spark):
+    errors = spark.createDataFrame([("2024 real error", 2, 5), ("zz older", 1, 9), ("none", None, None)], "last_error string, ts int, seq int")
+    errors = errors.withColumn("error_at", F.when(F.col("ts").isNotNull(), F.struct("ts", "seq")))
+    services = spark.createDataFrame([("a", "live")], "service string, state string")
+    depth = spark.createDataFrame([(3,)], "pending long")
+    row = opslog.health_rollup(services, depth, errors).first()
+    assert (row.status, row.services, row.live, row.pending, row.last_error) == ("ok", 1, 1, 3, "2024 real error")
+    assert opslog.health_rollup(services, depth, errors.limit(0)).first().last_error == "none"
+
+
+def test_a_failure_message_stays_whole(spark):
+    long = "x" * 1_500_000
+    runs = spark.createDataFrame([("s", 1, 1, "failed: " + long)], "stream string, t int, event_id int, status string")
+    runs = runs.withColumn("ts", F.timestamp_seconds("t"))
+    assert len(schedule.run_status(runs).first().message) == len(long)
+
+
+def test_connectors_open_a_line_after_any_line_end(spark):
+    word = rules.LINE_CONNECTORS[0]
+    rows = [(i, f"first line{end}{word} Then it goes on") for i, end in enumerate(["\n", "\r", "\u2028", "\u2029", " "])]
+    out = textjobs.emphasize(spark.createDataFrame(rows, "id int, text string")).orderBy("id").collect()
+    assert [f"{word}, Then" in r.emphasized for r in out] == [True, True, True, True, False]
+    assert [r.n_changes > 0 for r in out] == [True, True, True, True, False]
+
+
+def test_offsets_do_not_depend_on_the_cut(spark):
+    from lectern.operators import align
+
+    rows = [(1, i, 10.1 + i * 0.001, None) for i in range(400)]
+    t = spark.createDataFrame(rows, "video_id int, pos int, video_s double, audio_s double")
+    plain = [r.offset_s for r in align.track_timeline(t, "video_id").orderBy("pos").collect()]
+    assert plain == [r.offset_s for r in align.track_timeline(t, "video_id", limit=30).orderBy("pos").collect()]

@@ -61,7 +61,7 @@ def test_files_and_outputs(spark, tmp_path):
     assert got == {"a.wav": 10, "b.mp3": 20}
     out = str(tmp_path / "out")
     df = spark.createDataFrame([(1, "s"), (2, "s"), (3, "t")], "id int, stream string")
-    files.write_outputs(df, out, ["stream"], spread=["id"])
+    files.write_outputs(df, out, ["stream"])
     # only the directory written again is replaced
     files.write_outputs(df.where("stream = 't'").withColumn("id", F.lit(9)), out, ["stream"], fmt="parquet")
     assert sorted(tuple(r) for r in spark.read.parquet(out).select("id", "stream").collect()) == [(1, "s"), (2, "s"), (9, "t")]
