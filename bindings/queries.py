@@ -369,7 +369,7 @@ def scene_thin(spark, d):
 @query
 def scene_intervals(spark, d):
     c, totals = _user_candidates(spark, d)
-    sizes = key_sizes(c, ["user_id"], "ts_s")
+    sizes = key_sizes(c, ["user_id"])
     return align.scene_intervals(align.scene_thin(c, totals, "user_id"), totals, "user_id", sizes=sizes)
 
 

@@ -93,11 +93,8 @@ def doc_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_bounds(spark: SparkSession, d: str) -> DataFrame:
-    """Upper bounds on words and spoken time, from the stored lengths alone."""
-    n = F.col("n_chars")
-    return table(spark, d, "documents").select(
-        "doc_id", n.alias("n"), F.lit(0.0).alias("lo"), (n / rules.WORDS_PER_SECOND).alias("hi")
-    )
+    """Upper bounds on words and scene edges, from the stored lengths alone."""
+    return table(spark, d, "documents").select("doc_id", (F.col("n_chars") * 2).alias("n"))
 
 
 def transcripts(spark: SparkSession, d: str, per_segment: int = 10) -> DataFrame:

@@ -28,9 +28,8 @@ def nearest_word(
     """Add ``nearest_idx``: the word whose start is closest to each point.
 
     Ties go to the lowest index; a key without words gives 0. Points and words
-    meet in one ordered scan instead of a cross product. ``sizes`` (key, n, lo,
-    hi) is an upper bound on the rows per key and their time range, if the caller
-    has one; without it the rows are counted first.
+    meet in one ordered scan instead of a cross product. ``sizes`` (key, n)
+    is an upper bound on the rows per key, if the caller has one.
     """
     cols = points.columns
     both = points.select(
@@ -202,8 +201,7 @@ def scene_intervals(
 ) -> DataFrame:
     """End of each scene: the next start, for the last one the total less the tail.
 
-    ``sizes`` of the candidates (key, n, lo, hi) bound those of the scenes and
-    save working the scenes out twice.
+    ``sizes`` of the candidates (key, n) bound those of the scenes and save working the scenes out twice.
     """
     nxt = scan(scenes, [key], ["start_s"], Scan(lead={"__next": F.col("start_s")}), limit, sizes)
     end = F.coalesce("__next", F.greatest(F.lit(0.0), F.col("total_s") - tail))

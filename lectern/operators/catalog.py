@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern import rules
 from lectern.functions.text import fill
-from lectern.plans.ordered import ROWS_PER_TASK, number_rows
+from lectern.plans.ordered import ROWS_PER_TASK, key_sizes, number_rows
 
 
 def topic_queue(topics: DataFrame) -> DataFrame:
@@ -108,10 +108,7 @@ def round_robin_plan(topics: DataFrame, per_day: int, limit: int = ROWS_PER_TASK
     """
     waiting = topics.where(F.col("status") == rules.PENDING)
     turns = number_rows(waiting, ["stream", "subject"], ["created_time", "topic_id"], "turn", limit)
-    # a stream's turns run from 1 to the size of its largest subject
-    per_subject = waiting.groupBy("stream", "subject").agg(F.count(F.lit(1)).alias("c"))
-    sizes = per_subject.groupBy("stream").agg(F.sum("c").alias("n"), F.lit(1).alias("lo"), F.max("c").alias("hi"))
-    plan = number_rows(turns, ["stream"], ["turn", "subject"], "slot", limit, sizes)
+    plan = number_rows(turns, ["stream"], ["turn", "subject"], "slot", limit, key_sizes(waiting, ["stream"]))
     return plan.withColumn("day", F.floor((F.col("slot") - 1) / per_day).cast("long"))
 
 

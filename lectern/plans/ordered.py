@@ -2,17 +2,18 @@
 
 Running sums, row numbers, last-value-before and next-value-after are window
 functions over one key's whole history, and a plain window puts that history
-in one task. Before planning, one aggregation over the key and the order column
-looks for keys with more than ``limit`` rows. Without any, the plan is the plain
-one: one exchange, one window. A hot key is cut into consecutive *cells* of its
-order column; the window then runs inside (key, cell), and a small table with
-one row per hot cell carries what earlier or later cells contribute.
-
-Only the hot keys' sizes come to the driver: at most rows / limit of them. They
-steer the cut and nothing else; any monotone cut gives the same, exact result,
-so recomputing a lost task cannot change it. The carry table has about
-``CELLS_PER_LIMIT`` rows per ``limit`` input rows of the hot keys and is
-broadcast on that bound.
+in one task. So a look at a hash sample of the rows finds the keys that hold
+more than about ``limit`` rows, and their quantiles by the whole order tuple:
+text, outliers and long runs of one value are cut alike. Each hot key falls
+into consecutive *cells* of about an eighth of ``limit``; the window then runs
+inside (key, cell), and a table with one row per hot cell carries what earlier
+or later cells contribute.
+
+The cuts are written to the shared folder, so all branches of a plan and all
+recomputed tasks see the same ones. Any cut gives the same result: sums of
+integers and decimals are exact; those of doubles may differ in the last digit.
+Neither table is collected, and Spark broadcasts them only where they are small.
+Only rows equal in all order columns stay together.
 """
 
 from __future__ import annotations
@@ -26,20 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lectern import session
+
 ROWS_PER_TASK = 2_000_000
 CELLS_PER_LIMIT = 8
-
-
-def _measure(df: DataFrame, name: str) -> Column | None:
-    """The order column as a number that grows with it, or None for strings."""
-    t = df.schema[name].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(t, T.NumericType):
-        return F.col(name).cast("double")
-    return None
+SAMPLE_PER_LIMIT = 256
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -49,102 +41,51 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     )
 
 
-def key_sizes(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Rows per key and the range of the order column, as a combining aggregate."""
-    return df.select(*keys, _measure(df, order).alias("__x")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"), F.max("__x").alias("hi")
-    )
-
-
-def _known(df: DataFrame, rows: list, schema: T.StructType) -> DataFrame:
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-
-
-def _share(x: Column, n: Column, lo: Column, hi: Column, limit: int) -> Column:
-    """Number of the equal-width cell of ``x``; grows with it."""
-    cells = F.ceil(n * CELLS_PER_LIMIT / F.lit(float(limit)))
-    at = F.floor((x - lo) / (hi - lo) * cells)
-    zero = F.lit(0).cast("long")
-    return F.when(x.isNull(), F.lit(-1).cast("long")).when(hi > lo, F.greatest(zero, F.least(at, cells - 1))).otherwise(zero)
-
-
-def _cut_keys(df: DataFrame, keys: Sequence[str], order: str, limit: int, given: DataFrame | None) -> DataFrame | None:
-    """Add ``__cell`` to the rows of keys above ``limit``, 0 elsewhere, and ``__hot``."""
-    tmp = [f"__g{i}" for i in range(len(keys))]
-    sizes = given if given is not None else key_sizes(df, keys, order)
-    sizes = sizes.where(F.col("n") > limit).select(
-        *[F.col(k).alias(t) for k, t in zip(keys, tmp)],
-        F.col("n").alias("__n"),
-        F.col("lo").cast("double").alias("__lo"),
-        F.col("hi").cast("double").alias("__hi"),
-    )
-    hot = sizes.collect()  # at most rows / limit
-    if not hot:
-        return None
-    cell = _share(_measure(df, order), F.col("__n"), F.col("__lo"), F.col("__hi"), limit)
-    is_hot = F.col("__n").isNotNull()
-    return df.join(_known(df, hot, sizes.schema), _same(keys, tmp), "left").select(
-        *df.columns,
-        F.when(is_hot, cell).otherwise(F.lit(0).cast("long")).alias("__cell"),
-        is_hot.alias("__hot"),
-    )
-
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, as a combining aggregate: a bound where ``df`` is cheaper than what is scanned."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
-def _cut_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame | None:
-    """Cut single values of the first order column that alone exceed ``limit``.
 
-    ``__tie`` is the largest such value up to the row's own, ``__past`` tells rows
-    beyond it, ``__part`` cuts the tied rows by the second order column.
-    """
-    groups = [*keys, "__cell"]
-    low = F.lit(float("-inf"))
-    x = F.coalesce(_measure(df, order[0]), low)
-    y = _measure(df, order[1])
-    tmp = [f"__g{i}" for i in range(len(groups))]
-    tied = (
-        df.where("__hot")
-        .select(*[F.col(g).alias(t) for g, t in zip(groups, tmp)], x.alias("x"), y.alias("y"))
-        .groupBy(*tmp, "x")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
-        .where(F.col("n") > limit)
-        .groupBy(*tmp)
-        .agg(F.collect_list(F.struct("x", "n", "lo", "hi")).alias("__ties"))
-    )
-    rows = tied.collect()  # at most rows / limit tied values
-    if not rows:
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, sizes: DataFrame | None) -> DataFrame | None:
+    """(keys as __g*, __cuts): quantiles of the order tuple of each hot key, or None without hot keys."""
+    if sizes is not None and sizes.where(F.col("n") > limit).isEmpty():
         return None
-    h = F.array_max(F.filter("__ties", lambda e: e["x"] <= x))
-    return (
-        df.join(_known(df, rows, tied.schema), _same(groups, tmp), "left")
-        .withColumn("__h", h)
-        .select(
-            *df.columns,
-            F.coalesce("__h.x", low).alias("__tie"),
-            F.coalesce(x > F.col("__h.x"), F.lit(False)).alias("__past"),
-            F.when(x == F.col("__h.x"), _share(y, F.col("__h.n"), F.col("__h.lo"), F.col("__h.hi"), limit))
-            .otherwise(F.lit(0).cast("long"))
-            .alias("__part"),
-        )
-    )
+    tmp = [f"__g{i}" for i in range(len(keys))]
+    every = max(1, limit // SAMPLE_PER_LIMIT)
+    stride = max(1, limit // (every * CELLS_PER_LIMIT))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    seen = df.where(F.pmod(F.xxhash64(*plain), F.lit(every)) == 0) if every > 1 else df
+    seen = seen.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)], F.struct(*order).alias("at"))
+    hot = seen.groupBy(*tmp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * every > limit)
+    hot = hot.select(*[F.col(t).alias(f"{t}h") for t in tmp])
+    of_hot = seen.join(hot, _same(tmp, [f"{t}h" for t in tmp]), "left_semi")
+    place = F.row_number().over(Window.partitionBy(*tmp).orderBy("at"))
+    ends = of_hot.withColumn("n", place).where(F.col("n") % stride == 0)
+    found = ends.groupBy(*tmp).agg(F.array_sort(F.collect_set("at")).alias("__cuts"))
+    path = session.new_path(df.sparkSession, "cuts")
+    found.write.parquet(path)
+    cuts = df.sparkSession.read.schema(found.schema).parquet(path)
+    return None if cuts.isEmpty() else cuts
+
+
+def _cell(at: Column, cuts: Column) -> Column:
+    """Number of cuts at or below ``at``: first among every so many of the sorted cuts, then between two of those."""
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(cuts))).cast("int"))
+    coarse = F.filter(F.sequence(F.lit(1), F.size(cuts), width), lambda i: F.get(cuts, i - 1) <= at)
+    start = F.greatest(F.lit(1), F.array_max(coarse))
+    fine = F.size(F.filter(F.slice(cuts, start, width), lambda c: c <= at))
+    return F.when(F.size(coarse) == 0, F.lit(0)).otherwise(start - 1 + fine).cast("long")
 
 
 def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """Cut hot keys; returns the rows and the names of the cell columns added.
-
-    The first order column cuts hot keys into consecutive cells. A single value
-    of it that alone exceeds ``limit``, as with very many rows at one instant, is
-    cut by the second order column. Text columns do not cut.
-    """
-    if _measure(df, order[0]) is None:
-        return df, []
-    cut = _cut_keys(df, keys, order[0], limit, sizes)
-    if cut is None:
+    """Cut hot keys into consecutive cells; returns the rows and the names of the cell columns added."""
+    cuts = _cuts(df, keys, order, limit, sizes)
+    if cuts is None:
         return df, []
-    if len(order) > 1 and _measure(df, order[1]) is not None:
-        ties = _cut_ties(cut, keys, order, limit)
-        if ties is not None:
-            return ties, ["__cell", "__tie", "__past", "__part"]
-    return cut, ["__cell"]
+    tmp = [f"__g{i}" for i in range(len(keys))]
+    is_hot = F.col("__cuts").isNotNull()
+    cell = F.when(is_hot, _cell(F.struct(*order), F.col("__cuts"))).otherwise(F.lit(0).cast("long"))
+    return df.join(cuts, _same(keys, tmp), "left").select(*df.columns, cell.alias("__cell"), is_hot.alias("__hot")), ["__cell"]
 
 
 @dataclass
@@ -178,9 +119,8 @@ def scan(
 ) -> DataFrame:
     """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
 
-    ``sizes`` (keys, n, lo, hi of the first order column) saves the look at
-    ``df`` where the sizes, or upper bounds of them, are known from something
-    cheaper than ``df`` itself.
+    ``sizes`` (keys, n) saves the look at ``df`` where upper bounds of the rows
+    per key are known from something cheaper and none is above ``limit``.
 
     Looking ahead is done by sorting the other way round: a frame that ends at
     the last row of the partition would be computed afresh for every row.
@@ -260,7 +200,7 @@ def scan(
         *[carried(kind, out).alias(f"__b_{kind}_{out}") for kind, out in folds],
         *[F.lead(f"__a_lead_{out}").over(cell_part.orderBy(*ctmp)).alias(f"__b_lead_{out}") for out in what.lead],
     )
-    joined = windowed.join(F.broadcast(carry), _same(keys + cells, tmp + ctmp), "left")
+    joined = windowed.join(carry, _same(keys + cells, tmp + ctmp), "left")
 
     def combined(kind: str, out: str) -> Column:
         a, b = F.col(f"__l_{kind}_{out}"), F.col(f"__b_{kind}_{out}")

@@ -1,4 +1,7 @@
-"""Whole journeys put together from the operators, each one lazy plan."""
+"""Whole journeys put together from the operators.
+
+Planning an ordered scan looks at a sample of its rows and writes its cut table.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +28,7 @@ def next_topics(topics: DataFrame, results: DataFrame, playlist_items: DataFrame
 
 def align_videos(words: DataFrame, candidates: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Scene candidates and spoken words -> slides with text and pace."""
-    sizes = key_sizes(candidates, [key], "ts_s")
+    sizes = key_sizes(candidates, [key])
     scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key, sizes=sizes)
     slides = align.slide_text(scenes, words, key)
     return align.slide_pace(slides, words, key)

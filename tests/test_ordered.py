@@ -5,10 +5,11 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lectern.operators import align, catalog, opslog
-from lectern.plans.ordered import Scan, first_rows, number_rows, scan
+from lectern.plans.ordered import Scan, first_rows, number_rows, scan, with_cells
 
 BIG = 10**9
 
@@ -134,3 +135,22 @@ def test_round_robin_and_sessions_do_not_depend_on_the_cut(spark):
 def test_number_rows_counts_every_row_once(spark):
     got = [r["n"] for r in number_rows(frame(spark, 9).where("k = 'hot'"), ["k"], ["t", "id"], "n", 7).collect()]
     assert sorted(got) == list(range(1, len(got) + 1))
+
+
+@pytest.mark.parametrize("case", ["outlier", "text", "ties"])
+def test_cells_are_bounded_and_cut_nothing_wrong(spark, case):
+    n, limit = 20_000, 1000
+    at = {
+        "outlier": F.when(F.col("id") == 5, F.lit(0)).otherwise(1_700_000_000 + F.col("id")),
+        "text": F.sha2(F.col("id").cast("string"), 256),
+        "ties": F.lit("one instant"),
+    }[case]
+    df = spark.range(n).select(F.lit("hot").alias("k"), at.alias("t"), "id").unionByName(
+        spark.range(50).select(F.lit("cold").alias("k"), F.first("id").over(Window.partitionBy("id")).cast(dict(outlier="int", text="string", ties="string")[case]).alias("t"), "id")
+    )
+    cut, cells = with_cells(df, ["k"], ["t", "id"], limit)
+    sizes = cut.groupBy("k", *cells).count().collect()
+    assert cells and max(r["count"] for r in sizes) <= limit
+    assert [r["count"] for r in sizes if r["k"] == "cold"] == [50]
+    what = Scan(sums={"s": F.col("id")}, row_number="rn")
+    assert scan(df, ["k"], ["t", "id"], what, limit).exceptAll(scan(df, ["k"], ["t", "id"], what, BIG)).isEmpty()
