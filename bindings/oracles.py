@@ -517,3 +517,14 @@ ORACLES: dict[str, str] = {
         SELECT 1 FROM events WHERE event_type = 'purchase' AND user_id = s.stream AND CAST(ts + {IST} AS DATE) = s.local_day AND ts <= s.slot_at + INTERVAL 60 SECOND)""",
     "stream_dedup": f"SELECT DISTINCT user_id AS stream, CAST(ts + {IST} AS DATE) AS local_day FROM events WHERE event_type = 'purchase'",
 }
+
+# --- journeys, put together from the queries above ---
+ORACLES |= {
+    "find_topics_by_terms": ORACLES["find_topics"].split(" WHERE ")[0]
+    + " WHERE EXISTS (SELECT 1 FROM part WHERE contains(topic, lower(substr(p_type, 1, 4))))",
+    "stream_errors": "SELECT * EXCLUDE (event_id) FROM (" + ORACLES["parse_error_log"] + ")",
+    "publish_metadata": f"""SELECT * FROM ({ORACLES["plan_titles"]}) JOIN ({ORACLES["describe_topics"]}) USING (topic_id)
+        JOIN ({ORACLES["fit_tags"].replace("used <= 200", "used <= 495")}) USING (topic_id)""",
+    "next_topics": f"""SELECT * REPLACE ('J' || (parent_id % 50) AS stream) FROM ({ORACLES["split_topics"]})
+        WHERE parent_id IN (SELECT min(c_custkey) FROM customer GROUP BY c_custkey % 50)""",
+}

@@ -194,6 +194,12 @@ def find_topics(spark, d):
     return catalog.find_topics(V.catalog_topics(spark, d), ["ring", "hot", "blue bo"])
 
 
+@query
+def find_topics_by_terms(spark, d):
+    terms = V.table(spark, d, "part").select(F.lower(F.substring("p_type", 1, 4)).alias("term"))
+    return catalog.find_topics_by_terms(V.catalog_topics(spark, d), terms)
+
+
 @query
 def reset_topics(spark, d):
     t = V.topics(spark, d)
@@ -307,6 +313,14 @@ def split_topics(spark, d):
     return strategy.split_topics(decided, V.playlist_items(spark, d))
 
 
+@query
+def next_topics(spark, d):
+    """Journey: next pending topic of each stream, decided and split."""
+    k = F.col("topic_id")
+    t = V.customer_topics(spark, d).withColumns({"stream": F.concat(F.lit("J"), (k % 50).cast("string")), "status": F.lit(rules.PENDING), "created_time": k})
+    return produce.next_topics(t, V.results(spark, d), V.playlist_items(spark, d))
+
+
 @query
 def fill_transcripts(spark, d):
     docs = V.documents(spark, d)
@@ -622,6 +636,16 @@ def fit_tags_long(spark, d):
     return metadata.fit_tags(rows, "shelf").select("shelf", F.array_join("tags", "|").alias("tags"), "used")
 
 
+@query
+def publish_metadata(spark, d):
+    """Journey: title, description and tags of every topic."""
+    m = produce.publish_metadata(V.catalog_topics(spark, d))
+    return m.select(
+        "topic_id", "formula", "title", F.md5("description").alias("description_md5"), F.length("description").cast("bigint").alias("chars"),
+        F.array_join("tags", "|").alias("tags"), F.size("tags").alias("n_tags"),
+    )
+
+
 def _names(spark, d):
     joint = F.element_at(F.array(F.lit(" "), F.lit("-"), F.lit("/"), F.lit("  ")), (F.col("p_size") % 4 + 1).cast("int"))
     return V.table(spark, d, "part").select("p_partkey", F.concat_ws("", F.replace("p_name", F.lit(" "), joint), F.lit(" "), F.upper("p_type")).alias("name"))
@@ -767,6 +791,16 @@ def stream_logs(spark, d):
     return io.drain(stream_logs_job.stream_logs(src.select("event_id", msg.alias("message"))), "logs")
 
 
+@query
+def stream_errors(spark, d):
+    """The error log as text files, read as a stream."""
+    e = V.events(spark, d)
+    line = F.concat(F.lit("["), _iso("ts"), F.lit("] ["), F.upper("event_type"), F.lit("] user "), text("user_id"), F.lit(": "), "props")
+    path = session.new_path(spark, "error-log")
+    e.select(F.when(F.col("event_type") == "click", F.concat(F.lit("no brackets "), text("event_id"))).otherwise(line).alias("value")).write.text(path)
+    return plain_times(io.drain(logs_src.read_error_stream(spark, path), "errors"))
+
+
 @query
 def stream_daily(spark, d):
     return io.drain(daily.stream_daily(_event_stream(spark, d), "event_type", V.cents(F.col("value"))), "daily")

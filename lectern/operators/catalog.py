@@ -23,6 +23,20 @@ def find_topics(topics: DataFrame, terms: Sequence[str], column: str = "topic")
     return topics.where(reduce(lambda a, b: a | b, [F.col(column).contains(t) for t in terms], F.lit(False)))
 
 
+def find_topics_by_terms(topics: DataFrame, terms: DataFrame, key: str = "topic_id", column: str = "topic", width: int = 3) -> DataFrame:
+    """Topics containing any term of a table (term), case-sensitive.
+
+    A term can only be in texts that hold its first ``width`` letters (all of a
+    shorter term), so both sides meet on such pieces and pairs are then verified.
+    """
+    t = terms.where(F.length("term") > 0).select("term", F.substring("term", 1, width).alias("piece")).distinct()
+    at = F.sequence(F.lit(1), F.length(column))
+    pieces = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.substr(F.col(column), i, n))))
+    held = topics.where(F.length(column) > 0).select(key, column, F.explode(F.array_distinct(pieces)).alias("piece"))
+    found = held.join(t, "piece").where(F.col(column).contains(F.col("term"))).select(key).distinct()
+    return topics.join(found, key, "left_semi")
+
+
 def reset_topics(topics: DataFrame) -> DataFrame:
     """Every topic back to Pending; ``changed`` marks the rows this touched."""
     changed = ~F.col("status").eqNullSafe(F.lit(rules.PENDING))
