@@ -10,15 +10,24 @@ from lectern.functions import text as X
 from lectern.functions.arrays import open_rows
 from lectern.functions.num import ms
 from lectern.functions.time import instant
-from lectern.plans.spread import spread
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt over the cores of a local session.
+
+    The given tables are one row group each, which a local session would read and
+    work in one task. Tables on a cluster have splits enough and are left as they are.
+    """
+    context = df.sparkSession.sparkContext
+    return df.repartition(context.defaultParallelism) if context.master.startswith("local[") else df
+
+
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "documents"))
+    return dealt(table(spark, d, "documents"))
 
 
 def status_of(flag: Column) -> Column:
@@ -46,7 +55,7 @@ def topics(spark: SparkSession, d: str) -> DataFrame:
 
 def catalog_topics(spark: SparkSession, d: str) -> DataFrame:
     """Parts as topics of one stream."""
-    return spread(table(spark, d, "part")).select(
+    return dealt(table(spark, d, "part")).select(
         F.col("p_partkey").alias("topic_id"),
         F.lit("catalog").alias("stream"),
         F.col("p_brand").alias("subject"),
