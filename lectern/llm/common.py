@@ -29,7 +29,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
     """Hand texts to Python in batches of a bounded size, however long they are."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return spark
 
 

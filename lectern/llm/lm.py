@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import stored, table, whole
 from lectern.llm.shingles import split_words
 
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 SCORED = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, score double, rare array<long>"
 
 

@@ -215,4 +215,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_warc": op6_warc}
-SQL: dict[str, str] = {}
+SQL = {
+    "op6_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM k"""
+}
