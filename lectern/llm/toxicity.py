@@ -62,7 +62,8 @@ class Classifier:
     """
 
     def __init__(self, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, swap: float = 5.0, l1: float = 0.012, l2: float = 1e-6, least: int = 5, epochs: int = 20, batch: int = 256, rate: float = 0.05, seed: int = 3):
-        self.groups = [np.array([cell(w) for w in g]) for g in groups]
+        # A term brings its word and its stems; the word tells a mention.
+        self.groups = [[(cell(w), features(w)) for w in g] for g in groups]
         self.swap, self.l1, self.l2, self.least, self.epochs, self.batch, self.rate, self.seed = swap, l1, l2, least, epochs, batch, rate, seed
         self.w, self.bias = np.zeros(CELLS), 0.0
 
@@ -75,9 +76,13 @@ class Classifier:
         self.bias = float(np.log(prior / (1 - prior)))
         # The cells of at least ``least`` sentences and of the terms, numbered densely.
         found, times = np.unique(np.concatenate(cells), return_counts=True)
-        seen = np.unique(np.concatenate([found[times >= self.least], *self.groups]))
+        seen = np.unique(np.concatenate([found[times >= self.least], *[c for g in self.groups for _, c in g]]))
         place = [np.searchsorted(seen, c[np.isin(c, seen, assume_unique=True)]) for c in cells]
-        groups = [np.searchsorted(seen, g) for g in self.groups]
+        groups = []
+        for g in self.groups:
+            own = [np.searchsorted(seen, c) for _, c in g]
+            sizes = [len(c) for c in own]
+            groups.append((np.searchsorted(seen, [w for w, _ in g]), np.concatenate(own), np.repeat(np.arange(len(g)), sizes)))
         w, bias = np.zeros(len(seen)), self.bias
         m, v, mb, vb, step = np.zeros(len(seen)), np.zeros(len(seen)), 0.0, 0.0, 0
         for epoch in range(self.epochs):
@@ -90,12 +95,12 @@ class Classifier:
                 z = bias + np.bincount(owner, weights=w[flat], minlength=len(rows))
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
                 g = np.bincount(flat, weights=error[owner], minlength=len(seen)) + self.l2 * w
-                for group in groups:
-                    # Mentions of the group's terms in this batch; a swap changes the score by the terms' difference.
-                    times = np.array([(flat == t).sum() for t in group], dtype=float) + 1.0 / n
-                    x = w[group]
-                    apart = x - x.mean()
-                    np.add.at(g, group, self.swap * times / len(rows) * (apart + x))
+                mentions = np.bincount(flat, minlength=len(seen))
+                for word, own, term in groups:
+                    # A swap changes the score by the difference of two terms, leaving one out by its own part.
+                    x = np.bincount(term, weights=w[own], minlength=len(word))
+                    push = self.swap * (mentions[word] + 1.0 / n) / len(rows) * (x - x.mean() + x)
+                    np.add.at(g, own, push[term])
                 step += 1
                 m = 0.9 * m + 0.1 * g
                 v = 0.999 * v + 0.001 * g * g
