@@ -114,9 +114,9 @@ def mix(
     w = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = stored(sums.withColumn("ahead", F.coalesce(F.sum("s").over(w), F.lit(0))), "mix-slices")
     known = placed.join(sums, [*keys, "slice"])
-    inside = (F.col("ahead") < F.col("rest")) & (F.col("ahead") + F.col("s") > F.col("rest"))
+    inside = (F.col("ahead") < F.col("rest")) & (F.col("ahead") + F.col("s") >= F.col("rest"))
     out = ["doc_id", *keys, "n_tokens", "passes"]
-    clear = known.where(~inside).select(*out, ((F.col("ahead") + F.col("s") <= F.col("rest")) & (F.col("rest") > 0)).alias("more"))
+    clear = known.where(~inside).select(*out, (F.col("ahead") + F.col("s") < F.col("rest")).alias("more"))
     same = Window.partitionBy(*keys, "slice").orderBy("pos", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     cut = known.where(inside).withColumn("so_far", F.col("ahead") + F.coalesce(F.sum("n_tokens").over(same), F.lit(0)))
     cut = cut.select(*out, (F.col("so_far") < F.col("rest")).alias("more"))
@@ -139,5 +139,41 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, weights=WEIGHTS)
 
 
+def _level_sql(depth: int) -> str:
+    """One level of budgets: b<depth> from b<depth - 1>."""
+    names = ("domain", "lang", "source")
+    up, own = ", ".join(names[: depth - 1]) or "1", ", ".join(names[:depth])
+    told = " ".join(
+        "WHEN " + " AND ".join(f"{n} = '{v}'" for n, v in zip(names, path, strict=False)) + f" THEN {w}::DOUBLE" for path, w in WEIGHTS.items() if len(path) == depth
+    )
+    weight = f"CASE {told} ELSE 1.0::DOUBLE END" if told else "1.0::DOUBLE"
+    parent = f"JOIN b{depth - 1} USING ({up})" if depth > 1 else "CROSS JOIN b0"
+    return f"""
+n{depth} AS (SELECT {own}, sum(tokens)::DOUBLE * 2 AS room, {weight} AS weight FROM leaves GROUP BY {own}),
+f{depth} AS (SELECT n{depth}.*, budget AS given, room / weight AS ratio FROM n{depth} {parent} WHERE weight > 0 AND room > 0),
+g{depth} AS (SELECT *, coalesce(sum(room) OVER w, 0) AS used, sum(weight) OVER (PARTITION BY {up}) - coalesce(sum(weight) OVER w, 0) AS light
+  FROM f{depth} WINDOW w AS (PARTITION BY {up} ORDER BY ratio, {names[depth - 1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h{depth} AS (SELECT *, ratio * light <= greatest(given - used, 0) AS fits FROM g{depth}),
+r{depth} AS (SELECT *, arg_min((given - used) / light, used) FILTER (NOT fits) OVER (PARTITION BY {up}) AS rate FROM h{depth}),
+b{depth} AS (SELECT {own}, CASE WHEN rate IS NULL THEN room ELSE least(room, rate * weight) END AS budget FROM r{depth})"""
+
+
 QUERIES = {"op8_source_mixing": op8_source_mixing}
-SQL: dict[str, str] = {}
+SQL = {
+    "op8_source_mixing": f"""
+WITH d AS (
+  SELECT doc_id, CASE WHEN regexp_matches(coalesce(source, ''), '[13579]$') THEN 'odd' ELSE 'even' END AS domain, lang, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+b0 AS (SELECT sum(tokens)::DOUBLE * 0.5 AS budget FROM leaves),{_level_sql(1)},{_level_sql(2)},{_level_sql(3)},
+plan AS (
+  SELECT domain, lang, source, tokens, coalesce(budget, 0) AS budget,
+         CASE WHEN coalesce(budget, 0) > 0 THEN CAST(floor(budget / tokens) AS BIGINT) ELSE 0 END AS passes
+  FROM leaves LEFT JOIN b3 USING (domain, lang, source)),
+o AS (
+  SELECT d.*, passes, CASE WHEN tokens > 0 THEN budget - passes * tokens ELSE 0 END AS rest, md5('7:' || passes || ':' || doc_id) AS pos
+  FROM d JOIN plan USING (domain, lang, source)),
+c AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY pos, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far FROM o)
+SELECT doc_id, domain, lang, source, n_tokens, passes + CAST(so_far < rest AS BIGINT) AS copies FROM c"""
+}
