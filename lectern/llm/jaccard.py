@@ -17,7 +17,7 @@ EMITTED = "doc_id long, n long, rare long, tokens array<long>, kinds array<int>,
 # Shingles whose hash lies below this share of the range are counted exactly.
 COUNTED_SHARE = 0.25
 HEAVY = 50_000
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 
 def _profile(batches, k: int):
@@ -103,6 +103,67 @@ def _similar(batches, k: int, percent: int):
         yield frame.loc[ok, ["a", "b"]]
 
 
+def _within(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (i, j) between left and right sets, or among all where none is right, as a spanning forest."""
+    n = len(sets)
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
+    found, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[at]
+    row, col = owner[keep], column[at[keep]]
+    both = np.zeros((n, n), dtype=np.float32)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    width = 8_192
+    for start in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(col, [start, start + width])
+        part = np.zeros((n, min(width, int(shared.sum()) - start)), dtype=np.float32)
+        part[row[a:b], col[a:b] - start] = 1
+        both += part @ part.T
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    both = both.astype(np.int64)
+    ok = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    if not left.all():
+        ok &= left[:, None] & ~left[None, :]
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    edges = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(ok)), strict=True):
+        a, b = find(i), find(j)
+        if a != b:
+            root[a] = b
+            edges.append((i, j))
+    return edges
+
+
+def _tiles(batches, k: int, percent: int):
+    """Links inside each run of rows of one (cluster, i, j)."""
+    at, ids, left, sets = None, [], [], []
+
+    def links():
+        found = _within(sets, np.array(left), percent) if len(ids) > 1 else []
+        return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"], dtype="int64")
+
+    for frame in batches:
+        for cluster, i, j, doc_id, side, text in frame[["cluster", "i", "j", "doc_id", "left", "text"]].itertuples(index=False, name=None):
+            if (cluster, i, j) != at:
+                if len(ids) > 1:
+                    yield links()
+                at, ids, left, sets = (cluster, i, j), [], [], []
+            ids.append(doc_id)
+            left.append(side)
+            sets.append(shingle_set(text, k))
+    if len(ids) > 1:
+        yield links()
+
+
 def _size_fits(n: Column, m: Column, percent: int) -> Column:
     return (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
 
@@ -185,9 +246,27 @@ class ShingleJoin:
         full = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
         return stored(full.mapInPandas(lambda it: _similar(it, k, percent), "a long, b long"), "links")
 
-    def labelled(self, prefixes: DataFrame, edges: DataFrame) -> DataFrame:
-        """Prefixes with their component so far, only of shingles that still touch two."""
+    def in_clusters(self, members: DataFrame, texts: DataFrame, chunk: int = 256) -> DataFrame:
+        """Links between the members (doc_id, cluster) of each cluster, verified on whole texts.
+
+        A cluster is cut into chunks of about ``chunk`` documents and a task's
+        unit is a pair of chunks, which returns a spanning forest of its links.
+        """
+        k, percent = self.k, self.percent
+        sizes = stored(members.groupBy("cluster").agg(F.ceil(F.count("*") / chunk).cast("int").alias("k")), "cluster-sizes")
+        c = F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int")
+        placed = members.join(sizes, "cluster").withColumn("c", c)
+        tiles = placed.select("doc_id", "cluster", "c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
+        tiles = tiles.select("doc_id", "cluster", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") <= F.col("o")).alias("left"))
+        full = stored(tiles, "cluster-tiles").join(texts, "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id")
+        return stored(full.mapInPandas(lambda it: _tiles(it, k, percent), "a long, b long"), "links")
+
+    def labelled(self, prefixes: DataFrame, edges: DataFrame, clusters: list[DataFrame]) -> DataFrame:
+        """Prefixes with their component and clusters so far, only of shingles that still touch two components."""
         c = stored(components(edges), "components-so-far")
+        for n, members in enumerate(clusters):
+            own = members.select("doc_id", F.col("cluster").alias(f"c{n}"))
+            prefixes = prefixes.join(own, "doc_id", "left").withColumn(f"c{n}", F.coalesce(f"c{n}", "doc_id"))
         p = prefixes.join(c.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
         p = stored(p, "labelled-prefixes")
         open_tokens = p.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
@@ -196,25 +275,29 @@ class ShingleJoin:
     def edges(self, classes: DataFrame) -> DataFrame:
         """Links between representatives that join every component, each verified on whole texts.
 
-        First, twice, every document is held against one likely partner: of the
-        leaders of its shingles' lists, the one it meets most often. That takes
-        a pair per document and joins the large groups. Then only pairs across
-        the components found so far are generated and counted, so a group of
-        near copies never turns into all its pairs.
+        First, twice, documents are clustered: each goes to the leader it meets
+        most often among those of its shingles' lists, and a cluster is verified
+        in pairs of chunks, without a row per pair. Then only pairs across the
+        components and clusters are generated and counted, so a group of near
+        copies never turns into all its pairs.
         """
         prefixes = self.postings(classes)
         live = stored(prefixes.select("doc_id").distinct(), "live")
-        texts = stored(self.docs.join(live, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "live-texts")
+        texts = stored(self.docs.join(live, "doc_id", "left_semi"), "live-texts")
         edges = self.spark.createDataFrame([], "a long, b long")
+        clusters: list[DataFrame] = []
         open_ones = prefixes.withColumn("comp", F.col("doc_id"))
         for turn in range(2):
             rank = F.xxhash64("comp", F.lit(turn)) if turn else F.col("comp")
-            lead = F.min(F.struct(rank.alias("rank"), "doc_id", "comp"))
-            leaders = stored(open_ones.groupBy("token").agg(lead.alias("lead")).select("token", F.col("lead.doc_id").alias("b"), F.col("lead.comp").alias("of")), "leaders")
-            meets = open_ones.join(leaders, "token").where("comp <> of").groupBy(F.col("doc_id").alias("a"), "b").agg(F.count("*").alias("times"))
-            best = meets.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-            edges = edges.unionByName(self.verified(stored(best, "best-leaders"), texts))
-            open_ones = stored(self.labelled(prefixes, edges), "open-prefixes")
+            lead = F.min(F.struct(rank.alias("rank"), "doc_id", "comp", "n"))
+            leaders = stored(open_ones.groupBy("token").agg(lead.alias("lead")).select("token", F.col("lead.doc_id").alias("b"), F.col("lead.comp").alias("of"), F.col("lead.n").alias("size")), "leaders")
+            meets = open_ones.join(leaders, "token").where((F.col("comp") != F.col("of")) & _size_fits(F.col("n"), F.col("size"), self.percent)).groupBy(F.col("doc_id").alias("a"), "b").agg(F.count("*").alias("times"))
+            best = stored(meets.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")), "best-leaders")
+            members = best.select(F.col("a").alias("doc_id"), F.col("b").alias("cluster"))
+            clusters.append(members)
+            heads = best.select(F.col("b").alias("doc_id"), F.col("b").alias("cluster")).distinct()
+            edges = edges.unionByName(self.in_clusters(members.unionByName(heads), texts))
+            open_ones = stored(self.labelled(prefixes, edges, clusters), "open-prefixes")
         x, y = open_ones.alias("x"), open_ones.alias("y")
         ahead = F.least(F.col("x.pos"), F.col("y.pos"))
         after = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
@@ -222,6 +305,8 @@ class ShingleJoin:
         cond = (
             (F.col("x.token") == F.col("y.token"))
             & (F.col("x.comp") < F.col("y.comp"))
+            & (F.col("x.c0") != F.col("y.c0"))
+            & (F.col("x.c1") != F.col("y.c1"))
             & _size_fits(F.col("x.n"), F.col("y.n"), self.percent)
             & ((100 + self.percent) * (ahead + after) >= least)
         )
