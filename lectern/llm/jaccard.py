@@ -104,7 +104,7 @@ def _similar(batches, k: int, percent: int):
 
 
 def _within(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links (i, j) between left and right sets, or among all where none is right, as a spanning forest."""
+    """What links between left and right sets, or among all where none is right, connect: (i, least of its group)."""
     n = len(sets)
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
     found, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
@@ -134,13 +134,10 @@ def _within(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tupl
             i = root[i]
         return i
 
-    edges = []
     for i, j in zip(*(x.tolist() for x in np.nonzero(ok)), strict=True):
         a, b = find(i), find(j)
-        if a != b:
-            root[a] = b
-            edges.append((i, j))
-    return edges
+        root[max(a, b)] = min(a, b)
+    return [(i, find(i)) for i in range(n) if find(i) != i]
 
 
 def _tiles(batches, k: int, percent: int):
@@ -250,7 +247,8 @@ class ShingleJoin:
         """Links between the members (doc_id, cluster) of each cluster, verified on whole texts.
 
         A cluster is cut into chunks of about ``chunk`` documents and a task's
-        unit is a pair of chunks, which returns a spanning forest of its links.
+        unit is a pair of chunks, which returns each linked document with the
+        smallest one its links reach there, so components settle in few rounds.
         """
         k, percent = self.k, self.percent
         sizes = stored(members.groupBy("cluster").agg(F.ceil(F.count("*") / chunk).cast("int").alias("k")), "cluster-sizes")
