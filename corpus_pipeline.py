@@ -16,7 +16,11 @@ from lectern.llm.common import bounded_batches, stored
 
 
 def _split(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of docs whose id is (left_semi) or is not (left_anti) among ``ids``."""
+    """Rows of docs whose id is (left_semi) or is not (left_anti) among ``ids``.
+
+    Ids whose number follows the input are asked for with a merge hint by the
+    caller, so that the plan is the same at every size.
+    """
     ids = ids.select(F.col("doc_id").alias("_id"))
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), how)
 
@@ -41,13 +45,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents connected by a Jaccard similarity of 0.8 or more on five-word shingles the smallest id stays."""
     found = jaccard.jaccard_components(docs, k=5, percent=80)
     gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-ids")
-    return _split(docs, gone, "left_anti")
+    return _split(docs, gone.hint("merge"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The part of each source that its weight asks for, taken at most once."""
     taken = mixing.mix(docs.withColumn("domain", mixing.domain()), weights=mixing.WEIGHTS, fraction=0.8, epochs=1)
-    return _split(docs, stored(taken.where("copies > 0").select("doc_id").distinct(), "mixed-ids"), "left_semi")
+    ids = stored(taken.where("copies > 0").select("doc_id").distinct(), "mixed-ids")
+    return _split(docs, ids.hint("merge"), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

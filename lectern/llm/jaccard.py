@@ -281,7 +281,7 @@ class ShingleJoin:
         """
         prefixes = self.postings(classes)
         live = stored(prefixes.select("doc_id").distinct(), "live")
-        texts = stored(self.docs.join(live, "doc_id", "left_semi"), "live-texts")
+        texts = stored(self.docs.join(live.hint("merge"), "doc_id", "left_semi"), "live-texts")
         edges = self.spark.createDataFrame([], "a long, b long")
         clusters: list[DataFrame] = []
         open_ones = prefixes.withColumn("comp", F.col("doc_id"))
