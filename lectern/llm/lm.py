@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import stored, table, whole
-from lectern.llm.shingles import split_words
+from lectern.llm.shingles import MIX, split_words
 
 CHUNK = 2_000_000
-SCORED = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, score double, rare array<long>"
+# The context of a text's first word, and the word after its last.
+START, END = 0, 1
+SCORED = "doc_id long, held_out boolean, row long, n_tokens long, n_done long, n_known long, base double, score double, pair array<long>, times array<long>, u array<long>, w array<long>"
 
 
 def held_out(id_col: str, parts: int) -> Column:
@@ -24,75 +26,40 @@ def _hashes(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
-def _counted(batches):
-    """Word counts of a stretch of texts at a time."""
-    held, size = [], 0
+def _with_context(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(word before, word) of each token of a text: START comes before the first word, END after the last."""
+    h = _hashes(text)
+    return np.concatenate([[START], h]), np.concatenate([h, [END]])
 
-    def counts():
-        words, n = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({"word": words, "c": n})
 
-    for frame in batches:
-        for text in frame["text"]:
-            held.append(_hashes(text))
-            size += len(held[-1])
-        if size >= CHUNK:
-            yield counts()
-            held, size = [], 0
-    if size:
-        yield counts()
+def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    x = u.view(np.uint64) * MIX
+    x ^= x >> np.uint64(29)
+    x = (x ^ w.view(np.uint64)) * MIX
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-class Symbols:
-    """The frequent words as numbers; other words are RARE, a text ends with END and begins in the state START.
+def _cells(batches):
+    """Counts of (context, word) of a stretch of texts at a time."""
+    held, size = [], 0
 
-    A word's context is the last frequent word before it.
-    """
+    def counts():
+        u, w = (np.concatenate(x) for x in zip(*held, strict=True))
+        _, at, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+        return pd.DataFrame({"u": u[at], "w": w[at], "c": n})
 
-    def __init__(self, frequent: np.ndarray):
-        self.words = np.sort(frequent)
-        self.rare = len(frequent)
-        self.end = self.start = self.rare + 1
-        self.size = self.rare + 2
-
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(context, symbol) of each token of a text, its end included."""
-        s = np.full(len(hashes) + 1, self.rare, dtype=np.int64)
-        if len(self.words) and len(hashes):
-            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-            s[:-1] = np.where(self.words[at] == hashes, at, self.rare)
-        s[-1] = self.end
-        last = np.maximum.accumulate(np.where(s[:-1] < self.rare, np.arange(len(hashes)), -1)) if len(hashes) else np.zeros(0, np.int64)
-        context = np.full(len(s), self.start, dtype=np.int64)
-        context[1:] = np.where(last >= 0, s[np.maximum(last, 0)], self.start) if len(hashes) else context[1:]
-        return context, s
-
-
-def _cells(batches, symbols: Symbols):
-    """Counts of (context, symbol), added up over the task; the table has a fixed size."""
-    total = np.zeros(symbols.size * symbols.size, dtype=np.int32)
-    held, size = [], 0
     for frame in batches:
         for text in frame["text"]:
-            u, s = symbols.of(_hashes(text))
-            held.append(u * symbols.size + s)
-            size += len(s)
+            held.append(_with_context(text))
+            size += len(held[-1][0])
             if size >= CHUNK:
-                np.add(total, np.bincount(np.concatenate(held), minlength=len(total)), out=total, casting="unsafe")
+                yield counts()
                 held, size = [], 0
     if size:
-        np.add(total, np.bincount(np.concatenate(held), minlength=len(total)), out=total, casting="unsafe")
-    at = np.flatnonzero(total)
-    yield pd.DataFrame({"u": at // symbols.size, "s": at % symbols.size, "c": total[at].astype(np.int64)})
-
-
-def discount(counts: np.ndarray) -> float:
-    """The usual estimate from the numbers of cells seen once and twice."""
-    one, two = float((counts == 1).sum()), float((counts == 2).sum())
-    return float(np.clip(one / (one + 2 * two) if one + two else 0.5, 0.05, 0.95))
+        yield counts()
 
 
-def seat(c: np.ndarray, p: np.ndarray, tables: float, theta: float, d: float, rng: np.random.Generator) -> np.ndarray:
+def seat(c: np.ndarray, p: np.ndarray, tables: float | np.ndarray, theta: float, d: float, rng: np.random.Generator) -> np.ndarray:
     """Tables that ``c`` customers of each dish open in one restaurant, seated one after the other.
 
     ``p`` is the parent's probability of the dish, ``tables`` the restaurant's
@@ -114,191 +81,200 @@ def seat(c: np.ndarray, p: np.ndarray, tables: float, theta: float, d: float, rn
     return np.minimum(t, c)
 
 
-def _reseat(sweep: int, parent: np.ndarray, tables: np.ndarray, theta: float, d: float, seed: int):
-    """Seats one context's customers, given the parent's probabilities and the last sweep's tables."""
+def _reseat(sweep: int, theta: float, d: float, seed: int):
+    """Seats cells (u, w, c) given the parent's probability ``p`` and their context's ``tables`` of the last sweep; adds the tables kept to ``kept``."""
 
-    def run(key, frame):
-        u, size = int(key[0]), len(parent)
-        s, c = frame["s"].to_numpy(), frame["c"].to_numpy()
-        t = seat(c, parent[s], float(tables[u]), theta, d, np.random.default_rng([seed, sweep, u]))
-        dense = np.zeros((2, size), dtype=np.int64)
-        dense[0, s], dense[1, s] = c, t.astype(np.int64)
-        return pd.DataFrame({"u": [u], "cells": [dense.tobytes()]})
+    def run(batches, keep: bool):
+        for frame in batches:
+            if len(frame):
+                rng = np.random.default_rng([seed, sweep, int(frame["u"].iloc[0]) & 0xFFFFFFFF, int(frame["w"].iloc[0]) & 0xFFFFFFFF])
+                t = seat(frame["c"].to_numpy(), frame["p"].to_numpy(), frame["tables"].to_numpy(), theta, d, rng).astype(np.int64)
+                yield pd.DataFrame({"u": frame["u"], "w": frame["w"], "c": frame["c"], "t": t, "kept": frame["kept"] + (t if keep else 0)})
 
     return run
 
 
-def predictive(c: np.ndarray, t: np.ndarray, p: np.ndarray, theta: float, d: float) -> np.ndarray:
-    return (c - d * t + (theta + d * t.sum(axis=-1, keepdims=True)) * p) / (theta + c.sum(axis=-1, keepdims=True))
-
-
 class PitmanYor:
-    """Restaurants: one per context, all with the parent of no context; and one that spells rare words.
-
-    Gibbs sweeps reseat each restaurant's customers given the tables of the
-    last sweep; the tables of all contexts are the parent's customers.
-    Predictive probabilities are averaged over the sweeps after ``burn_in``.
-    The contexts and symbols have a fixed number (``frequent`` + 2), so their
-    tables are bounded; counts of all words come from the whole corpus.
+    """Restaurants: one per context, which is the word before, all with the parent of no context.
+
+    Every word is a context and a dish. Gibbs sweeps reseat each cell's
+    customers given the tables of the last sweep; the tables of all contexts
+    are the parent's customers, and its base is uniform over the words and one
+    unknown word. Predictive probabilities are averaged over the sweeps after
+    ``burn_in``. A cell with one customer has one table in every sweep, so only
+    the others are seated again.
+
+    Cells, contexts and words are tables of one row each. Those of words that
+    make up 1 / ``listed`` of all tokens or more are looked up by a broadcast,
+    the others by a join in which none can be hot; ``listed_pairs`` is the same
+    for pairs of words when texts are scored. ``frequent`` is the size of
+    the extract ``symbol_probability`` only.
     """
 
-    def __init__(self, train: DataFrame, frequent: int = 1023, listed: int = 1 << 17, sweeps: int = 5, burn_in: int = 2, theta: float = 1.0, seed: int = 11):
-        self.spark, self.theta, self.seed = train.sparkSession, theta, seed
+    def __init__(self, train: DataFrame, frequent: int = 1023, listed: int = 1 << 17, sweeps: int = 5, burn_in: int = 2, theta: float = 1.0, seed: int = 11, listed_pairs: int = 1 << 19):
+        self.theta, self.seed, self.frequent = theta, seed, frequent
         self.sweeps, self.burn_in = sweeps, burn_in
-        self.vocab = stored(train.select("text").mapInPandas(_counted, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
-        n, kinds = self.vocab.agg(F.sum("c"), F.count("*")).first()
-        self.docs = train.count()
-        self.tokens = (n or 0) + self.docs
-        self.kinds = kinds + (1 if self.docs else 0)
-        # At most `listed` words hold 1 / listed of all tokens or more each.
-        often = self.vocab.where(F.col("c") >= max(1, self.tokens // listed)).orderBy(F.desc("c"), "word").limit(listed)
-        rows = often.collect()
-        self.often = np.array([r[0] for r in rows], dtype=np.int64)
-        self.often_c = np.array([r[1] for r in rows], dtype=np.int64)
-        self.symbols = Symbols(self.often[:frequent])
-        self._contexts(train)
-        self._rare()
-
-    def _contexts(self, train: DataFrame) -> None:
-        symbols, size, theta, seed = self.symbols, self.symbols.size, self.theta, self.seed
-        cells = train.select("text").mapInPandas(lambda it: _cells(it, symbols), "u long, s long, c long")
-        cells = stored(cells.groupBy("u", "s").agg(F.sum("c").alias("c")), "context-cells")
+        cells = train.select("text").mapInPandas(_cells, "u long, w long, c long")
+        cells = stored(cells.groupBy("u", "w").agg(F.sum("c").alias("c")), "context-cells")
+        once = F.count_if(F.col("c") == 1)
+        words = stored(cells.groupBy("w").agg(F.sum("c").alias("cw"), once.alias("ones")), "word-counts")
+        contexts = stored(cells.groupBy("u").agg(F.sum("c").alias("n"), once.alias("ones")), "contexts")
+        n, self.kinds = words.agg(F.sum("cw"), F.count("*")).first()
+        self.tokens = n or 0
+        edge = max(1, self.tokens // listed)
+        often = words.where(F.col("cw") >= edge).select("w").union(contexts.where(F.col("n") >= edge).select("u"))
+        self.often = stored(often.distinct(), "frequent-words")
+        self._sweep(cells, words, contexts)
+        hot = self.cells.where(F.col("c") >= max(1, self.tokens // listed_pairs)).select("pair", "logp", "cw").toArrow()
+        pair, logp, cw = (hot[x].to_numpy() for x in ("pair", "logp", "cw"))
+        order = np.argsort(pair)
+        self.hot = pair[order], logp[order], np.log10((cw[order] + 0.5) / self.total)
+
+    @property
+    def total(self) -> float:
+        return float(self.tokens + 0.5 * (self.kinds + 1))
+
+    def _look_up(self, rows: DataFrame, key: str, other: DataFrame) -> DataFrame:
+        """Left join on a word; the frequent ones by a broadcast."""
+        often = F.broadcast(self.often.select(F.col("w").alias(key)))
+        hot = rows.join(often, key).join(F.broadcast(other.join(often, key, "left_semi")), key, "left")
+        return hot.unionByName(rows.join(often, key, "left_anti").join(other, key, "left"))
+
+    def _sweep(self, cells: DataFrame, words: DataFrame, contexts: DataFrame) -> None:
+        theta, seed, base = self.theta, self.seed, 1.0 / (self.kinds + 1)
         ones, twos = cells.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
         d = float(np.clip(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05, 0.95))
-        base = np.full(size, 1.0 / size)
-        parent, tables = base, np.zeros(size)
-        self.symbol_probability = np.zeros((size, size))
-        parent_tables = np.zeros(size)
+        none = F.lit(0).cast("long")
+        many = cells.where("c > 1").select("u", "w", "c", none.alias("t"), none.alias("kept"))
+        src = many.withColumns({"p": F.lit(base), "tables": F.lit(0.0)})
+        opened, by_context, by_word, unknown = 0.0, [], [], []
         for sweep in range(self.sweeps):
-
-            seated = np.zeros(size)
-            new_tables = np.zeros(size)
-            sampled = []
-            for u, raw in cells.groupBy("u").applyInPandas(_reseat(sweep, parent, tables, theta, d, seed), "u long, cells binary").collect():
-                c, t = np.frombuffer(raw, dtype=np.int64).reshape(2, size)
-                seated += t
-                new_tables[u] = t.sum()
-                if sweep >= self.burn_in:
-                    sampled.append((u, c.astype(np.float64), t.astype(np.float32)))
-            tables = new_tables
-            rng = np.random.default_rng([seed, sweep, size])
-            d0 = discount(seated)
-            parent_tables = seat(seated.astype(np.int64), base, float(parent_tables.sum()), theta, d0, rng)
-            parent = predictive(seated, parent_tables, base, theta, d0)
-            if sweep >= self.burn_in:
-                p = np.tile(parent, (size, 1))
-                for u, c, t in sampled:
-                    p[u] = predictive(c, t, parent, theta, d)
-                self.symbol_probability += p / (self.sweeps - self.burn_in)
-
-    def _rare(self) -> None:
-        """The restaurant of rare words, base uniform over them and one unknown word."""
-        frequent = self.spark.createDataFrame(pd.DataFrame({"word": self.symbols.words}), "word long")
-        rare = self.vocab.join(F.broadcast(frequent), "word", "left_anti")
-        ones, twos, n, kinds = rare.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.sum("c"), F.count("*")).first()
-        n, kinds, theta, seed = float(n or 0), int(kinds), self.theta, self.seed
-        d = float(np.clip(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05, 0.95))
-        base, totals = 1.0 / (kinds + 1), [float(kinds)]
-
-        def seat_words(c, word, sweep):
-            """Tables of a batch of words, from seeds that depend on the batch and sweep only."""
-            return seat(c, np.full(len(c), base), totals[sweep], theta, d, np.random.default_rng([seed, sweep, int(word.iloc[0]) & 0xFFFFFFFF]))
-
-        def opened(batches, sweep):
+            keep = sweep >= self.burn_in
+            run = _reseat(sweep, theta, d, seed)
+            many = stored(src.mapInPandas(lambda it, run=run, keep=keep: run(it, keep), "u long, w long, c long, t long, kept long"), "seated")
+            tables = stored(contexts.select("u", F.col("ones").alias("t")).union(many.select("u", "t")).groupBy("u").agg(F.sum("t").cast("double").alias("tables")), "tables")
+            seated = stored(words.select("w", F.col("ones").alias("t")).union(many.select("w", "t")).groupBy("w").agg(F.sum("t").alias("c")), "parent-customers")
+            one, two, n = seated.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.sum("c")).first()
+            d0 = float(np.clip(one / (one + 2 * two) if one + two else 0.5, 0.05, 0.95))
+
+            def parents(batches, sweep=sweep, opened=opened, d0=d0):
+                for frame in batches:
+                    if len(frame):
+                        rng = np.random.default_rng([seed, sweep, int(frame["w"].iloc[0]) & 0xFFFFFFFF])
+                        c = frame["c"].to_numpy()
+                        yield frame.assign(t=seat(c, np.full(len(c), base), opened, theta, d0, rng))
+
+            parent = stored(seated.mapInPandas(parents, "w long, c long, t double"), "parent")
+            opened = float(parent.agg(F.sum("t")).first()[0] or 0.0)
+            rest = (theta + d0 * opened) * base
+            parent = parent.select("w", ((F.col("c") - d0 * F.col("t") + rest) / (theta + (n or 0))).alias("p"))
+            if keep:
+                by_context.append(tables)
+                by_word.append(parent)
+                unknown.append(rest / (theta + (n or 0)))
+            if sweep + 1 < self.sweeps:
+                src = self._look_up(self._look_up(many, "w", parent), "u", tables)
+        k = self.kept = len(unknown)
+        context, word = contexts.select("u", "n"), words.select("w", "cw")
+        for i in range(k):
+            context = context.join(by_context[i].select("u", (theta + d * F.col("tables")).alias(f"a{i}")), "u")
+            word = word.join(by_word[i].withColumnRenamed("p", f"p{i}"), "w")
+        # a: what a context leaves to its parent, in each sweep kept; p: the parent's probability of a word.
+        left = {f"a{i}": F.col(f"a{i}") / (theta + F.col("n")) for i in range(k)}
+        self.contexts, self.words, self.unknowns = stored(context.withColumns(left), "contexts-kept"), stored(word, "words-kept"), unknown
+        self.unknown = float(np.mean(unknown))
+        every = cells.where("c = 1").select("u", "w", "c", F.lit(k).cast("long").alias("kept")).unionByName(many.drop("t"))
+        own = (F.col("c") - d * F.col("kept") / k) / (theta + F.col("n"))
+        every = self._look_up(self._look_up(every, "w", self.words), "u", self.contexts)
+        self._own = every.select("u", "w", own.alias("own"))
+        every = every.select("u", "w", "c", "cw", F.log10(own + self._backed_off()).alias("logp"))
+
+        def paired(batches):
             for frame in batches:
-                if len(frame):
-                    yield pd.DataFrame({"t": [seat_words(frame["c"].to_numpy(), frame["word"], sweep).sum()]})
-
-        for sweep in range(self.sweeps):
-            made = rare.mapInPandas(lambda it, sweep=sweep: opened(it, sweep), "t double").agg(F.sum("t")).first()[0]
-            totals.append(float(made or 0.0))
-        # The tables that sweep number s leaves are totals[s + 1].
-        kept = range(self.burn_in, self.sweeps)
-        unknown = float(np.mean([(theta + d * totals[s + 1]) * base / (theta + n) for s in kept]))
-
-        def probabilities(batches):
-            for frame in batches:
-                c = frame["c"].to_numpy()
-                p = np.zeros(len(c))
-                for sweep in kept if len(c) else []:
-                    t = seat_words(c, frame["word"], sweep)
-                    p += (c - d * t + (theta + d * totals[sweep + 1]) * base) / (theta + n) / len(kept)
-                yield frame.assign(p=p)
-
-        self.rare_words = stored(rare.mapInPandas(probabilities, "word long, c long, p double"), "rare-words")
-        self.unknown = unknown
-        listed = set(self.often[len(self.symbols.words) :].tolist())
-        edge = int(self.often_c[-1]) if len(listed) else 0
-        rows = self.rare_words.where(F.col("c") >= edge).collect() if listed else []
-        rows = [r for r in rows if r[0] in listed]
-        rows.sort()
-        self.listed = np.array([r[0] for r in rows], dtype=np.int64)
-        self.listed_c = np.array([r[1] for r in rows], dtype=np.int64)
-        self.listed_p = np.array([r[2] for r in rows], dtype=np.float64)
+                yield pd.DataFrame({"pair": _pair(frame["u"].to_numpy(), frame["w"].to_numpy()), "c": frame["c"], "cw": frame["cw"], "logp": frame["logp"]})
+
+        self.cells = stored(every.mapInPandas(paired, "pair long, c long, cw long, logp double"), "scored-cells")
+
+    def _backed_off(self):
+        """The parent's part of a probability, averaged over the sweeps kept."""
+        parts = [F.coalesce(f"a{i}", F.lit(1.0)) * F.coalesce(f"p{i}", F.lit(p)) for i, p in enumerate(self.unknowns)]
+        return sum(parts[1:], parts[0]) / self.kept
+
+    @property
+    def rare_words(self) -> DataFrame:
+        """The parent's probability of each word."""
+        return self.words.select(F.col("w").alias("word"), F.col("cw").alias("c"), (sum(F.col(f"p{i}") for i in range(self.kept)) / self.kept).alias("p"))
+
+    @property
+    def symbol_probability(self) -> np.ndarray:
+        """An extract: probabilities of the most frequent words and, last, of all others, after each of the most frequent contexts."""
+        words = self.words.orderBy(F.desc("cw"), "w").limit(self.frequent).toPandas()
+        contexts = self.contexts.orderBy(F.desc("n"), "u").limit(self.frequent).toPandas()
+        a = contexts[[f"a{i}" for i in range(self.kept)]].to_numpy()
+        p = words[[f"p{i}" for i in range(self.kept)]].to_numpy()
+        sums = self.words.agg(*[F.sum(f"p{i}") for i in range(self.kept)]).first()
+        other = np.array(sums, dtype=np.float64) + np.array(self.unknowns) - p.sum(axis=0)
+        out = a @ np.vstack([p, other]).T / self.kept
+        row, col = ({x: i for i, x in enumerate(t)} for t in (contexts["u"].tolist(), words["w"].tolist()))
+        spark = self.words.sparkSession
+        shown = F.broadcast(spark.createDataFrame(pd.DataFrame({"u": list(row)}), "u long"))
+        dish = F.when(F.col("w").isin(list(col)), F.col("w"))
+        for u, w, own in self._own.join(shown, "u").groupBy("u", dish.alias("w")).agg(F.sum("own")).collect():
+            out[row[u], col[w] if w is not None else -1] += own
+        return out
 
     def score(self, docs: DataFrame) -> DataFrame:
         """docs (doc_id, held_out, text) -> doc_id, held_out, n_tokens, n_known, base_score, score.
 
-        Frequent and listed words are looked up in the task; only the others
-        are shuffled, and none of those can be hot.
+        Rows that are not held out are those the model was made from, whose
+        pairs all have a cell. Pairs that make up 1 / ``listed_pairs`` of all
+        tokens or more are looked up in the task; only the others are shuffled,
+        and none of those can be hot. A pair without a cell has its parent's probability.
         """
-        symbols = self.symbols
-        order = np.argsort(self.often[: len(symbols.words)], kind="stable")
-        n, v = self.tokens, self.kinds
-        base_of = lambda c: np.log10((np.asarray(c, dtype=np.float64) + 0.5) / (n + 0.5 * (v + 1)))
-        model = self.spark.sparkContext.broadcast(
-            (
-                np.log10(self.symbol_probability).astype(np.float64),
-                base_of(self.often_c[: len(symbols.words)][order]),
-                self.listed,
-                base_of(self.listed_c),
-                np.log10(self.listed_p),
-                float(base_of(self.docs)),
-                self.docs > 0,
-            )
-        )
+        model = self.words.sparkSession.sparkContext.broadcast(self.hot)
 
         def run(batches):
-            logp, base_sym, listed, base_listed, logp_listed, base_end, ended = model.value
+            listed, logp, logbase = model.value
             for frame in batches:
                 rows = []
                 for doc_id, out, row, text in zip(frame["doc_id"], frame["held_out"], frame["row"], frame["text"], strict=True):
-                    h = _hashes(text)
-                    u, s = symbols.of(h)
-                    score = float(logp[u, s].sum())
-                    often = s[:-1] < symbols.rare
-                    base = float(base_sym[s[:-1][often]].sum()) + base_end
-                    other = h[~often]
-                    known = int(often.sum()) + int(ended)
-                    if len(listed) and len(other):
-                        at = np.minimum(np.searchsorted(listed, other), len(listed) - 1)
-                        hit = listed[at] == other
-                        score += float(logp_listed[at[hit]].sum())
-                        base += float(base_listed[at[hit]].sum())
-                        known += int(hit.sum())
-                        other = other[~hit]
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), out, row, len(s), known, base, score, other))
-                made = pd.DataFrame(rows, columns=["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rare"])
+                    u, w = _with_context(text)
+                    pair, first, times = np.unique(_pair(u, w), return_index=True, return_counts=True)
+                    at = np.minimum(np.searchsorted(listed, pair), max(len(listed) - 1, 0))
+                    hit = listed[at] == pair if len(listed) else np.zeros(len(pair), dtype=bool)
+                    n = times[hit]
+                    score, base = (float((n * x[at[hit]]).sum()) for x in (logp, logbase))
+                    cold = ~hit
+                    uw = [x[first[cold]] if out else np.zeros(int(cold.sum()), dtype=np.int64) for x in (u, w)]
+                    done = int(n.sum())
+                    rows.append((None if pd.isna(doc_id) else int(doc_id), out, row, len(u), done, done, base, score, pair[cold], times[cold], *uw))
+                made = pd.DataFrame(rows, columns=[x.split()[0] for x in SCORED.split(", ")])
                 yield made.assign(doc_id=made["doc_id"].astype("Int64"))
 
         # Rows are numbered once and then stored, so that a row keeps its number.
         first = stored(docs.withColumn("row", F.monotonically_increasing_id()).mapInPandas(run, SCORED), "scores")
-        words = first.select("row", F.explode("rare").alias("word")).join(self.rare_words, "word", "left")
-        total = float(n + 0.5 * (v + 1))
-        p = F.coalesce("p", F.lit(self.unknown))
-        more = words.groupBy("row").agg(
-            F.count("c").alias("known2"),
-            F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(total))).alias("base2"),
-            F.sum(F.log10(p)).alias("score2"),
-        )
+        zipped = lambda *c: F.explode(F.arrays_zip(*c)).alias("x")
+        base = lambda c: F.log10((c + 0.5) / F.lit(self.total))
+        times = F.col("times")
+        sums = lambda known, base, score: [F.sum(times).alias("n"), F.sum(known).alias("known"), F.sum(times * base).alias("b"), F.sum(times * score).alias("s")]
+        cells = self.cells.select("pair", "cw", "logp")
+        seen = first.select("row", zipped("pair", "times")).select("row", "x.*").join(cells, "pair")
+        seen = seen.groupBy("row").agg(*sums(times, base(F.col("cw")), F.col("logp")))
+        unseen = first.where("held_out").select("row", zipped("pair", "times", "u", "w")).select("row", "x.*").join(cells.select("pair"), "pair", "left_anti")
+        unseen = stored(unseen.select("row", "times", "u", "w"), "unseen-pairs")
+        unseen = self._look_up(self._look_up(unseen, "w", self.words), "u", self.contexts)
+        known = F.when(F.col("cw").isNotNull(), times).otherwise(0)
+        unseen = unseen.groupBy("row").agg(*sums(known, base(F.coalesce("cw", F.lit(0))), F.log10(self._backed_off())))
+        more = seen.unionByName(unseen).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", "b", "s")])
         zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-        return first.join(more, "row", "left").select(
+        whole_row = F.col("n_done") + zero("n") == F.col("n_tokens")
+        return first.drop("pair", "times", "u", "w").join(more, "row", "left").select(
             "doc_id",
             "held_out",
             "n_tokens",
-            (F.col("n_known") + zero("known2")).cast("long").alias("n_known"),
-            (F.col("base") + zero("base2")).alias("base_score"),
-            (F.col("score") + zero("score2")).alias("score"),
+            (F.col("n_known") + zero("known")).cast("long").alias("n_known"),
+            (F.col("base") + zero("b")).alias("base_score"),
+            F.when(whole_row, F.col("score") + zero("s")).otherwise(F.raise_error(F.lit("a row that is not held out is not of the model"))).alias("score"),
         )
 
 

@@ -244,3 +244,17 @@ def test_pipeline_by_stages(spark, docs):
     assert queries.QUERIES.keys() >= {"op5_ngram_jaccard"}
     packed = corpus_pipeline.run(spark, D)
     assert {r.doc_id for r in packed.collect()} <= left and packed.count() > 0
+
+
+def test_model_gathers_pairs_of_all_words(spark):
+    """Rare words are contexts and dishes too: each of 400 words that is always followed by its own partner predicts it."""
+    rows = [(i, False, " ".join(f"left{(i * 7 + j) % 400} right{(i * 7 + j) % 400}" for j in range(20))) for i in range(400)]
+    rows += [(1000 + i, True, f"left{i} right{i}") for i in range(20)] + [(2000 + i, True, f"left{i} right{i + 1}") for i in range(20)]
+    rows += [(3000, True, "never seen left1 right1")]
+    model = lm.PitmanYor(spark.createDataFrame([r for r in rows if not r[1]], "doc_id long, held_out boolean, text string"), frequent=10, listed=50, listed_pairs=50, sweeps=3, burn_in=1)
+    got = {r.doc_id: r for r in model.score(spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")).collect()}
+    assert len(got) == len(rows)
+    for i in range(20):
+        assert got[1000 + i].score > got[2000 + i].score + 2
+    assert got[3000].n_tokens == 5 and got[3000].n_known == 3
+    assert model.cells.count() > 400 * 2
