@@ -139,44 +139,45 @@ def best_fit(rows: DataFrame, size: int = 4096, block: int = 20_000) -> DataFram
     """Add ``sequence_id`` and ``offset`` to (doc_id, piece, start, length, ids_crc32) rows.
 
     Rows are dealt at random into blocks of about ``block`` rows, each packed in
-    memory. A block's full bins are final; items of its underfull bins go on to
-    a round with a sixteenth of the blocks, until one is left. What goes on
-    shrinks with each round, so no task holds more than a few blocks' rest.
+    memory. A block's full bins are final; items of its underfull bins are dealt
+    anew into as many blocks as their number asks for, until one block is left
+    or a round leaves more than three quarters of its rows, when all its bins
+    are final. No task holds more than about ``block`` rows in any round.
     """
-    spark = rows.sparkSession
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     schema = f"{PIECES}, sequence_id long, offset long, done boolean"
     left, level, parts = stored(rows.select(*names), "pieces"), 0, []
     count = left.count()
     while True:
         n = max(1, -(-count // block))
-        last = n == 1
 
-        def run(batches, level=level, last=last):
+        def run(batches, level=level):
             from pyspark import TaskContext
 
             items = [(int(x[3]), x) for frame in batches for x in frame[names].astype(object).itertuples(index=False, name=None)]
             out = []
             base = (level << 56) | (TaskContext.get().partitionId() << 32)
             for i, (fill, held) in enumerate(pack(items, size)):
-                at, done = 0, last or fill == size
+                at = 0
                 for length, x in held:
-                    out.append((*x, base + i, at, done))
+                    out.append((*x, base + i, at, fill == size))
                     at += length
             made = pd.DataFrame(out, columns=[*names, "sequence_id", "offset", "done"])
             yield made.assign(doc_id=made["doc_id"].astype("Int64"))
 
-        dealt = left.repartition(n, F.xxhash64("doc_id", "piece", F.lit(level))) if n > 1 else left.coalesce(1)
+        # Dealt by the row's number, so that rows without an id or with one id do not meet.
+        numbered = left.withColumn("deal", F.monotonically_increasing_id())
+        dealt = numbered.repartition(n, F.xxhash64("deal", F.lit(level))) if n > 1 else left.coalesce(1)
         packed = stored(dealt.mapInPandas(run, schema), "packed")
-        parts.append(packed.where("done").drop("done"))
-        if last:
-            break
         left = packed.where("not done").select(*names)
-        rest = left.count()
-        count = min(rest, max(block, count // 16)) if rest else 0
-        level += 1
-        if not count:
+        rest = left.count() if n > 1 else 0
+        if n == 1 or 4 * rest > 3 * count:
+            parts.append(packed.drop("done"))
+            break
+        parts.append(packed.where("done").drop("done"))
+        if not rest:
             break
+        count, level = rest, level + 1
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

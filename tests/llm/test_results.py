@@ -258,3 +258,14 @@ def test_model_gathers_pairs_of_all_words(spark):
         assert got[1000 + i].score > got[2000 + i].score + 2
     assert got[3000].n_tokens == 5 and got[3000].n_known == 3
     assert model.cells.count() > 400 * 2
+
+
+def test_packing_keeps_blocks_where_bins_cannot_fill(spark):
+    """Pieces of more than half a sequence never fill one; no task may hold them all."""
+    rows = [(None if i % 3 == 0 else i, 0, 0, 2100 if i % 2 else 2101 + i, i) for i in range(600)]
+    out = packing.best_fit(spark.createDataFrame(rows, packing.PIECES), 4096, 50).collect()
+    assert sorted(r.ids_crc32 for r in out) == list(range(600)) and len({r.sequence_id for r in out}) == 600
+    tasks = {}
+    for r in out:
+        tasks[r.sequence_id >> 32] = tasks.get(r.sequence_id >> 32, 0) + 1
+    assert max(tasks.values()) <= 100
