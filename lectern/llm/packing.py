@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,62 +70,94 @@ class _Bins:
         self._file(b, self.size - self.bins[b][0])
 
 
-def _improve(bins: list, size: int, rounds: int = 3) -> list:
+class _Takers:
+    """Underfull bins by the lengths they hold, 0 (nothing to give back) among them, and their room."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.rooms = [[] for _ in range(size + 1)]  # by length: sorted (room, bin)
+        self.reach = np.full(size + 1, -1, dtype=np.int64)  # by length: the longest that can come in its place
+
+    def add(self, i: int, room: int, held: dict) -> None:
+        for b in (0, *held):
+            insort(self.rooms[b], (room, i))
+            self.reach[b] = b + self.rooms[b][-1][0]
+
+    def remove(self, i: int, room: int, held: dict) -> None:
+        for b in (0, *held):
+            at = self.rooms[b]
+            at.pop(bisect_left(at, (room, i)))
+            self.reach[b] = b + at[-1][0] if at else -1
+
+    def best(self, held: dict) -> tuple | None:
+        """(lengths to give, length to get back, bin): the step that moves most, to the bin it fills best."""
+        one = np.fromiter(held, dtype=np.int64, count=len(held))
+        i, j = np.triu_indices(len(one))
+        many = np.fromiter(map(len, held.values()), dtype=np.int64, count=len(held))
+        apart = (i != j) | (many[i] > 1)
+        i, j = i[apart], j[apart]
+        out = np.concatenate([one, one[i] + one[j]])
+        # The shortest length in whose place so much can come.
+        back = np.searchsorted(np.maximum.accumulate(self.reach), out)
+        gain = np.where((back < out) & (out <= self.size), out - back, 0)
+        k = int(gain.argmax())
+        if gain[k] <= 0:
+            return None
+        b = int(back[k])
+        at = self.rooms[b]
+        taker = at[bisect_left(at, (int(gain[k]), -1))][1]
+        k -= len(one)
+        return ([int(one[k + len(one)])] if k < 0 else [int(one[i[k]]), int(one[j[k]])]), b, taker
+
+
+def _improve(bins: list, size: int) -> list:
     """Local search among underfull bins; every step increases the sum of squared fills.
 
-    The emptiest bin gives: it moves items to bins with room, or exchanges one
-    or two of its items for a smaller one of a fuller bin so that the fuller
-    bin comes closer to full. A bin left without items is gone.
+    From the emptiest on, each bin gives: it moves one or two items to a fuller
+    bin, or exchanges them for a smaller item of it. A bin left without items is
+    gone. The search ends when no bin has such a step left.
     """
-    for _ in range(rounds):
-        bins.sort(key=lambda b: b[0])
-        before = len(bins)
-        for give in bins[: max(1, len(bins) // 4)]:
-            for take in reversed(bins):
-                if take is give or not give[1] or take[0] < give[0] or take[0] >= size:
-                    continue
-                _exchange(give, take, size)
-        bins[:] = [b for b in bins if b[1]]
-        if len(bins) == before:
-            break
-    return bins
-
-
-def _exchange(give: list, take: list, size: int) -> None:
-    """Move, one-for-one and two-for-one steps from ``give`` to the fuller ``take``."""
-    room = size - take[0]
-    best, step = 0, None
-    lengths = sorted((x[0], i) for i, x in enumerate(give[1]))
-    keys = [n for n, _ in lengths]
-    at = bisect_left(keys, room + 1) - 1  # move the largest that fits
-    if at >= 0 and keys[at] > best:
-        best, step = keys[at], ([lengths[at][1]], None)
-    if best < room:
-        for j, out in enumerate(take[1][:64]):
-            reach = room + out[0]
-            at = bisect_left(keys, reach + 1) - 1  # one for one
-            if at >= 0 and keys[at] - out[0] > best:
-                best, step = keys[at] - out[0], ([lengths[at][1]], j)
-            lo, hi = 0, len(keys) - 1  # two for one
-            while lo < hi and best < room:
-                both = keys[lo] + keys[hi]
-                if both > reach:
-                    hi -= 1
-                else:
-                    if both - out[0] > best:
-                        best, step = both - out[0], ([lengths[lo][1], lengths[hi][1]], j)
-                    lo += 1
-            if best == room:
-                break
-    if step is None:
-        return
-    gone, back = step
-    moved = [give[1][i] for i in gone]
-    give[1][:] = [x for i, x in enumerate(give[1]) if i not in gone]
-    if back is not None:
-        give[1].append(take[1].pop(back))
-    take[1].extend(moved)
-    give[0], take[0] = sum(x[0] for x in give[1]), sum(x[0] for x in take[1])
+    fills = [b[0] for b in bins]
+    held: list[dict] = [{} for _ in bins]
+    for h, (_, items) in zip(held, bins, strict=True):
+        for x in items:
+            h.setdefault(x[0], []).append(x)
+    moved = True
+    while moved:
+        moved, takers = False, _Takers(size)
+        live = [i for i, f in enumerate(fills) if 0 < f < size]
+        for i in live:
+            takers.add(i, size - fills[i], held[i])
+        queue = [(fills[i], i) for i in live]
+        heapify(queue)
+        while queue:
+            fill, give = heappop(queue)
+            if fill != fills[give]:
+                continue
+            takers.remove(give, size - fill, held[give])
+            while held[give] and (step := takers.best(held[give])):
+                lengths, back, take = step
+                takers.remove(take, size - fills[take], held[take])
+                gone = [_pop(held[give], n) for n in lengths]
+                if back:
+                    held[give].setdefault(back, []).append(_pop(held[take], back))
+                for x in gone:
+                    held[take].setdefault(x[0], []).append(x)
+                gain = sum(lengths) - back
+                fills[give] -= gain
+                fills[take] += gain
+                if fills[take] < size:
+                    takers.add(take, size - fills[take], held[take])
+                    heappush(queue, (fills[take], take))
+                moved = True
+    return [[f, [x for at in h.values() for x in at]] for f, h in zip(fills, held, strict=True) if h]
+
+
+def _pop(held: dict, length: int) -> tuple:
+    x = held[length].pop()
+    if not held[length]:
+        del held[length]
+    return x
 
 
 def pack(items: list[tuple], size: int) -> list[list]:

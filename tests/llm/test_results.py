@@ -269,3 +269,21 @@ def test_packing_keeps_blocks_where_bins_cannot_fill(spark):
     for r in out:
         tasks[r.sequence_id >> 32] = tasks.get(r.sequence_id >> 32, 0) + 1
     assert max(tasks.values()) <= 100
+
+
+def test_local_search_stops_only_at_its_end():
+    """No move, one-for-one or two-for-one step from a bin to one as full or fuller is left; bins of many items are searched whole."""
+    rng = np.random.default_rng(5)
+    many = [[270, [(3, "x", i) for i in range(80)] + [(30, "y", 0)]], [100, [(34, "z", 0), (66, "z", 1)]]]
+    for size, bins in [(274, many)] + [(60, [[sum(v), [(int(n), b, i) for i, n in enumerate(v)]] for b, v in enumerate(rng.integers(3, 14, (40, 4)).tolist())]) for _ in range(5)]:
+        out = packing._improve([[f, list(x)] for f, x in bins], size)
+        assert sorted(x for b in out for x in b[1]) == sorted(x for b in bins for x in b[1])
+        assert all(b[0] == sum(x[0] for x in b[1]) <= size for b in out)
+        for give in out:
+            for take in out:
+                if take is give or give[0] > take[0]:
+                    continue
+                n = [x[0] for x in give[1]]
+                sums = n + [n[i] + n[j] for i in range(len(n)) for j in range(i)]
+                backs = [0] + [x[0] for x in take[1]]
+                assert not any(0 < s - b <= size - take[0] for s in sums for b in backs)
