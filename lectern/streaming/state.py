@@ -1,7 +1,7 @@
 """Run state per topic as a stream.
 
-State is one small record per key. Rows of a key arrive in pandas batches and
-are sorted in event-time order inside a micro-batch.
+State is one small record per key, and the events that the watermark has not
+reached. They are applied in event-time order by timers.
 """
 
 from __future__ import annotations
@@ -27,21 +27,48 @@ MOVES = {
     ("reset", rules.FAILED): rules.PENDING,
 }
 
+COLUMNS = ["topic_id", "event_id", "ts", "event", "status", "verdict"]
+
 
 class RunState(StatefulProcessor):
-    """Applies a topic's events in order; late and illegal ones are reported."""
+    """Applies a topic's events in order once the watermark has reached them; late and illegal ones are reported.
+
+    Events wait in map state by their millisecond, each with a timer, so memory
+    holds one incoming frame and one millisecond of a topic.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.value = handle.getValueState("run", "status string, ts timestamp, seq long")
+        self.waiting = handle.getMapState("waiting", "ms long", "us array<long>, seq array<long>, event array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        out = []
+        for frame in rows:
+            # Without a time an event has no place in the order: reported, and moves nothing.
+            for seq, event in frame.loc[frame["us"].isna(), ["event_id", "event"]].itertuples(index=False, name=None):
+                status = self.value.get()[0] if self.value.exists() else rules.PENDING
+                out.append((key[0], seq, pd.NaT, event, status, "illegal"))
+            for ms, part in frame.groupby(frame["us"] // 1000, sort=False):
+                at = (int(ms),)
+                held = [list(part["us"]), list(part["event_id"]), list(part["event"])]
+                if self.waiting.containsKey(at):
+                    held = [list(old) + new for old, new in zip(self.waiting.getValue(at), held, strict=True)]
+                else:
+                    # A timer goes off when the watermark is past it.
+                    self.handle.registerTimer(at[0] - 1)
+                self.waiting.updateValue(at, ([int(x) for x in held[0]], [int(x) for x in held[1]], held[2]))
+        yield pd.DataFrame(out, columns=COLUMNS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = (expiredTimerInfo.getExpiryTimeInMs() + 1,)
         kept = self.value.get() if self.value.exists() else None
         status = kept[0] if kept else rules.PENDING
         last = (pd.Timestamp(kept[1]), kept[2]) if kept else None
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"])
         out = []
-        for ts, seq, event in zip(batch["ts"], batch["event_id"], batch["event"]):
-            now = (pd.Timestamp(ts), int(seq))
+        for us, seq, event in sorted(zip(*self.waiting.getValue(at), strict=True), key=lambda x: x[:2]):
+            ts = pd.Timestamp(us, unit="us")
+            now = (ts, int(seq))
             if last is not None and now <= last:
                 out.append((key[0], seq, ts, event, status, "late"))
                 continue
@@ -49,20 +76,28 @@ class RunState(StatefulProcessor):
             to = MOVES.get((event, status))
             out.append((key[0], seq, ts, event, to or status, "illegal" if to is None else "applied"))
             status = to or status
+        self.waiting.removeKey(at)
         if last is not None:
             self.value.update((status, last[0].to_pydatetime(), last[1]))
-        yield pd.DataFrame(out, columns=["topic_id", "event_id", "ts", "event", "status", "verdict"])
+        yield pd.DataFrame(out, columns=COLUMNS)
 
     def close(self) -> None:
         pass
 
 
-def stream_run_state(src: DataFrame, key_type: str = "bigint") -> DataFrame:
-    """Src: topic_id, event_id, ts, event. One output row per event with the status after it."""
-    s = src.select("topic_id", F.col("event_id").cast("long").alias("event_id"), instant("ts").alias("ts"), "event")
+def stream_run_state(src: DataFrame, key_type: str = "bigint", delay: str = "0 seconds") -> DataFrame:
+    """Src: topic_id, event_id, ts, event. One output row per event with the status after it.
+
+    An event is applied when the watermark, ``delay`` behind the latest event,
+    has reached it. Events that come in any order within ``delay`` give the same
+    rows however they are cut into batches; those after it may be late.
+    """
+    s = src.select("topic_id", F.col("event_id").cast("long").alias("event_id"), instant("ts").alias("ts"), "event").withWatermark("ts", delay)
+    # The number is not the watermark's column: Spark would drop late rows, which are to be reported.
+    s = s.select("topic_id", "event_id", F.unix_micros("ts").alias("us"), "event")
     return s.groupBy("topic_id").transformWithStateInPandas(
         statefulProcessor=RunState(),
         outputStructType=f"topic_id {key_type}, event_id long, ts timestamp, event string, status string, verdict string",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )

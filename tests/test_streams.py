@@ -35,6 +35,32 @@ def test_run_state_over_batches_and_restart(spark, tmp_path):
     }
 
 
+def test_run_state_agrees_however_files_are_batched(spark, tmp_path):
+    import random
+
+    rnd = random.Random(3)
+    kinds = ["claim", "complete", "fail", "reset"]
+    rows = [(rnd.choice("aaab"), i, T(1, 0) + dt.timedelta(minutes=rnd.randrange(600)), rnd.choice(kinds)) for i in range(120)]
+    got = []
+    for batches in (1, 3, 10):
+        src = str(tmp_path / f"src{batches}")
+        put(spark, src, [("a", 2000, None, "claim")], RUNS, "none")
+        for n in range(batches):
+            put(spark, src, rows[n::batches], RUNS, f"{n:02}")
+        out, ck = str(tmp_path / f"out{batches}"), str(tmp_path / f"ck{batches}")
+
+        def go(src=src, out=out, ck=ck):
+            return io.drain(state.stream_run_state(io.read_stream(spark, f"{src}/*", RUNS, 1), "string", "1 day"), "rs", out=out, state=ck)
+
+        go()
+        # A later event lets the watermark pass all others.
+        put(spark, src, [("end", 1000, T(5, 0), "claim")], RUNS, "zz")
+        got.append(sorted(tuple(r) for r in go().where("topic_id <> 'end' AND ts IS NOT NULL").collect()))
+        assert [r.verdict for r in go().where("ts IS NULL").collect()] == ["illegal"]
+    assert len(got[0]) == 120 and got[0] == got[1] == got[2]
+    assert {r[5] for r in got[0]} == {"applied", "illegal"}
+
+
 def test_dedup_over_batches(spark, tmp_path):
     src = str(tmp_path / "src")
     schema = "stream string, ts timestamp_ntz, status string"
