@@ -209,6 +209,10 @@ class ShingleJoin:
         copies = stored(classes.where("doc_id <> rep").select("doc_id").distinct(), "shingle-copies")
         emitted = self.docs.mapInPandas(lambda it: _emit(it, k, percent, matches, *shared.value), EMITTED)
         emitted = emitted.join(copies, "doc_id", "left_anti")
+        # Rows that repeat an id repeat its text: one of them stands for all, lest its shingles count twice.
+        repeated = stored(classes.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+        once = emitted.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        emitted = emitted.join(repeated, "doc_id", "left_anti").unionByName(once)
         each = emitted.select("doc_id", "n", "rare", F.explode(F.arrays_zip("tokens", "kinds", "places")).alias("p"))
         each = each.select("doc_id", "n", "rare", F.col("p.tokens").alias("token"), F.col("p.kinds").alias("kind"), F.col("p.places").alias("place"))
         # Counting keeps no group in memory and none is hot: heavy shingles go round it.

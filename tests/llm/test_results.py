@@ -287,3 +287,21 @@ def test_local_search_stops_only_at_its_end():
                 sums = n + [n[i] + n[j] for i in range(len(n)) for j in range(i)]
                 backs = [0] + [x[0] for x in take[1]]
                 assert not any(0 < s - b <= size - take[0] for s in sums for b in backs)
+
+
+def test_join_of_repeated_rows_counts_shingles_once(spark):
+    """Chained near copies, of which some rows are repeated: prefixes and components are those of the rows without repeats."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(0, 60, 3)]
+    rows += [(100 + i, " ".join(f"y{i}-{j}" for j in range(30))) for i in range(5)]
+    twice = rows + rows[::2] * 3
+
+    def prefixes(some):
+        join = jaccard.ShingleJoin(spark.createDataFrame(some, "doc_id long, text string"), 5, 80, 4)
+        return sorted(tuple(r) for r in join.postings(join.classes()).select("doc_id", "token", "pos").collect())
+
+    found = prefixes(twice)
+    assert len(found) == len(set(x[:2] for x in found)) and found and all(x[2] >= 0 for x in found)
+    assert {x[0] for x in found} == {x[0] for x in prefixes(rows)}
+    of = lambda some: {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(some, "doc_id long, text string"), 5, 80, 4).collect()}
+    assert of(twice) == of(rows)
