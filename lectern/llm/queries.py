@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from lectern.llm import embed, exact, jaccard, language, lines, lm, mixing, packing, toxicity, warc
+from lectern.llm import align, decontaminate, embed, exact, jaccard, language, lines, lm, mixing, packing, runs, toxicity, warc
 from lectern.llm.common import bounded_batches
 
 
@@ -16,6 +16,6 @@ def ready(fn):
     return run
 
 
-MODULES = (language, lines, lm, exact, jaccard, warc, packing, mixing, embed, toxicity)
+MODULES = (language, lines, lm, exact, jaccard, warc, packing, mixing, embed, toxicity, align, runs, decontaminate)
 QUERIES = {k: ready(v) for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.SQL.items()}

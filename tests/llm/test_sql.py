@@ -15,5 +15,5 @@ def test_matches_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in Q.QUERIES if q.startswith(f"op{n}_")]) == 1
