@@ -27,13 +27,12 @@ def plain_alignment(rows):
     """Whole texts through the tokenizers' own libraries, ends compared one by one."""
     import public_tokenizers
     import sentencepiece
-    from tokenizers import Tokenizer, decoders
+    from tokenizers import Tokenizer
 
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     letters = align._byte_alphabet()
-    assert decoders.ByteLevel().decode(list(letters)).encode("utf-8", "replace")  # the same alphabet decodes
     found, counts = [], Counter()
     for doc_id, text in rows:
         groups = []
@@ -52,10 +51,17 @@ def plain_alignment(rows):
                         out[at] = i
                     ends.append(out)
                 both = sorted(set(ends[0]) & set(ends[1]))
-                low = 0
+                at_a, at_b = iter(ends[0].items()), iter(ends[1].items())
                 for e in both:
-                    groups.append(([i for at, i in ends[0].items() if low < at <= e], [i for at, i in ends[1].items() if low < at <= e]))
-                    low = e
+                    sides = []
+                    for it in (at_a, at_b):
+                        ids = []
+                        for at, i in it:
+                            ids.append(i)
+                            if at == e:
+                                break
+                        sides.append(ids)
+                    groups.append(tuple(sides))
         counts.update((g[0][-1], g[1][-1]) for g in groups)
         found.append((doc_id, groups))
     top = defaultdict(int)
