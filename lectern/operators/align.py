@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
-from lectern import rules
-from lectern.functions.arrays import open_rows
+from lectern import rules, session
 from lectern.functions.num import clamp, ms, round_half_up
+from lectern.plans.blocks import ROWS_PER_BLOCK, in_blocks
 from lectern.plans.ordered import ROWS_PER_TASK, Scan, scan
 
 
@@ -59,108 +62,101 @@ def nearest_word(
     )
 
 
-def _greedy(t: np.ndarray, last: float, gap: float) -> list[int]:
-    """Positions kept from sorted times when the last kept one was ``last``."""
-    kept, i = [], 0
-    while True:
-        # same comparison as the rule: skip while t - last < gap
-        i = max(i, int(np.searchsorted(t, last + gap, side="left")) - 1)
-        while i < len(t) and t[i] - last < gap:
-            i += 1
-        if i >= len(t):
-            return kept
+class _Exits:
+    """What a stretch of candidates makes of the last kept time that enters it.
+
+    Which candidate is kept first decides all that follow, so the stretch is a
+    function given by rows (first kept, exit, how many are kept) in the order of
+    ``first``: a time that enters takes the first row at least ``gap`` later,
+    and passes unchanged where there is none. Only candidates less than a gap
+    after the stretch's first one, and the next one after those, can be the
+    first that is kept.
+    """
+
+    def __init__(self, first: np.ndarray, exit: np.ndarray, n: np.ndarray):
+        self.first, self.exit, self.n = first, exit, n
+
+    @classmethod
+    def of(cls, t: np.ndarray, gap: float) -> _Exits:
+        nxt = _next_kept(t, t, gap)
+        end, n = np.arange(len(t)), np.ones(len(t), dtype="int64")
+        for i in range(len(t) - 1, -1, -1):
+            if nxt[i] < len(t):
+                end[i], n[i] = end[nxt[i]], n[nxt[i]] + 1
+        m = _firsts(t, gap)
+        return cls(t[:m], t[end[:m]], n[:m])
+
+    def after(self, last: np.ndarray, gap: float) -> tuple[np.ndarray, np.ndarray]:
+        """(exit, kept) for every entering time."""
+        at = _next_kept(self.first, last, gap)
+        hit = at < len(self.first)
+        at = np.minimum(at, len(self.first) - 1)
+        return np.where(hit, self.exit[at], last), np.where(hit, self.n[at], 0)
+
+    @classmethod
+    def composed(cls, parts: list[_Exits], gap: float) -> _Exits:
+        """One function for neighbouring stretches."""
+        firsts = np.concatenate([p.first for p in parts])
+        m = _firsts(firsts, gap)
+        exits, counts, done = np.concatenate([p.exit for p in parts])[:m], np.concatenate([p.n for p in parts])[:m], 0
+        for p in parts:
+            # rows of earlier stretches go on through this one
+            exits[:done], more = p.after(exits[:done], gap)
+            counts[:done] += more
+            done = min(m, done + len(p.first))
+        return cls(firsts[:m], exits, counts)
+
+
+def _next_kept(t: np.ndarray, last: np.ndarray, gap: float) -> np.ndarray:
+    """Place of the first sorted ``t`` with ``t - last >= gap``, compared exactly as the rule does."""
+    at = np.searchsorted(t, last + gap, side="left")
+    while len(t):
+        early = (at > 0) & (t[np.maximum(at - 1, 0)] - last >= gap)
+        late = (at < len(t)) & (t[np.minimum(at, len(t) - 1)] - last < gap)
+        if not (early.any() or late.any()):
+            break
+        at = at - early + late
+    return at
+
+
+def _firsts(t: np.ndarray, gap: float) -> int:
+    """How many sorted times lead: those less than a gap after the first one, and one more."""
+    return min(len(t), int(np.count_nonzero(t - t[0] < gap)) + 1) if len(t) else 0
+
+
+def _greedy(t: np.ndarray, last: float, gap: float) -> np.ndarray:
+    """Places kept from sorted times when the last kept one was ``last``."""
+    nxt, kept = _next_kept(t, t, gap).tolist(), []
+    i = int(_next_kept(t, np.array([last]), gap)[0])
+    while i < len(t):
         kept.append(i)
-        last = float(t[i])
-        i += 1
-
-
-def _thin_cold(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_gap: float, tail: float) -> DataFrame:
-    """Fold each key's sorted candidates; keys here are small by selection."""
-    start = F.struct(F.lit(0.0).alias("last"), F.array(F.lit(0.0)).alias("kept"))
-    times = F.filter(F.coalesce("__ts", F.array().cast("array<double>")), lambda t: t <= F.col("total_s") - tail)
-    fold = F.aggregate(
-        F.array_sort(times),
-        start,
-        lambda acc, t: F.when(t - acc["last"] < min_gap, acc).otherwise(
-            F.struct(t.alias("last"), F.concat(acc["kept"], F.array(t)).alias("kept"))
-        ),
-        lambda acc: acc["kept"],
-    )
-    sets = candidates.groupBy(key).agg(F.collect_set(F.col(at).cast("double")).alias("__ts"))
-    return open_rows(totals.join(sets, key, "left"), [key], fold, "scene_idx", "start_s")
+        i = nxt[i]
+    return np.array(kept, dtype="int64")
 
 
-def _thin_hot(candidates: DataFrame, totals: DataFrame, key: str, at: str, min_gap: float, tail: float, block_s: float) -> DataFrame:
-    """The same greedy choice for keys too large for one task.
+def _segments(rows: pa.Table, by: str) -> list[tuple[pa.Scalar, pa.Table]]:
+    """Rows with equal ``by``, which lie together."""
+    if not rows.num_rows:
+        return []
+    c = rows[by].combine_chunks()
+    same = pc.fill_null(pc.equal(c.slice(1), c.slice(0, len(c) - 1)), False).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(~same) + 1).tolist(), len(c)]
+    return [(c[i], rows.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
 
-    Time is cut into blocks. A block needs one number from the past, the last
-    kept time, and that only decides which of its first ``min_gap`` worth of
-    candidates comes first. So every block first reports its exit for every
-    possible entry; folding those small tables along a key gives each block its
-    true entry; then blocks choose independently.
-    """
-    c = (
-        candidates.select(key, F.col(at).cast("double").alias("__t"))
-        .distinct()
-        .join(F.broadcast(totals), key)
-        .where(F.col("__t") <= F.col("total_s") - tail)
-        .select(key, "__t", F.floor(F.col("__t") / block_s).cast("long").alias("__b"))
-    )
-    kt = candidates.schema[key].dataType.simpleString()
-
-    def exits(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["__t"].to_numpy())
-        # the first kept one lies less than one gap after the first candidate,
-        # or is the first candidate at all
-        firsts = t[t - t[0] < min_gap]
-        extra = t[len(firsts): len(firsts) + 1]
-        firsts = np.concatenate([firsts, extra])
-        nxt = np.searchsorted(t, t + min_gap, side="left")
-        n = len(t)
-        for i in range(n):  # settle rounding exactly as the rule compares
-            j = nxt[i]
-            while j > i + 1 and t[j - 1] - t[i] >= min_gap:
-                j -= 1
-            while j < n and t[j] - t[i] < min_gap:
-                j += 1
-            nxt[i] = j
-        end, count = np.arange(n), np.ones(n, dtype="int64")
-        for i in range(n - 1, -1, -1):
-            if nxt[i] < n:
-                end[i], count[i] = end[nxt[i]], count[nxt[i]] + 1
-        m = len(firsts)
-        return pd.DataFrame(
-            {key: pd.Series([k[0]] * m, dtype="object"), "__b": [k[1]] * m, "first": firsts, "exit": t[end[:m]], "n": count[:m]}
-        )
-
-    table = c.groupBy(key, "__b").applyInPandas(exits, f"{key} {kt}, __b long, first double, exit double, n long")
-
-    def entries(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        last, kept, rows = 0.0, 1, []
-        for b, g in pdf.sort_values(["__b", "first"]).groupby("__b", sort=True):
-            rows.append((k[0], b, last, kept))
-            f = g["first"].to_numpy()
-            ok = np.nonzero(f - last >= min_gap)[0]
-            if len(ok):
-                kept += int(g["n"].iloc[ok[0]])
-                last = float(g["exit"].iloc[ok[0]])
-        return pd.DataFrame(rows, columns=[key, "__b", "entry", "before"])
-
-    entry = table.groupBy(key).applyInPandas(entries, f"{key} {kt}, __b long, entry double, before long")
-
-    def choose(k: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(left["__t"].to_numpy())
-        kept = _greedy(t, float(right["entry"].iloc[0]), min_gap)
-        first = int(right["before"].iloc[0])
-        return pd.DataFrame({key: pd.Series([k[0]] * len(kept), dtype="object"), "scene_idx": np.arange(first, first + len(kept)), "start_s": t[kept]})
-
-    picked = (
-        c.groupBy(key, "__b")
-        .cogroup(entry.groupBy(key, "__b"))
-        .applyInPandas(choose, f"{key} {kt}, scene_idx int, start_s double")
-    )
-    zero = totals.select(key, F.lit(0).alias("scene_idx"), F.lit(0.0).alias("start_s"))
-    return zero.unionByName(picked)
+
+def _exit_rows(of: list[tuple[pa.Scalar, int, _Exits]], schema: pa.Schema) -> pa.Table:
+    sizes = [len(e.first) for _, _, e in of]
+    cols = [
+        pa.array([k.as_py() for (k, _, _), n in zip(of, sizes) for _ in range(n)], schema.field(0).type),
+        pa.array(np.repeat(np.array([s for _, s, _ in of], dtype="int64"), sizes)),
+        *[pa.array(np.concatenate([getattr(e, c) for _, _, e in of]) if of else np.array([])) for c in ("first", "exit", "n")],
+    ]
+    return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def _exits_of(rows: pa.Table) -> _Exits:
+    rows = rows.sort_by("first")
+    return _Exits(*(rows[c].to_numpy().copy() for c in ("first", "exit", "n")))
 
 
 def scene_thin(
@@ -170,25 +166,122 @@ def scene_thin(
     at: str = "ts_s",
     min_gap: float = rules.SCENE_GAP_S,
     tail: float = rules.SCENE_TAIL_S,
-    limit: int = 20_000,
-    block_s: float | None = None,
+    rows: int = ROWS_PER_BLOCK,
+    fan: int = 64,
 ) -> DataFrame:
     """Scene starts: 0.0, then each candidate at least ``min_gap`` after the last kept.
 
     Candidates in the final ``tail`` do not count. Greedy, so neither a lag nor a
     running sum gives it. Totals: key, total_s; every key there has a scene 0.
-    Keys above ``limit`` candidates are worked in time blocks.
+
+    Candidates are written in blocks of ``rows`` consecutive ones. A block
+    chooses for every key as if it began there, which is right but for keys
+    that began in an earlier block; for its first and last key, the only ones
+    that other blocks can share, it also gives its exit for every entry. These
+    maps are functions, so ``fan`` neighbours are composed into one, those
+    again, until one is left for each key; down the same levels every block
+    then gets its true entry, and the few that began wrong choose again. A
+    composed map has no more rows than there are candidates within a gap.
     """
-    sizes = candidates.groupBy(key).count().where(F.col("count") > limit).select(key)
-    hot = sizes.collect()  # at most rows / limit
-    if not hot:
-        return _thin_cold(candidates, totals, key, at, min_gap, tail)
-    hot_keys = F.broadcast(candidates.sparkSession.createDataFrame(hot, sizes.schema))
-    cold_c, cold_t = (d.join(hot_keys, key, "left_anti") for d in (candidates, totals))
-    hot_c, hot_t = (d.join(hot_keys, key, "left_semi") for d in (candidates, totals))
-    return _thin_cold(cold_c, cold_t, key, at, min_gap, tail).unionByName(
-        _thin_hot(hot_c, hot_t, key, at, min_gap, tail, block_s or 600 * min_gap)
-    )
+    c = candidates.select(key, F.col(at).cast("double").alias("t")).distinct().join(totals.select(key, "total_s"), key)
+    # what comes sooner after scene 0 is never kept
+    c = c.where((F.col("t") <= F.col("total_s") - tail) & (F.col("t") - F.lit(0.0) >= min_gap)).select(key, "t")
+    c = in_blocks(c, [key, "t"], rows)
+    kt = c.schema[key].dataType.simpleString()
+    key_type = to_arrow_type(c.schema[key].dataType)
+    exits_type = pa.schema([(key, key_type), ("node", pa.int64()), ("first", pa.float64()), ("exit", pa.float64()), ("n", pa.int64())])
+    exits_ddl = f"`{key}` {kt}, node long, first double, exit double, n long"
+    scene_type = pa.schema([(key, key_type), ("block", pa.int64()), ("scene_idx", pa.int64()), ("start_s", pa.float64())])
+    scene_ddl = f"`{key}` {kt}, block long, scene_idx long, start_s double"
+
+    def picked(parts: list[tuple[pa.Scalar, int, np.ndarray, int]]) -> list[pa.Array]:
+        sizes = [len(t) for _, _, t, _ in parts]
+        return [
+            pa.array([k.as_py() for (k, _, _, _), n in zip(parts, sizes) for _ in range(n)], key_type),
+            pa.array(np.repeat(np.array([b for _, b, _, _ in parts], dtype="int64"), sizes)),
+            pa.array(np.concatenate([np.arange(i, i + len(t)) for _, _, t, i in parts]) if parts else np.array([], "int64")),
+            pa.array(np.concatenate([t for _, _, t, _ in parts]) if parts else np.array([], "float64")),
+        ]
+
+    def first_look(block: pa.Table) -> pa.Table:
+        block = block.sort_by([(key, "ascending"), ("t", "ascending")])
+        number, chosen, edges = block["block"][0].as_py(), [], []
+        segments = [(k, s["t"].to_numpy()) for k, s in _segments(block, key)]
+        for i, (k, t) in enumerate(segments):
+            chosen.append((k, number, t[_greedy(t, 0.0, min_gap)], 1))
+            if i in (0, len(segments) - 1):
+                edges.append((k, number, _Exits.of(t, min_gap)))
+        a, b = picked(chosen), _exit_rows(edges, exits_type)
+        left, right = pa.Table.from_arrays(a, schema=scene_type), b.rename_columns([key, "block", *b.column_names[2:]])
+        return pa.concat_tables([left, right], promote_options="default").select([key, "block", "scene_idx", "start_s", "first", "exit", "n"])
+
+    made = f"{scene_ddl}, first double, exit double, n long"
+    looked = _written(c.groupBy("block").applyInArrow(first_look, made), "scenes")
+    chosen = looked.where("scene_idx IS NOT NULL").select(key, "block", "scene_idx", "start_s")
+
+    # Number the blocks of the keys that have more than one; narrow rows, one per block.
+    edges = looked.where("first IS NOT NULL").select(key, "block", "first", "exit", "n")
+    blocks = edges.select(key, "block").distinct()
+    many = blocks.groupBy(key).count().where("count > 1").select(key)
+    seq = (F.row_number().over(Window.partitionBy(key).orderBy("block")) - 1).cast("long")
+    nodes = _written(blocks.join(many, key, "left_semi").withColumn("node", seq), "scene-nodes")
+    most = nodes.agg(F.max("node")).first()[0]  # one number: how many levels there are
+    result = chosen
+    if most is not None:
+        levels = [_written(edges.join(nodes, [key, "block"]).select(key, "node", "first", "exit", "n"), "exits-0")]
+
+        def compose(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by([("node", "ascending"), ("first", "ascending")])
+            parts = [_exits_of(s) for _, s in _segments(rows, "node")]
+            return _exit_rows([(rows[key][0], rows["node"][0].as_py() // fan, _Exits.composed(parts, min_gap))], exits_type)
+
+        while most:
+            most //= fan
+            up = levels[-1].withColumn("parent", F.floor(F.col("node") / fan)).groupBy(key, "parent")
+            levels.append(_written(up.applyInArrow(_without(compose, "parent"), exits_ddl), f"exits-{len(levels)}"))
+
+        entry_ddl = f"`{key}` {kt}, node long, entry double, before long"
+
+        def enter(children: pa.Table, parent: pa.Table) -> pa.Table:
+            if not children.num_rows or not parent.num_rows:
+                return pa.table({key: pa.array([], key_type), "node": pa.array([], pa.int64()), "entry": pa.array([], pa.float64()), "before": pa.array([], pa.int64())})
+            children = children.sort_by([("node", "ascending"), ("first", "ascending")])
+            last, kept, out = np.array([parent["entry"][0].as_py()]), parent["before"][0].as_py(), []
+            for node, s in _segments(children, "node"):
+                out.append((node.as_py(), float(last[0]), int(kept)))
+                last, more = _exits_of(s).after(last, min_gap)
+                kept += int(more[0])
+            return pa.table(
+                {key: pa.array([children[key][0].as_py()] * len(out), key_type), "node": pa.array([o[0] for o in out], pa.int64()), "entry": pa.array([o[1] for o in out], pa.float64()), "before": pa.array([o[2] for o in out], pa.int64())}
+            )
+
+        entry = levels.pop().select(key, "node").distinct().select(key, "node", F.lit(0.0).alias("entry"), F.lit(1).cast("long").alias("before"))
+        for level in reversed(levels):
+            down = level.withColumn("parent", F.floor(F.col("node") / fan)).groupBy(key, "parent")
+            entry = _written(down.cogroup(entry.groupBy(key, "node")).applyInArrow(enter, entry_ddl), "entries")
+        entry = _written(nodes.join(entry, [key, "node"]).where("node > 0").select(key, "block", "entry", "before"), "true-entries")
+
+        def again(rows: pa.Table) -> pa.Table:
+            t = np.sort(rows["t"].to_numpy())
+            place = rows["before"][0].as_py()
+            kept = t[_greedy(t, rows["entry"][0].as_py(), min_gap)]
+            return pa.Table.from_arrays(picked([(rows[key][0], rows["block"][0].as_py(), kept, place)]), schema=scene_type)
+
+        redone = c.join(entry, [key, "block"]).groupBy(key, "block").applyInArrow(again, scene_ddl)
+        result = chosen.join(entry, [key, "block"], "left_anti").unionByName(redone)
+    zero = totals.select(key, F.lit(0).alias("scene_idx"), F.lit(0.0).alias("start_s"))
+    return zero.unionByName(result.select(key, F.col("scene_idx").cast("int").alias("scene_idx"), "start_s"))
+
+
+def _without(fn, name: str):
+    """``fn`` on rows less one column."""
+    return lambda rows: fn(rows.drop_columns([name]))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = session.new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scene_intervals(

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -97,19 +98,39 @@ def greedy(times, total, gap=1.0, tail=3.0):
     return kept
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10**6), block=st.sampled_from([1.0, 2.5, 30.0]))
-def test_scene_thin_in_blocks_is_greedy(spark, seed, block):
-    r = random.Random(seed)
-    data = {"hot": [round(r.uniform(0, 60), 2) for _ in range(300)], "a": [0.2, 5.0], "bare": []}
-    totals = {"hot": 58.0, "a": 9.0, "bare": 2.0}
-    c = spark.createDataFrame([(k, t) for k, ts in data.items() for t in ts], "k string, ts_s double")
+@pytest.mark.parametrize(("rows", "fan"), [(5, 2), (5, 3), (500, 2), (50_000, 64)])
+def test_scene_thin_does_not_depend_on_blocks(spark, rows, fan):
+    r = random.Random(rows + fan)
+    data = {
+        "hot": [round(r.uniform(0, 60), 2) for _ in range(300)],
+        "dense": [round(5 + i / 100, 2) for i in range(180)],
+        "ties": [1.0, 2.0, 3.0, 3.0, 4.0, 4.999, 5.0],
+        "early": [-4.0, -1.0, 0.0, 0.5, 0.999, 1.5],
+        **{f"k{i}": [round(r.uniform(0, 12), 1) for _ in range(r.randint(1, 9))] for i in range(25)},
+        "bare": [],
+    }
+    totals = {k: 58.0 if k == "hot" else 12.0 for k in data}
+    c = spark.createDataFrame([(k, t) for k, ts in data.items() for t in ts] + [(None, 3.0), ("hot", None), ("lost", 4.0)], "k string, ts_s double")
     t = spark.createDataFrame(list(totals.items()), "k string, total_s double")
-    for limit in (50, BIG):
-        got = align.scene_thin(c, t, "k", limit=limit, block_s=block).orderBy("k", "scene_idx").collect()
-        for k in data:
-            mine = [(x["scene_idx"], x["start_s"]) for x in got if x["k"] == k]
-            assert mine == list(enumerate(greedy(data[k], totals[k]))), (k, limit)
+    got = align.scene_thin(c, t, "k", rows=rows, fan=fan).collect()
+    for k in data:
+        mine = sorted((x["scene_idx"], x["start_s"]) for x in got if x["k"] == k)
+        assert mine == list(enumerate(greedy(data[k], totals[k]))), k
+    assert {x["k"] for x in got} == set(data)
+
+
+@settings(max_examples=60, deadline=None)
+@given(seed=st.integers(0, 10**6), size=st.integers(1, 9), gap=st.sampled_from([0.1, 1.0, 2.5]))
+def test_composed_exits_are_greedy(seed, size, gap):
+    r = random.Random(seed)
+    t = np.unique([round(gap + r.uniform(0, 12), 1) for _ in range(r.randint(1, 60))])
+    parts = [align._Exits.of(t[i : i + size], gap) for i in range(0, len(t), size)]
+    pairs = [align._Exits.composed(parts[i : i + 2], gap) for i in range(0, len(parts), 2)]
+    want = t[align._greedy(t, 0.0, gap)]
+    assert want.tolist() == greedy(t, 10**6, gap)[1:]
+    for one in (align._Exits.composed(parts, gap), align._Exits.composed(pairs, gap)):
+        last, n = one.after(np.array([0.0]), gap)
+        assert (last[0], n[0]) == (want[-1], len(want))
 
 
 def test_round_robin_and_sessions_do_not_depend_on_the_cut(spark):
