@@ -248,7 +248,8 @@ states AS (
 
 MACHINE = """ev AS (
   SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
-    CASE event_type WHEN 'signup' THEN 'claim' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'fail' WHEN 'view' THEN 'reset' ELSE 'noop' END AS e FROM events),
+    CASE event_type WHEN 'signup' THEN 'claim' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'fail' WHEN 'view' THEN 'reset' ELSE 'noop' END AS e FROM events
+  WHERE date_trunc('milliseconds', ts) <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)),
 run(user_id, n, status, verdict) AS (
   SELECT user_id, 0::BIGINT, 'Pending', 'none' FROM (SELECT DISTINCT user_id FROM ev)
   UNION ALL

@@ -773,8 +773,8 @@ def run_status(spark, d):
 # --- streams ----------------------------------------------------------------
 
 
-def _event_stream(spark, d):
-    return io.read_stream(spark, f"{d}/events*.parquet", V.EVENTS_SCHEMA)
+def _event_stream(spark, d, files_per_trigger=None):
+    return io.read_stream(spark, f"{d}/events*.parquet", V.EVENTS_SCHEMA, files_per_trigger)
 
 
 @query
@@ -808,12 +808,13 @@ def stream_daily(spark, d):
 
 @query
 def stream_run_state(spark, d):
+    """One file a batch; events of the last hour still wait for earlier ones."""
     t = F.col("event_type")
     event = (
         F.when(t == "signup", F.lit("claim")).when(t == "purchase", F.lit("complete")).when(t == "error", F.lit("fail")).when(t == "view", F.lit("reset")).otherwise(F.lit("noop"))
     )
-    src = _event_stream(spark, d).select(F.col("user_id").alias("topic_id"), "event_id", "ts", event.alias("event"))
-    steps = io.drain(state.stream_run_state(src), "run-state")
+    src = _event_stream(spark, d, 1).select(F.col("user_id").alias("topic_id"), "event_id", "ts", event.alias("event"))
+    steps = io.drain(state.stream_run_state(src, delay="1 hour"), "run-state")
     return steps.groupBy("topic_id").agg(
         F.max_by("status", F.struct("ts", "event_id")).alias("status"),
         F.count_if(F.col("verdict") == "applied").alias("applied"),

@@ -1,12 +1,14 @@
 """Run state per topic as a stream.
 
 State is one small record per key, and the events that the watermark has not
-reached. They are applied in event-time order by timers.
+reached in chunks by time. One timer per key applies them in order.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,62 +32,137 @@ MOVES = {
 COLUMNS = ["topic_id", "event_id", "ts", "event", "status", "verdict"]
 
 
+@dataclass
+class Waiting:
+    """What a topic holds: its run, its one timer, and where its chunks of waiting events begin.
+
+    Chunk ``ids[i]`` holds the events from ``begins[i]`` up to ``begins[i + 1]``
+    by (time, id), so chunks are read in order and only as far as needed.
+    """
+
+    status: str = rules.PENDING
+    last: tuple[int, int] | None = None
+    timer: int | None = None
+    begins: list[tuple[int, int]] = field(default_factory=list)
+    ids: list[int] = field(default_factory=list)
+    next_id: int = 0
+
+    SCHEMA = "status string, last_us long, last_seq long, timer long, us array<long>, seq array<long>, ids array<long>, next_id long"
+
+    @classmethod
+    def load(cls, row: tuple | None) -> Waiting:
+        if row is None:
+            return cls()
+        status, last_us, last_seq, timer, us, seq, ids, next_id = row
+        return cls(status, None if last_us is None else (last_us, last_seq), timer, list(zip(us, seq, strict=True)), list(ids), next_id)
+
+    def row(self) -> tuple:
+        last = self.last or (None, None)
+        return (self.status, *last, self.timer, [b[0] for b in self.begins], [b[1] for b in self.begins], self.ids, self.next_id)
+
+
 class RunState(StatefulProcessor):
     """Applies a topic's events in order once the watermark has reached them; late and illegal ones are reported.
 
-    Events wait in map state by their millisecond, each with a timer, so memory
-    holds one incoming frame and one millisecond of a topic.
+    A topic's events wait in chunks of at most ``chunk`` consecutive ones, found
+    through one small record. New events are merged into the chunks they fall
+    in; a chunk that grows too long is split. One timer stands at the earliest
+    waiting time, and when it goes off all that the watermark has reached is
+    applied chunk by chunk. So calls to the state follow the chunks touched, not
+    the events, and memory holds one incoming frame and one chunk.
     """
 
+    def __init__(self, chunk: int = 2_000):
+        self.chunk = chunk
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.value = handle.getValueState("run", "status string, ts timestamp, seq long")
-        self.waiting = handle.getMapState("waiting", "ms long", "us array<long>, seq array<long>, event array<string>")
+        self.value = handle.getValueState("run", Waiting.SCHEMA)
+        self.chunks = handle.getMapState("waiting", "id long", "us array<long>, seq array<long>, event array<string>")
+
+    def _read(self, chunk_id: int) -> list[tuple[int, int, str]]:
+        return list(zip(*self.chunks.getValue((chunk_id,)), strict=True))
+
+    def _write(self, chunk_id: int, events: list[tuple[int, int, str]]) -> None:
+        self.chunks.updateValue((chunk_id,), tuple(map(list, zip(*events, strict=True))))
+
+    def _add(self, now: Waiting, events: list[tuple[int, int, str]]) -> None:
+        """Merge sorted events into their chunks, from the last one back so that splits move no index still needed."""
+        high = len(events)
+        for i in range(max(len(now.ids), 1) - 1, -1, -1):
+            # the first chunk also takes what comes before it
+            low = bisect_left(events, now.begins[i], key=lambda e: e[:2]) if i else 0
+            part, high = events[low:high], low
+            if not part:
+                continue
+            if now.ids:
+                part = sorted(part + self._read(now.ids[i]))
+            pieces = [part[k : k + self.chunk] for k in range(0, len(part), self.chunk)]
+            ids = now.ids[i : i + 1]
+            ids += range(now.next_id, now.next_id + len(pieces) - len(ids))
+            now.next_id = max(now.next_id, ids[-1] + 1)
+            for chunk_id, piece in zip(ids, pieces, strict=True):
+                self._write(chunk_id, piece)
+            now.ids[i : i + 1], now.begins[i : i + 1] = ids, [p[0][:2] for p in pieces]
+
+    def _keep(self, now: Waiting) -> None:
+        """Store the record, with the timer at the earliest waiting event; it goes off when the watermark is past it."""
+        due = now.begins[0][0] // 1000 - 1 if now.begins else None
+        if due != now.timer:
+            if now.timer is not None:
+                self.handle.deleteTimer(now.timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+            now.timer = due
+        self.value.update(now.row())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        out = []
+        now, out, new = Waiting.load(self.value.get()), [], False
         for frame in rows:
+            timed = frame["us"].notna()
             # Without a time an event has no place in the order: reported, and moves nothing.
-            for seq, event in frame.loc[frame["us"].isna(), ["event_id", "event"]].itertuples(index=False, name=None):
-                status = self.value.get()[0] if self.value.exists() else rules.PENDING
-                out.append((key[0], seq, pd.NaT, event, status, "illegal"))
-            for ms, part in frame.groupby(frame["us"] // 1000, sort=False):
-                at = (int(ms),)
-                held = [list(part["us"]), list(part["event_id"]), list(part["event"])]
-                if self.waiting.containsKey(at):
-                    held = [list(old) + new for old, new in zip(self.waiting.getValue(at), held, strict=True)]
-                else:
-                    # A timer goes off when the watermark is past it.
-                    self.handle.registerTimer(at[0] - 1)
-                self.waiting.updateValue(at, ([int(x) for x in held[0]], [int(x) for x in held[1]], held[2]))
+            for seq, event in frame.loc[~timed, ["event_id", "event"]].itertuples(index=False, name=None):
+                out.append((key[0], seq, pd.NaT, event, now.status, "illegal"))
+            f = frame.loc[timed]
+            if len(f):
+                events = zip(f["us"].astype("int64").tolist(), f["event_id"].tolist(), f["event"].tolist(), strict=True)
+                self._add(now, sorted((us, int(seq), event) for us, seq, event in events))
+                new = True
+        if new:
+            self._keep(now)
         yield pd.DataFrame(out, columns=COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = (expiredTimerInfo.getExpiryTimeInMs() + 1,)
-        kept = self.value.get() if self.value.exists() else None
-        status = kept[0] if kept else rules.PENDING
-        last = (pd.Timestamp(kept[1]), kept[2]) if kept else None
-        out = []
-        for us, seq, event in sorted(zip(*self.waiting.getValue(at), strict=True), key=lambda x: x[:2]):
-            ts = pd.Timestamp(us, unit="us")
-            now = (ts, int(seq))
-            if last is not None and now <= last:
-                out.append((key[0], seq, ts, event, status, "late"))
-                continue
-            last = now
-            to = MOVES.get((event, status))
-            out.append((key[0], seq, ts, event, to or status, "illegal" if to is None else "applied"))
-            status = to or status
-        self.waiting.removeKey(at)
-        if last is not None:
-            self.value.update((status, last[0].to_pydatetime(), last[1]))
-        yield pd.DataFrame(out, columns=COLUMNS)
+        now = Waiting.load(self.value.get())
+        now.timer = None  # it went off
+        end = (timerValues.getCurrentWatermarkInMs() + 1) * 1000
+        while now.begins and now.begins[0][0] < end:
+            events = self._read(now.ids[0])
+            ripe = bisect_left(events, end, key=lambda e: e[0])
+            out = []
+            for us, seq, event in events[:ripe]:
+                ts = pd.Timestamp(us, unit="us")
+                if now.last is not None and (us, seq) <= now.last:
+                    out.append((key[0], seq, ts, event, now.status, "late"))
+                    continue
+                now.last = (us, seq)
+                to = MOVES.get((event, now.status))
+                now.status = to or now.status
+                out.append((key[0], seq, ts, event, now.status, "illegal" if to is None else "applied"))
+            yield pd.DataFrame(out, columns=COLUMNS)
+            if ripe < len(events):
+                self._write(now.ids[0], events[ripe:])
+                now.begins[0] = events[ripe][:2]
+            else:
+                self.chunks.removeKey((now.ids[0],))
+                del now.ids[0], now.begins[0]
+        self._keep(now)
 
     def close(self) -> None:
         pass
 
 
-def stream_run_state(src: DataFrame, key_type: str = "bigint", delay: str = "0 seconds") -> DataFrame:
+def stream_run_state(src: DataFrame, key_type: str = "bigint", delay: str = "0 seconds", chunk: int = 2_000) -> DataFrame:
     """Src: topic_id, event_id, ts, event. One output row per event with the status after it.
 
     An event is applied when the watermark, ``delay`` behind the latest event,
@@ -96,7 +173,7 @@ def stream_run_state(src: DataFrame, key_type: str = "bigint", delay: str = "0 s
     # The number is not the watermark's column: Spark would drop late rows, which are to be reported.
     s = s.select("topic_id", "event_id", F.unix_micros("ts").alias("us"), "event")
     return s.groupBy("topic_id").transformWithStateInPandas(
-        statefulProcessor=RunState(),
+        statefulProcessor=RunState(chunk),
         outputStructType=f"topic_id {key_type}, event_id long, ts timestamp, event string, status string, verdict string",
         outputMode="Append",
         timeMode="EventTime",

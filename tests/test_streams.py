@@ -1,7 +1,11 @@
 """Streams fed in several batches, out of order, twice, and restarted."""
 
 import datetime as dt
+import random
+from types import SimpleNamespace
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.streaming import daily, dedup, io, logs, missed, state
@@ -36,8 +40,6 @@ def test_run_state_over_batches_and_restart(spark, tmp_path):
 
 
 def test_run_state_agrees_however_files_are_batched(spark, tmp_path):
-    import random
-
     rnd = random.Random(3)
     kinds = ["claim", "complete", "fail", "reset"]
     rows = [(rnd.choice("aaab"), i, T(1, 0) + dt.timedelta(minutes=rnd.randrange(600)), rnd.choice(kinds)) for i in range(120)]
@@ -49,8 +51,8 @@ def test_run_state_agrees_however_files_are_batched(spark, tmp_path):
             put(spark, src, rows[n::batches], RUNS, f"{n:02}")
         out, ck = str(tmp_path / f"out{batches}"), str(tmp_path / f"ck{batches}")
 
-        def go(src=src, out=out, ck=ck):
-            return io.drain(state.stream_run_state(io.read_stream(spark, f"{src}/*", RUNS, 1), "string", "1 day"), "rs", out=out, state=ck)
+        def go(src=src, out=out, ck=ck, chunk={1: 2_000, 3: 4, 10: 1}[batches]):
+            return io.drain(state.stream_run_state(io.read_stream(spark, f"{src}/*", RUNS, 1), "string", "1 day", chunk), "rs", out=out, state=ck)
 
         go()
         # A later event lets the watermark pass all others.
@@ -61,6 +63,59 @@ def test_run_state_agrees_however_files_are_batched(spark, tmp_path):
     assert {r[5] for r in got[0]} == {"applied", "illegal"}
 
 
+class Store:
+    """What the processor asks of its handle, in memory, with a count of the calls."""
+
+    def __init__(self):
+        self.value, self.map, self.timers, self.calls = None, {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(get=lambda: self.value, update=lambda row: setattr(self, "value", row))
+
+    def getMapState(self, name, key, value):
+        def read(k):
+            self.calls += 1
+            return self.map[k]
+
+        def write(k, v):
+            self.calls += 1
+            self.map[k] = v
+
+        return SimpleNamespace(getValue=read, updateValue=write, removeKey=lambda k: self.map.pop(k))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 50, 10_000])
+def test_run_state_keeps_one_timer_and_bounded_chunks(chunk):
+    rnd = random.Random(chunk)
+    kinds = ["claim", "complete", "fail", "reset"]
+    # a third of all events fall into one millisecond
+    events = [(rnd.choice([5_000_000 + rnd.randrange(1000), rnd.randrange(10_000_000), rnd.randrange(10_000_000)]), i, rnd.choice(kinds)) for i in range(400)]
+    store, p = Store(), state.RunState(chunk)
+    p.init(store)
+    done, sent = [], 0
+    for mark in (0, 2_000, 5_000, 7_000, 20_000):
+        late = [e for e in events[sent:] if e[0] // 1000 > mark or mark == 20_000]
+        batch, sent = (late[: len(late) // 3], 0) if mark < 20_000 else (late, len(events))
+        events = [e for e in events if e not in batch]
+        frames = [pd.DataFrame(batch[i : i + 40], columns=["us", "event_id", "event"]) for i in range(0, len(batch), 40)]
+        assert sum(len(f) for f in p.handleInputRows(("k",), iter(frames), None)) == 0
+        assert len(store.timers) <= 1 and all(len(v[0]) <= chunk for v in store.map.values())
+        for due in [t for t in store.timers if t < mark]:
+            store.timers.remove(due)
+            now = SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)
+            for f in p.handleExpiredTimer(("k",), now, SimpleNamespace(getExpiryTimeInMs=lambda: due)):
+                done += [(r.ts.value // 1000, r.event_id) for r in f.itertuples() if r.verdict != "late"]
+    assert done == sorted(done) and not store.map and not store.timers
+    if chunk == 10_000:
+        assert store.calls < 100
+
+
 def test_dedup_over_batches(spark, tmp_path):
     src = str(tmp_path / "src")
     schema = "stream string, ts timestamp_ntz, status string"
