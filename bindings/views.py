@@ -101,11 +101,6 @@ def doc_sizes(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).select("doc_id", F.size(X.words(F.col("text"))).alias("n_words"))
 
 
-def doc_bounds(spark: SparkSession, d: str) -> DataFrame:
-    """Upper bounds on words and scene edges, from the stored lengths alone."""
-    return table(spark, d, "documents").select("doc_id", (F.col("n_chars") * 2).alias("n"))
-
-
 def transcripts(spark: SparkSession, d: str, per_segment: int = 10) -> DataFrame:
     """Documents as nested transcript documents of ten-word segments."""
     rate = rules.WORDS_PER_SECOND

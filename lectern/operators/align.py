@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from lectern import rules, session
 from lectern.functions.num import clamp, ms, round_half_up
 from lectern.plans.blocks import ROWS_PER_BLOCK, in_blocks
-from lectern.plans.ordered import ROWS_PER_TASK, Scan, scan
+from lectern.plans.ordered import Scan, scan
 
 
 def nearest_word(
@@ -25,14 +25,12 @@ def nearest_word(
     at: str = "at",
     start: str = "start_s",
     idx: str = "word_idx",
-    limit: int = ROWS_PER_TASK,
-    sizes: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``nearest_idx``: the word whose start is closest to each point.
 
     Ties go to the lowest index; a key without words gives 0. Points and words
-    meet in one ordered scan instead of a cross product. ``sizes`` (key, n)
-    is an upper bound on the rows per key, if the caller has one.
+    meet in one ordered scan instead of a cross product.
     """
     cols = points.columns
     both = points.select(
@@ -49,7 +47,7 @@ def nearest_word(
     is_word = (F.col("__kind") == 0) & F.col("__t").isNotNull()
     word_t, word_i = F.when(is_word, F.col("__t")), F.when(is_word, -F.col("__back"))
     what = Scan(prev={"__pt": word_t, "__pi": word_i}, next={"__nt": word_t, "__ni": word_i}, tie="__back")
-    hit = scan(both, [key], ["__t", "__kind"], what, limit, sizes).where(F.col("__kind") == 1)
+    hit = scan(both, [key], ["__t", "__kind"], what, partitions).where(F.col("__kind") == 1)
     before, after = F.abs(F.col("__t") - F.col("__pt")), F.abs(F.col("__nt") - F.col("__t"))
     best = (
         F.when(F.col("__pi").isNull() | (after < before), F.col("__ni"))
@@ -289,14 +287,10 @@ def scene_intervals(
     totals: DataFrame,
     key: str,
     tail: float = rules.SCENE_TAIL_S,
-    limit: int = ROWS_PER_TASK,
-    sizes: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """End of each scene: the next start, for the last one the total less the tail.
-
-    ``sizes`` of the candidates (key, n) bound those of the scenes and save working the scenes out twice.
-    """
-    nxt = scan(scenes, [key], ["start_s"], Scan(lead={"__next": F.col("start_s")}), limit, sizes)
+    """End of each scene: the next start, for the last one the total less the tail."""
+    nxt = scan(scenes, [key], ["start_s"], Scan(lead={"__next": F.col("start_s")}), partitions)
     end = F.coalesce("__next", F.greatest(F.lit(0.0), F.col("total_s") - tail))
     return nxt.join(totals, key).select(
         key,
@@ -309,7 +303,7 @@ def scene_intervals(
 
 
 def slide_ranges(
-    scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None
+    scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None
 ) -> DataFrame:
     """Word range of each scene, clamped to the words there are.
 
@@ -321,7 +315,7 @@ def slide_ranges(
         F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")),
     )
     edges = scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
-    near = nearest_word(edges, words, key, limit=limit, sizes=sizes)
+    near = nearest_word(edges, words, key, partitions=partitions)
     n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
     both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
@@ -346,14 +340,14 @@ def slide_ranges(
 
 
 def slide_text(
-    scenes: DataFrame, words: DataFrame, key: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None
+    scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None
 ) -> DataFrame:
     """Text, word count and spoken interval of each scene.
 
     Ranges are opened to one row per word and joined on (key, index), so a long
     video spreads over tasks; only a slide's own text is gathered in one row.
     """
-    ranges = slide_ranges(scenes, words, key, limit, sizes)
+    ranges = slide_ranges(scenes, words, key, partitions)
     per_word = ranges.withColumn(
         "word_idx", F.explode_outer(F.when(F.col("n_words") > 0, F.sequence("word_start_index", "word_end_index")))
     )
@@ -466,7 +460,7 @@ def transcript_rollup(segments: DataFrame, key: str) -> DataFrame:
     )
 
 
-def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",), limit: int = ROWS_PER_TASK) -> DataFrame:
+def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",), partitions: int | None = None) -> DataFrame:
     """Start offset and fade-out point of each track in playing order.
 
     Tracks: key, the order columns, video_s, audio_s. The audio length counts where it is
@@ -474,13 +468,13 @@ def track_timeline(tracks: DataFrame, key: str, order: Sequence[str] = ("pos",),
     """
     eff = F.when(F.col("audio_s") > 0, F.col("audio_s")).otherwise(F.col("video_s"))
     t = tracks.withColumn("duration_s", eff)
-    # Decimals add up alike however a long list is cut.
-    exact = F.col("duration_s").cast("decimal(20,6)")
-    run = scan(t, [key], list(order), Scan(sums={"__sum": exact}), limit)
+    # Whole microseconds add up alike however a long list is cut.
+    exact = (F.col("duration_s").cast("decimal(20,6)") * 1_000_000).cast("long")
+    run = scan(t, [key], list(order), Scan(sums={"__sum": exact}), partitions)
     return run.select(
         *tracks.columns,
         "duration_s",
         (F.col("duration_s") < F.col("video_s") - rules.AUDIO_SHORT_S).alias("audio_short"),
-        (F.col("__sum") - exact).cast("double").alias("offset_s"),
+        ((F.col("__sum") - exact) / 1_000_000).alias("offset_s"),
         F.greatest(F.lit(0.0), F.col("duration_s") - rules.FADE_S).alias("fade_out_s"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern import rules
 from lectern.functions.text import fill
-from lectern.plans.ordered import ROWS_PER_TASK, key_sizes, number_rows
+from lectern.plans.ordered import number_rows
 
 
 def topic_queue(topics: DataFrame) -> DataFrame:
@@ -115,14 +115,14 @@ def claim(topics: DataFrame) -> DataFrame:
     )
 
 
-def round_robin_plan(topics: DataFrame, per_day: int, limit: int = ROWS_PER_TASK) -> DataFrame:
+def round_robin_plan(topics: DataFrame, per_day: int, partitions: int | None = None) -> DataFrame:
     """Interleave subjects: each one's first topic, then each one's second, ...
 
     ``slot`` is the 1-based position in the stream's plan, ``day`` counts from 0.
     """
     waiting = topics.where(F.col("status") == rules.PENDING)
-    turns = number_rows(waiting, ["stream", "subject"], ["created_time", "topic_id"], "turn", limit)
-    plan = number_rows(turns, ["stream"], ["turn", "subject"], "slot", limit, key_sizes(waiting, ["stream"]))
+    turns = number_rows(waiting, ["stream", "subject"], ["created_time", "topic_id"], "turn", partitions)
+    plan = number_rows(turns, ["stream"], ["turn", "subject"], "slot", partitions)
     return plan.withColumn("day", F.floor((F.col("slot") - 1) / per_day).cast("long"))
 
 

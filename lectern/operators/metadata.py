@@ -9,16 +9,16 @@ from pyspark.sql.window import Window
 from lectern import rules
 from lectern.functions.text import SPACE, fill, hashtag, slug_chars, slug_runs, slug_trimmed, trim_space
 from lectern.operators.textjobs import rotation
-from lectern.plans.ordered import ROWS_PER_TASK, first_rows
+from lectern.plans.ordered import first_rows
 
 
 def _values() -> dict[str, Column]:
     return {n: F.col(n) for n in ("topic", "subject", "chapter")}
 
 
-def plan_titles(topics: DataFrame, by: str = "position", limit: int = ROWS_PER_TASK) -> DataFrame:
+def plan_titles(topics: DataFrame, by: str = "position", partitions: int | None = None) -> DataFrame:
     """Title formula in rotation inside (stream, subject), cut to length."""
-    r = rotation(topics, ["stream", "subject"], ["topic_id"], len(rules.TITLES), "formula", by, limit)
+    r = rotation(topics, ["stream", "subject"], ["topic_id"], len(rules.TITLES), "formula", by, partitions)
     title = F.when(F.col("formula") == 0, fill(rules.TITLES[0], **_values()))
     for i, t in enumerate(rules.TITLES[1:], start=1):
         title = title.when(F.col("formula") == i, fill(t, **_values()))

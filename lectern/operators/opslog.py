@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern import rules
 from lectern.functions.text import slug_chars
 from lectern.functions.time import instant
-from lectern.plans.ordered import ROWS_PER_TASK, Scan, first_rows, scan
+from lectern.plans.ordered import Scan, first_rows, scan
 
 
 def error_category(message: Column, table: Sequence[tuple[str, Sequence[str]]] = rules.ERROR_RULES) -> Column:
@@ -54,7 +54,7 @@ def run_sessions(
     key: str,
     order: Sequence[str],
     line: str = "line",
-    limit: int = ROWS_PER_TASK,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Runs of each stream: start line, first end line after it, state, duration.
 
@@ -68,7 +68,7 @@ def run_sessions(
         [key],
         list(order),
         Scan(sums={"run_no": F.col("__start").cast("long")}),
-        limit,
+        partitions,
     )
     ts = order[0]
     first_end = F.when(F.col("__end").isNotNull() & ~F.col("__start"), F.struct(*order))

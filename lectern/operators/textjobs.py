@@ -24,13 +24,13 @@ from lectern.functions.text import (
     strip_ansi,
     trim_space,
 )
-from lectern.plans.ordered import ROWS_PER_TASK, number_rows
+from lectern.plans.ordered import number_rows
 
 
 # --- scripts ----------------------------------------------------------------
 
 
-def rotation(df: DataFrame, keys: list[str], order: list[str], n: int, name: str, by: str = "position", limit: int = ROWS_PER_TASK) -> DataFrame:
+def rotation(df: DataFrame, keys: list[str], order: list[str], n: int, name: str, by: str = "position", partitions: int | None = None) -> DataFrame:
     """0-based choice among ``n`` variants that repeats run after run.
 
     ``position`` walks through the variants inside a group, so neighbours
@@ -41,7 +41,7 @@ def rotation(df: DataFrame, keys: list[str], order: list[str], n: int, name: str
         return df.withColumn(name, F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(n)))
     if by != "position":
         raise ValueError(f"by must be 'position' or 'hash', not {by!r}")
-    pos = number_rows(df, keys, order, "__pos", limit)
+    pos = number_rows(df, keys, order, "__pos", partitions)
     return pos.withColumn(name, F.pmod(F.col("__pos") - 1, F.lit(n))).drop("__pos")
 
 
@@ -59,7 +59,7 @@ def build_scripts(
     channel: str,
     text: str = "text",
     by: str = "position",
-    limit: int = ROWS_PER_TASK,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Intro, unchanged main text and outro with word counts and durations.
 
@@ -67,7 +67,7 @@ def build_scripts(
     variants is made on the narrow topic rows.
     """
     t = topics.select(key, "stream", "subject", "topic")
-    t = rotation(t, ["stream"], [key], len(rules.INTROS) * len(rules.OUTROS), "__v", by, limit)
+    t = rotation(t, ["stream"], [key], len(rules.INTROS) * len(rules.OUTROS), "__v", by, partitions)
     j = docs.select(key, text).join(t, key, "left")
     topic, subject = F.coalesce("topic", F.lit(rules.UNKNOWN)), F.coalesce("subject", F.lit(rules.UNKNOWN))
     v = F.coalesce("__v", F.lit(0))

@@ -2,97 +2,44 @@
 
 Running sums, row numbers, last-value-before and next-value-after are window
 functions over one key's whole history, and a plain window puts that history
-in one task. So a look at a hash sample of the rows finds the keys that hold
-more than about ``limit`` rows, and their quantiles by the whole order tuple:
-text, outliers and long runs of one value are cut alike. Each hot key falls
-into consecutive *cells* of about an eighth of ``limit``; the window then runs
-inside (key, cell), and a table with one row per hot cell carries what earlier
-or later cells contribute.
-
-The cuts are written to the shared folder, so all branches of a plan and all
-recomputed tasks see the same ones. Any cut gives the same result: sums of
-integers and decimals are exact; those of doubles may differ in the last digit.
-Neither table is collected, and Spark broadcasts them only where they are small.
+in one task. Here the rows go once through a range exchange on key and order,
+so a key of any size is spread over as many tasks as it fills. Each task walks
+its sorted rows in Arrow batches, and writes them with what it knows so far,
+besides one short record for the first and the last key it saw: the only keys
+that other tasks can share. A window over those records, at most two a task,
+gives what earlier and later tasks bring, and a join adds it to the rows of
+those keys.
+
+No sample of hot keys, no limit and no job but the write: the cut follows the
+exchange, and any cut gives the same rows, since sums are of whole numbers.
 Only rows equal in all order columns stay together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from lectern import session
 
-ROWS_PER_TASK = 2_000_000
-CELLS_PER_LIMIT = 8
-SAMPLE_PER_LIMIT = 256
-
-
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)],
-    )
-
-
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key, as a combining aggregate: a bound where ``df`` is cheaper than what is scanned."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, sizes: DataFrame | None) -> DataFrame | None:
-    """(keys as __g*, __cuts): quantiles of the order tuple of each hot key, or None without hot keys."""
-    if sizes is not None and sizes.where(F.col("n") > limit).isEmpty():
-        return None
-    tmp = [f"__g{i}" for i in range(len(keys))]
-    every = max(1, limit // SAMPLE_PER_LIMIT)
-    stride = max(1, limit // (every * CELLS_PER_LIMIT))
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    seen = df.where(F.pmod(F.xxhash64(*plain), F.lit(every)) == 0) if every > 1 else df
-    seen = seen.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)], F.struct(*order).alias("at"))
-    hot = seen.groupBy(*tmp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * every > limit)
-    hot = hot.select(*[F.col(t).alias(f"{t}h") for t in tmp])
-    of_hot = seen.join(hot, _same(tmp, [f"{t}h" for t in tmp]), "left_semi")
-    place = F.row_number().over(Window.partitionBy(*tmp).orderBy("at"))
-    ends = of_hot.withColumn("n", place).where(F.col("n") % stride == 0)
-    found = ends.groupBy(*tmp).agg(F.array_sort(F.collect_set("at")).alias("__cuts"))
-    path = session.new_path(df.sparkSession, "cuts")
-    found.write.parquet(path)
-    cuts = df.sparkSession.read.schema(found.schema).parquet(path)
-    return None if cuts.isEmpty() else cuts
-
-
-def _cell(at: Column, cuts: Column) -> Column:
-    """Number of cuts at or below ``at``: first among every so many of the sorted cuts, then between two of those."""
-    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(cuts))).cast("int"))
-    coarse = F.filter(F.sequence(F.lit(1), F.size(cuts), width), lambda i: F.get(cuts, i - 1) <= at)
-    start = F.greatest(F.lit(1), F.array_max(coarse))
-    fine = F.size(F.filter(F.slice(cuts, start, width), lambda c: c <= at))
-    return F.when(F.size(coarse) == 0, F.lit(0)).otherwise(start - 1 + fine).cast("long")
-
-
-def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
-    """Cut hot keys into consecutive cells; returns the rows and the names of the cell columns added."""
-    cuts = _cuts(df, keys, order, limit, sizes)
-    if cuts is None:
-        return df, []
-    tmp = [f"__g{i}" for i in range(len(keys))]
-    is_hot = F.col("__cuts").isNotNull()
-    cell = F.when(is_hot, _cell(F.struct(*order), F.col("__cuts"))).otherwise(F.lit(0).cast("long"))
-    return df.join(cuts, _same(keys, tmp), "left").select(*df.columns, cell.alias("__cell"), is_hot.alias("__hot")), ["__cell"]
+ROW_NUMBER = "__rn"
 
 
 @dataclass
 class Scan:
     """What an ordered scan should add; every entry is output name -> expression.
 
-    ``sums``: running sum up to and including the row.
+    ``sums``: running sum of whole numbers up to and including the row.
     ``prev``: last non-null value at or before the row.
     ``next``: first non-null value at or after the row.
     ``lead``: value on the very next row.
@@ -109,116 +56,226 @@ class Scan:
     tie: str | None = None
 
 
-def scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    what: Scan,
-    limit: int = ROWS_PER_TASK,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
+def _changes(t: pa.Table, columns: Sequence[str]) -> np.ndarray:
+    """Whether row i + 1 differs from row i in any of the columns; nulls are equal."""
+    out = np.zeros(max(t.num_rows - 1, 0), bool)
+    for c in columns:
+        v = t[c].combine_chunks()
+        a, b = v.slice(1), v.slice(0, len(v) - 1)
+        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        out |= ~same.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _at(values: pa.Array, places: np.ndarray) -> pa.Array:
+    """Values at the places, null where a place is negative."""
+    return values.take(pa.array(places, pa.int64(), mask=places < 0))
 
-    ``sizes`` (keys, n) saves the look at ``df`` where upper bounds of the rows
-    per key are known from something cheaper and none is above ``limit``.
 
-    Looking ahead is done by sorting the other way round: a frame that ends at
-    the last row of the partition would be computed afresh for every row.
+class _Walk:
+    """One task's sorted rows, as they come.
+
+    Rows are held back only while what follows them is still unknown: the last
+    row for ``lead``, and for ``next`` the rows since the last value.
     """
-    keys, order = list(keys), list(order)
-    d, cells = with_cells(df, keys, order, limit, sizes)
-    folds = [(kind, out) for kind in ("sums", "prev", "next") for out in getattr(what, kind)]
-    d = d.select(
-        "*",
-        *[getattr(what, kind)[out].alias(f"__{kind}_{out}") for kind, out in folds],
-        *[F.struct(e.alias("v")).alias(f"__lead_{out}") for out, e in what.lead.items()],
-    )
-    tie = [F.col(what.tie)] if what.tie else []
-    part = Window.partitionBy(*keys, *cells)
-    forward = part.orderBy(*order, *tie)
-    back = part.orderBy(*[F.col(c).desc() for c in order], *tie)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-
-    def local(kind: str, out: str) -> Column:
-        c = f"__{kind}_{out}"
-        if kind == "sums":
-            return F.sum(c).over(forward.rowsBetween(*so_far))
-        return F.last(c, ignorenulls=True).over((back if kind == "next" else forward).rowsBetween(*so_far))
-
-    windowed = d.select(
-        "*",
-        *([F.row_number().over(forward).cast("long").alias("__l_rn")] if what.row_number else []),
-        *[local(kind, out).alias(f"__l_{kind}_{out}") for kind, out in folds],
-        *[F.lead(f"__lead_{out}").over(forward).alias(f"__l_lead_{out}") for out in what.lead],
-    )
-    if not cells:
-        return windowed.select(
-            *df.columns,
-            *([F.col("__l_rn").alias(what.row_number)] if what.row_number else []),
-            *[F.col(f"__l_{kind}_{out}").alias(out) for kind, out in folds],
-            *[F.col(f"__l_lead_{out}")["v"].alias(out) for out in what.lead],
-        )
-
-    # one row per hot cell, and what the cells before or after it bring
-    tmp = [f"__k{i}" for i in range(len(keys))]
-    ctmp = [f"__c{i}" for i in range(len(cells))]
-
-    def of_cell(kind: str, out: str) -> Column:
-        v = F.col(f"__{kind}_{out}")
-        if kind == "sums":
-            return F.sum(v)
-        ties = tie if kind == "prev" else [-t for t in tie]
-        at = F.when(v.isNotNull(), F.struct(*order, *[t.alias("__tie_at") for t in ties]))
-        return F.max_by(v, at) if kind == "prev" else F.min_by(v, at)
-
-    per_cell = (
-        d.where("__hot")
-        .groupBy(
-            *[F.col(k).alias(t) for k, t in zip(keys, tmp)],
-            *[F.col(c).alias(t) for c, t in zip(cells, ctmp)],
-        )
-        .agg(
-            F.count(F.lit(1)).alias("__a_rn"),
-            *[of_cell(kind, out).alias(f"__a_{kind}_{out}") for kind, out in folds],
-            *[F.min_by(F.col(f"__lead_{out}"), F.struct(*order)).alias(f"__a_lead_{out}") for out in what.lead],
-        )
-    )
-    cell_part = Window.partitionBy(*tmp)
-    before = cell_part.orderBy(*ctmp).rowsBetween(Window.unboundedPreceding, -1)
-    after = cell_part.orderBy(*[F.col(c).desc() for c in ctmp]).rowsBetween(Window.unboundedPreceding, -1)
 
-    def carried(kind: str, out: str) -> Column:
-        c = f"__a_{kind}_{out}"
-        if kind == "sums":
-            return F.sum(c).over(before)
-        return F.last(c, ignorenulls=True).over(after if kind == "next" else before)
-
-    carry = per_cell.select(
-        *tmp,
-        *ctmp,
-        F.sum("__a_rn").over(before).alias("__b_rn"),
-        *[carried(kind, out).alias(f"__b_{kind}_{out}") for kind, out in folds],
-        *[F.lead(f"__a_lead_{out}").over(cell_part.orderBy(*ctmp)).alias(f"__b_lead_{out}") for out in what.lead],
-    )
-    joined = windowed.join(carry, _same(keys + cells, tmp + ctmp), "left")
+    def __init__(self, columns: list[str], keys: list[str], order: list[str], names: dict[str, list[str]], schema: pa.Schema, task: int):
+        self.columns, self.keys, self.order, self.names, self.schema = columns, keys, order, names, schema
+        self.task, self.held, self.last_key = task, None, None
+        self.segment = -1  # number of the key last sent
+        self.run: dict = {}  # its running values
+        self.first: dict | None = None  # records of the first and the current key
+        self.current: dict | None = None
+
+    def add(self, rows: pa.Table, final: bool) -> Iterator[pa.RecordBatch]:
+        t = rows if self.held is None else pa.concat_tables([self.held, rows])
+        t = t.combine_chunks()
+        n = t.num_rows
+        if not n:
+            return
+        place = np.arange(n)
+        new_key = np.empty(n, bool)
+        new_key[1:] = _changes(t, self.keys)
+        new_key[0] = self.last_key is None or bool(_changes(pa.concat_tables([self.last_key, t.select(self.keys).slice(0, 1)]), self.keys)[0])
+        key = np.cumsum(new_key)  # 0: goes on from rows already sent
+        begin = np.maximum.accumulate(np.where(new_key, place, 0))
+        goes_on = key == 0
+        col = {c: t[c].combine_chunks() for c in t.column_names}
+        end, made = (n if final else n - bool(self.names["lead"])), {}
+
+        made[ROW_NUMBER] = pa.array(place - begin + 1 + np.where(goes_on, self.run.get(ROW_NUMBER, 0), 0))
+        for name in self.names["sums"]:
+            v = col[f"__sums_{name}"]
+            valid = v.is_valid().to_numpy(zero_copy_only=False)
+            x = pc.fill_null(v, 0).to_numpy(zero_copy_only=False)
+            total, seen = np.cumsum(x), np.cumsum(valid)
+            carried = self.run.get(name)
+            total = total - (total - x)[begin] + np.where(goes_on, carried or 0, 0)
+            some = seen - (seen - valid)[begin] + (goes_on & (carried is not None))
+            made[name] = pa.array(total, mask=some == 0)
+        last: dict[str, np.ndarray] = {}
+        for kind in ("prev", "next"):
+            for name in self.names[kind]:
+                valid = col[f"__{kind}_{name}"].is_valid().to_numpy(zero_copy_only=False)
+                last[name] = np.maximum.accumulate(np.where(valid, place, -1))
+        for name in self.names["prev"]:
+            v, at = col[f"__prev_{name}"], np.where(last[name] >= begin, last[name], -1)
+            if self.run.get(name) is not None:
+                v, at = pa.concat_arrays([v, self.run[name]]), np.where((at < 0) & goes_on, n, at)
+            made[name] = _at(v, at)
+        ahead: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        if self.names["next"]:
+            new_tie = new_key.copy()
+            new_tie[0], new_tie[1:] = True, new_key[1:] | _changes(t, self.order)
+            tie, tie_begin = np.cumsum(new_tie) - 1, np.flatnonzero(new_tie)
+            if not final:
+                end = min(end, tie_begin[-1])  # rows equal to the last one may follow
+            for name in self.names["next"]:
+                v = col[f"__next_{name}"]
+                valid = v.is_valid().to_numpy(zero_copy_only=False)
+                best = np.maximum.reduceat(np.where(valid, place, -1), tie_begin)
+                full = np.where(best >= 0, np.arange(len(best)), len(best))
+                later = np.append(np.minimum.accumulate(full[::-1])[::-1][1:], len(best))
+                at = np.append(best, -1)[later]
+                at = np.where((at >= 0) & (key[at] == key[tie_begin]), at, -1)[tie]
+                own = last[name] >= tie_begin[tie]
+                at = np.where(own, last[name], at)
+                if not final:
+                    unknown = ~own & (key == key[-1]) & ((at < 0) | (at >= tie_begin[-1]))
+                    end = min(end, int(tie_begin[tie[np.argmax(unknown)]]) if unknown.any() else end)
+                made[name], ahead[name] = _at(v, at), (best, tie)
+        for name in self.names["lead"]:
+            same = np.append(~new_key[1:], False)
+            made[name] = _at(col[f"__lead_{name}"], np.where(same, place + 1, -1))
+        if end:
+            yield self._sent(t, col, made, ahead, key, begin, int(end))
+        self.held = t.slice(end) if end < n else None
+
+    def _sent(self, t, col, made, ahead, key, begin, end) -> pa.RecordBatch:
+        number = self.segment + key
+        # records: from row ``low`` to before ``high`` of one key, ``low`` its first row or a continuation
+        for record, low, high in (("first", 0, int(np.searchsorted(number[:end], 0, side="right"))), ("current", int(begin[end - 1]), end)):
+            if low == high:
+                continue
+            r = getattr(self, record)
+            if r is None or r["segment"] != number[low]:
+                r = {"segment": int(number[low]), "key": t.select(self.keys).slice(low, 1), "next": {}, "lead": {c: col[f"__lead_{c}"].slice(low, 1) for c in self.names["lead"]}}
+                setattr(self, record, r)
+            r["run"] = {c: made[c].slice(high - 1, 1) for c in (ROW_NUMBER, *self.names["sums"], *self.names["prev"])}
+            for c, (best, tie) in ahead.items():
+                if c not in r["next"]:
+                    hits = best[tie[low] : tie[high - 1] + 1]
+                    if (hits >= 0).any():
+                        r["next"][c] = col[f"__next_{c}"].slice(int(hits[np.argmax(hits >= 0)]), 1)
+        run = self.current["run"]
+        self.run = {c: run[c][0].as_py() for c in (ROW_NUMBER, *self.names["sums"])}
+        self.run |= {c: run[c] if run[c][0].is_valid else None for c in self.names["prev"]}
+        self.segment, self.last_key = int(number[end - 1]), t.select(self.keys).slice(end - 1, 1)
+        out = {c: col[c].slice(0, end) for c in self.columns}
+        out |= {c: made[c].slice(0, end) for c in made}
+        out["__seg"] = pa.array((self.task << 32) + number[:end].astype(np.int64))
+        return self._batch(out, end)
+
+    def records(self) -> Iterator[pa.RecordBatch]:
+        if self.current is None:
+            return
+        for r in [self.first] if self.current is self.first or self.current["segment"] == self.first["segment"] else [self.first, self.current]:
+            values = {f"k{i}": r["key"][c].combine_chunks() for i, c in enumerate(self.keys)}
+            values |= {"seg": pa.array([(self.task << 32) + r["segment"]])} | r["run"] | r["next"] | r["lead"]
+            kind = self.schema.field("__edge").type
+            parts = [pc.cast(values[f.name], f.type) if f.name in values else pa.nulls(1, f.type) for f in kind]
+            yield self._batch({"__edge": pa.StructArray.from_arrays(parts, fields=list(kind))}, 1)
+
+    def _batch(self, out: dict, n: int) -> pa.RecordBatch:
+        cols = [pc.cast(out[f.name], f.type) if f.name in out else pa.nulls(n, f.type) for f in self.schema]
+        return pa.RecordBatch.from_arrays(cols, schema=self.schema)
+
+
+def _nullable(t: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every depth."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType))
+    if isinstance(t, T.MapType):
+        return T.MapType(_nullable(t.keyType), _nullable(t.valueType))
+    return t
+
+
+def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], names: dict[str, list[str]], columns: list[str], partitions: int | None) -> DataFrame:
+    """Range exchange, local scan and write; see the module."""
+    types = {f.name: _nullable(f.dataType) for f in df.schema.fields}
+    outs = [(ROW_NUMBER, T.LongType())]
+    outs += [(c, T.LongType() if kind == "sums" else types[f"__{kind}_{c}"]) for kind in ("sums", "prev", "next", "lead") for c in names[kind]]
+    edge = T.StructType([*[T.StructField(f"k{i}", types[k]) for i, k in enumerate(keys)], T.StructField("seg", T.LongType()), *[T.StructField(c, t) for c, t in outs]])
+    added = [T.StructField(c, t) for c, t in [*outs, ("__seg", T.LongType()), ("__edge", edge)]]
+    schema = T.StructType([T.StructField(c, types[c]) for c in columns] + added)
+    as_arrow = to_arrow_schema(schema)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, none = _Walk(columns, keys, order, names, as_arrow, TaskContext.get().partitionId()), None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            none = rows.slice(0, 0)
+            yield from w.add(rows, False)
+        if none is not None:
+            yield from w.add(none, True)
+            yield from w.records()
+
+    by = [*keys, *order]
+    cut = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    path = session.new_path(df.sparkSession, "scan")
+    cut.sortWithinPartitions(*by, *tie).mapInArrow(walk, schema).write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, partitions: int | None = None) -> DataFrame:
+    """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
 
-    def combined(kind: str, out: str) -> Column:
-        a, b = F.col(f"__l_{kind}_{out}"), F.col(f"__b_{kind}_{out}")
+    ``partitions`` is the number of range partitions, that of the session's
+    shuffles if None; the rows are the same for any.
+    """
+    keys, order = list(keys), list(order)
+    kinds = ("sums", "prev", "next", "lead")
+    names = {kind: list(getattr(what, kind)) for kind in kinds}
+    value: dict[str, Callable[[Column], Column]] = {
+        "sums": lambda e: e.cast("long"), "prev": lambda e: e, "next": lambda e: e, "lead": lambda e: F.struct(e.alias("v"))
+    }
+    extra = [value[kind](getattr(what, kind)[c]).alias(f"__{kind}_{c}") for kind in kinds for c in names[kind]]
+    walked = _walked(df.select("*", *extra), keys, order, [what.tie] if what.tie else [], names, df.columns, partitions)
+
+    # What the parts of a key in earlier or later tasks bring: a window over at most two rows a task.
+    edges = walked.where("__edge IS NOT NULL").select("__edge.*")
+    of_key = Window.partitionBy(*[f"k{i}" for i in range(len(keys))])
+    forward, back = of_key.orderBy("seg"), of_key.orderBy(F.col("seg").desc())
+    so_far = (Window.unboundedPreceding, -1)
+    carry = edges.select(
+        F.col("seg").alias("__at"),
+        F.sum(ROW_NUMBER).over(forward.rowsBetween(*so_far)).alias(f"__b_{ROW_NUMBER}"),
+        *[F.sum(c).over(forward.rowsBetween(*so_far)).alias(f"__b_{c}") for c in names["sums"]],
+        *[F.last(c, ignorenulls=True).over(forward.rowsBetween(*so_far)).alias(f"__b_{c}") for c in names["prev"]],
+        *[F.last(c, ignorenulls=True).over(back.rowsBetween(*so_far)).alias(f"__b_{c}") for c in names["next"]],
+        *[F.lead(c).over(forward).alias(f"__b_{c}") for c in names["lead"]],
+        F.count(F.lit(1)).over(of_key).alias("__parts"),
+    ).where("__parts > 1")
+    joined = walked.where("__seg IS NOT NULL").join(carry, F.col("__seg") == F.col("__at"), "left")
+
+    def both(kind: str, c: str) -> Column:
+        here, there = F.col(c), F.col(f"__b_{c}")
         if kind == "sums":
-            return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
-        return F.coalesce(a, b)
+            return F.when(here.isNull(), there).when(there.isNull(), here).otherwise(here + there)
+        return F.coalesce(here, there)["v"] if kind == "lead" else F.coalesce(here, there)
 
     return joined.select(
         *df.columns,
-        *([(F.col("__l_rn") + F.coalesce("__b_rn", F.lit(0))).alias(what.row_number)] if what.row_number else []),
-        *[combined(kind, out).alias(out) for kind, out in folds],
-        *[F.coalesce(f"__l_lead_{out}", f"__b_lead_{out}")["v"].alias(out) for out in what.lead],
+        *([(F.col(ROW_NUMBER) + F.coalesce(f"__b_{ROW_NUMBER}", F.lit(0))).alias(what.row_number)] if what.row_number else []),
+        *[both(kind, c).alias(c) for kind in kinds for c in names[kind]],
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, limit: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
     """1-based position inside each key, hot keys included."""
-    return scan(df, keys, order, Scan(row_number=name), limit, sizes)
+    return scan(df, keys, order, Scan(row_number=name), partitions)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "pos_in_key") -> DataFrame:

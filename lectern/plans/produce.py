@@ -1,6 +1,6 @@
 """Whole journeys put together from the operators.
 
-Planning an ordered scan looks at a sample of its rows and writes its cut table.
+Planning an ordered scan writes its rows in order.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators import align, analytics, catalog, metadata, strategy, textjobs
-from lectern.plans.ordered import key_sizes
 
 
 def channel_report(uploads: DataFrame, stats: DataFrame, mode: str = "tz") -> DataFrame:
@@ -28,8 +27,7 @@ def next_topics(topics: DataFrame, results: DataFrame, playlist_items: DataFrame
 
 def align_videos(words: DataFrame, candidates: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Scene candidates and spoken words -> slides with text and pace."""
-    sizes = key_sizes(candidates, [key])
-    scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key, sizes=sizes)
+    scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key)
     slides = align.slide_text(scenes, words, key)
     return align.slide_pace(slides, words, key)
 

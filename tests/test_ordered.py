@@ -10,10 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lectern.operators import align, catalog, opslog
-from lectern.plans.ordered import Scan, first_rows, number_rows, scan, with_cells
-
-BIG = 10**9
-
+from lectern.plans import ordered
+from lectern.plans.ordered import Scan, first_rows, number_rows, scan
 
 def rows_for(seed, n=600):
     r = random.Random(seed)
@@ -44,21 +42,55 @@ def what():
     )
 
 
-@pytest.mark.parametrize("limit", [5, 40, 200])
-@pytest.mark.parametrize("order", [["t", "id"], ["v", "id"], ["id"]])
-def test_scan_is_the_same_however_it_is_cut(spark, limit, order):
-    df = frame(spark, limit)
+def by_windows(df, order, tie=()):
+    """The same columns by plain windows over whole keys."""
+    w = what()
+    part, so_far = Window.partitionBy("k"), (Window.unboundedPreceding, Window.currentRow)
+    forward = part.orderBy(*order, *tie)
+    back = part.orderBy(*[F.col(c).desc() for c in order], *tie)
+    return df.select(
+        "*",
+        F.sum(w.sums["s"]).over(forward.rowsBetween(*so_far)).alias("s"),
+        F.last(w.prev["p"], True).over(forward.rowsBetween(*so_far)).alias("p"),
+        F.last(w.next["n"], True).over(back.rowsBetween(*so_far)).alias("n"),
+        F.lead(w.lead["ld"]).over(forward).alias("ld"),
+        F.row_number().over(forward).cast("long").alias("rn"),
+    )
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40, None])
+@pytest.mark.parametrize(("order", "batch"), [(["t", "id"], 10_000), (["v", "id"], 7), (["id"], 1)])
+def test_scan_is_the_same_however_it_is_cut(spark, partitions, order, batch):
+    df = frame(spark, batch)
     cols = ["id", "s", "p", "n", "ld", "rn"]
-    want = sorted(scan(df, ["k"], order, what(), BIG).select(*cols).collect(), key=lambda r: r["id"])
-    got = sorted(scan(df, ["k"], order, what(), limit).select(*cols).collect(), key=lambda r: r["id"])
+    want = sorted(by_windows(df, order).select(*cols).collect(), key=lambda r: r["id"])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = sorted(scan(df, ["k"], order, what(), partitions).select(*cols).collect(), key=lambda r: r["id"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == want
 
 
-def test_scan_without_hot_keys_is_one_exchange(spark):
+@pytest.mark.parametrize("batch", [1, 5, 10_000])
+def test_scan_takes_the_largest_tie(spark, batch):
+    df = frame(spark, 77).withColumn("n2", F.col("id"))
+    want = {r["id"]: (r["p"], r["n"]) for r in by_windows(df, ["v"], ["id"]).collect()}
+    w = what()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = scan(df, ["k"], ["v"], Scan(prev=w.prev, next=w.next, tie="id"), 6).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["id"]: (r["p"], r["n"]) for r in out} == want
+
+
+def test_scan_moves_the_rows_once(spark):
+    """What is planned after the write has no exchange of rows, only one of the records at the edges."""
     plan = scan(frame(spark, 1), ["k"], ["t", "id"], what())._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("Initial Plan")[-1]
-    assert initial.count("Exchange hashpartitioning") == 1
-    assert "BroadcastExchange" not in initial
+    assert initial.count("Exchange hashpartitioning") == 1 and "Exchange rangepartitioning" not in initial
+    assert scan(frame(spark, 1).limit(0), ["k"], ["t", "id"], what()).count() == 0
 
 
 def test_first_rows_cuts_before_the_exchange(spark):
@@ -78,15 +110,15 @@ def brute_nearest(points, words):
 
 
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10**6), limit=st.sampled_from([3, 20, BIG]))
-def test_nearest_word_is_brute_force(spark, seed, limit):
+@given(seed=st.integers(0, 10**6), partitions=st.sampled_from([1, 4, 20]))
+def test_nearest_word_is_brute_force(spark, seed, partitions):
     r = random.Random(seed)
     keys = ["hot"] * 6 + ["a", "b", "none"]
     words = [(r.choice(keys[:-1]), i, float(r.randint(0, 40)) / 4) for i in range(60)]
     points = [(r.choice(keys), i, float(r.randint(-8, 50)) / 4) for i in range(60)]
     w = spark.createDataFrame(words, "k string, word_idx long, start_s double")
     p = spark.createDataFrame(points, "k string, pid long, at double")
-    got = {x["pid"]: x["nearest_idx"] for x in align.nearest_word(p, w, "k", limit=limit).collect()}
+    got = {x["pid"]: x["nearest_idx"] for x in align.nearest_word(p, w, "k", partitions=partitions).collect()}
     assert got == brute_nearest(points, words)
 
 
@@ -140,8 +172,8 @@ def test_round_robin_and_sessions_do_not_depend_on_the_cut(spark):
         "topic_id long, stream string, subject string, created_time long, status string",
     )
     plans = [
-        sorted((x["topic_id"], x["slot"], x["day"]) for x in catalog.round_robin_plan(topics, 4, limit).collect())
-        for limit in (10, BIG)
+        sorted((x["topic_id"], x["slot"], x["day"]) for x in catalog.round_robin_plan(topics, 4, n).collect())
+        for n in (1, 12)
     ]
     assert plans[0] == plans[1]
     lines = ["Triggering pipeline", "Pipeline Complete!", "pipeline error", "work"]
@@ -149,7 +181,7 @@ def test_round_robin_and_sessions_do_not_depend_on_the_cut(spark):
         [("s" if r.random() < 0.8 else "t", 1_700_000_000 + r.randint(0, 50), i, r.choice(lines)) for i in range(300)],
         "stream string, at long, id long, line string",
     ).withColumn("ts", F.timestamp_seconds("at"))
-    runs = [sorted(map(str, opslog.run_sessions(logs, "stream", ["ts", "id"], limit=limit).collect())) for limit in (10, BIG)]
+    runs = [sorted(map(str, opslog.run_sessions(logs, "stream", ["ts", "id"], partitions=n).collect())) for n in (1, 12)]
     assert runs[0] == runs[1]
 
 
@@ -159,19 +191,15 @@ def test_number_rows_counts_every_row_once(spark):
 
 
 @pytest.mark.parametrize("case", ["outlier", "text", "ties"])
-def test_cells_are_bounded_and_cut_nothing_wrong(spark, case):
-    n, limit = 20_000, 1000
+def test_a_hot_key_is_spread_over_tasks(spark, case):
+    n = 20_000
     at = {
         "outlier": F.when(F.col("id") == 5, F.lit(0)).otherwise(1_700_000_000 + F.col("id")),
         "text": F.sha2(F.col("id").cast("string"), 256),
         "ties": F.lit("one instant"),
     }[case]
-    df = spark.range(n).select(F.lit("hot").alias("k"), at.alias("t"), "id").unionByName(
-        spark.range(50).select(F.lit("cold").alias("k"), F.first("id").over(Window.partitionBy("id")).cast(dict(outlier="int", text="string", ties="string")[case]).alias("t"), "id")
-    )
-    cut, cells = with_cells(df, ["k"], ["t", "id"], limit)
-    sizes = cut.groupBy("k", *cells).count().collect()
-    assert cells and max(r["count"] for r in sizes) <= limit
-    assert [r["count"] for r in sizes if r["k"] == "cold"] == [50]
-    what = Scan(sums={"s": F.col("id")}, row_number="rn")
-    assert scan(df, ["k"], ["t", "id"], what, limit).exceptAll(scan(df, ["k"], ["t", "id"], what, BIG)).isEmpty()
+    df = spark.range(n).select(F.lit("hot").alias("k"), at.alias("t"), "id")
+    walked = ordered._walked(df, ["k"], ["t", "id"], [], {k: [] for k in ("sums", "prev", "next", "lead")}, df.columns, 20)
+    sizes = [r["count"] for r in walked.where("__seg IS NOT NULL").groupBy("__seg").count().collect()]
+    assert sum(sizes) == n and max(sizes) < n / 8
+    assert walked.where("__edge IS NOT NULL").count() == len(sizes)

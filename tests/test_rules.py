@@ -347,4 +347,4 @@ def test_offsets_do_not_depend_on_the_cut(spark):
     rows = [(1, i, 10.1 + i * 0.001, None) for i in range(400)]
     t = spark.createDataFrame(rows, "video_id int, pos int, video_s double, audio_s double")
     plain = [r.offset_s for r in align.track_timeline(t, "video_id").orderBy("pos").collect()]
-    assert plain == [r.offset_s for r in align.track_timeline(t, "video_id", limit=30).orderBy("pos").collect()]
+    assert plain == [r.offset_s for r in align.track_timeline(t, "video_id", partitions=9).orderBy("pos").collect()]
