@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from lectern import rules, session
 from lectern.functions.num import clamp, ms, round_half_up
 from lectern.plans.blocks import ROWS_PER_BLOCK, in_blocks
-from lectern.plans.ordered import Scan, scan
+from lectern.plans.ordered import Scan, scan, scan_parts
 
 
 def nearest_word(
@@ -32,29 +32,45 @@ def nearest_word(
     Ties go to the lowest index; a key without words gives 0. Points and words
     meet in one ordered scan instead of a cross product.
     """
-    cols = points.columns
+    timeline, complete = _timeline(points, words, key, at, start, idx, (), partitions)
+    return _nearest(complete(timeline.where(F.col("__kind") == 1)), points.columns, key)
+
+
+def _timeline(
+    points: DataFrame, words: DataFrame, key: str, at: str, start: str, idx: str, keep: Sequence[str], partitions: int | None
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Points (``__kind`` 1, their columns in ``__row``) and words (0, with ``keep``) in one ordered scan.
+
+    Completed points have the latest word at or before them and the earliest
+    after them. The scan is written, so whoever needs points and words reads
+    both from there.
+    """
     both = points.select(
         key,
         F.col(at).alias("__t"),
         F.lit(1).alias("__kind"),
         F.lit(None).cast("long").alias("__back"),
-        F.struct(*[c for c in cols if c != key]).alias("__row"),
+        F.struct(*[c for c in points.columns if c != key]).alias("__row"),
     ).unionByName(
-        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), (-F.col(idx).cast("long")).alias("__back")),
+        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), (-F.col(idx).cast("long")).alias("__back"), *keep),
         allowMissingColumns=True,
     )
     # latest start at or before, earliest at or after; of equal starts the lowest index
     is_word = (F.col("__kind") == 0) & F.col("__t").isNotNull()
     word_t, word_i = F.when(is_word, F.col("__t")), F.when(is_word, -F.col("__back"))
-    what = Scan(prev={"__pt": word_t, "__pi": word_i}, next={"__nt": word_t, "__ni": word_i}, tie="__back")
-    hit = scan(both, [key], ["__t", "__kind"], what, partitions).where(F.col("__kind") == 1)
+    what = Scan(prev={"__pt": word_t, "__pi": word_i}, next={"__nt": word_t, "__ni": word_i}, tie="__back", where=F.col("__kind") == 1)
+    return scan_parts(both, [key], ["__t", "__kind"], what, partitions)
+
+
+def _nearest(points: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """Completed points of a timeline with the index of the word closest to them."""
     before, after = F.abs(F.col("__t") - F.col("__pt")), F.abs(F.col("__nt") - F.col("__t"))
     best = (
         F.when(F.col("__pi").isNull() | (after < before), F.col("__ni"))
         .when(F.col("__ni").isNull() | (before < after), F.col("__pi"))
         .otherwise(F.least("__pi", "__ni"))
     )
-    return hit.select(
+    return points.select(
         *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in cols],
         F.coalesce(best, F.lit(0).cast("long")).alias("nearest_idx"),
     )
@@ -302,21 +318,17 @@ def scene_intervals(
     )
 
 
-def slide_ranges(
-    scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None
-) -> DataFrame:
-    """Word range of each scene, clamped to the words there are.
-
-    Scenes follow on one another, so the word nearest to a scene's end is where
-    the next one starts; ``overlap`` tells that clamping made both use it.
-    """
+def _edges(scenes: DataFrame, key: str) -> DataFrame:
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("start_s").alias("at")),
         F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")),
     )
-    edges = scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
-    near = nearest_word(edges, words, key, partitions=partitions)
-    n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+    return scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
+
+
+def _ranges(edges: DataFrame, timeline: DataFrame, complete: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    near = _nearest(complete(timeline.where(F.col("__kind") == 1)), edges.columns, key)
+    n = timeline.where(F.col("__kind") == 0).groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
     both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
         F.min("end_s").alias("end_s"),
@@ -339,26 +351,44 @@ def slide_ranges(
     )
 
 
-def slide_text(
-    scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None
-) -> DataFrame:
+def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Word range of each scene, clamped to the words there are.
+
+    Scenes follow on one another, so the word nearest to a scene's end is where
+    the next one starts; ``overlap`` tells that clamping made both use it.
+    """
+    edges = _edges(scenes, key)
+    return _ranges(edges, *_timeline(edges, words, key, "at", "start_s", "word_idx", (), partitions), key)
+
+
+#: Words of a video that are looked up together.
+STRETCH = 64
+
+
+def slide_text(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Text, word count and spoken interval of each scene.
 
-    Ranges are opened to one row per word and joined on (key, index), so a long
-    video spreads over tasks; only a slide's own text is gathered in one row.
+    Words and scene edges go through one ordered scan, which keeps the words
+    for what follows. Words and ranges then meet by stretches of ``STRETCH``
+    words of a video, so a long video spreads over tasks and a word meets only
+    the few slides of its stretch; each stretch gathers its part of a slide
+    before the parts move on. Only a slide's own text is gathered in one row.
     """
-    ranges = slide_ranges(scenes, words, key, partitions)
-    per_word = ranges.withColumn(
-        "word_idx", F.explode_outer(F.when(F.col("n_words") > 0, F.sequence("word_start_index", "word_end_index")))
-    )
-    w = words.select(key, F.col("word_idx").cast("long").alias("word_idx"), "word", F.col("start_s").alias("__a"), F.col("end_s").alias("__z"))
-    spoken = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word_idx", "word", "__a", "__z"))))
+    edges = _edges(scenes, key)
+    timeline, complete = _timeline(edges, words, key, "at", "start_s", "word_idx", ("word", "end_s"), partitions)
+    ranges = _ranges(edges, timeline, complete, key)
     kept = [c for c in ranges.columns if c not in (key, "scene_idx", "n_words")]
-    s = (
-        per_word.join(w, [key, "word_idx"], "left")
-        .groupBy(key, "scene_idx")
-        .agg(spoken.alias("__w"), *[F.first(c).alias(c) for c in kept])
+    some = F.when(F.col("n_words") > 0, F.sequence(*[F.floor(F.col(c) / STRETCH) for c in ("word_start_index", "word_end_index")]))
+    parts = ranges.select(key, "scene_idx", *kept, F.explode_outer(some).alias("__part"))
+    idx = -F.col("__back")
+    w = timeline.where(F.col("__kind") == 0).select(
+        F.col(key).alias("__key"), F.floor(idx / STRETCH).alias("__of"), idx.alias("word_idx"), "word", F.col("__t").alias("__a"), F.col("end_s").alias("__z")
     )
+    same = (F.col(key) == F.col("__key")) & (F.col("__part") == F.col("__of"))
+    inside = F.col("word_idx").between(F.col("word_start_index"), F.col("word_end_index"))
+    heard = F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word_idx", "word", "__a", "__z")))
+    pieces = parts.join(w, same & inside, "left").groupBy(key, "scene_idx", "__part").agg(heard.alias("__w"), *[F.first(c).alias(c) for c in kept])
+    s = pieces.groupBy(key, "scene_idx").agg(F.array_sort(F.flatten(F.collect_list("__w"))).alias("__w"), *[F.first(c).alias(c) for c in kept])
     return s.select(
         key,
         F.col("scene_idx").alias("slide_index"),
@@ -375,20 +405,28 @@ def slide_text(
     )
 
 
+def _spoken(words: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Words (key, __i, start_s, end_s) and their number per key, both from one written pass over ``words``."""
+    w = _written(words.select(key, F.col("word_idx").cast("long").alias("__i"), "start_s", "end_s"), "spoken")
+    return w, w.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+
+
 def _word_times(rows: DataFrame, words: DataFrame, key: str, ids: list[str], first: str, last: str) -> DataFrame:
-    """Start of word ``first`` and end of word ``last`` per row, in one join.
+    """``rows`` with start of word ``first`` and end of word ``last``, in one join.
 
-    Both look-ups travel as rows on (key, word index), so the words are shuffled
-    once and a long video spreads over tasks.
+    Both look-ups travel as rows on (key, word index) with the row they are for,
+    so words and rows are shuffled once and a long video spreads over tasks.
     """
+    rest = [c for c in rows.columns if c not in ids]
     sides = F.array(F.struct(F.lit(0).alias("__side"), F.col(first).alias("__i")), F.struct(F.lit(1).alias("__side"), F.col(last).alias("__i")))
-    want = rows.select(*ids, F.inline(sides))
-    w = words.select(key, F.col("word_idx").cast("long").alias("__i"), "start_s", "end_s")
-    return want.join(w, [key, "__i"]).groupBy(*ids).agg(
+    want = rows.select(*ids, F.struct(*rest).alias("__row"), F.inline(sides))
+    found = want.join(words, [key, "__i"], "left").groupBy(*ids).agg(
+        F.first("__row").alias("__row"),
         F.max(F.when(F.col("__side") == 0, F.col("start_s"))).alias("__start"),
         F.max(F.when(F.col("__side") == 0, F.col("end_s"))).alias("__first_end"),
         F.max(F.when(F.col("__side") == 1, F.col("end_s"))).alias("__end"),
     )
+    return found.select(*ids, "__row.*", "__start", "__first_end", "__end")
 
 
 def slide_pace(slide_map: DataFrame, words: DataFrame, key: str, slide: str = "slide_index") -> DataFrame:
@@ -396,13 +434,13 @@ def slide_pace(slide_map: DataFrame, words: DataFrame, key: str, slide: str = "s
 
     A key without words keeps its video duration, factor 1.
     """
-    n = words.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    w, n = _spoken(words, key)
     s = slide_map.join(n, key, "left").select(
         *slide_map.columns,
-        F.least(F.col("word_start_index").cast("long"), F.col("__n") - 1).alias("__ws"),
-        F.least(F.col("word_end_index").cast("long"), F.col("__n") - 1).alias("__we"),
+        F.least(F.col("word_start_index").cast("long"), F.col("n_words") - 1).alias("__ws"),
+        F.least(F.col("word_end_index").cast("long"), F.col("n_words") - 1).alias("__we"),
     )
-    j = s.join(_word_times(s, words, key, [key, slide], "__ws", "__we"), [key, slide], "left")
+    j = _word_times(s, w, key, [key, slide], "__ws", "__we")
     video = F.col("video_end") - F.col("video_start")
     spoken = F.col("__end") - F.col("__start")
     spoken = F.when(spoken.isNull() | (spoken < rules.PACE_FLOOR_S), video).otherwise(spoken)
@@ -420,7 +458,7 @@ def segment_split(words: DataFrame, scripts: DataFrame, key: str) -> DataFrame:
 
     Scripts: key, intro_words, main_words, outro_words, total_duration.
     """
-    n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+    w, n = _spoken(words, key)
     outro = F.when(F.coalesce("outro_words", F.lit(0)) == 0, F.lit(rules.OUTRO_WORDS)).otherwise(F.col("outro_words"))
     s = scripts.join(n, key, "left").fillna(0, ["n_words"])
     ratio = F.try_divide(F.col("n_words").cast("double"), (F.col("intro_words") + F.col("main_words") + outro).cast("double"))
@@ -428,7 +466,7 @@ def segment_split(words: DataFrame, scripts: DataFrame, key: str) -> DataFrame:
     s = s.withColumn("__r", ratio)
     s = s.withColumn("intro_end_idx", F.least(round_half_up(F.col("intro_words") * F.col("__r")) - 1, top))
     s = s.withColumn("main_end_idx", F.least(F.col("intro_end_idx") + round_half_up(F.col("main_words") * F.col("__r")), top))
-    j = s.join(_word_times(s, words, key, [key], "intro_end_idx", "main_end_idx"), key, "left")
+    j = _word_times(s, w, key, [key], "intro_end_idx", "main_end_idx")
     return j.select(
         key,
         "n_words",

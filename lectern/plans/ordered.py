@@ -46,6 +46,7 @@ class Scan:
     ``row_number``: name of a 1-based position, or None.
     ``tie``: numeric column; among rows equal in the order columns its largest
     value counts as the nearest one, looking back as well as ahead.
+    ``where``: the rows that want these columns; others have nulls in them.
     """
 
     sums: Mapping[str, Column] = field(default_factory=dict)
@@ -54,6 +55,7 @@ class Scan:
     lead: Mapping[str, Column] = field(default_factory=dict)
     row_number: str | None = None
     tie: str | None = None
+    where: Column | None = None
 
 
 def _changes(t: pa.Table, columns: Sequence[str]) -> np.ndarray:
@@ -172,7 +174,10 @@ class _Walk:
         self.run |= {c: run[c] if run[c][0].is_valid else None for c in self.names["prev"]}
         self.segment, self.last_key = int(number[end - 1]), t.select(self.keys).slice(end - 1, 1)
         out = {c: col[c].slice(0, end) for c in self.columns}
-        out |= {c: made[c].slice(0, end) for c in made}
+        wanted = col.get("__where")
+        for c in made:
+            if c in self.schema.names:
+                out[c] = made[c].slice(0, end) if wanted is None else pc.if_else(wanted.slice(0, end), made[c].slice(0, end), None)
         out["__seg"] = pa.array((self.task << 32) + number[:end].astype(np.int64))
         return self._batch(out, end)
 
@@ -202,13 +207,13 @@ def _nullable(t: T.DataType) -> T.DataType:
     return t
 
 
-def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], names: dict[str, list[str]], columns: list[str], partitions: int | None) -> DataFrame:
+def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], names: dict[str, list[str]], columns: list[str], partitions: int | None, numbered: bool = True) -> DataFrame:
     """Range exchange, local scan and write; see the module."""
     types = {f.name: _nullable(f.dataType) for f in df.schema.fields}
     outs = [(ROW_NUMBER, T.LongType())]
     outs += [(c, T.LongType() if kind == "sums" else types[f"__{kind}_{c}"]) for kind in ("sums", "prev", "next", "lead") for c in names[kind]]
     edge = T.StructType([*[T.StructField(f"k{i}", types[k]) for i, k in enumerate(keys)], T.StructField("seg", T.LongType()), *[T.StructField(c, t) for c, t in outs]])
-    added = [T.StructField(c, t) for c, t in [*outs, ("__seg", T.LongType()), ("__edge", edge)]]
+    added = [T.StructField(c, t) for c, t in [*outs[0 if numbered else 1 :], ("__seg", T.LongType()), ("__edge", edge)]]
     schema = T.StructType([T.StructField(c, types[c]) for c in columns] + added)
     as_arrow = to_arrow_schema(schema)
 
@@ -229,12 +234,10 @@ def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], na
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, partitions: int | None = None) -> DataFrame:
-    """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
-
-    ``partitions`` is the number of range partitions, that of the session's
-    shuffles if None; the rows are the same for any.
-    """
+def scan_parts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, partitions: int | None = None
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The written rows of an ordered scan, and what completes the columns of those of them that need it."""
     keys, order = list(keys), list(order)
     kinds = ("sums", "prev", "next", "lead")
     names = {kind: list(getattr(what, kind)) for kind in kinds}
@@ -242,7 +245,9 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, p
         "sums": lambda e: e.cast("long"), "prev": lambda e: e, "next": lambda e: e, "lead": lambda e: F.struct(e.alias("v"))
     }
     extra = [value[kind](getattr(what, kind)[c]).alias(f"__{kind}_{c}") for kind in kinds for c in names[kind]]
-    walked = _walked(df.select("*", *extra), keys, order, [what.tie] if what.tie else [], names, df.columns, partitions)
+    if what.where is not None:
+        extra.append(what.where.alias("__where"))
+    walked = _walked(df.select("*", *extra), keys, order, [what.tie] if what.tie else [], names, df.columns, partitions, bool(what.row_number))
 
     # What the parts of a key in earlier or later tasks bring: a window over at most two rows a task.
     edges = walked.where("__edge IS NOT NULL").select("__edge.*")
@@ -258,7 +263,6 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, p
         *[F.lead(c).over(forward).alias(f"__b_{c}") for c in names["lead"]],
         F.count(F.lit(1)).over(of_key).alias("__parts"),
     ).where("__parts > 1")
-    joined = walked.where("__seg IS NOT NULL").join(carry, F.col("__seg") == F.col("__at"), "left")
 
     def both(kind: str, c: str) -> Column:
         here, there = F.col(c), F.col(f"__b_{c}")
@@ -266,11 +270,24 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, p
             return F.when(here.isNull(), there).when(there.isNull(), here).otherwise(here + there)
         return F.coalesce(here, there)["v"] if kind == "lead" else F.coalesce(here, there)
 
-    return joined.select(
-        *df.columns,
-        *([(F.col(ROW_NUMBER) + F.coalesce(f"__b_{ROW_NUMBER}", F.lit(0))).alias(what.row_number)] if what.row_number else []),
-        *[both(kind, c).alias(c) for kind in kinds for c in names[kind]],
-    )
+    def complete(rows: DataFrame) -> DataFrame:
+        return rows.join(carry, F.col("__seg") == F.col("__at"), "left").select(
+            *df.columns,
+            *([(F.col(ROW_NUMBER) + F.coalesce(f"__b_{ROW_NUMBER}", F.lit(0))).alias(what.row_number)] if what.row_number else []),
+            *[both(kind, c).alias(c) for kind in kinds for c in names[kind]],
+        )
+
+    return walked.where("__seg IS NOT NULL"), complete
+
+
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], what: Scan, partitions: int | None = None) -> DataFrame:
+    """Add ordered-scan columns per key; ``order`` is ascending, nulls first.
+
+    ``partitions`` is the number of range partitions, that of the session's
+    shuffles if None; the rows are the same for any.
+    """
+    rows, complete = scan_parts(df, keys, order, what, partitions)
+    return complete(rows)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
