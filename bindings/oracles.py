@@ -529,3 +529,24 @@ ORACLES |= {
     "next_topics": f"""SELECT * REPLACE ('J' || (parent_id % 50) AS stream) FROM ({ORACLES["split_topics"]})
         WHERE parent_id IN (SELECT min(c_custkey) FROM customer GROUP BY c_custkey % 50)""",
 }
+
+# --- tables kept between runs ---
+_FOUND = r"https?://[a-z0-9.\-]+\.example\.(?:com|net|org)/[a-z0-9/\-]*"
+ORACLES |= {
+    "merge_status": f"""WITH {TOPICS}, e AS (SELECT *, l_shipdate < DATE '1996-01-01' AS early, row_number() OVER (PARTITION BY l_orderkey, l_shipdate < DATE '1996-01-01'
+          ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS n FROM lineitem),
+        a AS (SELECT * FROM e WHERE n = 1 AND early), b AS (SELECT * FROM e WHERE n = 1 AND NOT early)
+        SELECT topic_id, stream, CASE coalesce(b.l_returnflag, a.l_returnflag) WHEN 'A' THEN 'Completed' WHEN 'N' THEN 'In Progress' WHEN 'R' THEN 'Failed' ELSE status END AS status,
+          CASE WHEN b.l_returnflag = 'A' THEN 'https://v.example/' || b.l_partkey WHEN a.l_returnflag = 'A' THEN 'https://v.example/' || a.l_partkey END AS video_url,
+          CASE WHEN b.l_returnflag = 'A' THEN b.l_shipdate WHEN a.l_returnflag = 'A' THEN a.l_shipdate END AS completed_at
+        FROM topics LEFT JOIN a ON a.l_orderkey = topic_id LEFT JOIN b ON b.l_orderkey = topic_id""",
+    "claim_ledger": f"""WITH {TOPICS}, r AS (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY created_time, topic_id) AS n FROM topics WHERE status = 'Pending')
+        SELECT topic_id, stream, 'In Progress' AS status, CASE n WHEN 1 THEN 'one' ELSE 'two' END AS run FROM r WHERE n <= 2""",
+    "harvest_twice": f"""WITH t AS (SELECT page_id, url || ' ' || html AS text FROM pages),
+        m AS (SELECT page_id, unnest(regexp_extract_all(text, '{_FOUND}')) AS url, generate_subscripts(regexp_extract_all(text, '{_FOUND}'), 1) AS i FROM t),
+        u AS (SELECT page_id, url, min(i) AS i FROM m GROUP BY 1, 2),
+        f AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS i FROM u),
+        one AS (SELECT url, min(page_id) AS first_seen, CAST(arg_min(i, page_id) AS INTEGER) AS first_pos, count(*) AS n_pages FROM f WHERE page_id % 2 = 0 GROUP BY 1)
+        SELECT *, 1 AS harvest FROM one UNION ALL
+        SELECT url, min(page_id), CAST(arg_min(i, page_id) AS INTEGER), count(*), 2 FROM f WHERE url NOT IN (SELECT url FROM one) GROUP BY 1""",
+}

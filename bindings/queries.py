@@ -12,7 +12,7 @@ from bindings import views as V
 from lectern import rules, session
 from lectern.functions import text as X
 from lectern.functions.time import instant, local_date, naive
-from lectern.operators import align, analytics, catalog, metadata, opslog, schedule, strategy, textjobs
+from lectern.operators import align, analytics, catalog, metadata, opslog, schedule, stores, strategy, textjobs
 from lectern.plans import produce
 from lectern.sources import catalog as catalog_src
 from lectern.sources import files as files_src
@@ -218,6 +218,16 @@ def apply_status(spark, d):
     return plain_times(out.select("topic_id", "stream", "status", "video_url", "completed_at"))
 
 
+@query
+def merge_status(spark, d):
+    """The snapshot in buckets, brought up to date by two batches of events."""
+    store = stores.SnapshotStore(spark, buckets=16).create(V.topics(spark, d))
+    events, cut = V.status_events(spark, d), F.lit("1996-01-01").cast("timestamp")
+    store.apply(events.where(F.col("ts") < cut), V.EVENT_ORDER)
+    store.apply(events.where(F.col("ts") >= cut), V.EVENT_ORDER)
+    return plain_times(store.topics().select("topic_id", "stream", "status", "video_url", "completed_at"))
+
+
 @query
 def rejected_events(spark, d):
     open_topics = V.topics(spark, d).where(F.col("status") == rules.PENDING)
@@ -286,6 +296,16 @@ def claim_topics(spark, d):
     return catalog.claim(V.topics(spark, d)).groupBy("stream", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("topic_id").alias("id_sum"))
 
 
+@query
+def claim_ledger(spark, d):
+    """Two runs claim one topic of each stream, both from the same table."""
+    ledger, topics = stores.ClaimLedger(spark), V.topics(spark, d)
+    for run in ("one", "two"):
+        ledger.claim(topics, run)
+    claims = ledger.entries().select(F.col("topic_id").cast("bigint").alias("topic_id"), "run")
+    return ledger.snapshot(topics).join(claims, "topic_id").select("topic_id", "stream", "status", "run")
+
+
 @query
 def round_robin_plan(spark, d):
     return catalog.round_robin_plan(V.topics(spark, d), per_day=10).select("stream", "subject", "topic_id", "turn", "slot", "day")
@@ -338,6 +358,19 @@ def harvest_urls(spark, d):
     return strategy.harvest_urls(src, "text", "page_id", pattern, seen)
 
 
+@query
+def harvest_twice(spark, d):
+    """A harvest of the pages with even ids, then one of all pages against the store."""
+    p = V.table(spark, d, "pages")
+    src = p.select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    store = stores.SeenStore(spark, buckets=8)
+    pattern = r"https?://[a-z0-9.\-]+\.example\.(?:com|net|org)/[a-z0-9/\-]*"
+    first = store.harvest(src.where(F.col("page_id") % 2 == 0), "text", "page_id", pattern)
+    second = store.harvest(src, "text", "page_id", pattern)
+    store.close()
+    return first.withColumn("harvest", F.lit(1)).unionByName(second.withColumn("harvest", F.lit(2)))
+
+
 # --- alignment --------------------------------------------------------------
 
 

@@ -23,17 +23,36 @@ def find_topics(topics: DataFrame, terms: Sequence[str], column: str = "topic")
     return topics.where(reduce(lambda a, b: a | b, [F.col(column).contains(t) for t in terms], F.lit(False)))
 
 
-def find_topics_by_terms(topics: DataFrame, terms: DataFrame, key: str = "topic_id", column: str = "topic", width: int = 3) -> DataFrame:
-    """Topics containing any term of a table (term), case-sensitive.
+def _grams(text: Column, width: int) -> Column:
+    """Distinct stretches of ``width`` letters; a shorter text is its own."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - width + 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(width))))
 
-    A term can only be in texts that hold its first ``width`` letters (all of a
-    shorter term), so both sides meet on such pieces and pairs are then verified.
+
+def term_candidates(topics: DataFrame, terms: DataFrame, key: str = "topic_id", column: str = "topic", width: int = 4) -> DataFrame:
+    """(key, column, term): the pairs that are worth a look.
+
+    A text that holds a term holds each of the term's grams, so one is enough to
+    meet on. A count of the terms' grams over all topics says which is rarest,
+    and a term is filed under that one alone: terms that begin alike still part
+    ways. A term with a gram that no topic holds is out. Terms shorter than
+    ``width`` letters meet the stretches of their own length.
     """
-    t = terms.where(F.length("term") > 0).select("term", F.substring("term", 1, width).alias("piece")).distinct()
-    at = F.sequence(F.lit(1), F.length(column))
-    pieces = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.substr(F.col(column), i, n))))
-    held = topics.where(F.length(column) > 0).select(key, column, F.explode(F.array_distinct(pieces)).alias("piece"))
-    found = held.join(t, "piece").where(F.col(column).contains(F.col("term"))).select(key).distinct()
+    length = F.least(F.length("term"), F.lit(width))
+    t = terms.select("term").distinct().where(F.length("term") > 0).select("term", length.alias("size"), F.explode(_grams(F.col("term"), width)).alias("gram"))
+    # Lengths that terms ask for: all of ``width`` unless there are short terms.
+    sizes = t.agg(F.array_sort(F.collect_set("size"))).first()[0]
+    texts = topics.where(F.length(column) > 0)
+    held = [texts.where(F.length(column) >= n).select(key, column, F.explode(_grams(F.col(column), n)).alias("gram")) for n in sizes or [width]]
+    held = reduce(DataFrame.unionByName, held)
+    count = held.select("gram").join(t.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    filed = t.join(count, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count_if(F.col("n").isNull()).alias("unseen"))
+    return held.join(filed.where("unseen = 0").select("term", "gram"), "gram").select(key, column, "term")
+
+
+def find_topics_by_terms(topics: DataFrame, terms: DataFrame, key: str = "topic_id", column: str = "topic", width: int = 4) -> DataFrame:
+    """Topics containing any term of a table (term), case-sensitive; candidates are verified."""
+    found = term_candidates(topics, terms, key, column, width).where(F.col(column).contains(F.col("term"))).select(key).distinct()
     return topics.join(found, key, "left_semi")
 
 
