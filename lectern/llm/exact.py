@@ -19,7 +19,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     semi-join on the id, which is even however large a group of copies is.
 
     Returns one row per input row: the id, ``n_bytes``, ``head``, ``keep_id``,
-    ``group_size``, ``kept``. Null and empty texts are equal. A null id counts
+    ``group_size``, ``kept``, ``digest`` (SHA-256 in lowercase hex; null where
+    length and head alone tell the text from all others). Null and empty texts are equal. A null id counts
     as the smallest; a group of null ids only keeps them all. Rows that repeat
     both id and text share their fate and count separately in ``group_size``.
     Other columns are ignored. No rows give no rows.
@@ -41,23 +42,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = stored(survivors.select("id", "n_bytes", "head", F.unhex(F.sha2("text", 256)).alias("digest")), "full-hashes")
     groups = stored(full.groupBy("n_bytes", "digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     repeated = full.join(groups, ["n_bytes", "digest"]).select(
-        "id", "n_bytes", "head", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
+        "id", "n_bytes", "head", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("digest")
     )
     alone = light.join(left, light["id"].eqNullSafe(left["id"]), "left_anti").select(
-        "id", "n_bytes", "head", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
+        "id", "n_bytes", "head", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit(None).cast("string").alias("digest")
     )
     return repeated.unionByName(alone).withColumnRenamed("id", id_col)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = exact_dedup(docs)
+    found = stored(exact_dedup(docs), "exact")
     text = whole("text")
+    # Only rows without a digest yet look theirs up; no other row has their length and head.
     digests = docs.select(
         F.col("doc_id").alias("id"), F.octet_length(text).alias("b"), F.xxhash64(F.substring(text, 1, 256)).alias("h"), F.sha2(text, 256).alias("text_sha256")
-    ).distinct()
-    same = found["doc_id"].eqNullSafe(digests["id"]) & (found["n_bytes"] == digests["b"]) & (found["head"] == digests["h"])
-    return found.join(digests, same).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    )
+    bare = found.where("digest IS NULL")
+    same = bare["doc_id"].eqNullSafe(digests["id"]) & (bare["n_bytes"] == digests["b"]) & (bare["head"] == digests["h"])
+    cols = ["doc_id", "keep_id", "group_size", "kept"]
+    return bare.join(digests, same).select(*cols, "text_sha256").unionByName(
+        found.where("digest IS NOT NULL").select(*cols, F.col("digest").alias("text_sha256"))
+    )
 
 
 SQL = {

@@ -23,6 +23,24 @@ def test_exact(spark, odd_docs):
     assert exact.exact_dedup(odd_docs.limit(0)).count() == 0
 
 
+def test_exact_rows_of_one_id_with_unlike_tails(spark, tmp_path):
+    head = "h" * 300
+    docs = spark.createDataFrame([(1, head + "a"), (1, head + "b"), (2, head + "b"), (3, "x"), (3, "y")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    sha = {t: hashlib.sha256((head + t).encode()).hexdigest() for t in "ab"} | {t: hashlib.sha256(t.encode()).hexdigest() for t in "xy"}
+    got = sorted(map(tuple, exact.op4_exact_dedup(spark, str(tmp_path)).collect()))
+    assert got == sorted(
+        [(1, 1, 1, True, sha["a"]), (1, 2, 2, False, sha["b"]), (2, 2, 2, True, sha["b"]), (3, 3, 1, True, sha["x"]), (3, 3, 1, True, sha["y"])]
+    )
+
+
+def test_archives_of_one_page_id_with_unlike_payloads(spark):
+    pages = spark.createDataFrame([(6, "u", "AAA"), (6, "u", "BBB"), (7, "u", "AAA"), (8, "u", "BBB")], "page_id long, url string, html string")
+    out = warc.read_records(warc.write_archives(pages, session.new_path(spark, "warc"))).collect()
+    got = sorted((r.page_id, r.record_type, r.refers_to or 0, r.payload and bytes(r.payload).decode()) for r in out)
+    assert got == [(6, "revisit", 7, None), (6, "revisit", 8, None), (7, "response", 0, "AAA"), (8, "response", 0, "BBB")]
+
+
 def test_lines(spark):
     shared = "This line is shared by many documents."
     docs = spark.createDataFrame(
