@@ -84,6 +84,10 @@ def _member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+#: Bytes of archive that a task reads, about.
+READ_BYTES = 64 << 20
+
+
 def _whole_number(value):
     return None if value is None or value != value else int(value)
 
@@ -93,16 +97,17 @@ def with_kinds(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     Of equal payloads of at least ``min_bytes``, the largest ``page_id`` is the
     response. The winner of a digest is a combining aggregate over narrow rows;
-    only the join on ``page_id`` moves pages.
+    only the join on ``page_id`` and digest moves pages.
     """
     payload = F.encode(whole("html"), "UTF-8")
     digest = F.sha1(payload)
     narrow = stored(pages.select("page_id", digest.alias("digest"), F.length(payload).cast("long").alias("payload_bytes")), "page-digests")
     first = stored(narrow.groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("first")), "page-firsts")
     again = narrow.join(first, ["digest", "payload_bytes"]).where((F.col("page_id") != F.col("first")) & (F.col("payload_bytes") >= min_bytes))
-    again = stored(again.select(F.col("page_id").alias("again_id"), "first").distinct(), "page-revisits")
+    again = stored(again.select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "first").distinct(), "page-revisits")
     mine = pages.select("page_id", "url", payload.alias("payload"), digest.alias("hex"))
-    return mine.join(again, F.col("page_id") == F.col("again_id"), "left").select(
+    same = (F.col("page_id") == F.col("again_id")) & (F.col("hex") == F.col("again_digest"))
+    return mine.join(again, same, "left").select(
         "page_id",
         "url",
         "payload",
@@ -179,7 +184,9 @@ def read_records(index: DataFrame, where: Column | None = None, gap: int = 64 <<
     """
     picked = index if where is None else index.where(where)
     picked = picked.select("file", "offset", "length", F.expr(f"offset div {int(span)}").alias("stretch"))
-    ordered = picked.repartition("file", "stretch").sortWithinPartitions("file", "stretch", "offset")
+    # Rows are short, what they stand for is not: tasks follow the bytes to be read.
+    size = picked.agg(F.sum("length")).first()[0] or 0
+    ordered = picked.repartition(max(1, -(-size // READ_BYTES)), "file", "stretch").sortWithinPartitions("file", "stretch", "offset")
 
     def emit(store, place, run):
         start, end = run[0][0], run[-1][0] + run[-1][1]
