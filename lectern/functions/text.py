@@ -67,6 +67,9 @@ def counter(c: Column) -> Column:
     return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+# The patterns of the three slug rules; directory names depend on them.
+
+
 def slug_chars(c: Column) -> Column:
     """Every character outside a-z, A-Z, 0-9 becomes an underscore; lower case."""
     return F.lower(F.regexp_replace(c, "[^a-zA-Z0-9]", "_"))

@@ -42,6 +42,7 @@ def read_transcripts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 def parse_scene_log(df: DataFrame, line: str = "line", out: str = "ts_s") -> DataFrame:
     """Candidate scene times from tool output; lines without one are dropped."""
+    # Fixed value: how the tool writes a time.
     t = number(F.regexp_extract(line, r"pts_time:\s*([0-9.]+)", 1))
     return df.withColumn(out, ms(t)).where(F.col(out).isNotNull()).drop(line)
 
