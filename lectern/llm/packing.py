@@ -201,7 +201,8 @@ def best_fit(rows: DataFrame, size: int = 4096, block: int = 20_000) -> DataFram
 
         # Dealt by the row's number, so that rows without an id or with one id do not meet.
         numbered = left.withColumn("deal", F.monotonically_increasing_id())
-        dealt = numbered.repartition(n, F.xxhash64("deal", F.lit(level))) if n > 1 else left.coalesce(1)
+        # One block is a shuffle too: what is left is found by many tasks, and only that meets in one.
+        dealt = numbered.repartition(n, F.xxhash64("deal", F.lit(level))) if n > 1 else left.repartition(1)
         packed = stored(dealt.mapInPandas(run, schema), "packed")
         left = packed.where("not done").select(*names)
         rest = left.count() if n > 1 else 0
