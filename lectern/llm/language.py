@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import stored, table, whole
 
-LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+# Stands for all languages too rare to be modelled alone.
+POOLED = "mis"
+# Tags that name no one language (fixed values).
+NO_LANGUAGE = ("und", "mul", "zxx", "mis")
 CELLS = 1 << 16
 # Letters, separators: digits and signs carry no language.
 _KEEP = np.zeros(256, dtype=np.uint8)
@@ -34,34 +37,51 @@ def grams(text: str) -> np.ndarray:
 
 
 def _count(batches, languages):
-    """Trigram counts by declared language, one table a task."""
+    """Trigram counts by declared language, one table a task; the last is that of the rest if it is POOLED."""
     total = np.zeros((len(languages), CELLS), dtype=np.int64)
     place = {x: i for i, x in enumerate(languages)}
+    rest = place.get(POOLED)
     for frame in batches:
         for declared, text in zip(frame["declared"], frame["text"], strict=True):
-            if declared in place:
+            at = place.get(declared, rest)
+            if declared is not None and at is not None:
                 g = grams(text)
                 if len(g) > CELLS // 8:
-                    total[place[declared]] += np.bincount(g, minlength=CELLS)
+                    total[at] += np.bincount(g, minlength=CELLS)
                 else:
-                    np.add.at(total[place[declared]], g, 1)
+                    np.add.at(total[at], g, 1)
     i, g = np.nonzero(total)
     yield pd.DataFrame({"i": i, "g": g, "c": total[i, g]})
 
 
-def text_model(rows: DataFrame, languages: Sequence[str], smooth: float = 0.5) -> np.ndarray:
+def declared_languages(rows: DataFrame, listed: int = 256) -> list[str]:
+    """Languages that hold 1 / ``listed`` of all declared text or more; then POOLED, if others hold any.
+
+    So at most ``listed`` names and one reach the driver, and no declared language is left out.
+    """
+    sizes = stored(rows.where("declared IS NOT NULL").groupBy("declared").agg(F.sum(F.length("text")).alias("n")), "declared-sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    own = (F.col("n") > 0) & (F.col("n") * listed >= total)
+    names = sorted(r["declared"] for r in sizes.where(own).select("declared").collect())
+    return names + [POOLED] if not names or sizes.where((F.col("n") > 0) & ~own).limit(1).count() else names
+
+
+def text_model(rows: DataFrame, languages: Sequence[str], floor: float = 0.01) -> np.ndarray:
     """log P(trigram | language), a last column for text of no language.
 
     Counts cover all rows, grouped by declared language; the table has a fixed
     size. The last column is uniform: text unlike every language fits it best.
+    ``floor`` is the uniform part of each language, so that a trigram it never
+    shows costs the same however large the input is.
     """
     names = list(languages)
     counted = rows.select("declared", "text").mapInPandas(lambda it: _count(it, names), "i int, g int, c long")
-    total = np.full((CELLS, len(names)), smooth)
-    for i, g, c in counted.groupBy("i", "g").agg(F.sum("c")).collect():
-        total[g, i] += c
-    logp = np.log(total / total.sum(axis=0))
-    logp[:, (total == smooth).all(axis=0)] = -50.0  # a language without any text is none to choose
+    total = np.zeros((CELLS, len(names)))
+    found = counted.groupBy("i", "g").agg(F.sum("c").alias("c")).toArrow()
+    total[found["g"].to_numpy(), found["i"].to_numpy()] = found["c"].to_numpy()
+    seen = total.sum(axis=0)
+    logp = np.log((1 - floor) * total / np.maximum(seen, 1) + floor / CELLS)
+    logp[:, seen == 0] = -50.0  # a language without any text is none to choose
     return np.concatenate([logp, np.full((CELLS, 1), -np.log(float(CELLS)))], axis=1).astype(np.float32)
 
 
@@ -72,7 +92,7 @@ def base_language(tag: Column) -> Column:
 
 def identify(
     rows: DataFrame,
-    languages: Sequence[str] = LANGUAGES,
+    languages: Sequence[str] | None = None,
     temper: float = 0.05,
     host_strength: float = 20.0,
     declared_strength: float = 5.0,
@@ -81,6 +101,8 @@ def identify(
 ) -> DataFrame:
     """Fuse evidence for rows (id, text, declared, suffix, host).
 
+    The languages are those that the rows declare (``declared_languages``),
+    unless they are given; rare ones share one model, whose name is "mis".
     log posterior = tempered text likelihood + P(declared | language)
     + P(suffix | language) + host prior. The likelihood of all trigrams of the
     whole text is tempered, since neighbours are not independent. Tables of
@@ -96,8 +118,10 @@ def identify(
     uniform noise, and rows whose best language stays below ``accept``. Null
     evidence adds nothing. Repeated rows each count and are returned each.
     """
-    names, k = list(languages), len(languages)
-    rows = rows.select("id", whole("text").alias("text"), base_language(F.col("declared")).alias("declared"), F.lower("suffix").alias("suffix"), F.lower("host").alias("host"))
+    tag = base_language(F.col("declared"))
+    rows = rows.select("id", whole("text").alias("text"), F.when(~tag.isin(*NO_LANGUAGE), tag).alias("declared"), F.lower("suffix").alias("suffix"), F.lower("host").alias("host"))
+    names = declared_languages(rows) if languages is None else list(languages)
+    k = len(names)
     model = rows.sparkSession.sparkContext.broadcast(text_model(rows, names))
 
     def likelihoods(batches):
@@ -116,49 +140,57 @@ def identify(
     best = F.array_position("ll", F.array_max("ll")).cast("int") - 1
     seen = seen.withColumn("best", F.when(F.col("n") >= least_grams, best).otherwise(F.lit(k)))
 
+    each = F.sequence(F.lit(0), F.lit(k - 1))
+    told = seen.where(F.col("best") < k)
+
     def votes(*keys):
-        return seen.where(F.col("best") < k).groupBy(*keys).agg(*[F.sum(F.when(F.col("best") == i, 1.0).otherwise(0.0)).alias(f"v{i}") for i in range(k)])
+        """Texts that show each language, by key: one row a key, an array over the languages."""
+        n = told.groupBy(*keys, "best").agg(F.count("*").cast("double").alias("n"))
+        by_language = n.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m"))
+        return by_language.select(*keys, F.transform(each, lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("v"))
 
-    all_v = votes().first()
-    overall = [float(all_v[i] or 0) + 1.0 / k for i in range(k)]
-    share = [x / sum(overall) for x in overall]
+    all_v = dict(told.groupBy("best").count().collect())
+    overall = [float(all_v.get(i, 0)) + 1.0 / k for i in range(k)]
+    share = F.array(*[F.lit(x / sum(overall)) for x in overall])
+    of_all = F.array(*[F.lit(x) for x in overall])
+    weak = declared_strength * 0.01
 
     def given(key):
         """log P(value | language) for each value."""
         v = votes(key).where(F.col(key).isNotNull())
-        return stored(v.select(key, F.array(*[F.log((F.col(f"v{i}") + declared_strength * share[i] * 0.01) / F.lit(overall[i] + declared_strength * 0.01)) for i in range(k)]).alias(f"{key}_ll")), f"{key}-table")
+        return stored(v.select(key, F.transform("v", lambda x, i: F.log((x + weak * F.get(share, i)) / (F.get(of_all, i) + weak))).alias(f"{key}_ll")), f"{key}-table")
 
     # Host prior, smoothed by the suffix's, smoothed by that of all rows.
-    by_suffix = votes("suffix").select("suffix", F.array(*[F.col(f"v{i}") for i in range(k)]).alias("sv"))
-    by_suffix = stored(by_suffix, "suffix-votes")
-    by_host = votes("host", "suffix").select("host", "suffix", F.array(*[F.col(f"v{i}") for i in range(k)]).alias("hv"))
-    by_host = stored(by_host, "host-votes")
-    zero = F.array(*[F.lit(0.0)] * k)
+    by_suffix = stored(votes("suffix").withColumnRenamed("v", "sv"), "suffix-votes")
+    by_host = stored(votes("host", "suffix").withColumnRenamed("v", "hv"), "host-votes")
+    zero = F.array_repeat(F.lit(0.0), k)
     e = seen.join(by_host.withColumnsRenamed({"host": "h", "suffix": "hs"}), F.col("host").eqNullSafe(F.col("h")) & F.col("suffix").eqNullSafe(F.col("hs")), "left")
     e = e.join(by_suffix.withColumnRenamed("suffix", "ss"), F.col("suffix").eqNullSafe(F.col("ss")), "left")
     e = e.join(given("declared"), "declared", "left").join(given("suffix"), "suffix", "left")
-    own = lambda i: F.when((F.col("best") == i), 1.0).otherwise(0.0)
-    sv = [F.greatest(F.coalesce("sv", zero)[i] - own(i), F.lit(0.0)) for i in range(k)]
-    hv = [F.when(F.col("host").isNull(), 0.0).otherwise(F.greatest(F.coalesce("hv", zero)[i] - own(i), F.lit(0.0))) for i in range(k)]
-    e = e.withColumns({"sp": F.array(*sv), "hp": F.array(*hv)})
+
+    def others(v):
+        """The votes without the row's own."""
+        return F.transform(F.coalesce(v, zero), lambda x, i: F.greatest(x - F.when(F.col("best") == i, 1.0).otherwise(0.0), F.lit(0.0)))
+
+    e = e.withColumns({"sp": others("sv"), "hp": F.when(F.col("host").isNull(), zero).otherwise(others("hv"))})
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     e = e.withColumns({"sn": total("sp"), "hn": total("hp")})
-    s = [(F.col("sp")[i] + host_strength * share[i]) / (F.col("sn") + host_strength) for i in range(k)]
-    h = [(F.col("hp")[i] + host_strength * s[i]) / (F.col("hn") + host_strength) for i in range(k)]
-    part = lambda key, i: F.coalesce(F.col(f"{key}_ll")[i], F.lit(0.0))
-    scores = [F.col("ll")[i] + F.log(h[i]) + part("declared", i) + part("suffix", i) for i in range(k)]
-    e = e.withColumn("scores", F.array(*scores)).withColumn("top", F.array_max("scores"))
+    smooth = lambda v, p, n: F.zip_with(v, p, lambda x, y: (x + host_strength * y) / (F.col(n) + host_strength))
+    e = e.withColumn("prior", smooth("hp", smooth("sp", share, "sn"), "hn"))
+    part = lambda key, i: F.coalesce(F.get(f"{key}_ll", i), F.lit(0.0))
+    scores = F.transform("prior", lambda x, i: F.get("ll", i) + F.log(x) + part("declared", i) + part("suffix", i))
+    e = e.withColumn("scores", scores).withColumn("top", F.array_max("scores"))
     e = e.withColumn("mass", total(F.transform("scores", lambda x: F.exp(x - F.col("top")))))
     labels = F.array(*[F.lit(n) for n in names])
     at = F.array_position("scores", F.col("top")).cast("int")
-    told = (F.col("n") >= least_grams) & (F.col("best") < k)
+    known = (F.col("n") >= least_grams) & (F.col("best") < k)
     return e.select(
         "id",
-        F.when(told, labels[at - 1]).otherwise(UNKNOWN).alias("lang_detected"),
+        F.when(known, labels[at - 1]).otherwise(UNKNOWN).alias("lang_detected"),
         (1 / F.col("mass")).alias("confidence"),
         F.when(F.col("best") < k, labels[F.col("best")]).otherwise(UNKNOWN).alias("text_lang"),
         F.col("n").alias("n_grams"),
-        (told & (1 / F.col("mass") >= accept)).alias("accepted"),
+        (known & (1 / F.col("mass") >= accept)).alias("accepted"),
     )
 
 
