@@ -207,6 +207,10 @@ chunks0 AS (
 chunks AS (SELECT doc_id, chunk AS chunk_idx, count(*) OVER (PARTITION BY doc_id)::INTEGER AS n_chunks, text, n_words FROM chunks0 WHERE text <> '')"""
 
 
+INSTRUCT = f"""CASE {' '.join(f'WHEN p < {u} THEN {q(t)}' if u else f'ELSE {q(t)}' for u, t, _ in rules.INSTRUCT_BANDS)} END AS instruct,
+          CAST(CASE {' '.join(f'WHEN p < {u} THEN {s}' if u else f'ELSE {s}' for u, _, s in rules.INSTRUCT_BANDS)} END AS DOUBLE) AS speed"""
+
+
 def titles(choice: str) -> str:
     v = {n: n for n in ("topic", "subject", "chapter")}
     return f"""pick AS (SELECT *, {choice} AS formula FROM cat),
@@ -439,8 +443,7 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (b = '') AS dropped FROM cleaned GROUP BY 1""",
     "pack_chunks": f"WITH RECURSIVE {CHUNKS} SELECT * FROM chunks",
     "default_instructions": f"""WITH RECURSIVE {CHUNKS}, p AS (SELECT doc_id, chunk_idx, chunk_idx / greatest(n_chunks - 1, 1) AS p FROM chunks)
-        SELECT doc_id, chunk_idx, CASE {' '.join(f'WHEN p < {u} THEN {q(t)}' if u else f'ELSE {q(t)}' for u, t, _ in rules.INSTRUCT_BANDS)} END AS instruct,
-          CAST(CASE {' '.join(f'WHEN p < {u} THEN {s}' if u else f'ELSE {s}' for u, _, s in rules.INSTRUCT_BANDS)} END AS DOUBLE) AS speed FROM p""",
+        SELECT doc_id, chunk_idx, {INSTRUCT} FROM p""",
     "attach_instructions": f"""WITH RECURSIVE {CHUNKS},
         i AS (SELECT doc_id, unnest([0, quality, 1]) AS chunk_idx, unnest([0, 1, 2]) AS pos, quality, toxic FROM labels),
         f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_idx ORDER BY pos) AS n FROM i),
@@ -526,6 +529,26 @@ ORACLES |= {
     "stream_errors": "SELECT * EXCLUDE (event_id) FROM (" + ORACLES["parse_error_log"] + ")",
     "publish_metadata": f"""SELECT * FROM ({ORACLES["plan_titles"]}) JOIN ({ORACLES["describe_topics"]}) USING (topic_id)
         JOIN ({ORACLES["fit_tags"].replace("used <= 200", "used <= 495")}) USING (topic_id)""",
+    # Scenes begin at words here, so places in time are places in the text: 2.5 words a second.
+    "align_videos": f"""WITH RECURSIVE {WORDS}, num AS (SELECT doc_id, len(w) AS n, w FROM docw WHERE len(w) > 0),
+        cand AS (SELECT doc_id, word_idx AS i FROM words JOIN num USING (doc_id) WHERE length(word) > 6 AND word_idx <= n - 7.5),
+        froms AS (SELECT doc_id, 0 AS i FROM num UNION SELECT doc_id, i FROM cand),
+        marks AS (SELECT doc_id, i + 3 AS pos, i AS origin FROM froms UNION ALL SELECT doc_id, i, NULL FROM cand),
+        following AS (SELECT *, min(CASE WHEN origin IS NULL THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS j FROM marks),
+        nxt AS (SELECT doc_id, origin AS i, j FROM following WHERE origin IS NOT NULL AND j IS NOT NULL),
+        kept(doc_id, k, i) AS (SELECT doc_id, 0, 0 FROM num UNION ALL SELECT kept.doc_id, k + 1, j FROM kept JOIN nxt ON kept.doc_id = nxt.doc_id AND kept.i = nxt.i),
+        ends AS (SELECT kept.doc_id, k, i, n, w, lead(i) OVER (PARTITION BY kept.doc_id ORDER BY k) AS j FROM kept JOIN num ON kept.doc_id = num.doc_id),
+        s AS (SELECT *, coalesce(j, n) - 1 AS hi, round(i / 2.5, 3) AS a, round(coalesce(j / 2.5, greatest(0.0, n / 2.5 - 3.0)), 3) AS z FROM ends),
+        p AS (SELECT *, z - a AS video, round((hi + 1) / 2.5, 3) - round(i / 2.5, 3) AS tts FROM s),
+        f AS (SELECT *, greatest(0.5, least(2.0, video / tts)) AS f FROM p)
+        SELECT doc_id, k AS slide_index, a AS video_start, z AS video_end, round(video, 3) AS video_duration, CAST(i AS BIGINT) AS word_start_index,
+          CAST(hi AS BIGINT) AS word_end_index, CAST(hi - i + 1 AS BIGINT) AS word_count, md5(array_to_string(w[i + 1 : hi + 1], ' ')) AS text_md5,
+          false AS overlap, round(tts, 4) AS tts_duration, round(f, 4) AS speed_factor, abs(f - 1.0) >= 0.05 AS needs_adjust FROM f""",
+    "voice_plan": f"""WITH RECURSIVE {scripts('(row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) % 25')},
+        spoken AS (SELECT doc_id, subject AS source, intro || chr(10) || chr(10) || main || chr(10) || chr(10) || outro AS text FROM parts), {_emphasis()},
+        voiced AS (SELECT doc_id, out AS text FROM em1), {CHUNKS.replace("FROM documents", "FROM voiced")},
+        p AS (SELECT *, chunk_idx / greatest(n_chunks - 1, 1) AS p FROM chunks)
+        SELECT doc_id, chunk_idx, n_chunks, md5(text) AS text_md5, n_words, {INSTRUCT} FROM p""",
     "next_topics": f"""SELECT * REPLACE ('J' || (parent_id % 50) AS stream) FROM ({ORACLES["split_topics"]})
         WHERE parent_id IN (SELECT min(c_custkey) FROM customer GROUP BY c_custkey % 50)""",
 }

@@ -398,6 +398,18 @@ def slide_text(spark, d):
     return align.slide_text(V.scenes(spark, d), V.word_rows(spark, d), "doc_id")
 
 
+@query
+def align_videos(spark, d):
+    """Journey: scenes that may begin at each long word, thinned, closed, given their text and pace."""
+    w = V.word_rows(spark, d)
+    totals = w.groupBy("doc_id").agg(F.max("end_s").alias("total_s"))
+    m = produce.align_videos(w, w.where(F.length("word") > 6).select("doc_id", F.col("start_s").alias("ts_s")), totals, "doc_id")
+    return m.select(
+        "doc_id", "slide_index", "video_start", "video_end", "video_duration", "word_start_index", "word_end_index", "word_count",
+        F.md5("text").alias("text_md5"), "overlap", F.round("tts_duration", 4).alias("tts_duration"), F.round("speed_factor", 4).alias("speed_factor"), "needs_adjust",
+    )
+
+
 def _user_candidates(spark, d):
     e = V.table(spark, d, "events")
     t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
@@ -630,6 +642,13 @@ def default_instructions(spark, d):
     return textjobs.default_instructions(c, "doc_id")
 
 
+@query
+def voice_plan(spark, d):
+    """Journey: scripts with emphasis, packed into chunks that each have a speaking instruction."""
+    c = produce.voice_plan(V.documents(spark, d), _docs_as_topics(spark, d), "doc_id", CHANNEL)
+    return c.select("doc_id", "chunk_idx", "n_chunks", F.md5("text").alias("text_md5"), "n_words", "instruct", "speed")
+
+
 @query
 def attach_instructions(spark, d):
     c = textjobs.pack_chunks(V.documents(spark, d), "doc_id").select("doc_id", "chunk_idx", "n_words")

@@ -277,14 +277,8 @@ def pack_chunks(docs: DataFrame, key: str, text: str = "text", limit_words: int
         key, "chunk_idx", "n_chunks", F.col("c.text").alias("text"), F.col("c.n_words").alias("n_words"))
 
 
-def default_instructions(chunks: DataFrame, key: str) -> DataFrame:
-    """Instruction and speed by relative position of the chunk in its document.
-
-    ``n_chunks`` from the packing step is used where present, otherwise counted.
-    """
-    c = chunks
-    if "n_chunks" not in c.columns:
-        c = c.join(chunks.groupBy(key).agg(F.count(F.lit(1)).alias("n_chunks")), key)
+def speaking() -> dict[str, Column]:
+    """Instruction and speed of a chunk by its relative position, from ``chunk_idx`` and ``n_chunks``."""
     pos = F.col("chunk_idx") / F.greatest(F.col("n_chunks") - 1, F.lit(1))
     text = speed = None
     for upper, t, s in rules.INSTRUCT_BANDS:
@@ -294,7 +288,18 @@ def default_instructions(chunks: DataFrame, key: str) -> DataFrame:
             text, speed = F.when(pos < upper, F.lit(t)), F.when(pos < upper, F.lit(s))
         else:
             text, speed = text.when(pos < upper, F.lit(t)), speed.when(pos < upper, F.lit(s))
-    return c.select(key, "chunk_idx", text.alias("instruct"), speed.alias("speed"))
+    return {"instruct": text, "speed": speed}
+
+
+def default_instructions(chunks: DataFrame, key: str) -> DataFrame:
+    """Instruction and speed by relative position of the chunk in its document.
+
+    ``n_chunks`` from the packing step is used where present, otherwise counted.
+    """
+    c = chunks
+    if "n_chunks" not in c.columns:
+        c = c.join(chunks.groupBy(key).agg(F.count(F.lit(1)).alias("n_chunks")), key)
+    return c.withColumns(speaking()).select(key, "chunk_idx", "instruct", "speed")
 
 
 def attach_instructions(chunks: DataFrame, instructions: DataFrame, key: str) -> DataFrame:

@@ -37,7 +37,7 @@ def voice_plan(docs: DataFrame, topics: DataFrame, key: str, channel: str) -> Da
     scripts = textjobs.build_scripts(docs, topics, key, channel)
     spoken = textjobs.emphasize(scripts.select(key, F.col("full_script").alias("text")))
     chunks = textjobs.pack_chunks(spoken.select(key, F.col("emphasized").alias("text")), key)
-    return chunks.join(textjobs.default_instructions(chunks, key), [key, "chunk_idx"])
+    return chunks.withColumns(textjobs.speaking())
 
 
 def publish_metadata(topics: DataFrame) -> DataFrame:
