@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,15 +15,39 @@ from lectern.llm.common import stored, table, whole
 
 CELLS = 1 << 19
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
-# Groups whose neutral mention must not move a score. A mention is swapped for
-# every other of its row, and for none.
-IDENTITY_TERMS = (
-    ("women", "men", "woman", "man", "girls", "boys", "transgender", "nonbinary"),
-    ("gay", "lesbian", "bisexual", "straight", "queer"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "muslims", "christians", "jews"),
-    ("black", "white", "asian", "african", "latino", "european", "american", "mexican", "arab", "immigrants", "refugees"),
-    ("old", "young", "elderly", "disabled", "blind", "deaf"),
-)
+# Groups whose neutral mention must not move a score, by language, with the
+# forms that sentences hold. A mention is swapped for every other of its row,
+# and for none.
+IDENTITY_TERMS = {
+    "en": (
+        ("women", "men", "woman", "man", "girls", "boys", "transgender", "nonbinary"),
+        ("gay", "lesbian", "bisexual", "straight", "queer"),
+        ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "muslims", "christians", "jews"),
+        ("black", "white", "asian", "african", "latino", "european", "american", "mexican", "arab", "immigrants", "refugees"),
+        ("old", "young", "elderly", "disabled", "blind", "deaf"),
+    ),
+    "fr": (
+        ("femmes", "hommes", "femme", "homme", "filles", "garçons", "transgenre", "transgenres"),
+        ("gay", "gays", "lesbienne", "lesbiennes", "bisexuel", "bisexuelle", "homosexuel", "homosexuelle", "hétérosexuel", "hétérosexuelle"),
+        ("musulman", "musulmane", "musulmans", "chrétien", "chrétienne", "chrétiens", "juif", "juive", "juifs", "hindou", "hindous", "bouddhiste", "athée", "athées"),
+        ("noir", "noire", "noirs", "blanc", "blanche", "blancs", "asiatique", "africain", "africaine", "africains", "européen", "européenne", "américain", "américaine", "arabe", "arabes", "immigrés", "réfugiés"),
+        ("vieux", "vieille", "jeune", "jeunes", "âgé", "âgée", "handicapé", "handicapée", "aveugle", "sourd", "sourde"),
+    ),
+    "de": (
+        ("frauen", "männer", "frau", "mann", "mädchen", "jungen", "transgender", "nichtbinär"),
+        ("schwul", "schwule", "schwulen", "lesbisch", "lesbische", "bisexuell", "bisexuelle", "homosexuell", "homosexuelle", "heterosexuell", "heterosexuelle"),
+        ("muslim", "muslime", "muslimisch", "muslimische", "christ", "christen", "christlich", "christliche", "jude", "juden", "jüdisch", "jüdische", "hindu", "hindus", "buddhist", "buddhisten", "atheist", "atheisten"),
+        ("schwarze", "schwarzen", "weiße", "weißen", "asiatisch", "asiaten", "afrikanisch", "afrikaner", "europäisch", "europäer", "amerikaner", "araber", "arabisch", "türken", "einwanderer", "flüchtlinge"),
+        ("alte", "alten", "junge", "ältere", "älteren", "behindert", "behinderte", "blind", "blinde", "gehörlos", "gehörlose"),
+    ),
+    "es": (
+        ("mujeres", "hombres", "mujer", "hombre", "chicas", "chicos", "transgénero", "transexual"),
+        ("gay", "gays", "lesbiana", "lesbianas", "bisexual", "bisexuales", "homosexual", "homosexuales", "heterosexual", "heterosexuales"),
+        ("musulmán", "musulmana", "musulmanes", "cristiano", "cristiana", "cristianos", "judío", "judía", "judíos", "hindú", "hindúes", "budista", "budistas", "ateo", "atea", "ateos"),
+        ("negro", "negra", "negros", "blanco", "blanca", "blancos", "asiático", "asiática", "africano", "africana", "africanos", "europeo", "europea", "americano", "americana", "mexicano", "mexicana", "árabe", "árabes", "inmigrantes", "refugiados"),
+        ("viejo", "vieja", "joven", "jóvenes", "anciano", "anciana", "discapacitado", "discapacitada", "ciego", "ciega", "sordo", "sorda"),
+    ),
+}
 
 
 def cell(word: str) -> int:
@@ -61,9 +85,9 @@ class Classifier:
     that of no mention.
     """
 
-    def __init__(self, groups: Sequence[Sequence[str]] = IDENTITY_TERMS, swap: float = 5.0, l1: float = 0.012, l2: float = 1e-6, least: int = 5, epochs: int = 20, batch: int = 256, rate: float = 0.05, seed: int = 3):
+    def __init__(self, terms: Mapping[str, Sequence[Sequence[str]]] = IDENTITY_TERMS, swap: float = 5.0, l1: float = 0.012, l2: float = 1e-6, least: int = 5, epochs: int = 20, batch: int = 256, rate: float = 0.05, seed: int = 3):
         # A term brings its word and its stems; the word tells a mention.
-        self.groups = [[(cell(w), features(w)) for w in g] for g in groups]
+        self.groups = [[(cell(w), features(w)) for w in g] for rows in terms.values() for g in rows]
         self.swap, self.l1, self.l2, self.least, self.epochs, self.batch, self.rate, self.seed = swap, l1, l2, least, epochs, batch, rate, seed
         self.w, self.bias = np.zeros(CELLS), 0.0
 

@@ -209,7 +209,8 @@ def test_toxicity_on_held_out_rows(spark):
     assert rank > 0.95 and good.predicted.mean() < 0.02
 
 
-def test_swaps_move_no_score():
+@pytest.mark.parametrize(("term", "other"), [("muslim", "christian"), ("musulmane", "juive"), ("juden", "christen"), ("negra", "blanca")])
+def test_swaps_move_no_score(term, other):
     rng = np.random.default_rng(2)
     texts, y = [], []
     for i in range(600):
@@ -217,15 +218,18 @@ def test_swaps_move_no_score():
         words = [f"w{j}" for j in rng.integers(0, 50, 12)] + (["nasty"] if toxic else [])
         # The group is mentioned mostly where the text is toxic.
         if rng.random() < (0.8 if toxic else 0.05):
-            words.append("muslim")
+            words.append(term)
         texts.append(" ".join(words))
         y.append(float(toxic))
     cells = [toxicity.features(t) for t in texts]
     fair = toxicity.Classifier(swap=20.0).fit(cells, np.array(y))
     free = toxicity.Classifier(swap=0.0).fit(cells, np.array(y))
-    gap = lambda m: abs(m.w[toxicity.cell("muslim")] - m.w[toxicity.cell("christian")])
-    assert gap(fair) < 0.2 * gap(free)
-    assert fair.score(toxicity.features("w1 w2 muslim")) < 0.5 < fair.score(toxicity.features("w1 w2 nasty"))
+
+    def change(m):
+        return abs(m.score(toxicity.features(f"w1 w2 {term}")) - m.score(toxicity.features(f"w1 w2 {other}")))
+
+    assert change(fair) < 0.2 * change(free)
+    assert fair.score(toxicity.features(f"w1 w2 {term}")) < 0.5 < fair.score(toxicity.features("w1 w2 nasty"))
 
 
 def test_pipeline_by_stages(spark, docs):
