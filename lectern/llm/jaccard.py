@@ -141,11 +141,16 @@ def _within(sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tupl
 
 
 def _tiles(batches, k: int, percent: int):
-    """Links inside each run of rows of one (cluster, i, j)."""
+    """Links inside each run of rows of one (cluster, i, j); what connects with the cluster's leader is linked to it."""
     at, ids, left, sets = None, [], [], []
 
     def links():
-        found = _within(sets, np.array(left), percent) if len(ids) > 1 else []
+        found = _within(sets, np.array(left), percent)
+        if at[0] in ids:
+            leader = ids.index(at[0])
+            least = dict(found).get(leader)
+            if least is not None:
+                found = [(least if i == leader else i, leader if j == least else j) for i, j in found]
         return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"], dtype="int64")
 
     for frame in batches:
@@ -176,10 +181,10 @@ class ShingleJoin:
     least the smaller of the two numbers. This loses no link.
     """
 
-    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, matches: int = 4, verify_cost: float = 20.0):
+    def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, matches: int = 4, verify_cost: float = 20.0, chunk: int = 256):
         self.docs = docs.select("doc_id", whole("text").alias("text"))
         self.spark = docs.sparkSession
-        self.k, self.percent, self.matches, self.verify_cost = k, percent, matches, verify_cost
+        self.k, self.percent, self.matches, self.verify_cost, self.chunk = k, percent, matches, verify_cost, chunk
 
     def classes(self) -> DataFrame:
         """(doc_id, n, rep): documents with equal sets share the smallest id as rep."""
@@ -247,21 +252,43 @@ class ShingleJoin:
         full = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
         return stored(full.mapInPandas(lambda it: _similar(it, k, percent), "a long, b long"), "links")
 
-    def in_clusters(self, members: DataFrame, texts: DataFrame, chunk: int = 256) -> DataFrame:
-        """Links between the members (doc_id, cluster) of each cluster, verified on whole texts.
+    def tiles(self, placed: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links of each unit (cluster, i, j) of rows (doc_id, cluster, i, j, left), verified on whole texts."""
+        k, percent = self.k, self.percent
+        full = stored(placed, "cluster-tiles").join(texts, "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id")
+        return stored(full.mapInPandas(lambda it: _tiles(it, k, percent), "a long, b long"), "links")
+
+    def in_clusters(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links that join what is alike in each cluster: (doc_id, cluster), where a cluster's name is its leader's id.
 
-        A cluster is cut into chunks of about ``chunk`` documents and a task's
-        unit is a pair of chunks, which returns each linked document with the
-        smallest one its links reach there, so components settle in few rounds.
+        A cluster is cut into chunks of about ``chunk`` documents. Each chunk
+        meets the leader and itself, so a text is sent once and the leader once
+        a chunk; what connects with the leader is one component by then. Only
+        documents that do not are compared with the rest of their cluster, in
+        pairs of chunks of which one at least holds nothing else. A unit returns
+        a row per linked document, so components settle in few rounds.
         """
-        k, percent = self.k, self.percent
+        chunk = self.chunk
         sizes = stored(members.groupBy("cluster").agg(F.ceil(F.count("*") / chunk).cast("int").alias("k")), "cluster-sizes")
-        c = F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int")
-        placed = members.join(sizes, "cluster").withColumn("c", c)
-        tiles = placed.select("doc_id", "cluster", "c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
-        tiles = tiles.select("doc_id", "cluster", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") <= F.col("o")).alias("left"))
-        full = stored(tiles, "cluster-tiles").join(texts, "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "doc_id")
-        return stored(full.mapInPandas(lambda it: _tiles(it, k, percent), "a long, b long"), "links")
+        placed = members.join(sizes, "cluster")
+        own = placed.select("doc_id", "cluster", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int").alias("i"))
+        leaders = sizes.select(F.col("cluster").alias("doc_id"), "cluster", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
+        first = self.tiles(own.unionByName(leaders).select("*", F.col("i").alias("j"), F.lit(True).alias("left")), texts)
+
+        near = first.select(F.col("a").alias("doc_id"), F.col("b").alias("cluster"), F.lit(True).alias("near")).dropDuplicates(["doc_id", "cluster"])
+        sides = placed.where("k > 1").join(near, ["doc_id", "cluster"], "left")
+        sides = stored(sides.select("doc_id", "cluster", F.coalesce("near", F.lit(False)).alias("near")), "cluster-sides")
+        chunks = lambda side: F.ceil(F.count(F.when(side, 1)) / chunk).cast("int")
+        counts = stored(sides.groupBy("cluster").agg(chunks(~F.col("near")).alias("u"), chunks(F.col("near")).alias("l")).where("u > 0"), "cluster-sides-sizes")
+        if counts.isEmpty():
+            return first
+        # Chunks 0 to u - 1 hold what the leader did not reach, the l after them what it did.
+        h = F.xxhash64("doc_id", F.lit(1))
+        c = F.when(F.col("near"), F.col("u") + F.pmod(h, F.col("l"))).otherwise(F.pmod(h, F.col("u"))).cast("int")
+        last = F.when(F.col("near"), F.col("u") - 1).otherwise(F.col("u") + F.col("l") - 1)
+        pairs = sides.join(counts, "cluster").select("doc_id", "cluster", c.alias("c"), F.explode(F.sequence(F.lit(0), last)).alias("o"))
+        pairs = pairs.select("doc_id", "cluster", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") <= F.col("o")).alias("left"))
+        return first.unionByName(self.tiles(pairs, texts))
 
     def labelled(self, prefixes: DataFrame, edges: DataFrame, clusters: list[DataFrame]) -> DataFrame:
         """Prefixes with their component and clusters so far, only of shingles that still touch two components."""
@@ -279,7 +306,7 @@ class ShingleJoin:
 
         First, twice, documents are clustered: each goes to the leader it meets
         most often among those of its shingles' lists, and a cluster is verified
-        in pairs of chunks, without a row per pair. Then only pairs across the
+        in chunks, without a row per pair. Then only pairs across the
         components and clusters are generated and counted, so a group of near
         copies never turns into all its pairs.
         """
@@ -297,8 +324,7 @@ class ShingleJoin:
             best = stored(meets.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b")), "best-leaders")
             members = best.select(F.col("a").alias("doc_id"), F.col("b").alias("cluster"))
             clusters.append(members)
-            heads = best.select(F.col("b").alias("doc_id"), F.col("b").alias("cluster")).distinct()
-            edges = edges.unionByName(self.in_clusters(members.unionByName(heads), texts))
+            edges = edges.unionByName(self.in_clusters(members, texts))
             open_ones = stored(self.labelled(prefixes, edges, clusters), "open-prefixes")
         x, y = open_ones.alias("x"), open_ones.alias("y")
         ahead = F.least(F.col("x.pos"), F.col("y.pos"))
@@ -317,7 +343,7 @@ class ShingleJoin:
         return edges.unionByName(self.verified(stored(pairs, "candidates"), texts))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, matches: int = 4) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, matches: int = 4, chunk: int = 256) -> DataFrame:
     """Near-duplicate components: one row per input row with ``doc_id``, ``n_shingles``, ``component_id``.
 
     Two documents link when 100 * intersection >= percent * union of their
@@ -327,7 +353,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, matches:
     id. Rows that repeat an id are expected to repeat its text. A row without
     id is returned alone. Other columns are ignored; no rows give no rows.
     """
-    join = ShingleJoin(docs, k, percent, matches)
+    join = ShingleJoin(docs, k, percent, matches, chunk=chunk)
     classes = join.classes()
     found = stored(components(join.edges(classes)), "shingle-components")
     out = classes.join(found, classes["rep"] == found["id"], "left")

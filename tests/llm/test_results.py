@@ -34,8 +34,8 @@ def joined(pairs, ids):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize(("k", "percent", "matches"), [(5, 80, 4), (2, 30, 3), (1, 50, 1), (3, 95, 4)])
-def test_join_finds_every_link(spark, k, percent, matches):
+@pytest.mark.parametrize(("k", "percent", "matches", "chunk"), [(5, 80, 4, 256), (2, 30, 3, 256), (1, 50, 1, 256), (3, 95, 4, 256), (2, 30, 3, 2), (1, 50, 1, 3), (5, 80, 4, 1)])
+def test_join_finds_every_link(spark, k, percent, matches, chunk):
     rng = np.random.default_rng(k)
     words = [f"w{i}" for i in range(60)]
     texts = []
@@ -51,7 +51,7 @@ def test_join_finds_every_link(spark, k, percent, matches):
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     want = joined(links, sets)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, k, percent, matches).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df, k, percent, matches, chunk).collect()}
     assert got == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
@@ -293,6 +293,34 @@ def test_local_search_stops_only_at_its_end():
                 assert not any(0 < s - b <= size - take[0] for s in sums for b in backs)
 
 
+def test_a_group_of_near_copies_is_sent_a_bounded_number_of_times(spark, monkeypatch):
+    """Texts sent grow with a group's size, not with its square, and some members that only reach each other are found too."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(800):
+        t = list(base)
+        t[rng.integers(120)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    # A chain away from the group: each end links with its neighbour only.
+    for i in range(8):
+        rows.append((1000 + i, " ".join([f"z{j}" for j in range(i * 6)] + base[i * 6 :])))
+    sets = {i: set(shingle_set(t, 5).tolist()) for i, t in rows}
+    want = joined([(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], sets)
+    sent = []
+    tiles = jaccard.ShingleJoin.tiles
+
+    def counted(self, placed, texts):
+        sent.append(placed.count())
+        return tiles(self, placed, texts)
+
+    monkeypatch.setattr(jaccard.ShingleJoin, "tiles", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df, chunk=8).collect()}
+    assert got == want
+    assert sum(sent) < 4 * len(rows)
+
+
 def test_join_of_repeated_rows_counts_shingles_once(spark):
     """Chained near copies, of which some rows are repeated: prefixes and components are those of the rows without repeats."""
     words = [f"w{i}" for i in range(60)]
