@@ -40,6 +40,8 @@ ERROR_RULES = [
     ("UPLOAD_FAIL", ["YouTube", "upload"]),
 ]
 ERROR_OTHER = "UNKNOWN"
+# Fixed value: a number that a log line gives as a status, not as an id or a count.
+STATUS_NUMBER = r"(?i)(?:^|\b(?:http(?:/[0-9.]+)?|status|code|error)[ :=(]{{1,3}}){}\b"
 
 # --- Fixed values: thresholds ----------------------------------------------
 SCENE_GAP_S = 1.0

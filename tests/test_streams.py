@@ -162,3 +162,12 @@ def test_log_stream_equals_batch(spark, tmp_path):
     got = io.drain(logs.stream_logs(io.read_stream(spark, f"{src}/*", schema)), "l").collect()
     batch = logs.stream_logs(spark.createDataFrame(rows, schema)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, batch)) and len(got) == 2
+
+
+def test_numbers_in_log_lines_are_ids_unless_a_status(spark):
+    lines = {
+        "user 429": "UNKNOWN", "user 1429": "UNKNOWN", "4290 frames": "UNKNOWN", "upload of user 429 refused": "UPLOAD_FAIL",
+        "HTTP 429": "NOTION_API", "status code: 429, user 1429": "NOTION_API", "429 Too Many Requests": "NOTION_API", "Notion says 1429": "NOTION_API",
+    }
+    got = logs.stream_logs(spark.createDataFrame([(m,) for m in lines], "message string"))
+    assert {r["line"]: r["category"] for r in got.collect()} == {**lines}
