@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 from lectern import rules, session
 from lectern.functions.num import clamp, ms, round_half_up
 from lectern.plans.blocks import ROWS_PER_BLOCK, in_blocks
-from lectern.plans.ordered import Scan, scan, scan_parts
+from lectern.plans.ordered import Scan, scan
+from lectern.plans.packs import PART, opened, packed
 
 
 def nearest_word(
@@ -32,19 +33,19 @@ def nearest_word(
     Ties go to the lowest index; a key without words gives 0. Points and words
     meet in one ordered scan instead of a cross product.
     """
-    timeline, complete = _timeline(points, words, key, at, start, idx, (), partitions)
-    return _nearest(complete(timeline.where(F.col("__kind") == 1)), points.columns, key)
+    return _nearest(_timeline(points, words, key, at, start, idx, partitions), points.columns, key)
 
 
-def _timeline(
-    points: DataFrame, words: DataFrame, key: str, at: str, start: str, idx: str, keep: Sequence[str], partitions: int | None
-) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """Points (``__kind`` 1, their columns in ``__row``) and words (0, with ``keep``) in one ordered scan.
+#: Seconds of a video that travel together to the ordered scan.
+SPAN_S = 128
 
-    Completed points have the latest word at or before them and the earliest
-    after them. The scan is written, so whoever needs points and words reads
-    both from there.
+
+def _timeline(points: DataFrame, words: DataFrame, key: str, at: str, start: str, idx: str, partitions: int | None) -> DataFrame:
+    """Points (their columns in ``__row``) with the latest word at or before them and the earliest after them.
+
+    Points and words meet in one ordered scan, which only the points leave.
     """
+    t = F.col("__t")
     both = points.select(
         key,
         F.col(at).alias("__t"),
@@ -52,14 +53,22 @@ def _timeline(
         F.lit(None).cast("long").alias("__back"),
         F.struct(*[c for c in points.columns if c != key]).alias("__row"),
     ).unionByName(
-        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), (-F.col(idx).cast("long")).alias("__back"), *keep),
+        words.select(key, F.col(start).alias("__t"), F.lit(0).alias("__kind"), (-F.col(idx).cast("long")).alias("__back")),
         allowMissingColumns=True,
     )
+    seconds = t.cast("double")
     # latest start at or before, earliest at or after; of equal starts the lowest index
-    is_word = (F.col("__kind") == 0) & F.col("__t").isNotNull()
-    word_t, word_i = F.when(is_word, F.col("__t")), F.when(is_word, -F.col("__back"))
-    what = Scan(prev={"__pt": word_t, "__pi": word_i}, next={"__nt": word_t, "__ni": word_i}, tie="__back", where=F.col("__kind") == 1)
-    return scan_parts(both, [key], ["__t", "__kind"], what, partitions)
+    is_word = (F.col("__kind") == 0) & t.isNotNull()
+    word_t, word_i = F.when(is_word, t), F.when(is_word, -F.col("__back"))
+    what = Scan(
+        prev={"__pt": word_t, "__pi": word_i},
+        next={"__nt": word_t, "__ni": word_i},
+        tie="__back",
+        where=F.col("__kind") == 1,
+        only=True,
+        pack=F.when(F.isnan(seconds), seconds).otherwise(F.floor(seconds / SPAN_S).cast("double")),
+    )
+    return scan(both, [key], ["__t", "__kind"], what, partitions)
 
 
 def _nearest(points: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
@@ -197,10 +206,11 @@ def scene_thin(
     then gets its true entry, and the few that began wrong choose again. A
     composed map has no more rows than there are candidates within a gap.
     """
-    c = candidates.select(key, F.col(at).cast("double").alias("t")).distinct().join(totals.select(key, "total_s"), key)
     # what comes sooner after scene 0 is never kept
-    c = c.where((F.col("t") <= F.col("total_s") - tail) & (F.col("t") - F.lit(0.0) >= min_gap)).select(key, "t")
-    c = in_blocks(c, [key, "t"], rows)
+    c = candidates.select(key, F.col(at).cast("double").alias("t")).where(F.col("t") - F.lit(0.0) >= min_gap)
+    c = packed(c, [key], F.lit(0)).join(totals.select(key, "total_s"), key)
+    c = c.select(key, F.explode_outer(F.filter("t", lambda t: t <= F.col("total_s") - tail)).alias("t")).where("t IS NOT NULL")
+    c = in_blocks(c, [key, "t"], rows, distinct=True)
     kt = c.schema[key].dataType.simpleString()
     key_type = to_arrow_type(c.schema[key].dataType)
     exits_type = pa.schema([(key, key_type), ("node", pa.int64()), ("first", pa.float64()), ("exit", pa.float64()), ("n", pa.int64())])
@@ -326,9 +336,9 @@ def _edges(scenes: DataFrame, key: str) -> DataFrame:
     return scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
 
 
-def _ranges(edges: DataFrame, timeline: DataFrame, complete: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
-    near = _nearest(complete(timeline.where(F.col("__kind") == 1)), edges.columns, key)
-    n = timeline.where(F.col("__kind") == 0).groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+def _ranges(scenes: DataFrame, words: DataFrame, n: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    edges = _edges(scenes, key)
+    near = _nearest(_timeline(edges, words, key, "at", "start_s", "word_idx", partitions), edges.columns, key)
     both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
         F.min("end_s").alias("end_s"),
@@ -357,38 +367,72 @@ def slide_ranges(scenes: DataFrame, words: DataFrame, key: str, partitions: int
     Scenes follow on one another, so the word nearest to a scene's end is where
     the next one starts; ``overlap`` tells that clamping made both use it.
     """
-    edges = _edges(scenes, key)
-    return _ranges(edges, *_timeline(edges, words, key, "at", "start_s", "word_idx", (), partitions), key)
+    n = words.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+    return _ranges(scenes, words, n, key, partitions)
 
 
 #: Words of a video that are looked up together.
-STRETCH = 64
+STRETCH = 256
 
 
-def slide_text(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Text, word count and spoken interval of each scene.
+def _stretches(words: DataFrame, key: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Words (``word_idx`` and ``columns``) in packs of a stretch, written once, and their number per key.
 
-    Words and scene edges go through one ordered scan, which keeps the words
-    for what follows. Words and ranges then meet by stretches of ``STRETCH``
-    words of a video, so a long video spreads over tasks and a word meets only
-    the few slides of its stretch; each stretch gathers its part of a slide
-    before the parts move on. Only a slide's own text is gathered in one row.
+    ``__whole`` marks packs that hold their indices in order and without gaps.
     """
-    edges = _edges(scenes, key)
-    timeline, complete = _timeline(edges, words, key, "at", "start_s", "word_idx", ("word", "end_s"), partitions)
-    ranges = _ranges(edges, timeline, complete, key)
+    w = words.select(key, F.col("word_idx").cast("long").alias("word_idx"), *columns)
+    base = F.get("word_idx", F.lit(0))
+    whole = F.forall(F.transform("word_idx", lambda x, i: x - i), lambda x: x.eqNullSafe(base))
+    packs = _written(packed(w, [key], F.floor(F.col("word_idx") / STRETCH)).withColumn("__whole", whole), "words")
+    return packs, packs.groupBy(key).agg(F.sum(F.size("word_idx")).cast("long").alias("n_words"))
+
+
+def _between(first: Column, last: Column, columns: Sequence[str]) -> Column:
+    """The words of a pack from index ``first`` to ``last``, both included.
+
+    Whole packs, the rule, are cut by place; the filter makes it right for any.
+    """
+    n, low = F.size("word_idx"), F.get("word_idx", F.lit(0))
+    begin = F.when(F.col("__whole"), F.greatest(first - low, F.lit(0))).otherwise(F.lit(0)).cast("int")
+    count = F.when(F.col("__whole"), F.greatest(last - low + 1 - begin, F.lit(0))).otherwise(n).cast("int")
+    return F.filter(F.arrays_zip(*[F.slice(c, begin + 1, count).alias(c) for c in columns]), lambda w: w["word_idx"].between(first, last))
+
+
+def _slides(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``slide_text`` with ``__start``, where the first word of the range starts, and ``__end``, where its last one ends.
+
+    Words are packed and written once. Narrow rows of them go through one
+    ordered scan with the scene edges; words and ranges then meet by stretches
+    of ``STRETCH`` words of a video, so a long video spreads over tasks and a
+    word meets only the few slides of its stretch. A slide inside one stretch is
+    complete there, only the parts of others move on.
+    """
+    packs, n = _stretches(words.withColumnsRenamed({"start_s": "__a", "end_s": "__z"}), key, "word", "__a", "__z")
+    spoken = opened(packs, [key], ["word_idx", "__a"]).withColumnRenamed("__a", "start_s")
+    ranges = _written(_ranges(scenes, spoken, n, key, partitions), "ranges")
     kept = [c for c in ranges.columns if c not in (key, "scene_idx", "n_words")]
-    some = F.when(F.col("n_words") > 0, F.sequence(*[F.floor(F.col(c) / STRETCH) for c in ("word_start_index", "word_end_index")]))
-    parts = ranges.select(key, "scene_idx", *kept, F.explode_outer(some).alias("__part"))
-    idx = -F.col("__back")
-    w = timeline.where(F.col("__kind") == 0).select(
-        F.col(key).alias("__key"), F.floor(idx / STRETCH).alias("__of"), idx.alias("word_idx"), "word", F.col("__t").alias("__a"), F.col("end_s").alias("__z")
-    )
-    same = (F.col(key) == F.col("__key")) & (F.col("__part") == F.col("__of"))
-    inside = F.col("word_idx").between(F.col("word_start_index"), F.col("word_end_index"))
-    heard = F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word_idx", "word", "__a", "__z")))
-    pieces = parts.join(w, same & inside, "left").groupBy(key, "scene_idx", "__part").agg(heard.alias("__w"), *[F.first(c).alias(c) for c in kept])
-    s = pieces.groupBy(key, "scene_idx").agg(F.array_sort(F.flatten(F.collect_list("__w"))).alias("__w"), *[F.first(c).alias(c) for c in kept])
+    first, last = (F.floor(F.col(c) / STRETCH) for c in ("word_start_index", "word_end_index"))
+    some = F.when(F.col("n_words") > 0, F.sequence(first, last))
+    w = packs.withColumnsRenamed({key: "__key", PART: "__of"})
+
+    def joined(parts: DataFrame) -> DataFrame:
+        """One row per part of a slide with its words; the join has put them where they are gathered."""
+        same = (F.col(key) == F.col("__key")) & (F.col(PART) == F.col("__of"))
+        inside = _between(F.col("word_start_index"), F.col("word_end_index"), ["word_idx", "word", "__a", "__z"])
+        found = parts.join(w, same, "left").select(key, "scene_idx", PART, *kept, inside.alias("__in"))
+        return found.groupBy(key, "scene_idx", PART).agg(F.flatten(F.collect_list("__in")).alias("__w"), *[F.first(c).alias(c) for c in kept])
+
+    single = (F.col("n_words") == 0) | (first == last)
+    alone = joined(ranges.where(single).withColumn(PART, F.when(F.col("n_words") > 0, first))).drop(PART)
+    cut = joined(ranges.where(~single).select(key, "scene_idx", *kept, F.explode_outer(some).alias(PART)))
+    rest = cut.groupBy(key, "scene_idx").agg(F.flatten(F.collect_list("__w")).alias("__w"), *[F.first(c).alias(c) for c in kept])
+    s = alone.unionByName(rest)
+    said = F.array_sort(F.filter("__w", lambda x: x["word"].isNotNull()))
+
+    def at(c: str, i: str) -> Column:
+        return F.array_max(F.filter("__w", lambda x: x["word_idx"] == F.col(i))[c])
+
+    s = s.select("*", at("__a", "word_start_index").alias("__start"), at("__z", "word_end_index").alias("__end")).withColumn("__w", said)
     return s.select(
         key,
         F.col("scene_idx").alias("slide_index"),
@@ -402,29 +446,32 @@ def slide_text(scenes: DataFrame, words: DataFrame, key: str, partitions: int |
         ms(F.coalesce(F.get("__w", F.size("__w") - 1)["__z"], "end_s")).alias("original_audio_end"),
         F.array_join("__w.word", " ").alias("text"),
         "overlap",
+        "__start",
+        "__end",
     )
 
 
-def _spoken(words: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Words (key, __i, start_s, end_s) and their number per key, both from one written pass over ``words``."""
-    w = _written(words.select(key, F.col("word_idx").cast("long").alias("__i"), "start_s", "end_s"), "spoken")
-    return w, w.groupBy(key).agg(F.count(F.lit(1)).alias("n_words"))
+def slide_text(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Text, word count and spoken interval of each scene."""
+    return _slides(scenes, words, key, partitions).drop("__start", "__end")
 
 
 def _word_times(rows: DataFrame, words: DataFrame, key: str, ids: list[str], first: str, last: str) -> DataFrame:
     """``rows`` with start of word ``first`` and end of word ``last``, in one join.
 
-    Both look-ups travel as rows on (key, word index) with the row they are for,
+    Both look-ups travel as rows on (key, stretch) with the row they are for,
     so words and rows are shuffled once and a long video spreads over tasks.
     """
     rest = [c for c in rows.columns if c not in ids]
     sides = F.array(F.struct(F.lit(0).alias("__side"), F.col(first).alias("__i")), F.struct(F.lit(1).alias("__side"), F.col(last).alias("__i")))
-    want = rows.select(*ids, F.struct(*rest).alias("__row"), F.inline(sides))
-    found = want.join(words, [key, "__i"], "left").groupBy(*ids).agg(
+    want = rows.select(*ids, F.struct(*rest).alias("__row"), F.inline(sides)).withColumn(PART, F.floor(F.col("__i") / STRETCH))
+    hit = _between(F.col("__i"), F.col("__i"), ["word_idx", "start_s", "end_s"])
+    start, end = F.array_max("__hit.start_s"), F.array_max("__hit.end_s")
+    found = want.join(words, [key, PART], "left").withColumn("__hit", hit).groupBy(*ids).agg(
         F.first("__row").alias("__row"),
-        F.max(F.when(F.col("__side") == 0, F.col("start_s"))).alias("__start"),
-        F.max(F.when(F.col("__side") == 0, F.col("end_s"))).alias("__first_end"),
-        F.max(F.when(F.col("__side") == 1, F.col("end_s"))).alias("__end"),
+        F.max(F.when(F.col("__side") == 0, start)).alias("__start"),
+        F.max(F.when(F.col("__side") == 0, end)).alias("__first_end"),
+        F.max(F.when(F.col("__side") == 1, end)).alias("__end"),
     )
     return found.select(*ids, "__row.*", "__start", "__first_end", "__end")
 
@@ -434,19 +481,28 @@ def slide_pace(slide_map: DataFrame, words: DataFrame, key: str, slide: str = "s
 
     A key without words keeps its video duration, factor 1.
     """
-    w, n = _spoken(words, key)
+    w, n = _stretches(words, key, "start_s", "end_s")
     s = slide_map.join(n, key, "left").select(
         *slide_map.columns,
         F.least(F.col("word_start_index").cast("long"), F.col("n_words") - 1).alias("__ws"),
         F.least(F.col("word_end_index").cast("long"), F.col("n_words") - 1).alias("__we"),
     )
-    j = _word_times(s, w, key, [key, slide], "__ws", "__we")
+    return _paced(_word_times(s, w, key, [key, slide], "__ws", "__we"), slide_map.columns)
+
+
+def paced_slides(scenes: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """``slide_pace`` of ``slide_text``: the words of a slide are at hand when its text is made."""
+    slides = _slides(scenes, words, key)
+    return _paced(slides, [c for c in slides.columns if c not in ("__start", "__end")])
+
+
+def _paced(j: DataFrame, columns: Sequence[str]) -> DataFrame:
     video = F.col("video_end") - F.col("video_start")
     spoken = F.col("__end") - F.col("__start")
     spoken = F.when(spoken.isNull() | (spoken < rules.PACE_FLOOR_S), video).otherwise(spoken)
     factor = clamp(F.coalesce(F.try_divide(video, spoken), F.lit(1.0)), rules.PACE_MIN, rules.PACE_MAX)
     return j.select(
-        *slide_map.columns,
+        *columns,
         spoken.alias("tts_duration"),
         factor.alias("speed_factor"),
         (F.abs(factor - 1.0) >= rules.PACE_DEAD_BAND).alias("needs_adjust"),
@@ -458,7 +514,7 @@ def segment_split(words: DataFrame, scripts: DataFrame, key: str) -> DataFrame:
 
     Scripts: key, intro_words, main_words, outro_words, total_duration.
     """
-    w, n = _spoken(words, key)
+    w, n = _stretches(words, key, "start_s", "end_s")
     outro = F.when(F.coalesce("outro_words", F.lit(0)) == 0, F.lit(rules.OUTRO_WORDS)).otherwise(F.col("outro_words"))
     s = scripts.join(n, key, "left").fillna(0, ["n_words"])
     ratio = F.try_divide(F.col("n_words").cast("double"), (F.col("intro_words") + F.col("main_words") + outro).cast("double"))

@@ -31,6 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from lectern import session
+from lectern.plans.packs import PART, changes, nullable, opened, packed
 
 ROW_NUMBER = "__rn"
 
@@ -47,6 +48,9 @@ class Scan:
     ``tie``: numeric column; among rows equal in the order columns its largest
     value counts as the nearest one, looking back as well as ahead.
     ``where``: the rows that want these columns; others have nulls in them.
+    ``only``: write the rows of ``where`` alone.
+    ``pack``: a number that grows with the order columns; rows with the same one
+    travel as one, and stay together. For many narrow rows.
     """
 
     sums: Mapping[str, Column] = field(default_factory=dict)
@@ -56,17 +60,8 @@ class Scan:
     row_number: str | None = None
     tie: str | None = None
     where: Column | None = None
-
-
-def _changes(t: pa.Table, columns: Sequence[str]) -> np.ndarray:
-    """Whether row i + 1 differs from row i in any of the columns; nulls are equal."""
-    out = np.zeros(max(t.num_rows - 1, 0), bool)
-    for c in columns:
-        v = t[c].combine_chunks()
-        a, b = v.slice(1), v.slice(0, len(v) - 1)
-        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
-        out |= ~same.to_numpy(zero_copy_only=False)
-    return out
+    only: bool = False
+    pack: Column | None = None
 
 
 def _at(values: pa.Array, places: np.ndarray) -> pa.Array:
@@ -81,7 +76,8 @@ class _Walk:
     row for ``lead``, and for ``next`` the rows since the last value.
     """
 
-    def __init__(self, columns: list[str], keys: list[str], order: list[str], names: dict[str, list[str]], schema: pa.Schema, task: int):
+    def __init__(self, columns: list[str], keys: list[str], order: list[str], names: dict[str, list[str]], schema: pa.Schema, task: int, only: bool = False):
+        self.only = only
         self.columns, self.keys, self.order, self.names, self.schema = columns, keys, order, names, schema
         self.task, self.held, self.last_key = task, None, None
         self.segment = -1  # number of the key last sent
@@ -97,8 +93,8 @@ class _Walk:
             return
         place = np.arange(n)
         new_key = np.empty(n, bool)
-        new_key[1:] = _changes(t, self.keys)
-        new_key[0] = self.last_key is None or bool(_changes(pa.concat_tables([self.last_key, t.select(self.keys).slice(0, 1)]), self.keys)[0])
+        new_key[1:] = changes(t, self.keys)
+        new_key[0] = self.last_key is None or bool(changes(pa.concat_tables([self.last_key, t.select(self.keys).slice(0, 1)]), self.keys)[0])
         key = np.cumsum(new_key)  # 0: goes on from rows already sent
         begin = np.maximum.accumulate(np.where(new_key, place, 0))
         goes_on = key == 0
@@ -128,7 +124,7 @@ class _Walk:
         ahead: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         if self.names["next"]:
             new_tie = new_key.copy()
-            new_tie[0], new_tie[1:] = True, new_key[1:] | _changes(t, self.order)
+            new_tie[0], new_tie[1:] = True, new_key[1:] | changes(t, self.order)
             tie, tie_begin = np.cumsum(new_tie) - 1, np.flatnonzero(new_tie)
             if not final:
                 end = min(end, tie_begin[-1])  # rows equal to the last one may follow
@@ -179,7 +175,8 @@ class _Walk:
             if c in self.schema.names:
                 out[c] = made[c].slice(0, end) if wanted is None else pc.if_else(wanted.slice(0, end), made[c].slice(0, end), None)
         out["__seg"] = pa.array((self.task << 32) + number[:end].astype(np.int64))
-        return self._batch(out, end)
+        sent = self._batch(out, end)
+        return sent.filter(pc.fill_null(wanted.slice(0, end), False)) if self.only else sent
 
     def records(self) -> Iterator[pa.RecordBatch]:
         if self.current is None:
@@ -196,20 +193,18 @@ class _Walk:
         return pa.RecordBatch.from_arrays(cols, schema=self.schema)
 
 
-def _nullable(t: T.DataType) -> T.DataType:
-    """The type with nulls allowed at every depth."""
-    if isinstance(t, T.StructType):
-        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in t.fields])
-    if isinstance(t, T.ArrayType):
-        return T.ArrayType(_nullable(t.elementType))
-    if isinstance(t, T.MapType):
-        return T.MapType(_nullable(t.keyType), _nullable(t.valueType))
-    return t
-
-
-def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], names: dict[str, list[str]], columns: list[str], partitions: int | None, numbered: bool = True) -> DataFrame:
-    """Range exchange, local scan and write; see the module."""
-    types = {f.name: _nullable(f.dataType) for f in df.schema.fields}
+def _walked(
+    df: DataFrame, keys: list[str], order: list[str], tie: list[str], names: dict[str, list[str]], columns: list[str], partitions: int | None,
+    numbered: bool = True, extra: Sequence[Column] = (), only: bool = False, pack: Column | None = None,
+) -> DataFrame:
+    """Range exchange, local scan and write; see the module. ``extra`` is made from the sorted rows, it need not travel."""
+    by = [*keys, *order]
+    travel, cuts = (df, by) if pack is None else (packed(df, keys, pack), [*keys, PART])
+    cut = travel.repartitionByRange(partitions, *cuts) if partitions else travel.repartitionByRange(*cuts)
+    if pack is not None:
+        cut = opened(cut, keys, [c for c in columns if c not in keys]).select(*columns)
+    df = cut.sortWithinPartitions(*by, *tie).select("*", *extra)
+    types = {f.name: nullable(f.dataType) for f in df.schema.fields}
     outs = [(ROW_NUMBER, T.LongType())]
     outs += [(c, T.LongType() if kind == "sums" else types[f"__{kind}_{c}"]) for kind in ("sums", "prev", "next", "lead") for c in names[kind]]
     edge = T.StructType([*[T.StructField(f"k{i}", types[k]) for i, k in enumerate(keys)], T.StructField("seg", T.LongType()), *[T.StructField(c, t) for c, t in outs]])
@@ -218,7 +213,7 @@ def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], na
     as_arrow = to_arrow_schema(schema)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, none = _Walk(columns, keys, order, names, as_arrow, TaskContext.get().partitionId()), None
+        w, none = _Walk(columns, keys, order, names, as_arrow, TaskContext.get().partitionId(), only), None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             none = rows.slice(0, 0)
@@ -227,10 +222,8 @@ def _walked(df: DataFrame, keys: list[str], order: list[str], tie: list[str], na
             yield from w.add(none, True)
             yield from w.records()
 
-    by = [*keys, *order]
-    cut = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     path = session.new_path(df.sparkSession, "scan")
-    cut.sortWithinPartitions(*by, *tie).mapInArrow(walk, schema).write.parquet(path)
+    df.mapInArrow(walk, schema).write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -247,7 +240,7 @@ def scan_parts(
     extra = [value[kind](getattr(what, kind)[c]).alias(f"__{kind}_{c}") for kind in kinds for c in names[kind]]
     if what.where is not None:
         extra.append(what.where.alias("__where"))
-    walked = _walked(df.select("*", *extra), keys, order, [what.tie] if what.tie else [], names, df.columns, partitions, bool(what.row_number))
+    walked = _walked(df, keys, order, [what.tie] if what.tie else [], names, df.columns, partitions, bool(what.row_number), extra, what.only, what.pack)
 
     # What the parts of a key in earlier or later tasks bring: a window over at most two rows a task.
     edges = walked.where("__edge IS NOT NULL").select("__edge.*")

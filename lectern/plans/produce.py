@@ -28,8 +28,7 @@ def next_topics(topics: DataFrame, results: DataFrame, playlist_items: DataFrame
 def align_videos(words: DataFrame, candidates: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Scene candidates and spoken words -> slides with text and pace."""
     scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key)
-    slides = align.slide_text(scenes, words, key)
-    return align.slide_pace(slides, words, key)
+    return align.paced_slides(scenes, words, key)
 
 
 def voice_plan(docs: DataFrame, topics: DataFrame, key: str, channel: str) -> DataFrame:
