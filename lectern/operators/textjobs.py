@@ -15,6 +15,7 @@ from lectern.functions.arrays import open_rows
 from lectern.functions.num import clamp
 from lectern.functions.text import (
     SPACE,
+    WIDE,
     WORD_END,
     WORD_START,
     clean,
@@ -110,24 +111,36 @@ def _any(phrases: list[str]) -> str:
     return "|".join(phrases)
 
 
-def _emphasis_rules() -> list[tuple[str, str, str, list[str], bool]]:
-    """(kind, pattern, replacement, phrases, case matters) in the order they apply."""
-    out = [("suspense", rf"(?i)([,.]) ({_any(p)})", "$1 ...$2", p, False) for p in rules.SUSPENSE_PHRASES]
+def _emphasis_rules() -> list[tuple[str, str, str, list[str], bool, str | int]]:
+    """(kind, pattern, replacement, phrases, case matters, trace) in the order they apply.
+
+    The trace is what one replacement adds to the text: so many characters, or
+    one more of a string where the length stays.
+    """
+    out = [("suspense", rf"(?i)([,.]) ({_any(p)})", "$1 ...$2", p, False, 3) for p in rules.SUSPENSE_PHRASES]
     out += [
-        ("exclaim", rf"(?i){WORD_START}({_any(p)})([^.!?]*)\.(?!{SPACE}*\.)", "$1$2!", p, False)
+        ("exclaim", rf"(?i){WORD_START}({_any(p)})([^.!?]*)\.(?!{SPACE}*\.)", "$1$2!", p, False, "!")
         for p in rules.EXCLAIM_PHRASES
     ]
     ask, line, mid, show = rules.QUESTION_PHRASES, rules.LINE_CONNECTORS, rules.MID_CONNECTORS, rules.REVEAL_PHRASES
     out += [
-        ("question", rf"(?i){WORD_START}({_any(ask)}){WORD_END}([^.!?]{{5,60}})\.", "$1$2?", ask, False),
-        ("comma", rf"(?<![^\n\r\u2028\u2029])({_any(line)}) ([A-Z])", "$1, $2", [f"{w} " for w in line], True),
-        ("comma", rf"(?i){WORD_START}({_any(mid)}) ([a-z])", "$1, $2", mid, False),
-        ("dash", rf"(?i){WORD_START}({_any(show)}) ", "$1 — ", show, False),
+        ("question", rf"(?i){WORD_START}({_any(ask)}){WORD_END}([^.!?]{{5,60}})\.", "$1$2?", ask, False, "?"),
+        ("comma", rf"(?<![^\n\r\u2028\u2029])({_any(line)}) ([A-Z])", "$1, $2", [f"{w} " for w in line], True, 1),
+        ("comma", rf"(?i){WORD_START}({_any(mid)}) ([a-z])", "$1, $2", mid, False, 1),
+        ("dash", rf"(?i){WORD_START}({_any(show)}) ", "$1 — ", show, False, 2),
     ]
-    out += [("upper", f"{WORD_START}{w}{WORD_END}", w.upper(), [w], True) for w in rules.UPPER_WORDS]
+    out += [("upper", f"{WORD_START}{w}{WORD_END}", w.upper(), [w], True, w.upper()) for w in rules.UPPER_WORDS]
     return out
 
 
+def _hits(before: str, after: str, trace: str | int) -> Column:
+    """How often a rule replaced something, read from its traces instead of matching once more."""
+    if isinstance(trace, int):
+        return F.floor((F.length(after) - F.length(before)) / trace)
+    without = [F.length(F.replace(F.col(c), F.lit(trace), F.lit(""))) for c in (before, after)]
+    return F.floor((F.length(after) - without[1] - F.length(before) + without[0]) / len(trace))
+
+
 EMPHASIS_KINDS = ["suspense", "exclaim", "question", "comma", "dash", "upper"]
 
 
@@ -163,12 +176,12 @@ def emphasize(docs: DataFrame, text: str = "text", drift: float = rules.DRIFT_MA
     low = F.lower(text)
     holds = [
         reduce(lambda a, b: a | b, [(F.col(text) if exact else F.col("__low")).contains(p) for p in phrases]).alias(f"__g{i}")
-        for i, (*_, phrases, exact) in enumerate(table)
+        for i, (*_, phrases, exact, _) in enumerate(table)
     ]
     d = docs.withColumn("__low", low).select(*cols, F.col(text).alias("__t0"), *holds)
     hits: dict[str, list[Column]] = {k: [] for k in EMPHASIS_KINDS}
-    for i, (kind, pattern, repl, *_) in enumerate(table):
-        hits[kind].append(F.when(F.col(f"__g{i}"), F.regexp_count(f"__t{i}", F.lit(pattern))).otherwise(F.lit(0)))
+    for i, (kind, pattern, repl, *_, trace) in enumerate(table):
+        hits[kind].append(F.when(F.col(f"__g{i}"), _hits(f"__t{i}", f"__t{i + 1}", trace)).otherwise(F.lit(0)))
         d = d.withColumn(
             f"__t{i + 1}",
             F.when(F.col(f"__g{i}"), F.regexp_replace(f"__t{i}", pattern, repl)).otherwise(F.col(f"__t{i}")),
@@ -177,11 +190,11 @@ def emphasize(docs: DataFrame, text: str = "text", drift: float = rules.DRIFT_MA
     d = d.withColumns(
         {
             "__w0": split_count(trim_space(F.col(text))),
-            "__w1": split_count(trim_space(final)),
             "__out": final,
             **{f"hits_{k}": reduce(lambda a, b: a + b, v).cast("long") for k, v in hits.items()},
         }
     )
+    d = d.withColumn("__w1", F.when(F.col("__out") == F.col(text), F.col("__w0")).otherwise(split_count(trim_space(F.col("__out")))))
     shift = F.abs(F.col("__w0") - F.col("__w1")) / F.col("__w0")
     d = d.withColumns({"word_drift": shift, "reverted": shift > drift})
     d = d.withColumn("emphasized", F.when(F.col("reverted"), F.col(text)).otherwise(F.col("__out")))
@@ -238,11 +251,14 @@ def pack_chunks(docs: DataFrame, key: str, text: str = "text", limit_words: int
     pattern = rf"[^.!?]+[.!?]+{SPACE}*"
     if keep_tail:
         pattern = rf"{pattern}|[^.!?]+$"
-    d = docs.select(key, text, F.regexp_extract_all(text, F.lit(pattern), 0).alias("__f"))
-    d = d.select(key, F.when(F.size("__f") == 0, F.array(text)).otherwise(F.col("__f")).alias("__s"))
-    counts = F.transform(
-        "__s", lambda s: F.when(trim_space(s) == "", F.lit(0)).otherwise(split_count(trim_space(s)))
-    )
+    d = docs.select(key, text, F.regexp_extract_all(text, F.lit(pattern), 0).alias("__f"), F.col(text).rlike(WIDE).alias("__wide"))
+    d = d.select(key, F.when(F.size("__f") == 0, F.array(text)).otherwise(F.col("__f")).alias("__s"), "__wide")
+
+    def spoken(s: Column) -> Column:
+        wide = F.when(trim_space(s) == "", F.lit(0)).otherwise(split_count(trim_space(s)))
+        return F.when(F.col("__wide"), wide).otherwise(F.regexp_count(s, F.lit(r"\S+")))
+
+    counts = F.transform("__s", spoken)
     d = d.select(key, "__s", counts.alias("__n"))
     zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("words"), F.array().cast("array<int>").alias("cuts"))
 

@@ -1,6 +1,7 @@
 """Hand-written rows for the rules that are easy to get wrong."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -348,3 +349,25 @@ def test_offsets_do_not_depend_on_the_cut(spark):
     t = spark.createDataFrame(rows, "video_id int, pos int, video_s double, audio_s double")
     plain = [r.offset_s for r in align.track_timeline(t, "video_id").orderBy("pos").collect()]
     assert plain == [r.offset_s for r in align.track_timeline(t, "video_id", partitions=9).orderBy("pos").collect()]
+
+
+def test_emphasis_matches_each_pattern_once_and_counts_by_traces(spark):
+    bits = ["so, but wait.", "KEY key always ALWAYS never.", "it works!", "the answer is 4. it runs. . .", "what is the point of all this. how do we go on now.", "in fact x", "and it turns out z", "\nNow We", "Now We.", "é\u2003ü", "! ?"]
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(bits) for _ in range(rnd.randint(1, 30)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    out = textjobs.emphasize(df)
+    assert "regexp_count" not in out._jdf.queryExecution().toString()
+    want = {k: F.lit(0) for k in textjobs.EMPHASIS_KINDS}
+    step = df.withColumn("t", F.col("text"))
+    for i, (kind, pattern, repl, *_) in enumerate(textjobs._emphasis_rules()):
+        step = step.withColumn(f"h{i}", F.regexp_count("t", F.lit(pattern))).withColumn("t", F.regexp_replace("t", pattern, repl))
+        want[kind] = want[kind] + F.col(f"h{i}")
+    want = {r["id"]: tuple(r)[1:] for r in step.select("id", *[want[k].alias(k) for k in textjobs.EMPHASIS_KINDS]).collect()}
+    got = {r["id"]: tuple(r)[1:] for r in out.select("id", *[f"hits_{k}" for k in textjobs.EMPHASIS_KINDS]).collect()}
+    assert got == want and all(any(v[j] for v in want.values()) for j in range(6))
+
+
+def test_words_end_at_every_white_space(spark):
+    for space in (*text.SPACES, " \t", "\u2003 "):
+        assert one(spark, text.words(F.lit(f"{space}é{space}b\u200b{space}\u0085c"))) == ["é", "b\u200b", "\u0085c"], ascii(space)
