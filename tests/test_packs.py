@@ -55,3 +55,14 @@ def test_slides_of_scattered_words_with_gaps_and_repeats(spark):
         assert (r["word_start_index"], r["word_end_index"]) == (lo, hi)
         assert r["text"] == " ".join(x[1] for x in inside)
         assert (r["original_audio_start"], r["original_audio_end"]) == (inside[0][2], inside[-1][3])
+
+
+def test_a_journey_moves_no_text_to_find_its_pace(spark):
+    words = [("a", i, f"w{i}", round(i / 2.5, 3), round((i + 1) / 2.5, 3)) for i in range(600)]
+    cuts = [0.0, 31.0, 101.0, 150.3, 237.0]
+    scenes = [(v, k, a, z, k == len(cuts) - 2) for v in ("a", "none") for k, (a, z) in enumerate(zip(cuts, cuts[1:]))]
+    w = spark.createDataFrame(words, "v string, word_idx long, word string, start_s double, end_s double")
+    s = spark.createDataFrame(scenes, "v string, scene_idx int, start_s double, end_s double, is_last boolean")
+    once, twice = align.paced_slides(s, w, "v"), align.slide_pace(align.slide_text(s, w, "v"), w, "v")
+    assert once.columns == twice.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
