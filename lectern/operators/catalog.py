@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern import rules
+from lectern import rules, session
 from lectern.functions.text import fill
 from lectern.plans.ordered import number_rows
 
@@ -37,9 +37,14 @@ def term_candidates(topics: DataFrame, terms: DataFrame, key: str = "topic_id",
     and a term is filed under that one alone: terms that begin alike still part
     ways. A term with a gram that no topic holds is out. Terms shorter than
     ``width`` letters meet the stretches of their own length.
+
+    The terms' grams and where terms are filed are written, so that Spark knows
+    their sizes: it takes the exploded topics for as small as the topics, and
+    would else send them to all tasks instead of the terms.
     """
     length = F.least(F.length("term"), F.lit(width))
     t = terms.select("term").distinct().where(F.length("term") > 0).select("term", length.alias("size"), F.explode(_grams(F.col("term"), width)).alias("gram"))
+    t = session.written(t, "term-grams")
     # Lengths that terms ask for: all of ``width`` unless there are short terms.
     sizes = t.agg(F.array_sort(F.collect_set("size"))).first()[0]
     texts = topics.where(F.length(column) > 0)
@@ -47,7 +52,8 @@ def term_candidates(topics: DataFrame, terms: DataFrame, key: str = "topic_id",
     held = reduce(DataFrame.unionByName, held)
     count = held.select("gram").join(t.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     filed = t.join(count, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count_if(F.col("n").isNull()).alias("unseen"))
-    return held.join(filed.where("unseen = 0").select("term", "gram"), "gram").select(key, column, "term")
+    filed = session.written(filed.where("unseen = 0").select("term", "gram"), "terms-filed")
+    return held.join(filed, "gram").select(key, column, "term")
 
 
 def find_topics_by_terms(topics: DataFrame, terms: DataFrame, key: str = "topic_id", column: str = "topic", width: int = 4) -> DataFrame:

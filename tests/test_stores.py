@@ -92,6 +92,15 @@ def test_terms_that_begin_alike_meet_few_topics(spark):
     assert got == {n for n in names if any(x in n for x in set(terms) & set(names))} and set(wanted) <= got
 
 
+def test_terms_are_sent_to_topics_and_not_topics_to_terms(spark):
+    topics = spark.range(500).selectExpr("id AS topic_id", "concat('a long title of topic ', id) AS topic")
+    terms = topics.selectExpr("substr(topic, 15, 9) AS term").unionByName(spark.range(50).selectExpr("concat('none ', id) AS term"))
+    pairs = catalog.term_candidates(topics, terms)
+    assert pairs.where("topic LIKE concat('%', term, '%')").select("topic_id").distinct().count() == 500
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_short_odd_and_missing_terms(spark):
     names = ["abc", "ab", "a", "", None, "xabcdx", "ABC", "b c", "üöä end"]
     topics = spark.createDataFrame(list(enumerate(names)), "topic_id long, topic string")
