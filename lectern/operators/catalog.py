@@ -73,12 +73,29 @@ def archive(videos: DataFrame) -> DataFrame:
     return videos.withColumn("archived", F.lit(True))
 
 
-def _latest(events: DataFrame, key: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
+def _latest(events: DataFrame, key: str, order: Sequence[str], values: Sequence[str | Column]) -> DataFrame:
     return events.groupBy(key).agg(
         F.max_by(F.struct(*values), F.struct(*order)).alias("last")
     )
 
 
+def _applied(topics: DataFrame, events: DataFrame, order: Sequence[str], how: str, *more: Column) -> DataFrame:
+    """Topics joined with their latest event; ``more`` is added."""
+    done = F.col("status") == rules.COMPLETED
+    # what only Completed moves need not travel for the others
+    values = [F.col("status"), F.when(done, F.col("ts")).alias("ts"), F.when(done, F.col("video_url")).alias("video_url")]
+    last = _latest(events.select("topic_id", *dict.fromkeys(["status", "ts", "video_url", *order])), "topic_id", order, values)
+    done = F.col("last.status") == rules.COMPLETED
+    j = topics.join(last, "topic_id", how)
+    return j.select(
+        *[c for c in topics.columns if c not in ("status", "video_url", "completed_at", KNOWN)],
+        F.coalesce("last.status", "status").alias("status"),
+        F.when(done, F.col("last.video_url")).otherwise(F.col("video_url")).alias("video_url"),
+        F.when(done, F.col("last.ts")).otherwise(F.col("completed_at")).alias("completed_at"),
+        *more,
+    )
+
+
 def apply_status(topics: DataFrame, events: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """New snapshot from the old one and a status event log.
 
@@ -86,16 +103,16 @@ def apply_status(topics: DataFrame, events: DataFrame, order: Sequence[str] = ("
     The latest event per topic sets the status; url and completion time move only
     on Completed.
     """
-    cols = ["status", "ts", "video_url"]
-    last = _latest(events.select("topic_id", *dict.fromkeys([*cols, *order])), "topic_id", order, cols)
-    done = F.col("last.status") == rules.COMPLETED
-    j = topics.join(last, "topic_id", "left")
-    return j.select(
-        *[c for c in topics.columns if c not in ("status", "video_url", "completed_at")],
-        F.coalesce("last.status", "status").alias("status"),
-        F.when(done, F.col("last.video_url")).otherwise(F.col("video_url")).alias("video_url"),
-        F.when(done, F.col("last.ts")).otherwise(F.col("completed_at")).alias("completed_at"),
-    )
+    return _applied(topics, events, order, "left")
+
+
+#: Marks the topics of the catalog.
+KNOWN = "__known"
+
+
+def merge_status(topics: DataFrame, events: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """``apply_status`` with one more row, not ``__known``, for each id that events name and the catalog does not have."""
+    return _applied(topics.withColumn(KNOWN, F.lit(True)), events, order, "full", F.coalesce(KNOWN, F.lit(False)).alias(KNOWN))
 
 
 def rejected_events(topics: DataFrame, events: DataFrame) -> DataFrame:

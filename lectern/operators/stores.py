@@ -92,25 +92,23 @@ class SnapshotStore:
     def apply(self, events: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
         """Apply a batch of status events; returns the events that name no topic.
 
-        Only buckets with an event are read and written. New rows and rejects
-        come from one pass, written aside first: the snapshot changes when both
-        are complete, and a batch that broke off is applied again.
+        Only buckets with an event are read and written. Events move once, as the
+        latest one per topic and task; ids that meet no topic come out of the same
+        join, and the rejected events are those that name one of these ids. All
+        is written aside first: the snapshot changes when it is complete, and a
+        batch that broke off is applied again.
         """
         e = events.select("*", self._bucket())
         # at most ``buckets`` numbers
         touched = sorted(r[0] for r in e.select("bucket").distinct().collect())
         old = self.spark.read.parquet(self.path).where(F.col("bucket").isin(touched))
-        new = catalog.apply_status(old, e.drop("bucket"), order)
-        rejected = catalog.rejected_events(old, e.drop("bucket"))
-        kept = F.struct(*[F.col(c) for c in old.columns]).alias("topic")
-        gone = F.struct(*[F.col(c) for c in events.columns]).alias("event")
-        both = new.select(kept).unionByName(rejected.select(gone), allowMissingColumns=True)
-        path = session.new_path(self.spark, "applied")
-        both.write.parquet(path)
-        both = self.spark.read.schema(both.schema).parquet(path)
+        both = session.written(catalog.merge_status(old, events, order), "applied")
+        unknown = session.written(both.where(~F.col(catalog.KNOWN)).select(F.col("topic_id").alias("__id")), "unknown-topics")
+        rejected = events.join(unknown, events["topic_id"].eqNullSafe(unknown["__id"]), "left_semi")
+        rejected = session.written(rejected, "rejected")
         if touched:
-            self._replace(both.where("topic IS NOT NULL").select("topic.*"))
-        return both.where("event IS NOT NULL").select("event.*")
+            self._replace(both.where(catalog.KNOWN).select(*old.columns))
+        return rejected
 
 
 class ClaimLedger:

@@ -56,6 +56,30 @@ def test_a_batch_rewrites_the_buckets_it_touches(spark):
     assert store.apply(events.limit(0)).count() == 0 and files(store.path) == after
 
 
+def shuffled_records(spark):
+    sc = spark.sparkContext
+    none, empty = sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList()
+    return sum(s.shuffleWriteRecords() for s in sc._jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().statusStore().stageList(None, False, False, none, empty)))
+
+
+def test_events_move_once_in_a_batch(spark):
+    topics = spark.range(20_000).selectExpr("id AS topic_id", "'s' AS stream", "'Pending' AS status", "cast(null AS string) AS video_url", "cast(null AS timestamp) AS completed_at")
+    store = stores.SnapshotStore(spark, buckets=4).create(topics)
+    ids = "CASE WHEN id = 7 THEN null WHEN id < 20 THEN 100000 ELSE id DIV 10 END"
+    events = spark.range(200_000).selectExpr(f"{ids} AS topic_id", "'Completed' AS status", "'u' AS video_url", "id AS event_id", "timestamp_seconds(id) AS ts")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        before = shuffled_records(spark)
+        rejected = store.apply(events)
+        moved = shuffled_records(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r.event_id for r in rejected.collect()) == list(range(20))
+    assert store.topics().where("status = 'Completed' AND video_url = 'u' AND completed_at = timestamp_seconds(topic_id * 10 + 9)").count() == 19_998
+    assert moved < 100_000  # the topics twice and one event each, not all events
+
+
 def test_two_runs_never_claim_one_topic(spark):
     rows = [(i, stream, i % 2, "Pending" if i != 4 else "Failed") for i, stream in enumerate(["a"] * 5 + ["b"] * 2 + ["c"])]
     topics = spark.createDataFrame(rows, "topic_id long, stream string, created_time long, status string")
