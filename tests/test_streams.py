@@ -116,6 +116,53 @@ def test_run_state_keeps_one_timer_and_bounded_chunks(chunk):
         assert store.calls < 100
 
 
+def test_run_state_of_many_topics_takes_few_calls():
+    rnd = random.Random(5)
+    kinds = ["claim", "complete", "fail", "reset", None]
+    topics = [None, "", *map(str, range(60))]
+    events = [(rnd.randrange(5_000_000), i // 2, rnd.choice(kinds), rnd.choice(topics)) for i in range(4_000)]
+    one, of_topic = {}, {}
+    for t in topics:
+        store, p = Store(), state.RunState()
+        p.init(store)
+        frame = pd.DataFrame([e[:3] for e in events if e[3] == t], columns=["us", "event_id", "event"])
+        list(p.handleInputRows((t,), iter([frame]), None))
+        at = SimpleNamespace(getCurrentWatermarkInMs=lambda: 9_000)
+        one[t] = [tuple(r)[1:] for f in p.handleExpiredTimer((t,), at, None) for r in f.itertuples(index=False)]
+    for most in (50_000, 3):
+        stores = {"waiting": Store(), "runs": Store()}
+        for x in stores.values():
+            x.calls = 0
+        p = state.BucketState(500, most)
+        maps = {n: x.getMapState(n, None, None) for n, x in stores.items()}
+        keep = stores["waiting"]
+        handle = SimpleNamespace(getValueState=keep.getValueState, getMapState=lambda n, *_: maps[n], registerTimer=keep.registerTimer, deleteTimer=keep.deleteTimer)
+        maps["runs"].containsKey = lambda k: k in stores["runs"].map
+        p.init(handle)
+        for i in range(0, len(events), 1_000):
+            list(p.handleInputRows((1,), iter([pd.DataFrame(events[i : i + 1_000], columns=["us", "event_id", "event", "topic_id"])]), None))
+        of_topic = {t: [] for t in topics}
+        for mark in (2_000, 9_000):
+            keep.timers.clear()  # it goes off
+            for f in p.handleExpiredTimer((1,), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark), None):
+                for r in f.itertuples(index=False):
+                    of_topic[r.topic_id].append(tuple(r)[1:])
+        assert of_topic == one and not stores["waiting"].map and not stores["waiting"].timers
+        if most == 50_000:
+            assert stores["runs"].calls <= 4 * len(topics)
+
+
+def test_run_state_keeps_exact_ids_beside_a_missing_one(spark, tmp_path):
+    src, big = str(tmp_path / "src"), 2**62 + 1
+    put(spark, src, [(big, 1, T(1, 1), "claim"), (None, 2, T(1, 1), "claim"), (None, 3, T(1, 2), "fail"), (big + 1, 4, T(1, 2), "fail")], RUNS.replace("topic_id string", "topic_id bigint"), 1)
+    put(spark, src, [(0, 9, T(5, 0), "claim")], RUNS.replace("topic_id string", "topic_id bigint"), 2)
+    stream = io.read_stream(spark, f"{src}/*", RUNS.replace("topic_id string", "topic_id bigint"), 1)
+    got = io.drain(state.stream_run_state(stream, buckets=1), "rs").where("event_id < 9")
+    assert {r.event_id: (r.topic_id, r.status, r.verdict) for r in got.collect()} == {
+        1: (big, "In Progress", "applied"), 2: (None, "In Progress", "applied"), 3: (None, "Failed", "applied"), 4: (big + 1, "Pending", "illegal")
+    }
+
+
 def test_dedup_over_batches(spark, tmp_path):
     src = str(tmp_path / "src")
     schema = "stream string, ts timestamp_ntz, status string"
