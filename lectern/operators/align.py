@@ -303,9 +303,7 @@ def _without(fn, name: str):
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    path = session.new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return session.written(df, name)
 
 
 def scene_intervals(

@@ -222,9 +222,7 @@ def _walked(
             yield from w.add(none, True)
             yield from w.records()
 
-    path = session.new_path(df.sparkSession, "scan")
-    df.mapInArrow(walk, schema).write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return session.written(df.mapInArrow(walk, schema), "scan")
 
 
 def scan_parts(
@@ -256,6 +254,8 @@ def scan_parts(
         *[F.lead(c).over(forward).alias(f"__b_{c}") for c in names["lead"]],
         F.count(F.lit(1)).over(of_key).alias("__parts"),
     ).where("__parts > 1")
+    # Written, so that Spark knows how small it is: the rows stay where they are.
+    carry = session.written(carry, "carry")
 
     def both(kind: str, c: str) -> Column:
         here, there = F.col(c), F.col(f"__b_{c}")

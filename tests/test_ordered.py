@@ -203,3 +203,16 @@ def test_a_hot_key_is_spread_over_tasks(spark, case):
     sizes = [r["count"] for r in walked.where("__seg IS NOT NULL").groupBy("__seg").count().collect()]
     assert sum(sizes) == n and max(sizes) < n / 8
     assert walked.where("__edge IS NOT NULL").count() == len(sizes)
+
+
+def test_rows_of_a_scan_do_not_move_again(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        rows = spark.range(60_000).selectExpr("id % 3 AS k", "hash(id) AS h", "id")
+        numbered = ordered.number_rows(rows, ["k"], ["h", "id"], "n", 8)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(tuple(r) for r in numbered.groupBy("k").agg(F.sum("n"), F.count("*")).collect()) == [(k, 20_000 * 20_001 // 2, 20_000) for k in range(3)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
