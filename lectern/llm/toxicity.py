@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import tempfile
+from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from lectern.llm.common import stored, table, whole
 
 CELLS = 1 << 19
+# In so many parts the sample comes to the driver.
+PARTS = 32
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
 # Groups whose neutral mention must not move a score, by language, with the
 # forms that sentences hold. A mention is swapped for every other of its row,
@@ -74,6 +77,29 @@ def sample_labels(labels: DataFrame, most: int, seed: int = 5) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)
 
 
+class Spooled(Sequence):
+    """Cells of rows, kept in a temporary file of the driver; memory holds a place and a label per row. Rows are in the order of their ids."""
+
+    def __init__(self, rows: Iterable[tuple[int, int, bytes]]):
+        self.file = tempfile.TemporaryFile()
+        held, at = [], 0
+        for key, label, raw in rows:
+            self.file.write(raw)
+            held.append((key, label, at, len(raw)))
+            at += len(raw)
+        held.sort()
+        self.labels = np.array([r[1] for r in held], dtype=float)
+        self.places = [r[2:] for r in held]
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        at, size = self.places[i]
+        self.file.seek(at)
+        return np.frombuffer(self.file.read(size), dtype="<i4")
+
+
 class Classifier:
     """Logistic regression on the presence of words and word stems, fitted by Adam on minibatches.
 
@@ -91,7 +117,8 @@ class Classifier:
         self.swap, self.l1, self.l2, self.least, self.epochs, self.batch, self.rate, self.seed = swap, l1, l2, least, epochs, batch, rate, seed
         self.w, self.bias = np.zeros(CELLS), 0.0
 
-    def fit(self, cells: list[np.ndarray], y: np.ndarray) -> Classifier:
+    def fit(self, cells: Sequence[np.ndarray], y: np.ndarray) -> Classifier:
+        """``cells`` holds the distinct cells of each row; they are read a row at a time, and at most a minibatch of them is held."""
         n = len(cells)
         if not n:
             return self
@@ -99,9 +126,12 @@ class Classifier:
         prior = (y.sum() + 0.5) / (n + 1)
         self.bias = float(np.log(prior / (1 - prior)))
         # The cells of at least ``least`` sentences and of the terms, numbered densely.
-        found, times = np.unique(np.concatenate(cells), return_counts=True)
-        seen = np.unique(np.concatenate([found[times >= self.least], *[c for g in self.groups for _, c in g]]))
-        place = [np.searchsorted(seen, c[np.isin(c, seen, assume_unique=True)]) for c in cells]
+        times = np.zeros(CELLS, dtype=np.int64)
+        for i in range(n):
+            times[cells[i]] += 1
+        seen = np.unique(np.concatenate([np.flatnonzero(times >= self.least), *[c for g in self.groups for _, c in g]]))
+        place = np.full(CELLS, -1)
+        place[seen] = np.arange(len(seen))
         groups = []
         for g in self.groups:
             own = [np.searchsorted(seen, c) for _, c in g]
@@ -114,8 +144,10 @@ class Classifier:
             rate = self.rate / (1 + epoch / 4)
             for at in range(0, n, self.batch):
                 rows = order[at : at + self.batch]
-                flat = np.concatenate([place[i] for i in rows])
-                owner = np.repeat(np.arange(len(rows)), [len(place[i]) for i in rows])
+                held = [cells[i] for i in rows]
+                flat = place[np.concatenate(held)]
+                owner = np.repeat(np.arange(len(rows)), [len(c) for c in held])[flat >= 0]
+                flat = flat[flat >= 0]
                 z = bias + np.bincount(owner, weights=w[flat], minlength=len(rows))
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
                 g = np.bincount(flat, weights=error[owner], minlength=len(seen)) + self.l2 * w
@@ -147,7 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, **options) ->
     """Fit on at most ``most`` labelled documents.
 
     The sample's ids are broadcast (``most`` rows at most), so that only its
-    documents leave the scan, as word cells.
+    documents leave the scan, as word cells. They come to the driver a part
+    after the other and go to a file there, so that its memory does not follow
+    the length of the texts.
     """
     picked = stored(sample_labels(labels, most), "label-sample")
     rows = docs.select("doc_id", whole("text").alias("text")).join(F.broadcast(picked), "doc_id")
@@ -156,9 +190,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, **options) ->
         for frame in batches:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "cells": [features(t).astype("<i4").tobytes() for t in frame["text"]]})
 
-    made = rows.select("doc_id", "toxic", "text").mapInPandas(cells, "doc_id long, toxic int, cells binary").dropDuplicates(["doc_id"])
-    found = sorted(made.collect())
-    return Classifier(**options).fit([np.frombuffer(r[2], dtype="<i4").astype(np.int64) for r in found], np.array([r[1] for r in found], dtype=float))
+    made = rows.select("doc_id", "toxic", "text").mapInPandas(cells, "doc_id long, toxic int, cells binary")
+    parts = made.repartition(PARTS, "doc_id").dropDuplicates(["doc_id"])
+    sample = Spooled(parts.toLocalIterator())
+    return Classifier(**options).fit(sample, sample.labels)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: int = 20_000, **options) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators against brute force, round trips and held-out accuracy."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -232,6 +233,22 @@ def test_swaps_move_no_score(term, other):
     assert fair.score(toxicity.features(f"w1 w2 {term}")) < 0.5 < fair.score(toxicity.features("w1 w2 nasty"))
 
 
+def test_long_texts_do_not_fill_the_driver(spark):
+    """The driver holds a minibatch of the sample, not all of it: 400 texts of 6,000 words are 9.6 MB of cells, and far more as they were held before."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 6000), i -> concat('w', hex(xxhash64(id, i)))))").alias("text"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("toxic"))
+    tracemalloc.start()
+    model = toxicity.train(docs, labels, batch=8, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32e6 and model.bias != 0
+    rows = [(i, i % 2, toxicity.features(f"word{i} other{i // 2} third").astype("<i4")) for i in range(60)]
+    spooled = toxicity.Spooled((i, y, c.tobytes()) for i, y, c in reversed(rows))
+    a = toxicity.Classifier(least=1).fit(spooled, spooled.labels)
+    b = toxicity.Classifier(least=1).fit([c.astype(np.int64) for _, _, c in rows], np.array([float(y) for _, y, _ in rows]))
+    assert (a.w == b.w).all() and a.bias == b.bias
+
+
 def test_pipeline_by_stages(spark, docs):
     kept = {r.doc_id: r.text for r in docs.collect()}
     texts = {}
