@@ -76,24 +76,35 @@ def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _tile(frame: pd.DataFrame, b: int, same: bool, plan: Blocks, dim: int, cosine: float, step: int = 1024) -> pd.DataFrame:
+def _within(part: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Rows for both sides of a product that is the squared distance, and the bound it is held against.
+
+    They are in single precision where its rounding, which the bound allows
+    for, is small beside ``limit``; no pair within ``limit`` is missed.
+    """
+    norm, one = (part * part).sum(axis=1)[:, None], np.ones((len(part), 1))
+    loose = 5e-7 * (part.shape[1] + 8)
+    kind = np.float32 if loose <= limit / 100 else np.float64
+    a, z = (np.ascontiguousarray(np.hstack(v), dtype=kind) for v in ((-2 * part, norm, one), (part, one, norm)))
+    return a, z, limit + (loose if kind is np.float32 else 1e-9)
+
+
+def _tile(frame: pd.DataFrame, b: int, same: bool, plan: Blocks, dim: int, cosine: float, step: int = 256) -> pd.DataFrame:
     """Links among the rows of one tile that count in block ``b``: per row their number and one root."""
     frame = frame.sort_values("id", kind="stable")
     ids, many, left = (frame[c].to_numpy() for c in ("id", "many", "left"))
     x = _unit(frame["raw"], dim)
     r = x @ plan.axes
-    part = np.ascontiguousarray(r[:, plan.columns[b]])
-    norm = (part * part).sum(axis=1)
+    a, z, limit = _within(r[:, plan.columns[b]], plan.budgets[b] * (1 + SLACK))
     own, other = (np.flatnonzero(left), np.flatnonzero(~left)) if not same else (np.arange(len(ids)),) * 2
+    a, z = a[own], z[other]
     links, ends = np.zeros(len(ids), dtype=np.int64), []
-    limit = plan.budgets[b] * (1 + SLACK) + 1e-9
     for at in range(0, len(own), step):
-        i = own[at : at + step]
-        for from_ in range(0, len(other), 4 * step):
-            j = other[from_ : from_ + 4 * step]
-            near = norm[i][:, None] + norm[j][None, :] - 2 * (part[i] @ part[j].T) <= limit
-            p, q = np.nonzero(near)
-            p, q = i[p], j[q]
+        # Among the rows of one chunk a pair is met once, from its first row.
+        for from_ in range(at if same else 0, len(other), 4 * step):
+            part = a[at : at + step] @ z[from_ : from_ + 4 * step].T
+            p, q = np.divmod(np.flatnonzero(part <= part.dtype.type(limit)), part.shape[1])
+            p, q = own[at + p], other[from_ + q]
             if same:
                 keep = p < q
                 p, q = p[keep], q[keep]
@@ -106,10 +117,10 @@ def _tile(frame: pd.DataFrame, b: int, same: bool, plan: Blocks, dim: int, cosin
                 np.add.at(links, u, many[v])
                 np.add.at(links, v, many[u])
                 ends.append((u, v))
-    if not ends:
+    if not any(len(u) for u, _ in ends):
         return pd.DataFrame({"id": [], "links": [], "root": []}).astype("int64")
-    a, z = (np.concatenate(e) for e in zip(*ends, strict=True))
-    root = _merge(len(ids), a, z)
+    u, v = (np.concatenate(e) for e in zip(*ends, strict=True))
+    root = _merge(len(ids), u, v)
     hit = links > 0
     return pd.DataFrame({"id": ids[hit], "links": links[hit], "root": ids[root[hit]]})
 
@@ -149,7 +160,7 @@ def _linked(vectors: DataFrame, dim: int, cosine: float, blocks: int, tile: int)
     return tiles.groupBy("b", "slab", "i", "j", "next").applyInPandas(work, FOUND)
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.9, blocks: int = 4, tile: int = 8192) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.9, blocks: int = 4, tile: int = 16384) -> DataFrame:
     """Vectors at a cosine of ``cosine`` or more: ``vec_id``, ``n_links``, ``component_id``, ``kept``.
 
     A pair that close has a squared distance of at most 2 - 2 * cosine as unit

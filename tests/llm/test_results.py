@@ -4,6 +4,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,31 @@ def test_vectors_find_every_link(spark, blocks, tile):
     assert got == {i: (n[i], want[i]) for i in range(200)}
 
 
+def test_tiles_are_narrow_and_lose_no_pair():
+    """A tile of 8,000 vectors is worked in pieces of 1 MB, not of 100; pairs at the very bound are kept by the products in single precision."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(8000, 16))
+    x[4000:4200] = x[:200] + 1e-3 * rng.normal(size=(200, 16))
+    plan = embed.Blocks(np.eye(16), np.full(16, 1 / 16), 4, 0.9)
+    frame = pd.DataFrame({"id": np.arange(8000), "many": 1, "left": True, "raw": [v.tobytes() for v in x]})
+    tracemalloc.start()
+    found = [embed._tile(frame, b, True, plan, 16, 0.9) for b in range(4)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.9).sum(axis=1) - 1
+    assert (pd.concat(found).groupby("id")["links"].sum().reindex(np.arange(8000), fill_value=0).to_numpy() == want).all()
+    for limit in (0.2, 1e-2, 1e-4, 1e-7):
+        p = rng.normal(size=(2000, 16))
+        p /= 2 * np.linalg.norm(p, axis=1, keepdims=True)
+        q = rng.normal(size=(2000, 16))
+        q = p + q * np.sqrt(limit) / np.linalg.norm(q, axis=1, keepdims=True)
+        a, z, bound = embed._within(np.vstack([p, q]), limit * (1 + embed.SLACK))
+        near = (a[:2000, None, :] @ z[2000:, :, None]).ravel() <= a.dtype.type(bound)
+        assert near.all() and bound < 1.02 * limit + 1e-8
+
+
 def test_pieces_have_the_tokenizer_ids(spark, docs):
     from tokenizers import Tokenizer
 
