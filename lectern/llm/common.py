@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, by: str) -> str:
+    """Write ``df`` below the shared folder with a subfolder for each value of ``by``, and give the path."""
+    path = session.new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").partitionBy(by).parquet(path)
+    return path
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables, or subfolders of them, that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def folder(df: DataFrame) -> str | None:
+    """The folder of a table that was written in one."""
+    files = df.inputFiles()
+    return files[0].rsplit("/", 1)[0] if files else None
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession):
+    """Within this, the files of a query's shuffles are deleted when the query ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def bounded_batches(spark: SparkSession) -> SparkSession:
     """Hand texts to Python in batches of a bounded size, however long they are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")

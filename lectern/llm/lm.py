@@ -8,13 +8,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored, table, whole
+from lectern import session
+from lectern.llm.common import brief_shuffles, dropped, folder, stored_by, table, whole
 from lectern.llm.shingles import MIX, split_words
+from lectern.session import written as stored
 
 CHUNK = 2_000_000
+# Cells, and the pairs of texts to be scored, are worked in so many slices by their pair, one after the other.
+SLICES = 8
 # The context of a text's first word, and the word after its last.
 START, END = 0, 1
-SCORED = "doc_id long, held_out boolean, row long, n_tokens long, n_done long, n_known long, base double, score double, pair array<long>, times array<long>, u array<long>, w array<long>"
+SCORED = "slice int, doc_id long, held_out boolean, row long, n_tokens long, n_done long, n_known long, base double, score double, pair array<long>, times array<long>, u array<long>, w array<long>"
+SUMS = ["n", "known", "b", "s"]
 
 
 def held_out(id_col: str, parts: int) -> Column:
@@ -39,14 +44,18 @@ def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
+def _slice(pair: np.ndarray) -> np.ndarray:
+    return (pair.view(np.uint64) % np.uint64(SLICES)).astype(np.int32)
+
+
 def _cells(batches):
     """Counts of (context, word) of a stretch of texts at a time."""
     held, size = [], 0
 
     def counts():
         u, w = (np.concatenate(x) for x in zip(*held, strict=True))
-        _, at, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
-        return pd.DataFrame({"u": u[at], "w": w[at], "c": n})
+        pair, at, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+        return pd.DataFrame({"u": u[at], "w": w[at], "slice": _slice(pair), "c": n})
 
     for frame in batches:
         for text in frame["text"]:
@@ -82,14 +91,14 @@ def seat(c: np.ndarray, p: np.ndarray, tables: float | np.ndarray, theta: float,
 
 
 def _reseat(sweep: int, theta: float, d: float, seed: int):
-    """Seats cells (u, w, c) given the parent's probability ``p`` and their context's ``tables`` of the last sweep; adds the tables kept to ``kept``."""
+    """Seats cells (u, w, slice, c) given the parent's probability ``p`` and their context's ``tables`` of the last sweep; adds the tables kept to ``kept``."""
 
     def run(batches, keep: bool):
         for frame in batches:
             if len(frame):
                 rng = np.random.default_rng([seed, sweep, int(frame["u"].iloc[0]) & 0xFFFFFFFF, int(frame["w"].iloc[0]) & 0xFFFFFFFF])
                 t = seat(frame["c"].to_numpy(), frame["p"].to_numpy(), frame["tables"].to_numpy(), theta, d, rng).astype(np.int64)
-                yield pd.DataFrame({"u": frame["u"], "w": frame["w"], "c": frame["c"], "t": t, "kept": frame["kept"] + (t if keep else 0)})
+                yield pd.DataFrame({"u": frame["u"], "w": frame["w"], "slice": frame["slice"], "c": frame["c"], "t": t, "kept": frame["kept"] + (t if keep else 0)})
 
     return run
 
@@ -108,14 +117,24 @@ class PitmanYor:
     make up 1 / ``listed`` of all tokens or more are looked up by a broadcast,
     the others by a join in which none can be hot; ``listed_pairs`` is the same
     for pairs of words when texts are scored. ``frequent`` is the size of
-    the extract ``symbol_probability`` only.
+    the extract ``symbol_probability`` only, and without ``extract`` the cells
+    that it reads are not kept. What a sweep has replaced is deleted, and cells
+    are worked in slices, so that few of a query's shuffles and tables exist at
+    a time.
     """
 
-    def __init__(self, train: DataFrame, frequent: int = 1023, listed: int = 1 << 17, sweeps: int = 5, burn_in: int = 2, theta: float = 1.0, seed: int = 11, listed_pairs: int = 1 << 19):
+    def __init__(self, train: DataFrame, frequent: int = 1023, listed: int = 1 << 17, sweeps: int = 5, burn_in: int = 2, theta: float = 1.0, seed: int = 11, listed_pairs: int = 1 << 19, extract: bool = True):
         self.theta, self.seed, self.frequent = theta, seed, frequent
         self.sweeps, self.burn_in = sweeps, burn_in
-        cells = train.select("text").mapInPandas(_cells, "u long, w long, c long")
-        cells = stored(cells.groupBy("u", "w").agg(F.sum("c").alias("c")), "context-cells")
+        self.spark, self.extract = train.sparkSession, extract
+        with brief_shuffles(self.spark):
+            self._build(train, listed, listed_pairs)
+
+    def _build(self, train: DataFrame, listed: int, listed_pairs: int) -> None:
+        cells = train.select("text").mapInPandas(_cells, "u long, w long, slice int, c long")
+        cells = cells.groupBy("u", "w", "slice").agg(F.sum("c").alias("c"))
+        self.cells_at = stored_by(cells.sortWithinPartitions("slice", "u"), "context-cells", "slice")
+        cells = self.spark.read.schema("u long, w long, c long, slice int").parquet(self.cells_at)
         once = F.count_if(F.col("c") == 1)
         words = stored(cells.groupBy("w").agg(F.sum("c").alias("cw"), once.alias("ones")), "word-counts")
         contexts = stored(cells.groupBy("u").agg(F.sum("c").alias("n"), once.alias("ones")), "contexts")
@@ -142,16 +161,18 @@ class PitmanYor:
 
     def _sweep(self, cells: DataFrame, words: DataFrame, contexts: DataFrame) -> None:
         theta, seed, base = self.theta, self.seed, 1.0 / (self.kinds + 1)
+        drop = lambda *tables: dropped(self.spark, *[p for p in map(folder, tables) if p])
         ones, twos = cells.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
         d = float(np.clip(ones / (ones + 2 * twos) if ones + twos else 0.5, 0.05, 0.95))
         none = F.lit(0).cast("long")
-        many = cells.where("c > 1").select("u", "w", "c", none.alias("t"), none.alias("kept"))
+        many = cells.where("c > 1").select("u", "w", "slice", "c", none.alias("t"), none.alias("kept"))
         src = many.withColumns({"p": F.lit(base), "tables": F.lit(0.0)})
-        opened, by_context, by_word, unknown = 0.0, [], [], []
+        opened, by_context, by_word, unknown, past = 0.0, [], [], [], []
         for sweep in range(self.sweeps):
             keep = sweep >= self.burn_in
             run = _reseat(sweep, theta, d, seed)
-            many = stored(src.mapInPandas(lambda it, run=run, keep=keep: run(it, keep), "u long, w long, c long, t long, kept long"), "seated")
+            many = stored(src.mapInPandas(lambda it, run=run, keep=keep: run(it, keep), "u long, w long, slice int, c long, t long, kept long"), "seated")
+            drop(*past)
             tables = stored(contexts.select("u", F.col("ones").alias("t")).union(many.select("u", "t")).groupBy("u").agg(F.sum("t").cast("double").alias("tables")), "tables")
             seated = stored(words.select("w", F.col("ones").alias("t")).union(many.select("w", "t")).groupBy("w").agg(F.sum("t").alias("c")), "parent-customers")
             one, two, n = seated.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.sum("c")).first()
@@ -164,10 +185,12 @@ class PitmanYor:
                         c = frame["c"].to_numpy()
                         yield frame.assign(t=seat(c, np.full(len(c), base), opened, theta, d0, rng))
 
-            parent = stored(seated.mapInPandas(parents, "w long, c long, t double"), "parent")
-            opened = float(parent.agg(F.sum("t")).first()[0] or 0.0)
+            made = stored(seated.mapInPandas(parents, "w long, c long, t double"), "parent")
+            drop(seated)
+            past = [many] if keep else [many, tables, made]
+            opened = float(made.agg(F.sum("t")).first()[0] or 0.0)
             rest = (theta + d0 * opened) * base
-            parent = parent.select("w", ((F.col("c") - d0 * F.col("t") + rest) / (theta + (n or 0))).alias("p"))
+            parent = made.select("w", ((F.col("c") - d0 * F.col("t") + rest) / (theta + (n or 0))).alias("p"))
             if keep:
                 by_context.append(tables)
                 by_word.append(parent)
@@ -182,18 +205,30 @@ class PitmanYor:
         # a: what a context leaves to its parent, in each sweep kept; p: the parent's probability of a word.
         left = {f"a{i}": F.col(f"a{i}") / (theta + F.col("n")) for i in range(k)}
         self.contexts, self.words, self.unknowns = stored(context.withColumns(left), "contexts-kept"), stored(word, "words-kept"), unknown
+        drop(words, contexts, *by_context, *by_word)
         self.unknown = float(np.mean(unknown))
-        every = cells.where("c = 1").select("u", "w", "c", F.lit(k).cast("long").alias("kept")).unionByName(many.drop("t"))
         own = (F.col("c") - d * F.col("kept") / k) / (theta + F.col("n"))
-        every = self._look_up(self._look_up(every, "w", self.words), "u", self.contexts)
-        self._own = every.select("u", "w", own.alias("own"))
-        every = every.select("u", "w", "c", "cw", F.log10(own + self._backed_off()).alias("logp"))
+
+        def every(part: Column) -> DataFrame:
+            once = cells.where(part & (F.col("c") == 1)).select("u", "w", "c", F.lit(k).cast("long").alias("kept"))
+            both = once.unionByName(many.where(part).select("u", "w", "c", "kept"))
+            return self._look_up(self._look_up(both, "w", self.words), "u", self.contexts).withColumn("own", own)
 
         def paired(batches):
             for frame in batches:
                 yield pd.DataFrame({"pair": _pair(frame["u"].to_numpy(), frame["w"].to_numpy()), "c": frame["c"], "cw": frame["cw"], "logp": frame["logp"]})
 
-        self.cells = stored(every.mapInPandas(paired, "pair long, c long, cw long, logp double"), "scored-cells")
+        at = session.new_path(self.spark, "scored-cells")
+        for i in range(SLICES):
+            logp = every(F.col("slice") == i).select("u", "w", "c", "cw", F.log10(F.col("own") + self._backed_off()).alias("logp"))
+            logp.mapInPandas(paired, "pair long, c long, cw long, logp double").write.option("compression", "zstd").parquet(f"{at}/slice={i}")
+            if not self.extract:
+                dropped(self.spark, f"{self.cells_at}/slice={i}")
+        self.cells = self.spark.read.schema("pair long, c long, cw long, logp double, slice int").parquet(at)
+        if self.extract:
+            self._own = every(F.lit(True)).select("u", "w", "own")
+        else:
+            drop(many)
 
     def _backed_off(self):
         """The parent's part of a probability, averaged over the sweeps kept."""
@@ -229,46 +264,72 @@ class PitmanYor:
         Rows that are not held out are those the model was made from, whose
         pairs all have a cell. Pairs that make up 1 / ``listed_pairs`` of all
         tokens or more are looked up in the task; only the others are shuffled,
-        and none of those can be hot. A pair without a cell has its parent's probability.
+        a slice at a time, and none of those can be hot. A pair without a cell
+        has its parent's probability. Rows held out and rows that are not are
+        worked one after the other.
         """
-        model = self.words.sparkSession.sparkContext.broadcast(self.hot)
+        with brief_shuffles(self.spark):
+            return self._score(docs, False).unionByName(self._score(docs, True))
+
+    def _score(self, docs: DataFrame, out: bool) -> DataFrame:
+        model = self.spark.sparkContext.broadcast(self.hot)
 
         def run(batches):
             listed, logp, logbase = model.value
             for frame in batches:
                 rows = []
-                for doc_id, out, row, text in zip(frame["doc_id"], frame["held_out"], frame["row"], frame["text"], strict=True):
+                for doc_id, row, text in zip(frame["doc_id"], frame["row"], frame["text"], strict=True):
                     u, w = _with_context(text)
                     pair, first, times = np.unique(_pair(u, w), return_index=True, return_counts=True)
                     at = np.minimum(np.searchsorted(listed, pair), max(len(listed) - 1, 0))
                     hit = listed[at] == pair if len(listed) else np.zeros(len(pair), dtype=bool)
                     n = times[hit]
                     score, base = (float((n * x[at[hit]]).sum()) for x in (logp, logbase))
-                    cold = ~hit
-                    uw = [x[first[cold]] if out else np.zeros(int(cold.sum()), dtype=np.int64) for x in (u, w)]
                     done = int(n.sum())
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), out, row, len(u), done, done, base, score, pair[cold], times[cold], *uw))
+                    rows.append((SLICES, None if pd.isna(doc_id) else int(doc_id), out, row, len(u), done, done, base, score, None, None, None, None))
+                    cold = np.flatnonzero(~hit)
+                    cold = cold[np.argsort(_slice(pair[cold]), kind="stable")]
+                    cuts = np.searchsorted(_slice(pair[cold]), np.arange(SLICES + 1))
+                    for i in range(SLICES):
+                        x = cold[cuts[i] : cuts[i + 1]]
+                        if len(x):
+                            uw = [v[first[x]] for v in (u, w)] if out else [None, None]
+                            rows.append((i, None, out, row, None, None, None, None, None, pair[x], times[x], *uw))
                 made = pd.DataFrame(rows, columns=[x.split()[0] for x in SCORED.split(", ")])
-                yield made.assign(doc_id=made["doc_id"].astype("Int64"))
+                yield made.astype({c: "Int64" for c in ("doc_id", "n_tokens", "n_done", "n_known")})
 
         # Rows are numbered once and then stored, so that a row keeps its number.
-        first = stored(docs.withColumn("row", F.monotonically_increasing_id()).mapInPandas(run, SCORED), "scores")
+        rows = docs.where(F.col("held_out") == out).withColumn("row", F.monotonically_increasing_id())
+        at = stored_by(rows.mapInPandas(run, SCORED), "scores", "slice")
+        first = self.spark.read.schema(f"{SCORED.partition(', ')[2]}, slice int").parquet(at)
         zipped = lambda *c: F.explode(F.arrays_zip(*c)).alias("x")
         base = lambda c: F.log10((c + 0.5) / F.lit(self.total))
         times = F.col("times")
-        sums = lambda known, base, score: [F.sum(times).alias("n"), F.sum(known).alias("known"), F.sum(times * base).alias("b"), F.sum(times * score).alias("s")]
-        cells = self.cells.select("pair", "cw", "logp")
-        seen = first.select("row", zipped("pair", "times")).select("row", "x.*").join(cells, "pair")
-        seen = seen.groupBy("row").agg(*sums(times, base(F.col("cw")), F.col("logp")))
-        unseen = first.where("held_out").select("row", zipped("pair", "times", "u", "w")).select("row", "x.*").join(cells.select("pair"), "pair", "left_anti")
-        unseen = stored(unseen.select("row", "times", "u", "w"), "unseen-pairs")
-        unseen = self._look_up(self._look_up(unseen, "w", self.words), "u", self.contexts)
-        known = F.when(F.col("cw").isNotNull(), times).otherwise(0)
-        unseen = unseen.groupBy("row").agg(*sums(known, base(F.coalesce("cw", F.lit(0))), F.log10(self._backed_off())))
-        more = seen.unionByName(unseen).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n", "known", "b", "s")])
+        sums = lambda known, base, score: [F.sum(x).alias(c) for c, x in zip(SUMS, (times, known, times * base, times * score), strict=True)]
+        parts = []
+        for i in range(SLICES):
+            cells = self.cells.where(F.col("slice") == i).select("pair", "cw", "logp")
+            cold = first.where(F.col("slice") == i)
+            if out:
+                met = stored(cold.select("row", zipped("pair", "times", "u", "w")).select("row", "x.*").join(cells, "pair", "left").drop("pair"), "met-pairs")
+                unseen = met.where("logp IS NULL").select("row", "times", "u", "w")
+                unseen = self._look_up(self._look_up(unseen, "w", self.words), "u", self.contexts)
+                known = F.when(F.col("cw").isNotNull(), times).otherwise(0)
+                unseen = unseen.select("row", "times", known.alias("known"), base(F.coalesce("cw", F.lit(0))).alias("base"), F.log10(self._backed_off()).alias("logp"))
+                met = met.where("logp IS NOT NULL")
+            else:
+                met = cold.select("row", zipped("pair", "times")).select("row", "x.*").join(cells, "pair")
+            seen = met.select("row", "times", times.alias("known"), base(F.col("cw")).alias("base"), "logp")
+            seen = seen.unionByName(unseen) if out else seen
+            parts.append(stored(seen.groupBy("row").agg(*sums(F.col("known"), F.col("base"), F.col("logp"))), "row-sums"))
+            dropped(self.spark, f"{at}/slice={i}", *([folder(met)] if out and folder(met) else []))
+        more = parts[0]
+        for part in parts[1:]:
+            more = more.unionByName(part)
+        more = more.groupBy("row").agg(*[F.sum(c).alias(c) for c in SUMS])
         zero = lambda c: F.coalesce(F.col(c), F.lit(0))
         whole_row = F.col("n_done") + zero("n") == F.col("n_tokens")
-        return first.drop("pair", "times", "u", "w").join(more, "row", "left").select(
+        return first.where(F.col("slice") == SLICES).drop("slice", "pair", "times", "u", "w").join(more, "row", "left").select(
             "doc_id",
             "held_out",
             "n_tokens",
@@ -288,7 +349,7 @@ def score_documents(docs: DataFrame, parts: int = 5, **options) -> DataFrame:
     Without training rows all words are unknown. Repeated rows are scored each.
     """
     rows = docs.select("doc_id", whole("text").alias("text"), held_out("doc_id", parts).alias("held_out"))
-    model = PitmanYor(rows.where(~F.col("held_out")), **options)
+    model = PitmanYor(rows.where(~F.col("held_out")), **{"extract": False, **options})
     out = model.score(rows)
     return out.select(
         "doc_id",

@@ -2,6 +2,7 @@
 
 import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lectern import session
 from lectern.llm import embed, jaccard, language, lm, mixing, packing, queries, toxicity
 from lectern.llm.shingles import shingle_set
 from lectern.llm.tokens import WordEncoder, default_path
@@ -307,6 +309,17 @@ def test_model_gathers_pairs_of_all_words(spark):
     assert model.cells.count() > 400 * 2
 
 
+def test_replaced_tables_of_the_model_are_deleted(spark):
+    """When texts are scored, the sweeps' tables and the cells that were scored are gone."""
+    at = Path(session.shared_folder(spark))
+    before = set(at.iterdir())
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d a b") for i in range(40)], "doc_id long, text string")
+    out = lm.score_documents(docs, sweeps=2, burn_in=1)
+    left = {p.name.rsplit("-", 1)[0] for p in set(at.iterdir()) - before if list(p.rglob("*.parquet"))}
+    assert left <= {"frequent-words", "contexts-kept", "words-kept", "scored-cells", "scores", "row-sums"}
+    assert {r.n_tokens for r in out.collect()} == {7}
+
+
 def test_packing_keeps_blocks_where_bins_cannot_fill(spark):
     """Pieces of more than half a sequence never fill one; no task may hold them all."""
     rows = [(None if i % 3 == 0 else i, 0, 0, 2100 if i % 2 else 2101 + i, i) for i in range(600)]
