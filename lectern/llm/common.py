@@ -43,12 +43,6 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def folder(df: DataFrame) -> str | None:
-    """The folder of a table that was written in one."""
-    files = df.inputFiles()
-    return files[0].rsplit("/", 1)[0] if files else None
-
-
 @contextmanager
 def brief_shuffles(spark: SparkSession):
     """Within this, the files of a query's shuffles are deleted when the query ends."""

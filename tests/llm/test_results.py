@@ -5,6 +5,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lectern import session
 from lectern.llm import embed, jaccard, language, lm, mixing, packing, queries, toxicity
-from lectern.llm.shingles import shingle_set
+from lectern.llm.shingles import shingle_set, split_words
 from lectern.llm.tokens import WordEncoder, default_path
 
 D = "/root/testdata/sf0.001"
@@ -320,6 +321,82 @@ def test_replaced_tables_of_the_model_are_deleted(spark):
     assert {r.n_tokens for r in out.collect()} == {7}
 
 
+def test_model_moves_packs_and_not_cells(spark):
+    """Shuffles move arrays of cells: far fewer rows than there are pairs of words."""
+    store, none = spark._jsc.sc().statusStore(), spark._sc._gateway.new_array(spark._jvm.double, 0)
+
+    def stages():
+        found = store.stageList(None, False, False, none, None)
+        return {x.stageId(): x.shuffleWriteRecords() for x in map(found.apply, range(found.size()))}
+
+    last = max(stages(), default=-1)
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 31 + j * j) % 5000}" for j in range(100))) for i in range(400)], "doc_id long, text string")
+    out = lm.score_documents(docs, sweeps=2, burn_in=1, listed=100).collect()
+    assert len(out) == 400 and {r.n_tokens for r in out} == {101}
+    assert sum(n for i, n in stages().items() if i > last) < 400 * 100 / 4
+
+
+def test_scores_over_several_buckets_are_those_of_the_tables(spark, monkeypatch):
+    """Pairs with a cell, and pairs without one after frequent, rare and unknown words, have the probabilities that the model's tables give."""
+    monkeypatch.setattr(lm, "BUCKET", 500)
+    monkeypatch.setattr(lm, "CHUNK", 200)
+    text = lambda i: " ".join(f"w{(i * i + 7 * j * j) % (12 if j % 2 else 300)}" for j in range(20))
+    rows = [(i, False, text(i) if i % 9 else None) for i in range(200)] + [(i, True, " ".join(text(i).split()[::-1])) for i in range(200, 240)]
+    rows += [(None, True, "never w1 w299 w298 never w5 w1 Never")]
+    docs = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string").repartition(3)
+    model = lm.PitmanYor(docs.where("NOT held_out"), frequent=20, listed=60, sweeps=3, burn_in=1)
+    assert model.buckets > 4 and 2 < len(model.listed) < 100
+    assert np.allclose(model.symbol_probability.sum(axis=1), 1)
+    code = lambda x: int(np.uint64(x).view(np.int64))
+    logp = {(r.u, r.w): r.logp for r in model.cells.collect()}
+    words, contexts = ({r[0]: r for r in t.collect()} for t in (model.words, model.contexts))
+    got = {r.doc_id: r for r in model.score(docs).collect()}
+    assert len(got) == len(rows)
+    unseen = 0
+    for doc_id, _, t in rows:
+        score = base = known = 0
+        u, w, _ = lm._with_context(pa.array([t or ""]), model.listed)
+        for a, b in zip(map(code, u), map(code, w), strict=True):
+            left = list(contexts[a])[2:] if a in contexts else [1.0, 1.0]
+            p = list(words[b])[2:] if b in words else model.known.unknowns
+            unseen += (a, b) not in logp
+            score += logp.get((a, b), np.log10(np.mean(np.multiply(left, p))))
+            c = words[b].cw if b in words else 0
+            base, known = base + np.log10((c + 0.5) / model.total), known + (c > 0)
+        r = got[doc_id]
+        assert (r.n_tokens, r.n_known) == (len(u), known)
+        assert abs(r.score - score) < 1e-9 * len(u) and abs(r.base_score - base) < 1e-9 * len(u)
+    assert unseen > 100
+
+
+def test_pairs_that_collide_stay_apart(monkeypatch):
+    """Two pairs of one hash were one cell too many, which failed the job."""
+    monkeypatch.setattr(lm, "_pair", lambda u, w, salt=0: (u + w) % np.uint64(3))
+    u, w = (np.array(x, dtype=np.uint64) for x in ([1, 2, 4, 1, 2, 5], [2, 1, 2, 2, 1, 4]))
+    one, number = lm._distinct(u, w)
+    assert len(one) == 4 and (u[one][number] == u).all() and (w[one][number] == w).all()
+
+
+def test_words_are_hashed_as_they_are_split():
+    """Windows of bytes, long words and ends of texts make no difference to which words are equal."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abAB \n\t\x0b\x1cé "), rng.integers(80))) for _ in range(500)]
+    texts += [None, "", "x" * 200 + " " + "X" * 200, "q" * 64 + " " + "q" * 65, " a", "b ", "some word " * 30000]
+    got, counts = lm._words(pa.array(["z", *texts]).slice(1))
+    want = [split_words(t or "") for t in texts]
+    assert counts.tolist() == [len(x) for x in want]
+    flat = [x for words in want for x in words]
+    assert len(set(zip(flat, got.tolist(), strict=True))) == len(set(flat)) == len(set(got.tolist()))
+
+
+def test_integers_of_packs_come_back():
+    for x in ([], [0, 127], [-128, 5], [128], [-129], [1 << 31], [-(1 << 63), (1 << 63) - 1]):
+        x = np.array(x, dtype=np.int64)
+        assert (lm._from_ints(lm._ints(x)) == x).all()
+    codes = np.array([0, 1, 70000, 1 << 63, (1 << 64) - 1, (1 << 63) + 0xFFFF0000], dtype=np.uint64)
+    assert (lm._to_codes(lm._to_bytes(codes), len(codes)) == codes).all()
+
+
 def test_packing_keeps_blocks_where_bins_cannot_fill(spark):
     """Pieces of more than half a sequence never fill one; no task may hold them all."""
     rows = [(None if i % 3 == 0 else i, 0, 0, 2100 if i % 2 else 2101 + i, i) for i in range(600)]
