@@ -28,7 +28,7 @@ RANGE = 2048
 PACK = "kind int, bucket long, frm long, k binary, x binary, y binary, z binary, v binary"
 COLUMNS = [c.split()[0] for c in PACK.split(", ")]
 # Kinds of packs: cells, those seated again, words, contexts, messages between buckets, sums, texts.
-CELLS, MANY, WORDS, ASKS, HOT_U, HOT_W, SUMS, STATS, CUSTOMERS, PARENT, TABLES, KEPT, CONTEXTS, ANSWERS, POSTS, UNSEEN, DOCS = range(17)
+CELLS, MANY, WORDS, ASKS, HOT_U, HOT_W, SUMS, STATS, CUSTOMERS, PARENT, TABLES, KEPT, CONTEXTS, ANSWERS, POSTS, UNSEEN, DOCS, DIGESTS = range(18)
 
 
 def held_out(id_col: str, parts: int) -> Column:
@@ -259,7 +259,7 @@ def seat(c: np.ndarray, p: np.ndarray, tables: float | np.ndarray, theta: float,
 def _chunks(batches, listed: np.ndarray):
     """Stretches of texts: the batch, and (word before, word, number of the text) of each token."""
     held, size = [], 0
-    for batch in batches:
+    for batch in filter(len, batches):
         held.append(batch)
         size += batch.column("text").nbytes
         if size >= 6 * CHUNK:
@@ -485,7 +485,7 @@ def _post(listed: np.ndarray, buckets: int, part: int):
     def run(batches):
         chunk = TaskContext.get().partitionId() << 20
         for rows, u, w, text in _chunks(batches, listed):
-            out = []
+            out = [_row(DIGESTS, chunk % buckets, chunk, np.bitwise_xor.reduce(_pair(np.arange(len(w), dtype=np.uint64), w)))]
             if part == 0:
                 ids = rows.column("doc_id").combine_chunks()
                 flags = np.asarray(rows.column("held_out").fill_null(False)).astype(np.uint8) + 2 * np.asarray(ids.is_null()).astype(np.uint8)
@@ -509,8 +509,7 @@ def _post(listed: np.ndarray, buckets: int, part: int):
                 for a, b, i, j in zip(cuts[:-1], cuts[1:], ends[:-1], ends[1:], strict=True):
                     x = one[a:b]
                     out.append(_row(POSTS, place[x[0]], chunk, _to_bytes(u[x]), _to_bytes(w[x]), np.bincount(cell[i:j] - a), text[i:j], times[i:j]))
-            if out:
-                yield _batch(out)
+            yield _batch(out)
             chunk += 1
 
     return run
@@ -529,7 +528,7 @@ def _meet(known: _Known, buckets: int):
     """Scores what texts hold of a bucket's cells; of pairs without a cell only those of listed contexts, the others go to their context."""
 
     def run(group):
-        docs = list(group.loc[group["kind"] == DOCS, COLUMNS].itertuples(index=False, name=None))
+        docs = list(group.loc[group["kind"].isin([DOCS, DIGESTS]), COLUMNS].itertuples(index=False, name=None))
         if not (group["kind"] == POSTS).any():
             return _frame(docs)
         words = known.words(group)
@@ -586,7 +585,10 @@ def _back_off(known: _Known, buckets: int):
 
 
 def _texts(group: pd.DataFrame) -> pd.DataFrame:
-    """One row per text, with the sums of all its packs."""
+    """One row per text, with the sums of all its packs; texts are known by their place, so each slice must have read the same."""
+    read = group[group["kind"] == DIGESTS].groupby("frm")["k"]
+    if (read.nunique() != 1).any() or (read.size() != SLICES).any():
+        raise ValueError("the texts came in another order when they were read again; write them first")
     def ids_of(kind):
         rows = group[group["kind"] == kind]
         return np.concatenate([np.empty(0, dtype=np.int64), *[(frm << 24) + _from_ints(k) for frm, k in zip(rows["frm"], rows["k"], strict=True)]])
@@ -794,7 +796,8 @@ class PitmanYor:
         """docs (doc_id, held_out, text) -> doc_id, held_out, n_tokens, n_known, base_score, score.
 
         Texts are read again for each slice of the buckets, and what they hold
-        of its cells meets these there. A pair without a cell has its parent's
+        of its cells meets these there. They must come in the same order each
+        time, as those of a written table do, else the job fails. A pair without a cell has its parent's
         probability. Without ``extract`` the model can score once only.
         """
         with brief_shuffles(self.spark):
@@ -805,7 +808,7 @@ class PitmanYor:
                 unseen = self._grouped(_back_off(self.known, self.buckets), self._read(at, UNSEEN), self._read(self.contexts_at, CONTEXTS), *self._kept(KEPT))
                 more = stored_by(unseen, "row-sums", "kind")
                 dropped(self.spark, f"{at}/kind={UNSEEN}")
-                found += [self._read(at, SUMS, DOCS), self._read(more, SUMS)]
+                found += [self._read(at, SUMS, DOCS, DIGESTS), self._read(more, SUMS)]
             if not self.extract:
                 dropped(self.spark, *self.made)
         return self._grouped(_texts, *found, schema="doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -397,6 +397,18 @@ def test_integers_of_packs_come_back():
     assert (lm._to_codes(lm._to_bytes(codes), len(codes)) == codes).all()
 
 
+def test_texts_read_in_another_order_fail():
+    """Texts are known by their place, so a score would go to another text."""
+    text = lm._row(lm.DOCS, 0, 5, np.arange(1), np.array([7]), np.zeros(1, dtype=np.uint8), np.array([3]))
+    sums = lm._row(lm.SUMS, 0, 5, np.arange(1), np.array([-2.0]), np.array([-3.0]), np.array([2]))
+    digests = [lm._row(lm.DIGESTS, 0, 5, np.uint64(x)) for x in (1, 1, 2)]
+    out = lm._texts(lm._frame([text, sums, *digests[:2]]))
+    assert out.values.tolist() == [[7, False, 3, 2, -3.0, -2.0]]
+    for found in (digests[1:], digests[:1]):
+        with pytest.raises(ValueError):
+            lm._texts(lm._frame([text, sums, *found]))
+
+
 def test_packing_keeps_blocks_where_bins_cannot_fill(spark):
     """Pieces of more than half a sequence never fill one; no task may hold them all."""
     rows = [(None if i % 3 == 0 else i, 0, 0, 2100 if i % 2 else 2101 + i, i) for i in range(600)]
