@@ -14,9 +14,10 @@ from pyspark.sql.window import Window
 
 from lectern import rules, session
 from lectern.functions.num import clamp, ms, round_half_up
+from lectern.plans import spoken
 from lectern.plans.blocks import ROWS_PER_BLOCK, in_blocks
 from lectern.plans.ordered import Scan, scan
-from lectern.plans.packs import PART, opened, packed
+from lectern.plans.packs import PART, packed
 
 
 def nearest_word(
@@ -334,9 +335,25 @@ def _edges(scenes: DataFrame, key: str) -> DataFrame:
     return scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
 
 
+def _near_packs(points: DataFrame, packs: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """``nearest_word`` for words in packs.
+
+    Only points without words of their span on both sides go through the ordered
+    scan, with the first and the last word of each span.
+    """
+    met = spoken.nearest_in_span(packs, points, key, "at")
+    asked = met.where("__row IS NOT NULL").select(key, F.col("__t").alias("at"), "__row.*", F.col("__i").alias("nearest_idx"))
+    words = met.where("__row IS NULL").select(key, F.col("__t").alias("start_s"), F.col("__i").alias("word_idx"))
+    left = asked.where("nearest_idx IS NULL").drop("nearest_idx")
+    return asked.where("nearest_idx IS NOT NULL").unionByName(nearest_word(left, words, key, partitions=partitions))
+
+
 def _ranges(scenes: DataFrame, words: DataFrame, n: DataFrame, key: str, partitions: int | None) -> DataFrame:
     edges = _edges(scenes, key)
-    near = _nearest(_timeline(edges, words, key, "at", "start_s", "word_idx", partitions), edges.columns, key)
+    return _range_rows(nearest_word(edges, words, key, partitions=partitions), n, key)
+
+
+def _range_rows(near: DataFrame, n: DataFrame, key: str) -> DataFrame:
     both = near.groupBy(key, "scene_idx").agg(
         F.min("start_s").alias("start_s"),
         F.min("end_s").alias("end_s"),
@@ -399,38 +416,37 @@ def _between(first: Column, last: Column, columns: Sequence[str]) -> Column:
 def _slides(scenes: DataFrame, words: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """``slide_text`` with ``__start``, where the first word of the range starts, and ``__end``, where its last one ends.
 
-    Words are packed and written once. Narrow rows of them go through one
-    ordered scan with the scene edges; words and ranges then meet by stretches
-    of ``STRETCH`` words of a video, so a long video spreads over tasks and a
-    word meets only the few slides of its stretch. A slide inside one stretch is
-    complete there, only the parts of others move on.
+    Words are packed and written once. Scene edges meet their starts by spans of
+    time, ranges meet their text by stretches of words, so a long video spreads
+    over tasks. A slide inside one stretch is complete there, only the parts of
+    others move on.
     """
-    packs, n = _stretches(words.withColumnsRenamed({"start_s": "__a", "end_s": "__z"}), key, "word", "__a", "__z")
-    spoken = opened(packs, [key], ["word_idx", "__a"]).withColumnRenamed("__a", "start_s")
-    ranges = _written(_ranges(scenes, spoken, n, key, partitions), "ranges")
+    packs = spoken.packs(words, key)
+    n = packs.groupBy(key).agg(F.sum("n").alias("n_words"))
+    ranges = _range_rows(_near_packs(_edges(scenes, key), packs, key, partitions), n, key)
     kept = [c for c in ranges.columns if c not in (key, "scene_idx", "n_words")]
-    first, last = (F.floor(F.col(c) / STRETCH) for c in ("word_start_index", "word_end_index"))
-    some = F.when(F.col("n_words") > 0, F.sequence(first, last))
-    w = packs.withColumnsRenamed({key: "__key", PART: "__of"})
-
-    def joined(parts: DataFrame) -> DataFrame:
-        """One row per part of a slide with its words; the join has put them where they are gathered."""
-        same = (F.col(key) == F.col("__key")) & (F.col(PART) == F.col("__of"))
-        inside = _between(F.col("word_start_index"), F.col("word_end_index"), ["word_idx", "word", "__a", "__z"])
-        found = parts.join(w, same, "left").select(key, "scene_idx", PART, *kept, inside.alias("__in"))
-        return found.groupBy(key, "scene_idx", PART).agg(F.flatten(F.collect_list("__in")).alias("__w"), *[F.first(c).alias(c) for c in kept])
-
-    single = (F.col("n_words") == 0) | (first == last)
-    alone = joined(ranges.where(single).withColumn(PART, F.when(F.col("n_words") > 0, first))).drop(PART)
-    cut = joined(ranges.where(~single).select(key, "scene_idx", *kept, F.explode_outer(some).alias(PART)))
-    rest = cut.groupBy(key, "scene_idx").agg(F.flatten(F.collect_list("__w")).alias("__w"), *[F.first(c).alias(c) for c in kept])
-    s = alone.unionByName(rest)
-    said = F.array_sort(F.filter("__w", lambda x: x["word"].isNotNull()))
-
-    def at(c: str, i: str) -> Column:
-        return F.array_max(F.filter("__w", lambda x: x["word_idx"] == F.col(i))[c])
-
-    s = s.select("*", at("__a", "word_start_index").alias("__start"), at("__z", "word_end_index").alias("__end")).withColumn("__w", said)
+    first, last = (F.floor(F.col(c) / spoken.STRETCH) for c in ("word_start_index", "word_end_index"))
+    # what has no words lies below all stretches, spread over some
+    stretches = F.when(F.col("n_words") > 0, F.sequence(first, last)).otherwise(F.array(-1 - F.pmod(F.hash("scene_idx"), F.lit(1000)).cast("long")))
+    parts = ranges.select(key, "scene_idx", *kept, F.size(stretches).alias("__parts"), F.explode_outer(stretches).alias("stretch"))
+    parts = spoken.said(packs, parts, key, "word_start_index", "word_end_index")
+    made = ["__n", "__text", "__a", "__z", "__start", "__end"]
+    rest = parts.where("__parts > 1").groupBy(key, "scene_idx").agg(
+        F.array_sort(F.collect_list(F.struct("stretch", *made))).alias("__w"), *[F.first(c).alias(c) for c in kept]
+    )
+    heard = F.filter("__w", lambda x: x["__n"] > 0)
+    rest = rest.withColumn("__h", heard).select(
+        key,
+        "scene_idx",
+        *kept,
+        F.aggregate("__h.__n", F.lit(0).cast("long"), lambda x, y: x + y).alias("__n"),
+        F.array_join("__h.__text", " ").alias("__text"),
+        F.get("__h", F.lit(0))["__a"].alias("__a"),
+        F.get("__h", F.size("__h") - 1)["__z"].alias("__z"),
+        F.array_max("__w.__start").alias("__start"),
+        F.array_max("__w.__end").alias("__end"),
+    )
+    s = parts.where("__parts = 1").select(rest.columns).unionByName(rest)
     return s.select(
         key,
         F.col("scene_idx").alias("slide_index"),
@@ -439,10 +455,10 @@ def _slides(scenes: DataFrame, words: DataFrame, key: str, partitions: int | Non
         ms(F.col("end_s") - F.col("start_s")).alias("video_duration"),
         "word_start_index",
         "word_end_index",
-        F.size("__w").cast("long").alias("word_count"),
-        ms(F.coalesce(F.get("__w", F.lit(0))["__a"], "start_s")).alias("original_audio_start"),
-        ms(F.coalesce(F.get("__w", F.size("__w") - 1)["__z"], "end_s")).alias("original_audio_end"),
-        F.array_join("__w.word", " ").alias("text"),
+        F.col("__n").alias("word_count"),
+        ms(F.coalesce("__a", "start_s")).alias("original_audio_start"),
+        ms(F.coalesce("__z", "end_s")).alias("original_audio_end"),
+        F.col("__text").alias("text"),
         "overlap",
         "__start",
         "__end",
