@@ -168,10 +168,15 @@ def _segments(rows: pa.Table, by: str) -> list[tuple[pa.Scalar, pa.Table]]:
     return [(c[i], rows.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
 
 
+def _repeated(values: list[pa.Scalar], sizes: list[int], type: pa.DataType) -> pa.Array:
+    """Each value as often as its size says."""
+    return pa.array([v.as_py() for v in values], type).take(pa.array(np.repeat(np.arange(len(sizes)), sizes), pa.int64()))
+
+
 def _exit_rows(of: list[tuple[pa.Scalar, int, _Exits]], schema: pa.Schema) -> pa.Table:
     sizes = [len(e.first) for _, _, e in of]
     cols = [
-        pa.array([k.as_py() for (k, _, _), n in zip(of, sizes) for _ in range(n)], schema.field(0).type),
+        _repeated([k for k, _, _ in of], sizes, schema.field(0).type),
         pa.array(np.repeat(np.array([s for _, s, _ in of], dtype="int64"), sizes)),
         *[pa.array(np.concatenate([getattr(e, c) for _, _, e in of]) if of else np.array([])) for c in ("first", "exit", "n")],
     ]
@@ -209,7 +214,8 @@ def scene_thin(
     """
     # what comes sooner after scene 0 is never kept
     c = candidates.select(key, F.col(at).cast("double").alias("t")).where(F.col("t") - F.lit(0.0) >= min_gap)
-    c = packed(c, [key], F.lit(0)).join(totals.select(key, "total_s"), key)
+    # written, since the range exchange works its input out twice
+    c = _written(packed(c, [key], F.lit(0)), "candidates").join(totals.select(key, "total_s"), key)
     c = c.select(key, F.explode_outer(F.filter("t", lambda t: t <= F.col("total_s") - tail)).alias("t")).where("t IS NOT NULL")
     c = in_blocks(c, [key, "t"], rows, distinct=True)
     kt = c.schema[key].dataType.simpleString()
@@ -222,7 +228,7 @@ def scene_thin(
     def picked(parts: list[tuple[pa.Scalar, int, np.ndarray, int]]) -> list[pa.Array]:
         sizes = [len(t) for _, _, t, _ in parts]
         return [
-            pa.array([k.as_py() for (k, _, _, _), n in zip(parts, sizes) for _ in range(n)], key_type),
+            _repeated([k for k, _, _, _ in parts], sizes, key_type),
             pa.array(np.repeat(np.array([b for _, b, _, _ in parts], dtype="int64"), sizes)),
             pa.array(np.concatenate([np.arange(i, i + len(t)) for _, _, t, i in parts]) if parts else np.array([], "int64")),
             pa.array(np.concatenate([t for _, _, t, _ in parts]) if parts else np.array([], "float64")),
@@ -327,30 +333,37 @@ def scene_intervals(
     )
 
 
-def _edges(scenes: DataFrame, key: str) -> DataFrame:
+def _edges(scenes: DataFrame, key: str, *keep: str) -> DataFrame:
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("start_s").alias("at")),
         F.struct(F.lit(1).alias("side"), F.col("end_s").alias("at")),
     )
-    return scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", F.inline(sides))
+    return scenes.select(key, "scene_idx", "start_s", "end_s", "is_last", *keep, F.inline(sides))
+
+
+def _sides(near: DataFrame, key: str) -> DataFrame:
+    """Edges with their nearest word as scenes with one of ``lo`` and ``hi``."""
+    lo, hi = (F.when(F.col("side") == side, F.col("nearest_idx")).alias(c) for side, c in enumerate(("lo", "hi")))
+    return near.select(key, "scene_idx", "start_s", "end_s", "is_last", lo, hi)
 
 
-def _near_packs(points: DataFrame, packs: DataFrame, key: str, partitions: int | None) -> DataFrame:
-    """``nearest_word`` for words in packs.
+def _met_ranges(scenes: DataFrame, packs: DataFrame, n: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """``slide_ranges`` for words in packs.
 
-    Only points without words of their span on both sides go through the ordered
+    Only edges without words of their span on both sides go through the ordered
     scan, with the first and the last word of each span.
     """
-    met = spoken.nearest_in_span(packs, points, key, "at")
-    asked = met.where("__row IS NOT NULL").select(key, F.col("__t").alias("at"), "__row.*", F.col("__i").alias("nearest_idx"))
+    met = spoken.nearest_in_span(packs, scenes.select(key, "scene_idx", "start_s", "end_s", "is_last"), key, "start_s", "end_s")
+    asked = met.where("__row IS NOT NULL").select(key, "__row.*", F.col("__i").alias("lo"), F.col("__j").alias("hi"), "__asks")
     words = met.where("__row IS NULL").select(key, F.col("__t").alias("start_s"), F.col("__i").alias("word_idx"))
-    left = asked.where("nearest_idx IS NULL").drop("nearest_idx")
-    return asked.where("nearest_idx IS NOT NULL").unionByName(nearest_word(left, words, key, partitions=partitions))
+    unknown = F.when(F.col("side") == 0, F.col("lo").isNull() & (F.col("__asks") != 1)).otherwise(F.col("hi").isNull() & (F.col("__asks") != 0))
+    left = _edges(asked.where("lo IS NULL OR hi IS NULL"), key, "lo", "hi", "__asks").where(unknown).drop("lo", "hi", "__asks")
+    asked = asked.drop("__asks")
+    return _range_rows(asked.unionByName(_sides(nearest_word(left, words, key, partitions=partitions), key)), n, key)
 
 
 def _ranges(scenes: DataFrame, words: DataFrame, n: DataFrame, key: str, partitions: int | None) -> DataFrame:
-    edges = _edges(scenes, key)
-    return _range_rows(nearest_word(edges, words, key, partitions=partitions), n, key)
+    return _range_rows(_sides(nearest_word(_edges(scenes, key), words, key, partitions=partitions), key), n, key)
 
 
 def _range_rows(near: DataFrame, n: DataFrame, key: str) -> DataFrame:
@@ -358,8 +371,8 @@ def _range_rows(near: DataFrame, n: DataFrame, key: str) -> DataFrame:
         F.min("start_s").alias("start_s"),
         F.min("end_s").alias("end_s"),
         F.bool_or("is_last").alias("is_last"),
-        F.max(F.when(F.col("side") == 0, F.col("nearest_idx"))).alias("lo"),
-        F.max(F.when(F.col("side") == 1, F.col("nearest_idx"))).alias("hi"),
+        F.max("lo").alias("lo"),
+        F.max("hi").alias("hi"),
     )
     last = F.col("n_words") - 1
     lo = F.greatest(F.lit(0).cast("long"), F.least(F.col("lo"), last))
@@ -423,7 +436,7 @@ def _slides(scenes: DataFrame, words: DataFrame, key: str, partitions: int | Non
     """
     packs = spoken.packs(words, key)
     n = packs.groupBy(key).agg(F.sum("n").alias("n_words"))
-    ranges = _range_rows(_near_packs(_edges(scenes, key), packs, key, partitions), n, key)
+    ranges = _met_ranges(scenes, packs, n, key, partitions)
     kept = [c for c in ranges.columns if c not in (key, "scene_idx", "n_words")]
     first, last = (F.floor(F.col(c) / spoken.STRETCH) for c in ("word_start_index", "word_end_index"))
     # what has no words lies below all stretches, spread over some

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern import session
 from lectern.operators import align, analytics, catalog, metadata, strategy, textjobs
 
 
@@ -27,6 +28,7 @@ def next_topics(topics: DataFrame, results: DataFrame, playlist_items: DataFrame
 
 def align_videos(words: DataFrame, candidates: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Scene candidates and spoken words -> slides with text and pace."""
+    totals = session.written(totals, "totals")  # asked for three times
     scenes = align.scene_intervals(align.scene_thin(candidates, totals, key), totals, key)
     return align.paced_slides(scenes, words, key)
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -201,19 +201,40 @@ def _last_until(s: np.ndarray, e: np.ndarray, low: np.ndarray, high: np.ndarray)
     return lo - 1
 
 
-def nearest_in_span(packs: DataFrame, points: DataFrame, key: str, at: str) -> DataFrame:
-    """Points, each with ``__i``, the index of the word closest to it, if words of its own span lie on both sides.
+def _closest(s: np.ndarray, i: np.ndarray, e: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """Index of the word closest to each ``e``, the lower one of two; null without one on both sides, from ``low`` to before ``high``."""
+    p = _last_until(s, e, low, high)
+    no = (p < low) | (p + 1 >= high)
+    p = np.where(no, len(s), p)
+    s, i = np.append(s, [0.0, 0.0]), np.append(i, [0, 0])
+    before, after = np.abs(e - s[p]), np.abs(s[p + 1] - e)
+    return pa.array(np.where(after < before, i[p + 1], np.where(before < after, i[p], np.minimum(i[p], i[p + 1]))), mask=no)
 
-    Others have a null there. ``__t`` is the time of a point, ``__row`` holds its
-    other columns. Rows without it are the first and the last word of each span
-    (``__t``, ``__i``): all that points of other spans can ask for. Written.
+
+def _span(t: Column) -> Column:
+    return F.when(t.isNotNull(), F.floor(F.greatest(F.lit(-float(FAR)), F.least(F.lit(float(FAR)), t / SPAN_S))))
+
+
+def nearest_in_span(packs: DataFrame, rows: DataFrame, key: str, first: str, last: str) -> DataFrame:
+    """Rows (in ``__row``, without the key) with ``__i`` and ``__j``, the indices of the words closest to the times ``first`` and ``last``.
+
+    Each is null where not both sides have words of the time's span. A row with
+    times of two spans comes twice; ``__asks`` is 0 if for the first time, 1 for
+    the last, 2 for both. Rows without ``__row`` are the first and the last word of each span (``__t``,
+    ``__i``): all that times of other spans can ask for. Written.
     """
-    t = F.col(at).cast("double")
-    span = F.when(t.isNotNull(), F.floor(F.greatest(F.lit(-float(FAR)), F.least(F.lit(float(FAR)), t / SPAN_S))))
-    asks = points.select(key, span.alias("span"), t.alias("__t"), F.struct(*[c for c in points.columns if c not in (key, at)]).alias("__row"))
+    t, u = F.col(first).cast("double"), F.col(last).cast("double")
+    none = F.lit(None).cast("double")
+
+    def ask(which: int, span: Column, t: Column, u: Column) -> Column:
+        return F.struct(F.lit(which).alias("__asks"), span.alias("span"), t.alias("__t"), u.alias("__u"))
+
+    apart = F.array(ask(0, _span(t), t, none), ask(1, _span(u), none, u))
+    where = F.when(_span(t).eqNullSafe(_span(u)), F.array(ask(2, _span(t), t, u))).otherwise(apart)
+    asks = rows.select(key, F.struct(*[c for c in rows.columns if c != key]).alias("__row"), F.inline(where))
     have = packs.where(F.col(key).isNotNull() & F.col("span").isNotNull() & F.col("stretch").isNotNull()).select(key, "span", "n", "low", "millis", "idx", "a")
     types = {f.name: nullable(f.dataType) for f in asks.schema.fields}
-    schema = T.StructType([T.StructField(key, types[key]), T.StructField("__t", T.DoubleType()), T.StructField("__i", T.LongType()), T.StructField("__row", types["__row"])])
+    schema = T.StructType([T.StructField(key, types[key]), T.StructField("__t", T.DoubleType()), T.StructField("__i", T.LongType()), T.StructField("__j", T.LongType()), T.StructField("__asks", T.IntegerType()), T.StructField("__row", types["__row"])])
     as_arrow = to_arrow_schema(schema)
 
     def sent(*cols: pa.Array) -> pa.RecordBatch:
@@ -227,17 +248,12 @@ def nearest_in_span(packs: DataFrame, points: DataFrame, key: str, at: str) -> D
             if len(some):
                 places = np.stack([begin[some], end[some] - 1], 1).ravel()
                 k = found[key].combine_chunks().take(pa.array(np.repeat(np.searchsorted(of, some), 2)))
-                yield sent(k, pa.array(s[places]), pa.array(i[places]), pa.nulls(len(k), as_arrow.field(3).type))
+                yield sent(k, pa.array(s[places]), pa.array(i[places]), pa.nulls(len(k)), pa.nulls(len(k)), pa.nulls(len(k), as_arrow.field(5).type))
             if not others.num_rows:
                 continue
-            e, low, high = others["__t"].to_numpy(), begin[group], end[group]
-            p = _last_until(s, e, low, high)
-            no = (p < low) | (p + 1 >= high)
-            p = np.where(no, len(s), p)
-            s, i = np.append(s, [0.0, 0.0]), np.append(i, [0, 0])
-            before, after = np.abs(e - s[p]), np.abs(s[p + 1] - e)
-            at = np.where(after < before, i[p + 1], np.where(before < after, i[p], np.minimum(i[p], i[p + 1])))
-            yield sent(*(others[c].combine_chunks() for c in (key, "__t")), pa.array(at, mask=no), others["__row"].combine_chunks())
+            low, high = begin[group], end[group]
+            ij = (_closest(s, i, others[c].to_numpy(), low, high) for c in ("__t", "__u"))
+            yield sent(*(others[c].combine_chunks() for c in (key, "__t")), *ij, *(others[c].combine_chunks() for c in ("__asks", "__row")))
 
     return session.written(_met(have, asks, [key, "span"]).mapInArrow(meet, schema), "near")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.num import ms
 from lectern.operators import align
-from lectern.plans import spoken
+from lectern.plans import produce, spoken
 
 
 def asked(rows, n, scenes):
@@ -86,3 +86,23 @@ def test_milliseconds_are_those_of_round(spark):
     values += [rnd.uniform(-1e4, 1e4) for _ in range(3000)] + [rnd.randint(0, 10**7) / 10000 for _ in range(3000)] + [rnd.randint(0, 10**6) / 2.5 for _ in range(1000)]
     df = spark.createDataFrame([(v,) for v in values], "v double").select(ms(F.col("v")).alias("a"), F.round("v", 3).alias("b"))
     assert [(repr(r["a"]), repr(r["b"])) for r in df.collect() if repr(r["a"]) != repr(r["b"])] == []
+
+
+def test_a_journey_works_its_totals_and_candidates_out_once(spark):
+    read = {c: spark.sparkContext.accumulator(0) for c in ("totals", "candidates")}
+
+    def counted(df, name):
+        def count(batches):
+            for batch in batches:
+                read[name].add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema)
+
+    words = [(v, i, f"w{i}", round(i / 2.5, 3), round((i + 1) / 2.5, 3)) for v in "ab" for i in range(300)]
+    w = spark.createDataFrame(words, "v string, word_idx long, word string, start_s double, end_s double")
+    totals = spark.createDataFrame([(v, 120.0) for v in "ab"], "v string, total_s double")
+    c = spark.createDataFrame([(v, float(t)) for v in "ab" for t in range(10, 100, 9)], "v string, ts_s double")
+    got = produce.align_videos(w, counted(c, "candidates"), counted(totals, "totals"), "v")
+    assert got.agg(F.sum("word_count")).first()[0] == 600 and got.count() == 22
+    assert {k: v.value for k, v in read.items()} == {"totals": 2, "candidates": 20}
